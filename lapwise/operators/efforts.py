@@ -62,10 +62,29 @@ def fastest_effort(
     """
     if distance_m <= 0:
         raise ValueError("distance must be positive")
+    best = fastest_efforts(records, [distance_m], activity_id, key, time, distance, min_rows)
+    return best.drop("event_distance")
+
+
+def fastest_efforts(
+    records: DataFrame,
+    distances_m: list[float],
+    activity_id: int | None = None,
+    key: str = "activity_id",
+    time: str = "timestamp",
+    distance: str = "distance",
+    min_rows: float | None = None,
+) -> DataFrame:
+    """``fastest_effort`` for several distances at once, with ``event_distance`` as a column.
+
+    One exchange and one sort serve all distances.
+    """
+    if not distances_m or min(distances_m) <= 0:
+        raise ValueError("distances must be positive")
     points = records if activity_id is None else records.where(F.col(key) == activity_id)
     us = F.col(time) if _is_numeric(points, time) else F.unix_micros(time)
-    whole = float(distance_m).is_integer()
-    distance_m = int(distance_m) if whole else float(distance_m)
+    whole = all(float(d).is_integer() for d in distances_m)
+    wanted = [int(d) if whole else float(d) for d in distances_m]
     covered = F.col(distance) if whole else F.col(distance).cast("double")
     points = points.select(key, us.cast("long").alias("_us"), covered.alias("_d")).where(
         "_us IS NOT NULL AND _d IS NOT NULL"
@@ -75,10 +94,11 @@ def fastest_effort(
     hot_keys = heavy_groups(points, [key], limit)
     if hot_keys:
         cold, hot = part_hot(points, [key], hot_keys)
-        best = _within_task(cold, key, distance_m).unionByName(_across_tasks(hot, key, distance_m, limit))
+        best = _within_task(cold, key, wanted).unionByName(_across_tasks(hot, key, wanted, limit))
     else:
-        best = _within_task(points, key, distance_m)
+        best = _within_task(points, key, wanted)
     return best.select(
+        "event_distance",
         key,
         F.make_dt_interval(secs=(F.col("_dur") / 1_000_000).cast("decimal(18,6)")).alias("shortest_duration"),
         F.col("_dur").alias("duration_us"),
@@ -86,15 +106,6 @@ def fastest_effort(
     )
 
 
-def fastest_efforts(records: DataFrame, distances_m: list[float], **options) -> DataFrame:
-    """``fastest_effort`` for several distances, with the distance as a column."""
-    parts = [
-        fastest_effort(records, d, **options).select(F.lit(d).cast("double").alias("event_distance"), "*")
-        for d in distances_m
-    ]
-    return reduce(DataFrame.unionByName, parts)
-
-
 def _is_numeric(df: DataFrame, name: str) -> bool:
     return df.schema[name].dataType.typeName() in {"long", "integer", "short", "double", "float", "decimal"}
 
@@ -125,7 +136,7 @@ def _roles(df: DataFrame) -> DataFrame:
     )
 
 
-def _within_task(points: DataFrame, key: str, distance_m: float) -> DataFrame:
+def _within_task(points: DataFrame, key: str, distances: list[float]) -> DataFrame:
     """One exchange by ``key``; every later window reuses that partitioning."""
     group = Window.partitionBy(key)
     in_time = group.orderBy("_us")
@@ -137,19 +148,35 @@ def _within_task(points: DataFrame, key: str, distance_m: float) -> DataFrame:
         .withColumn("_count", F.count(F.lit(1)).over(group))
     )
     pieces = _roles(marked.withColumn("_level", F.explode(_pieces(F.col("_irregular"), F.col("_count")))))
-    step = f"{distance_m}D" if isinstance(distance_m, float) else f"{distance_m}"
-    first_end = F.expr(
-        f"min(CASE WHEN _ends THEN _us END) OVER (PARTITION BY `{key}`, {', '.join(PIECE)} ORDER BY _pos DESC "
-        f"RANGE BETWEEN UNBOUNDED PRECEDING AND {step} PRECEDING)"
-    )
-    ended = pieces.withColumn("_end", first_end)
-    found = ended.where("_starts AND _end IS NOT NULL").withColumn("_dur", F.col("_end") - F.col("_us"))
+
+    def taken(d: float) -> Column:
+        """Time from a start to the first end at least ``d`` further on."""
+        step = f"{d}D" if isinstance(d, float) else f"{d}"
+        first_end = F.expr(
+            f"min(CASE WHEN _ends THEN _us END) OVER (PARTITION BY `{key}`, {', '.join(PIECE)} ORDER BY _pos DESC "
+            f"RANGE BETWEEN UNBOUNDED PRECEDING AND {step} PRECEDING)"
+        )
+        return F.when(F.col("_starts"), first_end - F.col("_us"))
+
+    at = range(len(distances))
+    found = pieces.withColumns({f"_dur{i}": taken(d) for i, d in enumerate(distances)})
+    best = found.withColumns({f"_best{i}": F.min(f"_dur{i}").over(group) for i in at})
+    hits = [
+        F.when(
+            F.col(f"_dur{i}") == F.col(f"_best{i}"),
+            F.struct(F.lit(float(d)).alias("event_distance"), F.col(f"_dur{i}").alias("_dur")),
+        )
+        for i, d in enumerate(distances)
+    ]
     return (
-        found.withColumn("_best", F.min("_dur").over(group)).where("_dur = _best").select(key, "_us", "_dur")
+        best.where(" OR ".join(f"_dur{i} = _best{i}" for i in at))
+        .select(key, "_us", F.explode(F.array(*hits)).alias("_hit"))
+        .where("_hit IS NOT NULL")
+        .select(key, "_us", "_hit.event_distance", "_hit._dur")
     )
 
 
-def _across_tasks(points: DataFrame, key: str, distance_m: float, limit: float) -> DataFrame:
+def _across_tasks(points: DataFrame, key: str, distances: list[float], limit: float) -> DataFrame:
     """The same for activities too large for one task: every scan runs in slices.
 
     Per-activity results are at most one row per hot activity, so they are broadcast.
@@ -173,19 +200,22 @@ def _across_tasks(points: DataFrame, key: str, distance_m: float, limit: float)
     # Of starts at one distance only the last can win, of ends only the first.
     starts = pieces.where("_starts").groupBy(*cell, "_pos").agg(F.max("_us").alias("_start"))
     ends = pieces.where("_ends").groupBy(*cell, "_pos").agg(F.min("_us").alias("_end"))
-    line = starts.select(
-        *cell, (-(F.col("_pos") + F.lit(distance_m))).alias("_at"), F.lit(1).alias("_kind"), "_start",
-        F.lit(None).cast("long").alias("_end"),
-    ).unionByName(
-        ends.select(
-            *cell, (-F.col("_pos")).alias("_at"), F.lit(0).alias("_kind"), F.lit(None).cast("long").alias("_start"),
-            "_end",
+    none = F.lit(None).cast("long")
+
+    def one(d: float) -> DataFrame:
+        goals = starts.select(
+            *cell, (-(F.col("_pos") + F.lit(d))).alias("_at"), F.lit(1).alias("_kind"), "_start", none.alias("_end")
         )
-    )
-    line = durable(line)
-    reached = running(line, cell, ["_at", "_kind"], {"_first": ("min", "_end")}, min_rows=limit)
-    found = reached.where("_start IS NOT NULL AND _first IS NOT NULL").select(
-        key, F.col("_start").alias("_us"), (F.col("_first") - F.col("_start")).alias("_dur")
-    )
-    best = found.groupBy(key).agg(F.min("_dur").alias("_best"))
-    return attach(found, best, [key]).where("_dur = _best").select(key, "_us", "_dur")
+        reached = ends.select(
+            *cell, (-F.col("_pos")).alias("_at"), F.lit(0).alias("_kind"), none.alias("_start"), "_end"
+        )
+        line = durable(goals.unionByName(reached))
+        met = running(line, cell, ["_at", "_kind"], {"_first": ("min", "_end")}, min_rows=limit)
+        found = met.where("_start IS NOT NULL AND _first IS NOT NULL").select(
+            key, F.lit(float(d)).alias("event_distance"), F.col("_start").alias("_us"),
+            (F.col("_first") - F.col("_start")).alias("_dur"),
+        )
+        best = found.groupBy(key).agg(F.min("_dur").alias("_best"))
+        return attach(found, best, [key]).where("_dur = _best").select(key, "_us", "event_distance", "_dur")
+
+    return reduce(DataFrame.unionByName, [one(d) for d in distances])

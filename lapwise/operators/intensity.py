@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapwise.operators.skew import heavy_join, running
+from lapwise.operators.skew import MEASURED, heavy_groups, heavy_join, min_rows_for, running
 
 
 def align_intensity(
@@ -26,8 +26,11 @@ def align_intensity(
     """``laps`` with ``intensity``.
 
     ``messages`` has ``key, seq, has_intensity, intensity, has_step, step``; the flags say
-    whether the message carries the field at all. ``laps`` numbers its laps from 1.
+    whether the message carries the field at all. ``laps`` numbers its laps from 1. Files
+    are counted once: with no hot file among ``messages``, nothing below can be hot.
     """
+    limit = min_rows_for(messages.sparkSession, min_rows)
+    min_rows = limit if heavy_groups(messages, [key], limit) else MEASURED
     carried = messages.where("has_intensity AND intensity IS NOT NULL").select(key, seq, "intensity")
     shown = messages.where("has_step").select(key, seq, "step")
 

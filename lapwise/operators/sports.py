@@ -54,9 +54,12 @@ def longest_multi_session(
     weight orders rows within an activity.
     """
     several = activities.where(F.col("num_sessions") > 1)
-    weighed = sessions.groupBy(key, "total_distance").agg(F.sum("total_distance").alias("sum_distance"))
-    return heavy_join(weighed, several, [key], "inner", min_rows, measure_on=sessions).orderBy(
-        F.desc_nulls_first("adjusted_distance"), F.desc_nulls_first("sum_distance"), key
+    # Joined before grouping: the join's partitioning by activity serves the grouping too.
+    joined = heavy_join(sessions.select(key, "total_distance"), several, [key], "inner", min_rows)
+    return (
+        joined.groupBy(*activities.columns, "total_distance")
+        .agg(F.sum("total_distance").alias("sum_distance"))
+        .orderBy(F.desc_nulls_first("adjusted_distance"), F.desc_nulls_first("sum_distance"), key)
     )
 
 

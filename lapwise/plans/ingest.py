@@ -24,7 +24,7 @@ from lapwise.operators.skew import MEASURED, heavy_groups, min_rows_for
 from lapwise.operators.sports import activity_totals, fill_activity_time
 from lapwise.schemas import CHILD_TABLES
 from lapwise.session import durable, use_utc
-from lapwise.sinks.contract import checked, split
+from lapwise.sinks.contract import checked, with_raw
 from lapwise.sinks.load import insert_if_absent, reject_shared_ids, with_parent
 from lapwise.sources.messages import message_rows, route, workout_fields
 from lapwise.sources.sidecar import PATHS
@@ -144,10 +144,10 @@ def _finish(
 
     tested = checked(activities, "activity", keep=["file"])
     absent = fresh.select("file").distinct().join(activities.select("file"), "file", "left_anti")
-    rejected = because(tested.where(F.size("reasons") > 0), F.concat_ws(",", "reasons")).unionByName(
+    rejected = because(tested.where(F.col("reasons") != ""), F.col("reasons")).unionByName(
         because(absent, F.lit("no activity message"))
     )
-    fit = tested.where(F.size("reasons") == 0).drop("reasons")
+    fit = tested.where(F.col("reasons") == "").drop("reasons")
     if ids_are_made:
         shared = reject_shared_ids(fit)
         doubled = fit.join(shared, "activity_id", "left_semi")
@@ -160,12 +160,13 @@ def run_load(store: Store, load: Load, load_id: str, min_rows: float | None = No
     """Store a load. Run again with the same ``load_id``, it replaces what it wrote."""
     # Fixed before the first write: the store may not change what counts as new.
     new = durable(load.activities)
-    mine = with_parent(load.messages, new, key="file", min_rows=min_rows)
-    for table, rows in derive(mine, load.activity_id, min_rows).items():
-        good, bad = split(rows, table)
-        store.write(table, good, load_id)
-        store.set_aside(table, bad, load_id)
-    store.set_aside("files", load.rejected, load_id)
+    limit = min_rows_for(store.spark, min_rows)
+    if not heavy_groups(load.messages, ["file"], limit):
+        limit = MEASURED
+    mine = with_parent(load.messages, new, key="file", min_rows=limit)
+    for table, rows in derive(mine, load.activity_id, limit).items():
+        store.write(table, with_raw(rows, table), load_id)
+    store.write_rejected(load.rejected, load_id)
     store.write("activity", new, load_id)
 
 

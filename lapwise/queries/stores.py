@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lapwise.functions.names import made_id
 from lapwise.plans.ingest import fill_created
 from lapwise.queries.tables import LINE_ORDER, cents, micros, prop, read
-from lapwise.sinks.contract import conform, split
+from lapwise.sinks.contract import conform, with_raw
 from lapwise.sinks.load import backfill_power, insert_if_absent, update_pool, with_parent, without_parent
 from lapwise.sources.messages import message_rows, route
 
@@ -76,27 +76,21 @@ def messages(spark, sf_dir):
     )
     text = lambda c: F.col(c).cast("string")
     semis = (F.col("event_id") * 1000003 % 2147483647).cast("string")
-    fields = F.map_from_entries(
-        F.filter(
-            F.array(
-                F.struct(F.lit("position_lat"), F.when(F.col("k") != 5, semis)),
-                F.struct(F.when(F.col("k") % 10 != 3, F.lit("position_long")), semis),
-                F.struct(F.lit("distance"), text("d")),
-                F.struct(F.lit("heart_rate"), F.when(F.col("k") % 4 == 0, "nan").otherwise(text("k"))),
-                F.struct(F.lit("total_distance"), text("d")),
-                F.struct(F.lit("sport"), F.lit("running")),
-                F.struct(F.lit("timestamp"), text("us")),
-                F.struct(F.lit("length_type"), F.when(F.col("k") % 2 == 0, "active").otherwise("idle")),
-            ),
-            lambda e: e["col1"].isNotNull(),
-        )
-    )
-    kind = F.element_at(
-        F.create_map(*[F.lit(x) for p in
-                       {"view": "record", "click": "lap", "signup": "session", "error": "length", "purchase": "other"}.items()
-                       for x in p]),
-        F.col("event_type"),
-    )
+    east = [F.lit("position_long"), semis]
+    rest = [
+        F.lit("position_lat"), F.when(F.col("k") != 5, semis),
+        F.lit("distance"), text("d"),
+        F.lit("heart_rate"), F.when(F.col("k") % 4 == 0, "nan").otherwise(text("k")),
+        F.lit("total_distance"), text("d"),
+        F.lit("sport"), F.lit("running"),
+        F.lit("timestamp"), text("us"),
+        F.lit("length_type"), F.when(F.col("k") % 2 == 0, "active").otherwise("idle"),
+    ]
+    fields = F.when(F.col("k") % 10 != 3, F.create_map(*rest, *east)).otherwise(F.create_map(*rest))
+    kinds = {"view": "record", "click": "lap", "signup": "session", "error": "length"}
+    kind = F.lit("other")
+    for event_type, name in kinds.items():
+        kind = F.when(F.col("event_type") == event_type, name).otherwise(kind)
     return events.select(
         F.col("user_id").cast("string").alias("file"), F.col("event_id").alias("seq"), kind.alias("name"),
         fields.alias("fields"),
@@ -150,9 +144,10 @@ def conformed(spark, sf_dir):
 
 
 def set_aside(spark, sf_dir):
-    good, bad = split(_raw_lengths(spark, sf_dir), "length")
-    count = lambda df, why: df.groupBy(why.alias("why")).agg(F.count(F.lit(1)).alias("n"))
-    return count(good, F.lit("fits")).unionByName(count(bad, F.concat_ws(",", "reasons")))
+    """Rows per set of columns that do not fit."""
+    tested = with_raw(_raw_lengths(spark, sf_dir), "length")
+    why = F.when(F.col("reasons") == "", "fits").otherwise(F.col("reasons"))
+    return tested.groupBy(why.alias("why")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def made_ids(spark, sf_dir):

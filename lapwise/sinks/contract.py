@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lapwise.schemas import TEXT_LIMITS, columns
 
 REASONS = "reasons"
+RAW = "raw"
 
 
 def to_type(c: Column, kind: str, source: str) -> Column:
@@ -30,14 +31,15 @@ def to_type(c: Column, kind: str, source: str) -> Column:
 
 
 def checked(df: DataFrame, table: str, keep: list[str] = ()) -> DataFrame:
-    """``df`` with the table's columns and types, plus ``reasons``: the columns that do not fit.
+    """``df`` with the table's columns and types, plus ``reasons``: the columns that do not fit, or an empty text.
 
     Columns the frame lacks are null, columns the table lacks are dropped but for ``keep``.
     """
     have = dict(df.dtypes)
+    layout = columns(table)
     limits = TEXT_LIMITS[table]
     typed, faults = [], []
-    for name, kind in columns(table):
+    for name, kind in layout:
         if name not in have:
             typed.append(F.lit(None).cast(kind).alias(name))
             continue
@@ -55,7 +57,7 @@ def checked(df: DataFrame, table: str, keep: list[str] = ()) -> DataFrame:
     if "activity_id" not in have:
         raise ValueError(f"rows for {table} need an activity_id")
     faults.append(F.when(F.col("activity_id").isNull(), F.lit("activity_id")))
-    return df.select(*keep, *typed, F.array_compact(F.array(*faults)).alias(REASONS))
+    return df.select(*keep, *typed, F.concat_ws(",", *faults).alias(REASONS))
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:
@@ -63,10 +65,17 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     return checked(df, table).drop(REASONS)
 
 
+def with_raw(df: DataFrame, table: str) -> DataFrame:
+    """``checked`` rows that also keep the row as it came, as JSON in ``raw``."""
+    return checked(df.withColumn(RAW, F.to_json(F.struct(*df.columns))), table, keep=[RAW])
+
+
 def split(df: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
-    """Rows that fit, typed; and the others as they came, with ``reasons``."""
-    raw = df.withColumn("raw", F.to_json(F.struct(*df.columns)))
-    tested = checked(raw, table, keep=["raw"])
-    good = tested.where(F.size(REASONS) == 0).drop(REASONS, "raw")
-    bad = tested.where(F.size(REASONS) > 0).select("activity_id", REASONS, "raw")
+    """Rows that fit, typed; and the others as they came, with ``reasons``.
+
+    A load that needs both reads its input once by writing ``with_raw`` rows instead.
+    """
+    tested = with_raw(df, table)
+    good = tested.where(F.col(REASONS) == "").drop(REASONS, RAW)
+    bad = tested.where(F.col(REASONS) != "").select("activity_id", REASONS, RAW)
     return good, bad

@@ -4,18 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from lapwise.schemas import struct
+from lapwise.sinks.contract import RAW, REASONS
 
 LOAD = "load_id"
+FITS = "fits"
+_ASIDE = [T.StructField(REASONS, T.StringType()), T.StructField(RAW, T.StringType())]
+_FOLDERS = [T.StructField(LOAD, T.StringType()), T.StructField(FITS, T.BooleanType())]
 
 
 class Store:
     """Reads and writes the seven tables under ``base``.
 
     Every load writes its own ``load_id`` folder and replaces it when run again, so a load
-    that broke off half way leaves nothing twice.
+    that broke off half way leaves nothing twice. Rows that do not fit their table go to
+    the same load, apart from the others, with the reasons and the row as it came.
     """
 
     def __init__(self, spark: SparkSession, base: str):
@@ -27,34 +33,45 @@ class Store:
 
     def read(self, table: str) -> DataFrame:
         """The table; no rows where nothing was loaded yet."""
-        layout = struct(table)
+        return self._read(table, struct(table), fits=True)
+
+    def set_aside(self, table: str) -> DataFrame:
+        """Rows left out of the table: ``activity_id, reasons, raw``."""
+        return self._read(table, T.StructType([struct("event")["activity_id"], *_ASIDE]), fits=False)
+
+    def rejected(self) -> DataFrame:
+        """Files left out whole: ``file, stage, reason``."""
+        return self.spark.read.schema("file string, stage string, reason string").parquet(self.path("rejected"))
+
+    def write(self, table: str, rows: DataFrame, load_id: str) -> None:
+        """Store ``rows`` as load ``load_id`` in one pass, those with ``reasons`` apart.
+
+        Within each file points are sorted by activity and time, and block filters on the
+        activity let a query for one skip the other blocks; neither needs a shuffle.
+        """
+        for f in _ASIDE:
+            if f.name not in rows.columns:
+                rows = rows.withColumn(f.name, F.lit(None).cast(f.dataType))
+        fits = F.coalesce(F.col(REASONS), F.lit("")) == ""
+        raw = F.when(~fits, F.col(RAW)).alias(RAW)
+        out = rows.select(*struct(table).names, REASONS, raw, fits.alias(FITS))
+        if table == "record":
+            out = out.sortWithinPartitions(FITS, "activity_id", "timestamp")
+        writer = out.write.mode("overwrite").partitionBy(FITS)
+        writer = writer.option("parquet.bloom.filter.enabled#activity_id", str(table == "record").lower())
+        writer.parquet(f"{self.path(table)}/{LOAD}={load_id}")
+
+    def write_rejected(self, files: DataFrame, load_id: str) -> None:
+        files.write.mode("overwrite").parquet(f"{self.path('rejected')}/{LOAD}={load_id}")
+
+    def _read(self, table: str, layout: T.StructType, fits: bool) -> DataFrame:
         try:
-            return self.spark.read.option("recursiveFileLookup", "true").schema(layout).parquet(self.path(table))
+            stored = self.spark.read.schema(T.StructType([*layout, *_FOLDERS])).parquet(self.path(table))
         except AnalysisException as e:
             if e.getCondition() == "PATH_NOT_FOUND":
                 return self.spark.createDataFrame([], layout)
             raise
-
-    def write(self, table: str, df: DataFrame, load_id: str) -> None:
-        """``df`` as load ``load_id``. Points are laid out by activity and time.
-
-        Range layout lets a query for one activity skip most files, and cuts a large
-        activity into several.
-        """
-        layout = df.select(*struct(table).names)
-        if table == "record":
-            layout = layout.repartitionByRange("activity_id", "timestamp").sortWithinPartitions(
-                "activity_id", "timestamp"
-            )
-        layout.write.mode("overwrite").parquet(f"{self.path(table)}/{LOAD}={load_id}")
-
-    def set_aside(self, table: str, df: DataFrame, load_id: str) -> None:
-        """Rows that do not fit the table, with the reasons."""
-        df.write.mode("overwrite").parquet(f"{self.path('set_aside')}/{table}/{LOAD}={load_id}")
-
-    def read_set_aside(self, table: str) -> DataFrame:
-        path = f"{self.path('set_aside')}/{table}"
-        return self.spark.read.option("recursiveFileLookup", "true").parquet(path)
+        return stored.where(F.col(FITS) == fits).select(*layout.names)
 
 
 def read_table(spark: SparkSession, path: str, table: str) -> DataFrame:

@@ -63,7 +63,7 @@ def tcx_points(activities: DataFrame) -> DataFrame:
     """Points of the first track of each lap that have a position."""
     names = _names(activities)
     track = F.get("lap.Track", F.lit(0))
-    points = _laps(activities).select(*names, "number", F.explode(track["Trackpoint"]).alias("p"))
+    points = _laps(activities).select(*names, "number", F.explode_outer(track["Trackpoint"]).alias("p"))
     return points.where("p.Position IS NOT NULL").select(
         *names,
         F.col("p.Position.LatitudeDegrees").alias("latitude"),
@@ -92,7 +92,7 @@ def gpx_points(tracks: DataFrame) -> DataFrame:
     names = [c for c in tracks.columns if c != "trk"]
     segment = F.get(F.get("trk", F.lit(0))["trkseg"], F.lit(0))
     extension = F.get("p.extensions.TrackPointExtension", F.lit(0))
-    return tracks.select(*names, F.explode(segment["trkpt"]).alias("p")).select(
+    return tracks.select(*names, F.explode_outer(segment["trkpt"]).alias("p")).where("p IS NOT NULL").select(
         *names,
         F.col("p._lat").alias("latitude"),
         F.col("p._lon").alias("longitude"),
@@ -113,7 +113,8 @@ def _names(activities: DataFrame) -> list[str]:
 
 
 def _laps(activities: DataFrame) -> DataFrame:
-    laps = activities.select(*_names(activities), F.posexplode("activity.Lap").alias("_at", "lap"))
-    return laps.withColumn("number", F.col("_at") + 1)
+    # The plain explode would be preceded by a filter on the list, which parses the document again.
+    laps = activities.select(*_names(activities), F.posexplode_outer("activity.Lap").alias("_at", "lap"))
+    return laps.where("lap IS NOT NULL").withColumn("number", F.col("_at") + 1)
 
 

@@ -13,7 +13,7 @@ TESTDATA = pathlib.Path("/root/testdata/sf0.001")
 @pytest.fixture(scope="session")
 def spark():
     session = build_session(
-        "lapwise-tests", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
+        "lapwise-tests", "local[8]", spark__sql__shuffle__partitions="4", spark__ui__enabled="false",
         spark__driver__memory="8g",
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -1,0 +1,190 @@
+"""Loads from messages to stored tables."""
+
+import json
+from datetime import datetime, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from lapwise.plans import maintenance, reports
+from lapwise.plans.ingest import load_connect, load_watch, plan_connect, run_load
+from lapwise.schemas import LAYOUTS, columns, struct
+from lapwise.sources.sidecar import read_sidecars
+from lapwise.sources.tables import Store
+from lapwise.streaming.incremental import follow, message_stream
+
+from messages import RUN, connect_frame, frame, run, watch_frame
+
+
+@pytest.fixture(scope="module")
+def sidecars(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("sidecars")
+    doc = {
+        "summaryDTO": {"distance": 210.5, "duration": 601.0, "directWorkoutFeel": 75, "directWorkoutRpe": 60.0},
+        "eventTypeDTO": {"typeKey": "race"}, "activityName": "It's a run", "unused": [1, 2],
+    }
+    (folder / RUN.replace(".fit", "_summary.json")).write_text(json.dumps(doc, indent=2))
+    (folder / "2024-03-02T09.30.00_102_summary.json").write_text("{ this is no json")
+    return read_sidecars(spark, str(folder))
+
+
+@pytest.fixture(scope="module")
+def loaded(spark, sidecars, tmp_path_factory):
+    store = Store(spark, str(tmp_path_factory.mktemp("store")))
+    load_connect(store, connect_frame(spark), sidecars, "a")
+    return store
+
+
+def test_layouts():
+    assert [len(columns(t)) for t in LAYOUTS] == [16, 7, 19, 11, 39, 9, 6]
+    with pytest.raises(ValueError):
+        columns("weather")
+
+
+def test_sidecars(sidecars):
+    rows = {r["pair"]: r for r in sidecars.collect()}
+    good = rows[RUN.replace(".fit", "")]
+    assert (good["adjusted_distance"], good["effort"], good["category"], good["activity_name"]) == (210.5, 60.0, "race", "It's a run")
+    assert good["description"] is None
+    assert rows["2024-03-02T09.30.00_102"]["adjusted_distance"] is None
+
+
+def test_activities(loaded):
+    rows = {r["activity_id"]: r for r in loaded.read("activity").collect()}
+    assert set(rows) == {101, 102}
+    assert rows[101]["timestamp"].astimezone(timezone.utc) == datetime(2024, 3, 1, 8, tzinfo=timezone.utc)
+    assert rows[101]["local_timestamp"] == datetime(2024, 3, 1, 9)
+    assert (rows[101]["adjusted_distance"], rows[101]["workout_feel"], rows[101]["category"]) == (210.5, 75, "race")
+    assert (rows[102]["num_sessions"], rows[102]["adjusted_distance"]) == (2, None)
+
+
+def test_records(loaded):
+    rows = loaded.read("record").where("activity_id = 101").orderBy(F.col("distance").asc_nulls_last()).collect()
+    assert [(r["distance"], r["lap"]) for r in rows] == [
+        (0.0, 1), (100.0, 1), (100.5, 2), (250.0, 3), (260.0, 3), (None, 3),
+    ]
+    assert [r["latitude"] for r in rows] == [90.0, 90.0, 90.0, 90.0, None, 90.0]
+    aside = loaded.set_aside("record").collect()
+    assert [r["reasons"] for r in aside] == ["fractional_cadence"]
+    assert json.loads(aside[0]["raw"])["fractional_cadence"] == "0.96"
+
+
+def test_other_children(loaded):
+    laps = loaded.read("lap").orderBy("number").collect()
+    assert [(r["activity_id"], r["number"], r["intensity"], r["avg_power"], r["total_ascent"]) for r in laps] == [
+        (101, 1, "warmup", 200, None), (101, 2, "active", None, 23),
+    ]
+    lengths = loaded.read("length").collect()
+    assert sorted(r["message_index"] for r in lengths) == [1, 2, 2, 3, 3, 4]
+    files = {r["activity_id"]: r for r in loaded.read("file_id").collect()}
+    assert files[101]["time_created"] is None and files[101]["serial_number"] == 123456789012
+    assert files[102]["time_created"].astimezone(timezone.utc) == datetime(2024, 3, 2, 9, 30, tzinfo=timezone.utc)
+    sessions = {(r["activity_id"], r["sport"]): r for r in loaded.read("session").collect()}
+    assert sessions[(101, "running")]["start_position_lat"] == 90.0
+    assert sessions[(101, "running")]["avg_speed"] is None
+    assert sessions[(102, "swimming")]["pool_length"] == 22.86
+    assert loaded.read("event").count() == 1
+
+
+def test_file_without_activity_is_left_out_whole(loaded):
+    assert [(r["file"], r["reason"]) for r in loaded.rejected().collect()] == [
+        ("2024-03-03T10.00.00_103.fit", "no activity message")
+    ]
+    assert loaded.read("session").where("activity_id = 103").isEmpty()
+
+
+def counts(store):
+    return {t: store.read(t).count() for t in LAYOUTS}
+
+
+def test_loading_again_adds_nothing(spark, sidecars, loaded):
+    before = counts(loaded)
+    load_connect(loaded, connect_frame(spark), sidecars, "b")
+    assert counts(loaded) == before
+    older = frame(spark, {"2024-02-01T00.00.00_90.fit": run, "2024-04-01T00.00.00_110.fit": run})
+    load_connect(loaded, older, sidecars, "c")
+    assert {r[0] for r in loaded.read("activity").select("activity_id").collect()} == {101, 102, 110}
+
+
+def test_broken_load_is_replaced(spark, sidecars, tmp_path):
+    store = Store(spark, str(tmp_path))
+    plan = plan_connect(connect_frame(spark), sidecars, store.read("activity"), datetime(1900, 1, 1))
+    run_load(store, plan, "a")
+    whole = counts(store)
+    import shutil
+
+    shutil.rmtree(tmp_path / "activity")  # as if it had stopped before the last table
+    load_connect(store, connect_frame(spark), sidecars, "a")
+    assert counts(store) == whole
+
+
+def test_sliced_load_is_the_same(spark, sidecars, loaded, tmp_path):
+    store = Store(spark, str(tmp_path))
+    load_connect(store, connect_frame(spark), sidecars, "a", min_rows=3)
+    for t in LAYOUTS:
+        want = loaded.read(t).where("activity_id IN (101, 102)")
+        assert store.read(t).exceptAll(want).isEmpty() and want.exceptAll(store.read(t)).isEmpty()
+
+
+def test_copies_of_one_activity(spark, sidecars, tmp_path):
+    store = Store(spark, str(tmp_path))
+    copies = frame(spark, {RUN: run, RUN.replace("08.00", "09.00"): run})
+    load_connect(store, copies, sidecars, "a")
+    assert store.read("activity").count() == 1 and store.read("lap").count() == 2
+
+
+def places(spark):
+    return spark.createDataFrame(
+        [(89.99, 90.01, None, "Northtown", None, "Ice"), (10.0, 10.0, "Far", None, None, None)],
+        "latitude double, longitude double, city string, town string, village string, county string",
+    )
+
+
+def test_watch_load(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    now = datetime(2024, 6, 1, tzinfo=timezone.utc)
+    load_watch(store, watch_frame(spark), places(spark), "a", now)
+    rows = {r["activity_name"]: r for r in store.read("activity").collect()}
+    assert set(rows) == {"Northtown Running", "Multisport"}
+    assert (rows["Multisport"]["adjusted_distance"], rows["Multisport"]["adjusted_duration"]) == (150.0, 60.0)
+    ids = {r["activity_id"] for r in rows.values()}
+    assert len(ids) == 2 and min(ids) > 0
+    assert {r[0] for r in store.read("session").select("activity_id").collect()} == ids
+    before = counts(store)
+    load_watch(store, watch_frame(spark), None, "b", now)
+    assert counts(store) == before
+
+
+def test_stream(spark, sidecars, tmp_path, loaded):
+    store = Store(spark, str(tmp_path / "store"))
+    source = tmp_path / "messages"
+    connect_frame(spark).coalesce(1).write.parquet(str(source / "1"))
+    stream = lambda: message_stream(spark, str(source / "*"))
+    follow(stream(), store, str(tmp_path / "progress"), sidecars).awaitTermination(120)
+    assert counts(store)["record"] == 6
+    frame(spark, {RUN: run, "2024-02-01T00.00.00_90.fit": run}).coalesce(1).write.parquet(str(source / "2"))
+    follow(stream(), store, str(tmp_path / "progress"), sidecars).awaitTermination(120)
+    assert sorted(r[0] for r in store.read("activity").select("activity_id").collect()) == [90, 101, 102]
+    assert counts(store)["lap"] == 4
+
+
+def test_maintenance_and_reports(spark, loaded, tmp_path):
+    target = Store(spark, str(tmp_path))
+    maintenance.refresh_pool(loaded, connect_frame(spark), target, "a")
+    pools = {r["sport"]: r["pool_length"] for r in target.read("session").where("activity_id = 102").collect()}
+    assert pools == {"swimming": 22.0, "running": None}
+
+    def powered():
+        for name, fields in run():
+            yield name, fields | ({"avg_power": "1", "max_power": "300"} if name == "lap" else {})
+
+    maintenance.refresh_power(loaded, frame(spark, {RUN: powered}), target, "a")
+    laps = target.read("lap").where("activity_id = 101").orderBy("number").collect()
+    assert [(r["avg_power"], r["max_power"]) for r in laps] == [(200, 300), (1, 300)]
+
+    effort = reports.shortest_duration_for_distance(loaded, 100, 101).collect()
+    assert effort and effort[0]["shortest_duration"].total_seconds() > 0
+    assert reports.longest_multi_session_activities(loaded).select("activity_id", "total_distance").collect() == [
+        (102, 100.0), (102, 50.0)
+    ]
+    assert reports.long_activities(loaded).isEmpty()
