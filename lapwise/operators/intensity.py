@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapwise.operators.skew import MEASURED, heavy_groups, heavy_join, min_rows_for, running
+from lapwise.operators.skew import heavy_join, measured, running, totals
 
 
 def align_intensity(
@@ -29,17 +29,22 @@ def align_intensity(
     whether the message carries the field at all. ``laps`` numbers its laps from 1. Files
     are counted once: with no hot file among ``messages``, nothing below can be hot.
     """
-    limit = min_rows_for(messages.sparkSession, min_rows)
-    min_rows = limit if heavy_groups(messages, [key], limit) else MEASURED
+    min_rows = measured(messages, [key], min_rows)
     carried = messages.where("has_intensity AND intensity IS NOT NULL").select(key, seq, "intensity")
     shown = messages.where("has_step").select(key, seq, "step")
 
     words = _places(carried, key, seq, min_rows).select(key, F.col("_place").alias("_word"), "intensity")
     steps = distinct_in_order(shown, key, "step", seq, min_rows)
 
-    sizes = _sizes(messages, steps, key)
+    steps = totals(
+        steps, [key],
+        {"_steps": ("count", F.lit(1)), "_null_place": ("min", F.when(F.col("step").isNull(), F.col("_place")))},
+        min_rows,
+    )
+    # Only files that carry the field pair anything at all.
+    word_counts = messages.where("has_intensity").groupBy(key).agg(F.count("intensity").alias("_words"))
     paired = (
-        heavy_join(steps, sizes, [key], "inner", min_rows, measure_on=shown)
+        _with_modes(heavy_join(steps, word_counts, [key], "inner", min_rows))
         .where(F.col("step").isNotNull() | F.col("_padded") | F.col("_only_null"))
         .where(F.col("_place") < F.col("_paired"))
         # Words behind the padded place have moved one on; the place itself has none.
@@ -53,16 +58,16 @@ def align_intensity(
         .select(key, _null_safe("step"), "intensity")
     )
     taken = heavy_join(shown.withColumn("_step", _null_safe("step")), paired, [key, "_step"], "inner", min_rows)
-    by_lap = running(taken, [key], [seq], {number: ("count", F.lit(1))}, min_rows=min_rows).select(
-        key, number, "intensity"
-    )
-    lap_counts = laps.groupBy(key).agg(F.count(F.lit(1)).alias("_laps"))
-    fits = (
-        taken.groupBy(key).agg(F.count(F.lit(1)).alias("_taken")).join(lap_counts, key).where("_taken = _laps").select(key)
+    by_lap = totals(
+        running(taken, [key], [seq], {"_nth": ("count", F.lit(1))}, min_rows=min_rows), [key],
+        {"_taken": ("count", F.lit(1))}, min_rows,
+    ).select(key, F.col("_nth").cast(laps.schema[number].dataType).alias(number), "_taken", "intensity")
+    counted = totals(laps.drop("intensity"), [key], {"_laps": ("count", F.lit(1))}, min_rows)
+    return (
+        counted.join(by_lap, [key, number], "left")
+        .withColumn("intensity", F.when(F.col("_taken") == F.col("_laps"), F.col("intensity")))
+        .drop("_taken", "_laps")
     )
-    kept = heavy_join(by_lap, fits, [key], "left_semi", min_rows, measure_on=shown)
-    kept = kept.withColumn(number, F.col(number).cast(laps.schema[number].dataType))
-    return laps.drop("intensity").join(kept, [key, number], "left")
 
 
 def distinct_in_order(
@@ -85,17 +90,10 @@ def _null_safe(name: str):
     return F.coalesce(F.col(name).cast("string"), F.lit("none")).alias("_step")
 
 
-def _sizes(messages: DataFrame, steps: DataFrame, key: str) -> DataFrame:
-    """One row per file: list lengths, place of the missing step, pairing mode."""
-    words = messages.where("has_intensity").groupBy(key).agg(F.count("intensity").alias("_words"))
+def _with_modes(steps: DataFrame) -> DataFrame:
+    """How each file pairs, from list lengths and the place of the missing step."""
     return (
-        steps.groupBy(key)
-        .agg(
-            F.count(F.lit(1)).alias("_steps"),
-            F.min(F.when(F.col("step").isNull(), F.col("_place"))).alias("_null_place"),
-        )
-        .join(words, key)
-        .withColumn("_only_null", (F.col("_steps") == 1) & F.col("_null_place").isNotNull())
+        steps.withColumn("_only_null", (F.col("_steps") == 1) & F.col("_null_place").isNotNull())
         .withColumn(
             "_padded",
             (F.col("_words") < F.col("_steps")) & F.col("_null_place").isNotNull() & ~F.col("_only_null"),

@@ -43,6 +43,7 @@ def assign_laps(
     one exchange and no lap list per activity.
     """
     limit = min_rows_for(points.sparkSession, min_rows)
+    # Laps are counted apart from points: an activity may be hot in one and not in the other.
     bounds = lap_bounds(laps, key, lap_order, limit).select(key, F.col("lap_end").alias("_pos"))
     hot_keys = heavy_groups(points, [key], limit)
     if not hot_keys:

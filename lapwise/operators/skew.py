@@ -50,6 +50,15 @@ def heavy_groups(df: DataFrame, keys: list[str], min_rows: float, order: list[st
     )
 
 
+def measured(df: DataFrame, keys: list[str], min_rows: float | None = None) -> float:
+    """The row limit for steps that scan ``df``, or frames with no more rows per group.
+
+    Counts once; with no hot group those steps need not count again.
+    """
+    limit = min_rows_for(df.sparkSession, min_rows)
+    return limit if heavy_groups(df, keys, limit) else MEASURED
+
+
 def _group_frame(df: DataFrame, keys: list[str], rows: list[tuple], extra: list[T.StructField]) -> DataFrame:
     """Bounded driver-side rows as a frame whose key columns are ``_g_<key>``."""
     schema = T.StructType([T.StructField(f"_g_{k}", df.schema[k].dataType) for k in keys] + extra)
@@ -224,6 +233,23 @@ def running(
     return cold.unionByName(hot)
 
 
+def totals(
+    df: DataFrame, keys: list[str], outputs: dict[str, tuple[str, str | Column]], min_rows: float | None = None
+) -> DataFrame:
+    """Each row with aggregates over its whole group; ``outputs`` as for ``running``."""
+    values = {out: _FOLD[agg][0](c) for out, (agg, c) in outputs.items()}
+
+    def windowed(frame: DataFrame) -> DataFrame:
+        return frame.withColumns({out: v.over(Window.partitionBy(*keys)) for out, v in values.items()})
+
+    hot_keys = heavy_groups(df, keys, min_rows_for(df.sparkSession, min_rows))
+    if not hot_keys:
+        return windowed(df)
+    cold, hot = part_hot(df, keys, hot_keys)
+    per_group = hot.groupBy(*keys).agg(*[v.alias(out) for out, v in values.items()])
+    return windowed(cold).unionByName(attach(hot, per_group, keys))
+
+
 def previous(
     df: DataFrame, keys: list[str], order: list[str], outputs: dict[str, str], min_rows: float | None = None
 ) -> DataFrame:

@@ -20,7 +20,7 @@ from lapwise.operators.intensity import align_intensity
 from lapwise.operators.laps import assign_laps, first_row, number_in_order, renumber_lengths
 from lapwise.operators.marks import high_water, newer_files
 from lapwise.operators.places import nearest_place
-from lapwise.operators.skew import MEASURED, heavy_groups, min_rows_for
+from lapwise.operators.skew import measured
 from lapwise.operators.sports import activity_totals, fill_activity_time
 from lapwise.schemas import CHILD_TABLES
 from lapwise.session import durable, use_utc
@@ -47,9 +47,7 @@ def derive(messages: DataFrame, activity_id: Column, min_rows: float | None = No
     ``activity_id`` is an expression over ``file``. Messages are counted per file once:
     with no hot file, no step below can meet a hot group.
     """
-    limit = min_rows_for(messages.sparkSession, min_rows)
-    if not heavy_groups(messages, ["file"], limit):
-        limit = MEASURED
+    limit = measured(messages, ["file"], min_rows)
     rows = {t: df.withColumn("activity_id", activity_id) for t, df in route(messages).items()}
 
     laps = number_in_order(rows["lap"], "file", ["seq"], "number", limit)
@@ -160,9 +158,7 @@ def run_load(store: Store, load: Load, load_id: str, min_rows: float | None = No
     """Store a load. Run again with the same ``load_id``, it replaces what it wrote."""
     # Fixed before the first write: the store may not change what counts as new.
     new = durable(load.activities)
-    limit = min_rows_for(store.spark, min_rows)
-    if not heavy_groups(load.messages, ["file"], limit):
-        limit = MEASURED
+    limit = measured(load.messages, ["file"], min_rows)
     mine = with_parent(load.messages, new, key="file", min_rows=limit)
     for table, rows in derive(mine, load.activity_id, limit).items():
         store.write(table, with_raw(rows, table), load_id)

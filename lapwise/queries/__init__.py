@@ -1,7 +1,7 @@
 """Each operator run over the shared test tables, with the same result in SQL.
 
-A query stands in for its reference data: users for activities, events for points or
-messages, orders for activities and line items for laps or sessions.
+The tables stand in for activity data: users or orders for activities, events for points
+or messages, line items for laps or sessions.
 """
 
 from __future__ import annotations

@@ -6,35 +6,38 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapwise.operators.efforts import fastest_effort, fastest_efforts, point_deltas
-from lapwise.operators.skew import running
+from lapwise.operators.skew import measured, running
 from lapwise.queries.tables import cents, micros, read
 
 NAMES = {"key": "user_id", "time": "us", "distance": "d"}
 
 
-def tracks(spark: SparkSession, sf_dir: str, min_rows: float | None = None) -> DataFrame:
-    """Distance covered so far, in cents of ``value``."""
+def tracks(spark: SparkSession, sf_dir: str, min_rows: float | None = None) -> tuple[DataFrame, float]:
+    """Distance covered so far, in cents of ``value``; and the row limit, counted once."""
     steps = read(spark, sf_dir, "events").select(
         "user_id", "event_id", micros("ts").alias("us"), cents("value").alias("step")
     )
-    return running(steps, ["user_id"], ["us", "event_id"], {"d": ("sum", "step")}, min_rows=min_rows)
+    limit = measured(steps, ["user_id"], min_rows)
+    return running(steps, ["user_id"], ["us", "event_id"], {"d": ("sum", "step")}, min_rows=limit), limit
 
 
 def _result(df: DataFrame, *extra: str) -> DataFrame:
     return df.select("user_id", *extra, "duration_us", F.unix_micros("start_time").alias("start_us"))
 
 
-def effort(spark, sf_dir):
-    return _result(fastest_effort(tracks(spark, sf_dir), 20000, **NAMES))
+def effort(spark, sf_dir, min_rows=None):
+    points, limit = tracks(spark, sf_dir, min_rows)
+    return _result(fastest_effort(points, 20000, min_rows=limit, **NAMES))
 
 
 def effort_sliced(spark, sf_dir):
     """Every user taken for a hot group."""
-    return _result(fastest_effort(tracks(spark, sf_dir, 20), 20000, min_rows=20, **NAMES))
+    return effort(spark, sf_dir, 20)
 
 
 def effort_ladder(spark, sf_dir):
-    best = fastest_efforts(tracks(spark, sf_dir), [5000, 20000, 100000], **NAMES)
+    points, limit = tracks(spark, sf_dir)
+    best = fastest_efforts(points, [5000, 20000, 100000], min_rows=limit, **NAMES)
     return _result(best, "event_distance")
 
 
@@ -45,7 +48,8 @@ def effort_uneven(spark, sf_dir):
 
 
 def deltas(spark, sf_dir):
-    out = point_deltas(tracks(spark, sf_dir), tie=["event_id"], **NAMES)
+    points, limit = tracks(spark, sf_dir)
+    out = point_deltas(points, tie=["event_id"], min_rows=limit, **NAMES)
     return out.select(
         "user_id", "event_id", "us", "d", F.col("start_timestamp").alias("start_us"), F.col("start_distance").alias("start_d")
     )

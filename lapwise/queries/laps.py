@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lapwise.operators.intensity import align_intensity, distinct_in_order
 from lapwise.operators.laps import assign_laps, first_row, lap_bounds, number_in_order, renumber_lengths
-from lapwise.operators.skew import running
+from lapwise.operators.skew import measured, running
 from lapwise.queries.tables import LINE_ORDER, micros, prop, read
 
 _LINES = "l_linenumber, l_partkey, l_suppkey, l_extendedprice"
@@ -41,18 +41,21 @@ def first_rows(spark, sf_dir):
 
 
 def _numbered_events(spark, sf_dir, min_rows=None):
+    """Events numbered per user; and the row limit, counted once."""
     events = read(spark, sf_dir, "events").select(
         "user_id", "event_id", "event_type", micros("ts").alias("us"), prop("k").alias("k")
     )
-    return running(events, ["user_id"], ["us", "event_id"], {"seq": ("count", F.lit(1))}, min_rows=min_rows)
+    limit = measured(events, ["user_id"], min_rows)
+    return running(events, ["user_id"], ["us", "event_id"], {"seq": ("count", F.lit(1))}, min_rows=limit), limit
 
 
 def _lengths(spark, sf_dir, min_rows=None):
     kind = (
         F.when(F.col("event_type").isin("click", "view"), "active").when(F.col("event_type") != "signup", "idle")
     )
-    lengths = _numbered_events(spark, sf_dir, min_rows).withColumns({"message_index": F.col("seq") - 1, "length_type": kind})
-    return renumber_lengths(lengths, "user_id", ["seq"], min_rows).select("user_id", "event_id", "message_index")
+    events, limit = _numbered_events(spark, sf_dir, min_rows)
+    lengths = events.withColumns({"message_index": F.col("seq") - 1, "length_type": kind})
+    return renumber_lengths(lengths, "user_id", ["seq"], limit).select("user_id", "event_id", "message_index")
 
 
 def length_renumber(spark, sf_dir):
@@ -66,7 +69,7 @@ def length_renumber_sliced(spark, sf_dir):
 
 def intensity_align(spark, sf_dir):
     """Clicks with small ``k`` carry an intensity; purchases are laps and carry a step number."""
-    events = _numbered_events(spark, sf_dir)
+    events, limit = _numbered_events(spark, sf_dir)
     word = F.element_at(F.array(*[F.lit(w) for w in ("warmup", "active", "rest", "cooldown")]), F.col("k") % 4 + 1)
     messages = events.select(
         "user_id", "seq",
@@ -75,12 +78,14 @@ def intensity_align(spark, sf_dir):
         (F.col("event_type") == "purchase").alias("has_step"),
         F.when(F.col("k") % 7 != 0, F.col("k") % 3).cast("long").alias("step"),
     )
-    laps = number_in_order(events.where("event_type = 'purchase'").select("user_id", "event_id", "seq"), "user_id", ["seq"])
-    return align_intensity(messages, laps, key="user_id").select("user_id", "event_id", "number", "intensity")
+    purchases = events.where("event_type = 'purchase'").select("user_id", "event_id", "seq")
+    laps = number_in_order(purchases, "user_id", ["seq"], min_rows=limit)
+    return align_intensity(messages, laps, key="user_id", min_rows=limit).select("user_id", "event_id", "number", "intensity")
 
 
 def distinct_types(spark, sf_dir):
-    out = distinct_in_order(_numbered_events(spark, sf_dir), "user_id", "event_type", "seq")
+    events, limit = _numbered_events(spark, sf_dir)
+    out = distinct_in_order(events, "user_id", "event_type", "seq", limit)
     return out.select("user_id", "event_type", F.col("_place").alias("place"))
 
 

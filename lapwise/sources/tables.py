@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
-from lapwise.schemas import struct
+from lapwise.schemas import LAYOUTS, struct
 from lapwise.sinks.contract import RAW, REASONS
 
 LOAD = "load_id"
@@ -64,6 +64,11 @@ class Store:
     def write_rejected(self, files: DataFrame, load_id: str) -> None:
         files.write.mode("overwrite").parquet(f"{self.path('rejected')}/{LOAD}={load_id}")
 
+    def register_views(self) -> None:
+        """All seven tables as temporary views, for SQL."""
+        for table in LAYOUTS:
+            self.read(table).createOrReplaceTempView(table)
+
     def _read(self, table: str, layout: T.StructType, fits: bool) -> DataFrame:
         try:
             stored = self.spark.read.schema(T.StructType([*layout, *_FOLDERS])).parquet(self.path(table))

@@ -188,3 +188,10 @@ def test_maintenance_and_reports(spark, loaded, tmp_path):
         (102, 100.0), (102, 50.0)
     ]
     assert reports.long_activities(loaded).isEmpty()
+
+    loaded.register_views()
+    several = spark.sql(
+        "SELECT a.activity_id, s.total_distance FROM activity a JOIN session s ON a.activity_id = s.activity_id "
+        "WHERE a.num_sessions > 1 ORDER BY s.total_distance DESC"
+    )
+    assert list(map(tuple, several.collect())) == [(102, 100.0), (102, 50.0)]
