@@ -54,8 +54,9 @@ def first_filled(*texts: Column) -> Column:
 
 
 def title_words(text: Column) -> Column:
-    """``lap_swimming`` as ``Lap_Swimming``: a capital after every underscore."""
-    return F.replace(F.initcap(F.replace(text, F.lit("_"), F.lit(" "))), F.lit(" "), F.lit("_"))
+    """``lap_swimming`` as ``Lap_Swimming``: a capital after everything that is no letter."""
+    pieces = F.regexp_extract_all(F.lower(text), F.lit(r"(\p{L}+|\P{L}+)"), F.lit(1))
+    return F.array_join(F.transform(pieces, F.initcap), "")
 
 
 def default_name(sport: Column, num_sessions: Column, city: Column, county: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +16,8 @@ def _moment(now: datetime | None) -> Column:
         return F.current_timestamp()
     if now.tzinfo is None:
         now = now.replace(tzinfo=timezone.utc)
-    return F.timestamp_micros(F.lit(int(now.timestamp() * 1_000_000)))
+    epoch = datetime(1970, 1, 1, tzinfo=timezone.utc)
+    return F.timestamp_micros(F.lit((now - epoch) // timedelta(microseconds=1)))
 
 
 def high_water(activities: DataFrame, now: datetime | None = None, time: str = "timestamp") -> DataFrame:

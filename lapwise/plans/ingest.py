@@ -20,7 +20,7 @@ from lapwise.operators.intensity import align_intensity
 from lapwise.operators.laps import assign_laps, first_row, number_in_order, renumber_lengths
 from lapwise.operators.marks import high_water, newer_files
 from lapwise.operators.places import nearest_place
-from lapwise.operators.skew import measured
+from lapwise.operators.skew import heavy_join, measured
 from lapwise.operators.sports import activity_totals, fill_activity_time
 from lapwise.schemas import CHILD_TABLES
 from lapwise.session import durable, use_utc
@@ -61,20 +61,20 @@ def derive(messages: DataFrame, activity_id: Column, min_rows: float | None = No
     lengths = rows["length"].withColumn("message_index", F.col("message_index").try_cast("bigint"))
     rows["length"] = renumber_lengths(lengths, key="file", min_rows=limit)
 
-    rows["file_id"] = fill_created(rows["file_id"], rows["activity"])
+    rows["file_id"] = fill_created(rows["file_id"], rows["activity"], limit)
     return {t: rows[t] for t in CHILD_TABLES}
 
 
-def fill_created(file_ids: DataFrame, activities: DataFrame) -> DataFrame:
+def fill_created(file_ids: DataFrame, activities: DataFrame, min_rows: float | None = None) -> DataFrame:
     """``time_created`` as a time; where a file's first row has none, the activity's time."""
     first_time = first_row(activities.select("file", "seq", "timestamp"), ["file"], ["seq"])
     fallback = first_time.select("file", lenient_time(F.col("timestamp")).alias("_fallback"))
-    heads = file_ids.groupBy("file").agg(F.min("seq").alias("_head")).join(fallback, "file", "left")
-    # A file holds one of these messages, so the join has no heavy key.
-    joined = file_ids.join(heads, "file", "left")
+    limit = measured(file_ids, ["file"], min_rows)
+    numbered = number_in_order(file_ids, "file", ["seq"], "_nth", limit)
+    joined = heavy_join(numbered, fallback, ["file"], "left", limit)
     created = lenient_time(F.col("time_created"))
-    filled = F.when(F.col("seq") == F.col("_head"), F.coalesce(created, "_fallback")).otherwise(created)
-    return joined.withColumn("time_created", filled).drop("_head", "_fallback")
+    filled = F.coalesce(created, F.when(F.col("_nth") == 1, F.col("_fallback")))
+    return joined.withColumn("time_created", filled).drop("_nth", "_fallback")
 
 
 def plan_connect(

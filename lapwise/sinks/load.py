@@ -12,7 +12,7 @@ from lapwise.operators.skew import heavy_join
 
 def insert_if_absent(new: DataFrame, existing: DataFrame, order: list[str], key: str = "activity_id") -> DataFrame:
     """Rows of ``new`` whose key is not stored yet; of several with one key, the first in ``order``."""
-    return first_row(new, [key], order).join(existing.select(key).distinct(), key, "left_anti").select(*new.columns)
+    return first_row(new, [key], order).join(existing.select(key), key, "left_anti").select(*new.columns)
 
 
 def with_parent(

@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from lapwise.functions.values import NO_ACTIVITY_YET
 from lapwise.plans.ingest import plan_connect, plan_watch, run_load
 from lapwise.schemas import MESSAGES
+from lapwise.session import use_utc
 from lapwise.sources.tables import Store
 
 _EVER = datetime.fromisoformat(NO_ACTIVITY_YET).astimezone(timezone.utc)
@@ -44,6 +45,7 @@ def follow(
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
+        use_utc(batch.sparkSession)
         stored = store.read("activity")
         if sidecars is not None:
             plan = plan_connect(batch, sidecars, stored, _EVER)

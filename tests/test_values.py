@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from lapwise.functions import names
 from lapwise.functions.values import default_name, first_filled, is_nan, lenient_time, nan_to_null, nested, title_words, without_zone
-from lapwise.operators.marks import high_water
+from lapwise.operators.marks import high_water, newer_files
 from lapwise.operators.places import nearest_place
 from lapwise.operators.sports import activities_over, activity_totals, classify_sport, longest_multi_session
 from lapwise.sinks.contract import conform, split
@@ -42,6 +42,8 @@ def test_values(spark):
     assert one(spark, *[nested(doc, p) for p in ("a.b.1.c", "a.b.7.c", "a.z", "n", "a.b.0")]) == ("x", None, None, None, "1")
     assert one(spark, is_nan(lit(float("nan"))), nan_to_null(lit(float("nan"))), nan_to_null(lit(1.0))) == (True, None, 1.0)
     assert one(spark, title_words(lit("lap_swimming")), title_words(lit("RUNNING"))) == ("Lap_Swimming", "Running")
+    odd = "e-bike_riding 2x in göteborg"
+    assert one(spark, title_words(lit(odd))) == (odd.title(),)
     null = lit(None).cast("string")
     assert one(spark, first_filled(null, lit(""), lit("v"))) == ("v",)
     assert one(
@@ -106,6 +108,13 @@ def test_sports_and_order_of_reports(spark):
     assert {tuple(r) for r in activity_totals(totals).collect()} == {(1, 10.0, 0.0), (2, 10.0, 0.0), (3, 0.0, 0.0), (4, 2.0, 0.0)}
 
 
+def test_marks_keep_microseconds(spark):
+    at = datetime.datetime(2024, 1, 15, 11, 59, 59, 123457)
+    files = spark.createDataFrame([(at + datetime.timedelta(microseconds=i),) for i in (-1, 0, 1)], "t timestamp_ntz")
+    kept = newer_files(files, F.col("t").cast("timestamp"), at)
+    assert [r[0] for r in kept.collect()] == [at + datetime.timedelta(microseconds=1)]
+
+
 def test_mark_without_activities(spark):
     none = spark.createDataFrame([], "timestamp timestamp")
     after = high_water(none).select(F.unix_micros("after")).first()[0]
