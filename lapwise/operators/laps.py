@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lapwise.operators.skew import attach, heavy_groups, heavy_join, min_rows_for, part_hot, running
+from lapwise.session import durable
 
 
 def number_in_order(
@@ -56,6 +57,8 @@ def assign_laps(
     line = places.select(key, "_pos", F.lit(0).alias("_kind")).unionByName(
         hot_bounds.select(key, "_pos", F.lit(1).alias("_kind"))
     )
+    # The scan reads this several times; written once so that places are told apart once.
+    line = durable(line)
     ends = F.when(F.col("_kind") == 1, 1)
     counted = running(line, [key], ["_pos", "_kind"], {"_passed": ("count", ends)}, min_rows=limit)
     at_place = counted.where("_kind = 0").select(key, F.col("_pos").alias(distance), "_passed")
