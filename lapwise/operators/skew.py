@@ -98,16 +98,14 @@ def heavy_join(
     keys: list[str],
     how: str = "left",
     min_rows: float | None = None,
-    measure_on: DataFrame | None = None,
 ) -> DataFrame:
     """Equi join where keys repeat without bound on the left and are unique on the right.
 
     Rows of heavy left keys meet the at most ``HOT_GROUPS`` right rows of those keys by
-    broadcast, where they stand; all others join by shuffle. ``measure_on`` names a
-    cheaper frame with at least as many rows per key to count on.
+    broadcast, where they stand; all others join by shuffle.
     """
     limit = min_rows_for(left.sparkSession, min_rows)
-    hot = heavy_groups(left if measure_on is None else measure_on, keys, limit)
+    hot = heavy_groups(left, keys, limit)
     if not hot:
         return left.join(right, keys, how)
     cold_left, hot_left = part_hot(left, keys, hot)

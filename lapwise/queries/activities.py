@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -100,8 +100,8 @@ def marks(spark, sf_dir):
 def new_files(spark, sf_dir):
     """Events past the last purchase before the cutoff, and of these those of the ten days after it."""
     stored = _stored(spark, sf_dir)
-    micros_after = high_water(stored.where("event_type = 'purchase'"), _CUTOFF).select(F.unix_micros("after")).first()[0]
-    after = datetime.fromtimestamp(0) if micros_after is None else _from_micros(micros_after)
+    mark = high_water(stored.where("event_type = 'purchase'"), _CUTOFF)
+    after = datetime(1970, 1, 1) + timedelta(microseconds=mark.select(F.unix_micros("after")).first()[0])
     time = F.col("timestamp")
     newer = newer_files(stored, time, after)
     until = newer_files(stored, time, after, datetime(2024, 1, 25), until_now=True)
@@ -110,12 +110,6 @@ def new_files(spark, sf_dir):
     )
 
 
-def _from_micros(us: int) -> datetime:
-    from datetime import timedelta
-
-    return datetime(1970, 1, 1) + timedelta(microseconds=us)
-
-
 def semicircles(spark, sf_dir):
     turn = (F.col("c_custkey") * 1000003) % 2147483647
     out = read(spark, sf_dir, "customer").select("c_custkey", degrees(turn).alias("degrees"))
