@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -18,6 +16,7 @@ def build_session(app_name: str = "lapwise", master: str | None = None, **conf:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if master:
         builder = builder.master(master)
@@ -36,14 +35,12 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def durable(df: DataFrame) -> DataFrame:
     """Cut the lineage of ``df`` on shared storage, so it survives lost executors.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a
-    session without one (a local test) gets a temporary folder.
+    The folder is the one named in ``spark.checkpoint.dir``; a session without one uses its
+    warehouse, which is shared as well.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
-        if named is None and not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="lapwise-checkpoint-"))
+        context.setCheckpointDir(named or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints")
     return df.checkpoint()

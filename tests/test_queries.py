@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as contract
+from lapwise.queries import collect
 from oracle import compare, connect
 
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = collect()
 
 
 @pytest.fixture(scope="module")
