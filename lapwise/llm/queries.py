@@ -5,10 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapwise.llm import language, secrets
+from lapwise.llm import language, mixing, packing, secrets, sharding
 from lapwise.llm.common import read
 
 
+def op1_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    text = F.coalesce("text", F.lit(""))
+    return sharding.shuffle(docs, 24).select(
+        "doc_id", (F.octet_length(text) + 8).cast("bigint").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.lit("rows").alias("law"), "shard", F.col("slot").cast("bigint"), F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     found = docs.select("doc_id", secrets.find_secrets("text").alias("found"))
@@ -41,7 +50,20 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("doc_id", "held_out", F.col("_p.lang").alias("lang_pred"), F.col("_p.score").alias("score"))
 
 
+def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read(spark, sf_dir, "documents"), "text", "doc_id")
+
+
+def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    sized = docs.select("doc_id", "source", mixing.words("text").alias("size"))
+    return mixing.mix(sized, "doc_id", "size", "source").select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES = {
+    "op1_shard": (op1_shard, None),
     "op2_secret_scan": (op2_secret_scan, None),
     "op5_language_id": (op5_language_id, None),
+    "op8_pack": (op8_pack, None),
+    "op9_mix": (op9_mix, None),
 }
