@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapwise.llm import language, mixing, packing, secrets, sharding
+from lapwise.llm import language, minhash, mixing, packing, secrets, sharding
 from lapwise.llm.common import read
 
 
@@ -36,6 +36,13 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return minhash.near_duplicates(docs, "text", "doc_id", width=3, percent=85).withColumn(
+        "kept", F.col("doc_id") == F.col("component_id")
+    )
+
+
 def held_out(key: Column | str) -> Column:
     """Documents kept apart from learning, by their key."""
     key = F.col(key) if isinstance(key, str) else key
@@ -63,6 +70,7 @@ def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_shard": (op1_shard, None),
     "op2_secret_scan": (op2_secret_scan, None),
+    "op4_near_duplicates": (op4_near_duplicates, None),
     "op5_language_id": (op5_language_id, None),
     "op8_pack": (op8_pack, None),
     "op9_mix": (op9_mix, None),
