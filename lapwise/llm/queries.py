@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapwise.llm import language, minhash, mixing, packing, secrets, sharding
+from lapwise.llm import language, minhash, mixing, packing, repeats, secrets, sharding
 from lapwise.llm.common import read
 
 
@@ -57,6 +57,17 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("doc_id", "held_out", F.col("_p.lang").alias("lang_pred"), F.col("_p.score").alias("score"))
 
 
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = repeats.repeated_spans(docs, "text", "doc_id")
+    removed = F.aggregate("repeats", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"), removed.alias("n_removed"),
+        F.size("repeats").cast("bigint").alias("n_spans"),
+        F.sha2(repeats.kept(F.col("text"), F.col("repeats")), 256).alias("kept_sha256"),
+    )
+
+
 def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), "text", "doc_id")
 
@@ -72,6 +83,7 @@ QUERIES = {
     "op2_secret_scan": (op2_secret_scan, None),
     "op4_near_duplicates": (op4_near_duplicates, None),
     "op5_language_id": (op5_language_id, None),
+    "op7_repeats": (op7_repeats, None),
     "op8_pack": (op8_pack, None),
     "op9_mix": (op9_mix, None),
 }
