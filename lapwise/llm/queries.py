@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapwise.llm import language, minhash, mixing, packing, repeats, secrets, sharding
+from lapwise.llm import ann, language, minhash, mixing, packing, repeats, secrets, sharding, topk
 from lapwise.llm.common import read
 
 
@@ -36,6 +36,25 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 20 == 0, 20)
+
+
+OP3_SQL = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, x -> floor(64 * x::DOUBLE)) AS c FROM embeddings
+    WHERE embedding IS NOT NULL
+      AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = len(embedding)
+),
+s AS (
+    SELECT q.vec_id AS query_id, w.vec_id AS vec_id, list_inner_product(q.c, w.c)::BIGINT AS score
+    FROM v q JOIN v w ON q.vec_id % 20 = 0 AND q.vec_id <> w.vec_id
+)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+FROM s QUALIFY rank <= 20
+"""
+
+
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return minhash.near_duplicates(docs, "text", "doc_id", width=3, percent=85).withColumn(
@@ -78,12 +97,18 @@ def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(sized, "doc_id", "size", "source").select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(read(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 50 == 0, 5)
+
+
 QUERIES = {
     "op1_shard": (op1_shard, None),
     "op2_secret_scan": (op2_secret_scan, None),
+    "op3_top_k": (op3_top_k, OP3_SQL),
     "op4_near_duplicates": (op4_near_duplicates, None),
     "op5_language_id": (op5_language_id, None),
     "op7_repeats": (op7_repeats, None),
     "op8_pack": (op8_pack, None),
     "op9_mix": (op9_mix, None),
+    "op10_nearest": (op10_nearest, None),
 }
