@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapwise.llm import ann, language, minhash, mixing, packing, repeats, secrets, sharding, topk
+from lapwise.llm import ann, html, language, minhash, mixing, packing, repeats, secrets, sharding, topk
 from lapwise.llm.common import read
 
 
@@ -76,6 +76,11 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("doc_id", "held_out", F.col("_p.lang").alias("lang_pred"), F.col("_p.score").alias("score"))
 
 
+def op6_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages").select("page_id", "url", html.extract("html").alias("text"))
+    return pages.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     found = repeats.repeated_spans(docs, "text", "doc_id")
@@ -107,6 +112,7 @@ QUERIES = {
     "op3_top_k": (op3_top_k, OP3_SQL),
     "op4_near_duplicates": (op4_near_duplicates, None),
     "op5_language_id": (op5_language_id, None),
+    "op6_extract": (op6_extract, None),
     "op7_repeats": (op7_repeats, None),
     "op8_pack": (op8_pack, None),
     "op9_mix": (op9_mix, None),
