@@ -57,3 +57,9 @@ def running_total(
         .withColumn(out, F.col("_before") + F.col("_inside"))
         .drop("_block", "_value", "_sum", "_before", "_inside")
     )
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """Where tables that all executors must see are kept: the checkpoint folder, else the warehouse."""
+    named = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    return named or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"

@@ -228,15 +228,17 @@ def _links(members: DataFrame, width: int, percent: int, part: int) -> DataFrame
 def near_duplicates(
     docs: DataFrame, text: str, key: str, width: int = 5, percent: int = 80, part: int = PART
 ) -> DataFrame:
-    """One row per document: ``key, n_shingles, component_id, kept``.
+    """One row per document: ``key, text_hash, n_shingles, component_id, kept``.
 
     ``component_id`` is the smallest key among the documents reached over links, the document's own
     included. ``kept`` marks one row of each component: one with that key, and of several the first.
+    ``text_hash`` (``xxhash64``) tells rows with the same key and other texts apart.
     Linked are documents with ``100 * common >= percent * united`` shingles of ``width`` words.
     """
     rows = durable(
-        docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), profile(F.col(text), width, percent).alias("p"))
-        .select("row", "key", "p.*")
+        docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), F.xxhash64(F.col(text)).alias("text_hash"),
+                    profile(F.col(text), width, percent).alias("p"))
+        .select("row", "key", "text_hash", "p.*")
     )
     filled = rows.where("n > 0")
     classes = durable(filled.groupBy("high", "low").agg(F.min("row").alias("node"), F.min("key").alias("least")))
@@ -264,14 +266,14 @@ def near_duplicates(
     joined = rows.drop("bands").join(component, ["high", "low"], "left")
     own = F.col("n") == 0
     result = durable(joined.select(
-        "row", "key", F.col("n").alias("n_shingles"),
+        "row", "key", "text_hash", F.col("n").alias("n_shingles"),
         F.when(own, F.col("key")).otherwise(F.col("component_id")).alias("component_id"),
         F.when(own, F.col("row")).otherwise(F.col("root")).alias("root"),
     ))
     first = result.where(F.col("key").eqNullSafe(F.col("component_id"))).groupBy("root").agg(F.min("row").alias("row"))
     return (
         result.join(first.select("row", F.lit(True).alias("first")), "row", "left")
-        .select(F.col("key").alias(key), "n_shingles", "component_id", F.coalesce("first", F.lit(False)).alias("kept"))
+        .select(F.col("key").alias(key), "text_hash", "n_shingles", "component_id", F.coalesce("first", F.lit(False)).alias("kept"))
     )
 
 

@@ -57,9 +57,8 @@ FROM s QUALIFY rank <= 20
 
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    return minhash.near_duplicates(docs, "text", "doc_id", width=3, percent=85).withColumn(
-        "kept", F.col("doc_id") == F.col("component_id")
-    )
+    found = minhash.near_duplicates(docs, "text", "doc_id", width=3, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
 
 
 def held_out(key: Column | str) -> Column:
