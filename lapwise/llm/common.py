@@ -22,6 +22,11 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one, so that none of them clashes with a name used on the way."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def unit(*parts: Column | str) -> Column:
     """A double in [0, 1) that depends on ``parts`` alone, the same in every run."""
     columns = [p if isinstance(p, Column) else F.lit(p) for p in parts]

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lapwise.llm.common import ROWS_PER_BLOCK, blocks_for, free_name, running_total
+from lapwise.llm.common import ROWS_PER_BLOCK, blocks_for, free_name, running_total, whole_row
 from lapwise.session import durable
 
 WEIGHTS = (5, 2, 1)
@@ -72,12 +72,10 @@ def mix(
 
     The three columns get underscores where ``sized`` has them. ``sized`` is kept by a checkpoint.
     """
-    row = free_name(sized, "_row")
-    keep = durable(sized.withColumn(row, F.monotonically_increasing_id()))
+    keep = durable(sized.select(whole_row(sized).alias("doc"), F.monotonically_increasing_id().alias("row")))
     total, target, taken = (free_name(sized, c) for c in ("source_size", "target", "taken"))
-    plain = keep.select(
-        F.col(row).alias("row"), F.col(key).alias("key"), F.col(size).alias("size"), F.col(source).alias("source")
-    )
+    doc = F.col("doc")
+    plain = keep.select("row", doc[key].alias("key"), doc[size].alias("size"), doc[source].alias("source"))
     plan = durable(targets(plain.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, repeat))
     with_target = plain.join(
         plan.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))
@@ -98,14 +96,14 @@ def mix(
         .withColumn("all", F.lit(0))
     )
     ordered = running_total(queue, ["all"], "at", ["finish", "name", "place", "key", "size"], F.col("size"), "used", blocks)
-    budget = plan.agg((share * F.sum("source_size")).alias("budget"))
+    budget = share * (plan.agg(F.sum("source_size")).first()[0] or 0)
     chosen = (
-        ordered.crossJoin(F.broadcast(budget)).where(F.col("used") <= F.col("budget"))
+        ordered.where(F.col("used") <= budget)
         .groupBy("row").agg(F.sum("size").alias("taken"))
     )
     result = (
         with_target.join(chosen, "row", "left")
-        .select(F.col("row").alias(row), F.col("source_size").alias(total), F.col("target").alias(target),
+        .select("row", F.col("source_size").alias(total), F.col("target").alias(target),
                 F.coalesce("taken", F.lit(0).cast("bigint")).alias(taken))
     )
-    return keep.join(result, row).drop(row)
+    return keep.join(result, "row").select("doc.*", total, target, taken)

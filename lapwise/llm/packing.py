@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lapwise.llm.common import ROWS_PER_BLOCK, blocks_for, running_total, unit
+from lapwise.llm.common import ROWS_PER_BLOCK, blocks_for, free_name, running_total, unit, whole_row
 from lapwise.session import durable
 
 CAPACITY = 2048
@@ -152,7 +152,7 @@ def plan_bins(counts: dict[int, int], capacity: int) -> list[tuple[dict[int, int
 def pack(
     pieces: DataFrame, length: str, order: list[str], capacity: int = CAPACITY, rows_per_block: int = ROWS_PER_BLOCK
 ) -> DataFrame:
-    """Adds ``sequence_id`` and ``offset``.
+    """Adds ``sequence_id`` and ``offset`` (with underscores where ``pieces`` has them).
 
     ``pieces`` must give the same rows when read twice (a stored table or a checkpoint); ``order``
     names columns that tell pieces of one length apart. Lengths are 1 to ``capacity``.
@@ -171,18 +171,22 @@ def pack(
     # From Arrow, so that the plan holds the rows and Spark knows their size.
     table = pa.Table.from_pylist(rows, pa.schema([(n, pa.int64()) for n in names]))
     ranked = running_total(
-        pieces.withColumn("_place", unit(*[F.col(c) for c in order])).withColumn("_size", F.col(length).cast("bigint")),
-        ["_size"], "_place", order, F.lit(1), "_rank", blocks_for(sum(counts.values()), rows_per_block),
+        pieces.select(
+            whole_row(pieces).alias("doc"), F.col(length).cast("bigint").alias("size"), F.struct(*order).alias("ties"),
+            unit(*[F.col(c) for c in order]).alias("place"),
+        ),
+        ["size"], "place", ["ties"], F.lit(1), "rank", blocks_for(sum(counts.values()), rows_per_block),
     )
-    turn = F.col("_rank") - 1 - F.col("_from")
+    turn = F.col("rank") - 1 - F.col("_from")
     return (
         ranked.join(
             F.broadcast(spark.createDataFrame(table)),
-            (F.col("_size") == F.col("_length")) & (F.col("_rank") > F.col("_from")) & (F.col("_rank") <= F.col("_to")),
+            (F.col("size") == F.col("_length")) & (F.col("rank") > F.col("_from")) & (F.col("rank") <= F.col("_to")),
+        )
+        .select(
+            "doc.*", (F.col("_first") + F.floor(turn / F.col("_each"))).alias(free_name(pieces, "sequence_id")),
+            (F.col("_at") + turn % F.col("_each") * F.col("size")).alias(free_name(pieces, "offset")),
         )
-        .withColumn("sequence_id", F.col("_first") + F.floor(turn / F.col("_each")))
-        .withColumn("offset", F.col("_at") + turn % F.col("_each") * F.col("_size"))
-        .drop("_place", "_size", "_rank", *names)
     )
 
 

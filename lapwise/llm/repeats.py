@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lapwise.llm.common import free_name
+from lapwise.llm.common import free_name, whole_row
 from lapwise.session import durable
 
 LENGTH = 100
@@ -242,10 +242,12 @@ def repeated_spans(
 ) -> DataFrame:
     """``docs`` with ``repeats``, ``array<struct<start, end>>``: bytes under 100-byte strings that started earlier."""
     out = free_name(docs, "repeats")
-    keyed = docs.withColumn("_key", F.coalesce(F.col(key).cast("bigint"), F.lit(_NO_KEY))).withColumn(
-        "_mark", F.xxhash64(F.col(text)).bitwiseAND(F.lit(0x7FFFFFFF))
+    keyed = docs.select(
+        whole_row(docs).alias("doc"), F.coalesce(F.col(key).cast("bigint"), F.lit(_NO_KEY)).alias("_key"),
+        F.xxhash64(F.col(text)).bitwiseAND(F.lit(0x7FFFFFFF)).alias("_mark"),
     )
-    found = keyed.select("_key", "_mark", F.col(text).alias("text")).mapInArrow(
+    own_text = F.col("doc")[text]
+    found = keyed.select("_key", "_mark", own_text.alias("text")).mapInArrow(
         _occurrences, "string bigint, context bigint, key bigint, at bigint, done boolean"
     ).repartition("string")
     of_string = Window.partitionBy("string")
@@ -267,7 +269,7 @@ def repeated_spans(
     )
     of_doc = (F.col("_key") == F.col("key")) & (F.col("_mark") == F.col("mark"))
     contexts = (
-        keyed.select("_key", "_mark", F.col(text).alias("text")).dropDuplicates(["_key", "_mark"])
+        keyed.select("_key", "_mark", own_text.alias("text")).dropDuplicates(["_key", "_mark"])
         .join(marks.where(F.size("borders") > 0), of_doc)
         .select("key", F.explode(_contexts(F.col("text"), F.col("borders"))).alias("c")).select("key", "c.*")
     )
@@ -290,8 +292,7 @@ def repeated_spans(
     all_marks = all_marks.toDF(*[f"_m_{c}" for c in all_marks.columns])
     return (
         keyed.join(all_marks, (F.col("_key") == F.col("_m_key")) & (F.col("_mark") == F.col("_m_mark")), "left")
-        .withColumn(out, _removed(F.col(text), F.col("_m_places"), F.col("_m_ranges")))
-        .drop("_key", "_mark", *all_marks.columns)
+        .select("doc.*", _removed(own_text, F.col("_m_places"), F.col("_m_ranges")).alias(out))
     )
 
 

@@ -22,7 +22,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lapwise.llm.common import ROWS_PER_BLOCK, blocks_for, free_name, running_total, unit
+from lapwise.llm.common import ROWS_PER_BLOCK, blocks_for, free_name, running_total, unit, whole_row
 from lapwise.session import durable
 
 # Rows of the matrix that may be broadcast: 24 shards times this many are a few MB.
@@ -135,17 +135,16 @@ def communication_matrix(counts: DataFrame, shards: int, seed: int) -> tuple[Dat
 
 def shuffle(docs: DataFrame, shards: int, seed: int = 7, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
     """``docs`` with ``shard`` (from 0) and ``slot`` (from 0, gapless in the shard)."""
-    shard, slot = free_name(docs, "shard"), free_name(docs, "slot")
-    placed = docs.withColumn("_id", F.monotonically_increasing_id())
-    placed = placed.withColumn("_from", F.shiftrightunsigned("_id", 33))
-    counts = placed.groupBy(F.col("_from").alias("id")).agg(F.count(F.lit(1)).alias("n"))
+    placed = docs.select(whole_row(docs).alias("doc"), F.monotonically_increasing_id().alias("id"))
+    placed = placed.withColumn("from", F.shiftrightunsigned("id", 33))
+    counts = placed.groupBy(F.col("from").alias("id")).agg(F.count(F.lit(1)).alias("n"))
     matrix, partitions, rows = communication_matrix(counts, shards, seed)
-    matrix = matrix.withColumnRenamed("id", "_part_id")
+    matrix = matrix.withColumnRenamed("id", "partition")
 
     # Sorting a partition by a random key permutes it in place; the new ids count its rows.
     local = (
-        placed.withColumn("_key", F.xxhash64(F.lit(seed + 2), "_id")).sortWithinPartitions("_key", "_id")
-        .withColumn("_turn", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW_BITS)))
+        placed.withColumn("key", F.xxhash64(F.lit(seed + 2), "id")).sortWithinPartitions("key", "id")
+        .withColumn("turn", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW_BITS)))
     )
     if partitions <= _BROADCAST_PARTITIONS:
         matrix = F.broadcast(matrix)
@@ -154,15 +153,14 @@ def shuffle(docs: DataFrame, shards: int, seed: int = 7, rows_per_block: int = R
         lambda a, x: F.array_append(a, x + F.coalesce(F.try_element_at(a, F.lit(-1)), F.lit(0))),
     )
     dealt = (
-        local.join(matrix, F.col("_from") == F.col("_part_id"), "left")
-        .withColumn(shard, F.size(F.filter(ends, lambda end: end <= F.col("_turn"))))
-        .withColumn(shard, F.when(F.col(shard).between(0, shards - 1), F.col(shard)).otherwise(
+        local.join(matrix, F.col("from") == F.col("partition"), "left")
+        .withColumn("shard", F.size(F.filter(ends, lambda end: end <= F.col("turn"))))
+        .withColumn("shard", F.when(F.col("shard").between(0, shards - 1), F.col("shard")).otherwise(
             F.raise_error(F.lit("rows moved between partitions; shuffle a stored table or a checkpoint"))).cast("int"))
-        .withColumn("_place", unit(F.lit(seed + 3), F.col("_id")))
-        .drop("_from", "_part_id", "part", "_key", "_turn")
+        .select("doc", "id", "shard", unit(F.lit(seed + 3), F.col("id")).alias("place"))
     )
     blocks = blocks_for(-(-rows // shards), rows_per_block)
     return (
-        running_total(dealt, [shard], "_place", ["_id"], F.lit(1), slot, blocks)
-        .withColumn(slot, F.col(slot) - 1).drop("_place", "_id")
+        running_total(dealt, ["shard"], "place", ["id"], F.lit(1), "slot", blocks)
+        .select("doc.*", F.col("shard").alias(free_name(docs, "shard")), (F.col("slot") - 1).alias(free_name(docs, "slot")))
     )
