@@ -280,13 +280,14 @@ def repeated_spans(
         contexts.where("not hot").select(task.alias("task"), "string", "key", "at", "before", "after")
         .groupBy("task").applyInArrow(_sorted_contexts, "key bigint, mark bigint, low bigint, high bigint")
     )
-    hot = contexts.where("hot").select("key", "at", F.explode(_single_strings(F.col("before"), F.col("after"))).alias("s")).select("key", "at", "s.*")
-    start = F.struct("key", "at", "depth")
-    earliest = hot.groupBy("high", "low").agg(F.min(F.struct("key", "at", "depth")).alias("first"))
-    single = hot.join(earliest, ["high", "low"]).where(start != F.col("first")).select(
-        "key", F.shiftright("at", 32).alias("mark"),
-        *[(F.col("at").bitwiseAND(F.lit(0xFFFFFFFF)) - F.col("depth")).alias(c) for c in ("low", "high")],
-    )
+    # A string is named by its start: its other triggers name the same string.
+    begins = (F.col("at") - F.col("s.depth")).alias("begin")
+    hot = contexts.where("hot").select("key", "at", F.explode(_single_strings(F.col("before"), F.col("after"))).alias("s"))
+    hot = hot.select("key", begins, "s.high", "s.low")
+    earliest = hot.groupBy("high", "low").agg(F.min(F.struct("key", "begin")).alias("first"))
+    later = hot.join(earliest, ["high", "low"]).where(F.struct("key", "begin") != F.col("first"))
+    place = F.col("begin").bitwiseAND(F.lit(0xFFFFFFFF))
+    single = later.select("key", F.shiftright("begin", 32).alias("mark"), place.alias("low"), place.alias("high"))
     by_doc = ranges.unionByName(single).groupBy("key", "mark").agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
     all_marks = marks.drop("borders").join(by_doc, ["key", "mark"], "left")
     all_marks = all_marks.toDF(*[f"_m_{c}" for c in all_marks.columns])
