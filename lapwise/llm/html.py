@@ -115,6 +115,10 @@ class _Lines(HTMLParser):
                 del self.open[at:]
                 break
 
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        """Sections like ``<![CDATA[`` are comments in a page, whatever their name."""
+        return self.rawdata.find(">", i) + 1 or -1
+
     def handle_data(self, data: str) -> None:
         line = self.lines[-1]
         if not line.parts or not any(p.strip() for p in line.parts):

@@ -12,7 +12,7 @@ stop it sooner. In spaces of many dimensions the bound falls slowly and nearly e
 met before it stops; the result is exact all the same.
 
 Components are whole numbers. Scores that a double holds exactly are computed as doubles, larger
-ones as whole numbers. Vectors of different lengths are compared as if the shorter one ended in zeros.
+ones as whole numbers; beyond a long, the score is the end of its range. Vectors of different lengths are compared as if the shorter one ended in zeros.
 """
 
 from __future__ import annotations
@@ -121,7 +121,7 @@ def top_k(rows: DataFrame, vec_id: str, vector: str, queries: Column, k: int, sc
         all_best = np.concatenate(best) if best else np.zeros((0, 2), object)
         return answer(
             np.repeat(asking, sizes), np.repeat(names, sizes), ids[all_best[:, 0].astype(np.int64)],
-            all_best[:, 1].astype(np.int64),
+            np.clip(all_best[:, 1], -(2**63), 2**63 - 1).astype(np.int64),
         )
 
     taken = rows.where(finite(F.col(vector))).select(F.col(vec_id).alias("vec_id"), quantised(F.col(vector), scale).alias("vector"))

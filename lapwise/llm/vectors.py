@@ -49,9 +49,9 @@ def search(
     ``rows`` hold ``vec_id, vector``; ``task`` gets a block of queries and one of candidates (``row, vec_id,
     vector``) and returns ``query, query_id, vec_id, score`` with at least the block's best ``limit`` per
     query. Rows are told apart by their place in a checkpoint, so repeated ids are rows of their own.
-    A query's blocks each add ``limit`` rows to one ranking.
+    A query's blocks each add ``limit`` rows to one ranking. Rows without an id take no part.
     """
-    rows = durable(rows.withColumn("row", F.monotonically_increasing_id()))
+    rows = durable(rows.where(F.col("vec_id").isNotNull()).withColumn("row", F.monotonically_increasing_id()))
     asked = rows.where(queries)
     there, asking = rows.count(), asked.count()
     right, left = blocks_for(there, candidates_per_task), blocks_for(asking, queries_per_task)

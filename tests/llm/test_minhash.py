@@ -47,7 +47,7 @@ def check(df, rows, width, percent):
     assert got == want
 
 
-@pytest.mark.parametrize("part", [4, 500])
+@pytest.mark.parametrize("part", [3, 500])
 def test_groups_of_near_copies(spark, part):
     """Chains and stars of copies, below and above the size of a part."""
     dice = random.Random(part)
@@ -63,7 +63,7 @@ def test_groups_of_near_copies(spark, part):
             rows.append((key, " ".join(drift)))
             key += 1
     dice.shuffle(rows)
-    check(near_duplicates(documents(spark, rows), "text", "doc_id", 3, 85, part), rows, 3, 85)
+    check(near_duplicates(documents(spark, rows), "text", "doc_id", 3, 85, part, 2 * part), rows, 3, 85)
 
 
 def test_awkward_rows(spark):
