@@ -40,6 +40,7 @@ def pair_key(file: Column) -> Column:
 def made_id(file: Column) -> Column:
     """Id for a file whose name has none: positive, and the same on every run.
 
-    Two files can share one; ``sinks.load.reject_shared_ids`` finds them.
+    Made from the path as given, so files of one name in two folders are two activities. Should
+    two paths still share one, ``sinks.load.reject_shared_ids`` finds them.
     """
-    return F.xxhash64(base_name(file)).bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF))
+    return F.xxhash64(file).bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF))

@@ -1,21 +1,25 @@
 """Nearest place to a position, from a gazetteer table instead of a web service.
 
-The gazetteer becomes a map of grid cells, each with the place nearest to its centre; a
-position reads its own cell. Places spread to the cells within reach and combine per cell
-before the shuffle, so no position ever meets a list of places. The answer is exact for
-the cell centre: at 0.02 degrees, under 1.6 km from the position.
+Positions and places are points on the unit sphere, cut into cubes. A place within one edge of a
+position lies in its cube or one next to it, so an equi join on cubes finds the nearest place
+whenever it is not farther than the edge. Positions without such a place go on to cubes of four
+times the edge, until the cubes hold the sphere: every position gets its true nearest place, at
+poles and the date line as elsewhere. Each position is looked up once, however many rows have it.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lapwise.functions.values import first_filled
-from lapwise.operators.skew import heavy_join
+from lapwise.session import durable
 
 EARTH_KM = 6371.0088
-CELL = ["_row", "_col"]
+_CUBE = ["_x", "_y", "_z"]
+_WIDER = 4
 
 
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
@@ -24,38 +28,13 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
     return F.lit(2 * EARTH_KM) * F.asin(F.sqrt(F.least(h, F.lit(1.0))))
 
 
-def place_map(places: DataFrame, cell_deg: float = 0.02, reach_cells: int = 10) -> DataFrame:
-    """Cells within ``reach_cells`` of a place, with ``city, county`` of the nearest place.
+def _sphere(lat: Column, lon: Column) -> list[Column]:
+    lat, lon = F.radians(lat), F.radians(lon)
+    return [F.cos(lat) * F.cos(lon), F.cos(lat) * F.sin(lon), F.sin(lat)]
 
-    ``places`` has ``latitude, longitude, city, town, village, county``. Equally near
-    places: the first by name.
-    """
-    around = F.sequence(F.lit(-reach_cells), F.lit(reach_cells))
-    turn = int(round(360 / cell_deg))
-    row, col = _cell(F.col("latitude"), cell_deg), _cell(F.col("longitude"), cell_deg)
-    named = places.select(
-        "latitude", "longitude", first_filled(F.col("city"), F.col("town"), F.col("village")).alias("city"),
-        F.nullif(F.col("county"), F.lit("")).alias("county"),
-    )
-    spread = (
-        named.where("latitude IS NOT NULL AND longitude IS NOT NULL")
-        .withColumns({"_r": row, "_c": col})
-        .withColumn("_dr", F.explode(around))
-        .withColumn("_dc", F.explode(around))
-        .select(
-            (F.col("_r") + F.col("_dr")).alias("_row"),
-            # Columns go round: the one east of 180 degrees is the westernmost.
-            (F.pmod(F.col("_c") + F.col("_dc") + turn // 2, F.lit(turn)) - turn // 2).alias("_col"),
-            "latitude", "longitude", "city", "county",
-        )
-    )
-    away = haversine_km(
-        (F.col("_row") + 0.5) * cell_deg, (F.col("_col") + 0.5) * cell_deg, F.col("latitude"), F.col("longitude")
-    )
-    rank = F.struct(F.round(away, 6), F.coalesce("city", F.lit("")), F.coalesce("county", F.lit("")))
-    return spread.groupBy(*CELL).agg(F.min_by(F.struct("city", "county"), rank).alias("_place")).select(
-        *CELL, "_place.city", "_place.county"
-    )
+
+def _cube(lat: Column, lon: Column, edge: float) -> dict[str, Column]:
+    return {name: F.floor(value / edge).cast("int") for name, value in zip(_CUBE, _sphere(lat, lon))}
 
 
 def nearest_place(
@@ -63,16 +42,49 @@ def nearest_place(
     places: DataFrame,
     latitude: str = "start_position_lat",
     longitude: str = "start_position_long",
-    cell_deg: float = 0.02,
-    reach_cells: int = 10,
-    min_rows: float | None = None,
+    first_km: float = 10.0,
+    max_km: float | None = None,
 ) -> DataFrame:
-    """``starts`` with ``city, county``; both null with no place in reach."""
-    turn = int(round(360 / cell_deg))
-    col = F.pmod(_cell(F.col(longitude), cell_deg) + turn // 2, F.lit(turn)) - turn // 2
-    placed = starts.withColumns({"_row": _cell(F.col(latitude), cell_deg), "_col": col})
-    return heavy_join(placed, place_map(places, cell_deg, reach_cells), CELL, "left", min_rows).drop(*CELL)
+    """``starts`` with ``city, county`` of the nearest place; both null without a position.
 
-
-def _cell(degrees: Column, cell_deg: float) -> Column:
-    return F.floor(degrees / F.lit(cell_deg))
+    ``places`` has ``latitude, longitude, city, town, village, county``. Equally near (to a
+    millimetre): the first by name. ``max_km`` leaves out places farther away. ``first_km`` is the edge
+    cubes begin with and changes the work only.
+    """
+    named = places.where("latitude IS NOT NULL AND longitude IS NOT NULL").select(
+        F.col("latitude").alias("_plat"), F.col("longitude").alias("_plon"),
+        first_filled(F.col("city"), F.col("town"), F.col("village")).alias("city"),
+        F.nullif(F.col("county"), F.lit("")).alias("county"),
+    )
+    here = [F.col(latitude).cast("double").alias("_lat"), F.col(longitude).cast("double").alias("_lon")]
+    waiting = durable(starts.select(*here).where("_lat IS NOT NULL AND _lon IS NOT NULL").distinct())
+    near = F.sequence(F.lit(-1), F.lit(1))
+    away = haversine_km(F.col("_lat"), F.col("_lon"), F.col("_plat"), F.col("_plon"))
+    rank = F.struct(F.round("_km", 6), F.coalesce("city", F.lit("")), F.coalesce("county", F.lit("")))
+    found, km = [], first_km
+    while True:
+        edge = km / EARTH_KM
+        whole = edge >= 2
+        around = named.withColumns(_cube(F.col("_plat"), F.col("_plon"), edge))
+        for axis in _CUBE:
+            around = around.withColumn("_step", F.explode(near)).withColumn(axis, F.col(axis) + F.col("_step"))
+        best = (
+            waiting.withColumns(_cube(F.col("_lat"), F.col("_lon"), edge)).join(around, _CUBE)
+            .withColumn("_km", away)
+            .groupBy("_lat", "_lon").agg(F.min_by(F.struct("city", "county", "_km"), rank).alias("_place"))
+        )
+        # Within the edge nothing nearer can be outside; a hair is left for rounding.
+        best = best if whole else best.where(F.col("_place._km") <= km * (1 - 1e-6))
+        found.append(durable(best))
+        if whole or (max_km is not None and km >= max_km):
+            break
+        waiting = durable(waiting.join(found[-1], ["_lat", "_lon"], "left_anti"))
+        if waiting.isEmpty():
+            break
+        km *= _WIDER
+    known = reduce(DataFrame.unionByName, found)
+    if max_km is not None:
+        known = known.where(F.col("_place._km") <= max_km)
+    known = known.select("_lat", "_lon", "_place.city", "_place.county")
+    same = (F.col(latitude).cast("double") == F.col("_lat")) & (F.col(longitude).cast("double") == F.col("_lon"))
+    return starts.join(known, same, "left").drop("_lat", "_lon")

@@ -1,9 +1,9 @@
 """Loads: from decoded messages to the seven stored tables.
 
 One job takes all files. What the file name says is computed where it is needed, so ids
-reach child rows without a join. Child tables are written before activities: a load that
-breaks off has stored no activity, finds the same files new when run again, and replaces
-what it wrote.
+reach child rows without a join. What is new is judged against all committed loads but the
+load's own, so a load may be run again, whole or broken off, under its id or another: each
+activity and its children are stored once.
 """
 
 from __future__ import annotations
@@ -81,11 +81,12 @@ def plan_connect(
     messages: DataFrame, sidecars: DataFrame, stored: DataFrame, after: datetime
 ) -> Load:
     """Files named ``{time}_{id}`` with a JSON summary each, newer than ``after``."""
-    fresh = newer_files(messages, names.export_time(F.col("file")), after)
+    time = names.export_time(F.col("file"))
+    fresh = newer_files(messages, time, after)
     flat = sidecars.groupBy("pair").agg(F.min_by(F.struct(*PATHS.values()), "file").alias("_summary"))
     activities = _timed(fresh).withColumn("pair", names.pair_key(F.col("file")))
     activities = activities.join(flat, "pair", "left").drop("pair").select("*", "_summary.*").drop("_summary")
-    return _finish(fresh, activities, names.activity_id(F.col("file")), stored)
+    return _finish(fresh, activities, names.activity_id(F.col("file")), stored, messages.where(time.isNull()))
 
 
 def plan_watch(
@@ -97,14 +98,15 @@ def plan_watch(
     min_rows: float | None = None,
 ) -> Load:
     """Files named by their time alone: ids are made, totals and names derived."""
-    fresh = newer_files(messages, names.watch_time(F.col("file")), after, now, until_now=True)
+    time = names.watch_time(F.col("file"))
+    fresh = newer_files(messages, time, after, now, until_now=True)
     numbers = ("total_distance", "total_timer_time", "start_position_lat", "start_position_long")
     sessions = message_rows(fresh, "session").withColumns({c: F.col(c).try_cast("double") for c in numbers})
     starts = first_row(sessions.select("file", "seq", "sport", *numbers[2:]), ["file"], ["seq"])
     if places is None:
         starts = starts.withColumns({c: F.lit(None).cast("string") for c in ("city", "county")})
     else:
-        starts = nearest_place(starts, places, min_rows=min_rows)
+        starts = nearest_place(starts, places)
     about = starts.select("file", "sport", "city", "county")
     activities = (
         _timed(fresh)
@@ -117,7 +119,9 @@ def plan_watch(
         .fillna(0.0, ["adjusted_distance", "adjusted_duration"])
         .drop("sport", "city", "county")
     )
-    return _finish(fresh, activities, names.made_id(F.col("file")), stored, ids_are_made=True)
+    return _finish(
+        fresh, activities, names.made_id(F.col("file")), stored, messages.where(time.isNull()), ids_are_made=True
+    )
 
 
 def _timed(fresh: DataFrame) -> DataFrame:
@@ -129,11 +133,14 @@ def _timed(fresh: DataFrame) -> DataFrame:
 
 
 def _finish(
-    fresh: DataFrame, activities: DataFrame, activity_id: Column, stored: DataFrame, ids_are_made: bool = False
+    fresh: DataFrame, activities: DataFrame, activity_id: Column, stored: DataFrame, untimed: DataFrame,
+    ids_are_made: bool = False,
 ) -> Load:
     """Keep new activities that fit their table; of two files of one activity, the first by name.
 
-    A made id that two files share tells nothing, so both files are left out.
+    Every other file is rejected with its reason: those of ``untimed`` messages, whose names hold no
+    time; those without an activity or with one that does not fit; and those that share a made
+    id, which tells nothing about either.
     """
     activities = activities.withColumn("activity_id", activity_id)
 
@@ -144,7 +151,7 @@ def _finish(
     absent = fresh.select("file").distinct().join(activities.select("file"), "file", "left_anti")
     rejected = because(tested.where(F.col("reasons") != ""), F.col("reasons")).unionByName(
         because(absent, F.lit("no activity message"))
-    )
+    ).unionByName(because(untimed.select("file").distinct(), F.lit("no time in the file name")))
     fit = tested.where(F.col("reasons") == "").drop("reasons")
     if ids_are_made:
         shared = reject_shared_ids(fit)
@@ -155,15 +162,20 @@ def _finish(
 
 
 def run_load(store: Store, load: Load, load_id: str, min_rows: float | None = None) -> None:
-    """Store a load. Run again with the same ``load_id``, it replaces what it wrote."""
+    """Store a load. Run again with the same ``load_id``, it replaces what it wrote.
+
+    ``load`` must be planned against the store without ``load_id`` (``store.read(..., but=load_id)``).
+    """
     # Fixed before the first write: the store may not change what counts as new.
     new = durable(load.activities)
+    store.begin(load_id)
     limit = measured(load.messages, ["file"], min_rows)
     mine = with_parent(load.messages, new, key="file", min_rows=limit)
     for table, rows in derive(mine, load.activity_id, limit).items():
         store.write(table, with_raw(rows, table), load_id)
     store.write_rejected(load.rejected, load_id)
     store.write("activity", new, load_id)
+    store.commit(load_id)
 
 
 def load_connect(
@@ -171,7 +183,7 @@ def load_connect(
 ) -> None:
     """Load all summaried files newer than the newest stored activity."""
     use_utc(store.spark)
-    stored = store.read("activity")
+    stored = store.read("activity", but=load_id)
     run_load(store, plan_connect(messages, sidecars, stored, _after(stored)), load_id, min_rows)
 
 
@@ -185,7 +197,7 @@ def load_watch(
 ) -> None:
     """Load all watch files newer than the newest stored activity and not in the future."""
     use_utc(store.spark)
-    stored = store.read("activity")
+    stored = store.read("activity", but=load_id)
     plan = plan_watch(messages, places, stored, _after(stored, now), now, min_rows)
     run_load(store, plan, load_id, min_rows)
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lapwise.functions import names
@@ -13,19 +15,38 @@ from lapwise.sources.messages import message_rows
 from lapwise.sources.tables import Store
 
 
-def refresh_pool(store: Store, messages: DataFrame, target: Store, load_id: str) -> None:
-    """Write ``session`` with pool length and unit as the files of ``messages`` have them."""
+def refresh_pool(
+    store: Store, messages: DataFrame, target: Store, load_id: str, id_of: Callable[[Column], Column] = names.activity_id
+) -> None:
+    """Write ``session`` with pool length and unit as the files of ``messages`` have them.
+
+    ``id_of`` says which activity a file is: ``names.made_id`` for stores of watch files.
+    """
+    _other(store, target)
     decoded = message_rows(messages, "session").select(
-        names.activity_id(F.col("file")).alias("activity_id"),
+        id_of(F.col("file")).alias("activity_id"),
         "file", "seq", "sub_sport", F.col("pool_length").try_cast("double").alias("pool_length"), "pool_length_unit",
     )
-    target.write("session", update_pool(store.read("session"), decoded, ["file", "seq"]), load_id)
+    _replace(target, "session", update_pool(store.read("session"), decoded, ["file", "seq"]), load_id)
 
 
-def refresh_power(store: Store, messages: DataFrame, target: Store, load_id: str) -> None:
-    """Write ``lap`` with missing power values as the files of ``messages`` have them."""
+def refresh_power(
+    store: Store, messages: DataFrame, target: Store, load_id: str, id_of: Callable[[Column], Column] = names.activity_id
+) -> None:
+    """Write ``lap`` with missing power values as the files of ``messages`` have them; ``id_of`` as for the pool."""
+    _other(store, target)
     numbered = number_in_order(message_rows(messages, "lap"), "file", ["seq"])
     decoded = conform(
-        numbered.withColumn("activity_id", names.activity_id(F.col("file"))), "lap"
+        numbered.withColumn("activity_id", id_of(F.col("file"))), "lap"
     )
-    target.write("lap", backfill_power(store.read("lap"), decoded, ["start_time"]), load_id)
+    _replace(target, "lap", backfill_power(store.read("lap"), decoded, ["start_time"]), load_id)
+
+
+def _other(store: Store, target: Store) -> None:
+    if store.base == target.base:
+        raise ValueError("a correction goes to another store; in its own it would stand beside the old rows")
+
+
+def _replace(target: Store, table: str, rows: DataFrame, load_id: str) -> None:
+    target.write(table, rows, load_id)
+    target.commit(load_id)

@@ -130,7 +130,7 @@ def names(spark, sf_dir):
 
 
 def places(spark, sf_dir):
-    """Customers start somewhere on a grid of half degrees; suppliers are places."""
+    """Customers start somewhere on a grid; suppliers are places."""
     starts = read(spark, sf_dir, "customer").select(
         "c_custkey",
         ((F.col("c_custkey") * 7919) % 2400 / 200.0 - 6).alias("start_position_lat"),
@@ -144,7 +144,7 @@ def places(spark, sf_dir):
         F.lit(None).cast("string").alias("village"),
         F.concat(F.lit("county "), F.col("s_nationkey")).alias("county"),
     )
-    return nearest_place(starts, gazetteer, cell_deg=0.05, reach_cells=12).select("c_custkey", "city", "county")
+    return nearest_place(starts, gazetteer).select("c_custkey", "city", "county")
 
 
 _NUM = "SELECT l_orderkey AS activity_id, count(*) AS num_sessions FROM lineitem GROUP BY 1"
@@ -223,8 +223,8 @@ QUERIES = {
     "nearest_place": (
         places,
         """WITH starts AS (
-               SELECT c_custkey, CAST(floor(((c_custkey * 7919) % 2400 / 200.0::DOUBLE - 6) / 0.05::DOUBLE) AS INT) AS r,
-                      CAST(floor(((c_custkey * 104729) % 2400 / 200.0::DOUBLE - 6) / 0.05::DOUBLE) AS INT) AS c
+               SELECT c_custkey, (c_custkey * 7919) % 2400 / 200.0::DOUBLE - 6 AS slat,
+                      (c_custkey * 104729) % 2400 / 200.0::DOUBLE - 6 AS slon
                FROM customer
            ),
            places AS (
@@ -232,19 +232,13 @@ QUERIES = {
                       (s_suppkey * 9001) % 12000 / 1000.0::DOUBLE - 6 AS lon,
                       CASE WHEN s_suppkey % 3 < 2 THEN s_name END AS city, 'county ' || s_nationkey AS county
                FROM supplier
-           ),
-           cells AS (SELECT DISTINCT r, c FROM starts),
-           near AS (
-               SELECT r, c, city, county, row_number() OVER (
-                   PARTITION BY r, c
-                   ORDER BY round(2 * 6371.0088 * asin(sqrt(
-                       pow(sin((radians(lat) - radians((r + 0.5) * 0.05)) / 2), 2)
-                       + cos(radians((r + 0.5) * 0.05)) * cos(radians(lat))
-                         * pow(sin((radians(lon) - radians((c + 0.5) * 0.05)) / 2), 2))), 6),
-                       coalesce(city, ''), county) AS nth
-               FROM cells JOIN places
-                 ON abs(floor(lat / 0.05::DOUBLE) - r) <= 12 AND abs(floor(lon / 0.05::DOUBLE) - c) <= 12
            )
-           SELECT c_custkey, city, county FROM starts LEFT JOIN near USING (r, c) WHERE coalesce(nth, 1) = 1""",
+           SELECT c_custkey, city, county FROM starts CROSS JOIN places
+           QUALIFY row_number() OVER (
+               PARTITION BY c_custkey
+               ORDER BY round(2 * 6371.0088 * asin(sqrt(
+                   pow(sin((radians(lat) - radians(slat)) / 2), 2)
+                   + cos(radians(slat)) * cos(radians(lat)) * pow(sin((radians(lon) - radians(slon)) / 2), 2))), 6),
+                   coalesce(city, ''), county) = 1""",
     ),
 }

@@ -151,12 +151,12 @@ def set_aside(spark, sf_dir):
 
 
 def made_ids(spark, sf_dir):
-    """One positive id per file name, the same each time it is made."""
+    """One positive id per path, another in another folder."""
     files = read(spark, sf_dir, "events").select(F.concat(F.date_format("ts", "yyyy-MM-dd-HH-mm-ss"), F.lit("-"), "event_id", F.lit(".fit")).alias("file"))
-    ids = files.select("file", made_id(F.col("file")).alias("id"), made_id(F.concat(F.lit("/in/"), "file")).alias("again"))
+    ids = files.select("file", made_id(F.col("file")).alias("id"), made_id(F.concat(F.lit("/in/"), "file")).alias("other"))
     return ids.agg(
         F.count_distinct("file").alias("files"), F.count_distinct("id").alias("ids"),
-        F.count(F.when((F.col("id") < 0) | (F.col("id") != F.col("again")), 1)).alias("wrong"),
+        F.count(F.when((F.col("id") < 0) | (F.col("id") == F.col("other")), 1)).alias("wrong"),
     )
 
 

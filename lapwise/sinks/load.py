@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapwise.functions.names import made_id
 from lapwise.operators.laps import first_row
 from lapwise.operators.skew import heavy_join
 
@@ -29,11 +28,6 @@ def without_parent(
     return heavy_join(children, parents.select(key).distinct(), [key], "left_anti", min_rows)
 
 
-def give_ids(df: DataFrame, file: str = "file", key: str = "activity_id") -> DataFrame:
-    """``df`` with an id made from the file name: children get their parent's without a join."""
-    return df.withColumn(key, made_id(F.col(file)))
-
-
 def reject_shared_ids(files: DataFrame, file: str = "file", key: str = "activity_id") -> DataFrame:
     """Ids that more than one file name leads to."""
     return files.groupBy(key).agg(F.min(file).alias("_a"), F.max(file).alias("_b")).where("_a <> _b").select(key)

@@ -19,8 +19,9 @@ _FOLDERS = [T.StructField(LOAD, T.StringType()), T.StructField(FITS, T.BooleanTy
 class Store:
     """Reads and writes the seven tables under ``base``.
 
-    Every load writes its own ``load_id`` folder and replaces it when run again, so a load
-    that broke off half way leaves nothing twice. Rows that do not fit their table go to
+    Every load writes its own ``load_id`` folder and replaces it when run again. A load counts
+    once it is committed, which is its last write: readers see committed loads only, so one
+    that broke off half way shows nothing, whether it is run again or not. Rows that do not fit their table go to
     the same load, apart from the others, with the reasons and the row as it came.
     """
 
@@ -31,9 +32,26 @@ class Store:
     def path(self, table: str) -> str:
         return f"{self.base}/{table}"
 
-    def read(self, table: str) -> DataFrame:
-        """The table; no rows where nothing was loaded yet."""
-        return self._read(table, struct(table), fits=True)
+    def read(self, table: str, but: str | None = None) -> DataFrame:
+        """The table, without load ``but``; no rows where nothing was loaded yet."""
+        return self._read(table, struct(table), fits=True, but=but)
+
+    def begin(self, load_id: str) -> None:
+        """Hide what load ``load_id`` wrote before, until it is committed again."""
+        self._mark(load_id, False)
+
+    def commit(self, load_id: str) -> None:
+        self._mark(load_id, True)
+
+    def loads(self) -> DataFrame:
+        """Ids of the committed loads."""
+        layout = T.StructType([T.StructField("done", T.BooleanType()), T.StructField(LOAD, T.StringType())])
+        marks = self._open("loads", layout)
+        return marks.where("done").select(LOAD)
+
+    def _mark(self, load_id: str, done: bool) -> None:
+        mark = self.spark.range(1).select(F.lit(done).alias("done")).coalesce(1)
+        mark.write.mode("overwrite").parquet(f"{self.path('loads')}/{LOAD}={load_id}")
 
     def set_aside(self, table: str) -> DataFrame:
         """Rows left out of the table: ``activity_id, reasons, raw``."""
@@ -41,7 +59,8 @@ class Store:
 
     def rejected(self) -> DataFrame:
         """Files left out whole: ``file, stage, reason``."""
-        return self.spark.read.schema("file string, stage string, reason string").parquet(self.path("rejected"))
+        layout = T.StructType([T.StructField(c, T.StringType()) for c in ("file", "stage", "reason", LOAD)])
+        return self._open("rejected", layout).join(self.loads(), LOAD, "left_semi").drop(LOAD)
 
     def write(self, table: str, rows: DataFrame, load_id: str) -> None:
         """Store ``rows`` as load ``load_id`` in one pass, those with ``reasons`` apart.
@@ -69,19 +88,19 @@ class Store:
         for table in LAYOUTS:
             self.read(table).createOrReplaceTempView(table)
 
-    def _read(self, table: str, layout: T.StructType, fits: bool) -> DataFrame:
+    def _open(self, table: str, layout: T.StructType) -> DataFrame:
         try:
-            stored = self.spark.read.schema(T.StructType([*layout, *_FOLDERS])).parquet(self.path(table))
+            return self.spark.read.schema(layout).parquet(self.path(table))
         except AnalysisException as e:
             if e.getCondition() == "PATH_NOT_FOUND":
                 return self.spark.createDataFrame([], layout)
             raise
-        return stored.where(F.col(FITS) == fits).select(*layout.names)
-
 
-def read_table(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """One stored table outside a store."""
-    return spark.read.schema(struct(table)).parquet(path)
+    def _read(self, table: str, layout: T.StructType, fits: bool, but: str | None = None) -> DataFrame:
+        stored = self._open(table, T.StructType([*layout, *_FOLDERS])).where(F.col(FITS) == fits)
+        if but is not None:
+            stored = stored.where(F.col(LOAD) != but)
+        return stored.join(self.loads(), LOAD, "left_semi").select(*layout.names)
 
 
 def list_files(spark: SparkSession, path: str, glob: str) -> DataFrame:

@@ -7,6 +7,7 @@ activity must arrive in one micro-batch: write them to one file.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,24 +35,26 @@ def follow(
     messages: DataFrame,
     store: Store,
     checkpoint: str,
-    sidecars: DataFrame | None = None,
+    sidecars: Callable[[], DataFrame] | None = None,
     places: DataFrame | None = None,
     every: str | None = None,
 ) -> StreamingQuery:
     """Load what has arrived and stop, or go on ``every`` interval.
 
-    With ``sidecars``, files are taken for summaried exports, otherwise for watch files.
-    A micro-batch replayed after a failure has its old number and replaces its own load.
+    With ``sidecars``, files are taken for summaried exports, otherwise for watch files. It is
+    called for every micro-batch, so summaries that arrive later are seen. A micro-batch replayed
+    after a failure has its old number and replaces its own load.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
         use_utc(batch.sparkSession)
-        stored = store.read("activity")
+        load_id = f"stream-{batch_id}"
+        stored = store.read("activity", but=load_id)
         if sidecars is not None:
-            plan = plan_connect(batch, sidecars, stored, _EVER)
+            plan = plan_connect(batch, sidecars(), stored, _EVER)
         else:
             plan = plan_watch(batch, places, stored, _EVER)
-        run_load(store, plan, f"stream-{batch_id}")
+        run_load(store, plan, load_id)
 
     writer = messages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(load)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)

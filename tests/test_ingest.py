@@ -93,6 +93,9 @@ def test_file_without_activity_is_left_out_whole(loaded):
     assert loaded.read("session").where("activity_id = 103").isEmpty()
 
 
+WHOLE = {"activity": 2, "file_id": 2, "session": 3, "lap": 2, "record": 6, "length": 6, "event": 1}
+
+
 def counts(store):
     return {t: store.read(t).count() for t in LAYOUTS}
 
@@ -106,16 +109,109 @@ def test_loading_again_adds_nothing(spark, sidecars, loaded):
     assert {r[0] for r in loaded.read("activity").select("activity_id").collect()} == {101, 102, 110}
 
 
-def test_broken_load_is_replaced(spark, sidecars, tmp_path):
+class Broken(Store):
+    """Stops before one of its writes."""
+
+    def __init__(self, spark, base, stop):
+        super().__init__(spark, base)
+        self.stop = stop
+
+    def write(self, table, rows, load_id):
+        if table == self.stop:
+            raise RuntimeError("stopped")
+        super().write(table, rows, load_id)
+
+    def commit(self, load_id):
+        if self.stop == "commit":
+            raise RuntimeError("stopped")
+        super().commit(load_id)
+
+
+def test_same_load_twice(spark, sidecars, tmp_path):
     store = Store(spark, str(tmp_path))
-    plan = plan_connect(connect_frame(spark), sidecars, store.read("activity"), datetime(1900, 1, 1))
-    run_load(store, plan, "a")
-    whole = counts(store)
-    import shutil
+    for _ in range(2):
+        load_connect(store, connect_frame(spark), sidecars, "a")
+        assert counts(store) == WHOLE
+        assert store.rejected().count() == 1
 
-    shutil.rmtree(tmp_path / "activity")  # as if it had stopped before the last table
-    load_connect(store, connect_frame(spark), sidecars, "a")
-    assert counts(store) == whole
+
+@pytest.mark.parametrize("stop", ["lap", "event", "activity", "commit"])
+@pytest.mark.parametrize("again", ["a", "b"])
+def test_broken_load(spark, sidecars, tmp_path, stop, again):
+    store, base = Store(spark, str(tmp_path)), str(tmp_path)
+    with pytest.raises(RuntimeError):
+        load_connect(Broken(spark, base, stop), connect_frame(spark), sidecars, "a")
+    assert set(counts(store).values()) == {0} and store.rejected().isEmpty()
+    load_connect(store, connect_frame(spark), sidecars, again)
+    assert counts(store) == WHOLE
+
+
+def test_stream_replay(spark, sidecars, tmp_path):
+    """A batch that was stored before its progress was: it comes again with its number."""
+    source = tmp_path / "messages"
+    connect_frame(spark).coalesce(1).write.parquet(str(source))
+
+    class Lost(Store):
+        def commit(self, load_id):
+            super().commit(load_id)
+            raise RuntimeError("lost after the last write")
+
+    base, progress = str(tmp_path / "store"), str(tmp_path / "progress")
+    with pytest.raises(Exception, match="lost after the last write"):
+        follow(message_stream(spark, str(source)), Lost(spark, base), progress, lambda: sidecars).awaitTermination(120)
+    store = Store(spark, base)
+    assert counts(store) == WHOLE
+    follow(message_stream(spark, str(source)), store, progress, lambda: sidecars).awaitTermination(120)
+    assert counts(store) == WHOLE
+
+
+def test_summary_that_arrives_later(spark, tmp_path):
+    source, summaries = tmp_path / "messages", tmp_path / "summaries"
+    summaries.mkdir()
+    (summaries / "2024-01-01T00.00.00_1_summary.json").write_text("{}")
+    store = Store(spark, str(tmp_path / "store"))
+    frame(spark, {"2024-02-01T00.00.00_90.fit": run}).coalesce(1).write.parquet(str(source / "1"))
+
+    def step():
+        stream = message_stream(spark, str(source / "*"))
+        follow(stream, store, str(tmp_path / "progress"), lambda: read_sidecars(spark, str(summaries))).awaitTermination(120)
+
+    step()
+    (summaries / "2024-02-02T00.00.00_91_summary.json").write_text('{"summaryDTO": {"distance": 7.5}}')
+    frame(spark, {"2024-02-02T00.00.00_91.fit": run}).coalesce(1).write.parquet(str(source / "2"))
+    step()
+    assert {r["activity_id"]: r["adjusted_distance"] for r in store.read("activity").collect()} == {90: None, 91: 7.5}
+
+
+def test_every_file_is_loaded_older_or_rejected(spark, sidecars, tmp_path):
+    store = Store(spark, str(tmp_path))
+    files = {RUN: run, "notime_5.fit": run, "2024-03-05T10.00.00_x.fit": run, "2024-03-06T10.00.00.fit": run}
+    load_connect(store, frame(spark, files), sidecars, "a")
+    assert {r[0] for r in store.read("activity").select("activity_id").collect()} == {101}
+    assert {r["file"]: r["reason"] for r in store.rejected().collect()} == {
+        "notime_5.fit": "no time in the file name", "2024-03-05T10.00.00_x.fit": "activity_id", "2024-03-06T10.00.00.fit": "activity_id",
+    }
+
+
+def test_watch_files_of_one_name(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    name = "2024-03-01-08-00-00.fit"
+    now = datetime(2024, 6, 1, tzinfo=timezone.utc)
+    load_watch(store, frame(spark, {f"/in/a/{name}": run, f"/in/b/{name}": run, "/in/odd.fit": run}), None, "a", now)
+    assert store.read("activity").count() == 2 and store.read("lap").count() == 4
+    assert [(r["file"], r["reason"]) for r in store.rejected().collect()] == [("/in/odd.fit", "no time in the file name")]
+
+
+def test_maintenance_of_a_watch_store(spark, tmp_path):
+    from lapwise.functions.names import made_id
+
+    store, target = Store(spark, str(tmp_path / "a")), Store(spark, str(tmp_path / "b"))
+    load_watch(store, watch_frame(spark), None, "a", datetime(2024, 6, 1, tzinfo=timezone.utc))
+    maintenance.refresh_pool(store, watch_frame(spark), target, "a", made_id)
+    assert {r["pool_length"] for r in target.read("session").where("sport = 'swimming'").collect()} == {22.0}
+    assert target.read("session").count() == store.read("session").count()
+    with pytest.raises(ValueError):
+        maintenance.refresh_pool(store, watch_frame(spark), Store(spark, store.base), "b", made_id)
 
 
 def test_sliced_load_is_the_same(spark, sidecars, loaded, tmp_path):
@@ -160,10 +256,10 @@ def test_stream(spark, sidecars, tmp_path, loaded):
     source = tmp_path / "messages"
     connect_frame(spark).coalesce(1).write.parquet(str(source / "1"))
     stream = lambda: message_stream(spark, str(source / "*"))
-    follow(stream(), store, str(tmp_path / "progress"), sidecars).awaitTermination(120)
+    follow(stream(), store, str(tmp_path / "progress"), lambda: sidecars).awaitTermination(120)
     assert counts(store)["record"] == 6
     frame(spark, {RUN: run, "2024-02-01T00.00.00_90.fit": run}).coalesce(1).write.parquet(str(source / "2"))
-    follow(stream(), store, str(tmp_path / "progress"), sidecars).awaitTermination(120)
+    follow(stream(), store, str(tmp_path / "progress"), lambda: sidecars).awaitTermination(120)
     assert sorted(r[0] for r in store.read("activity").select("activity_id").collect()) == [90, 101, 102]
     assert counts(store)["lap"] == 4
 

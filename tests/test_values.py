@@ -121,8 +121,8 @@ def test_mark_without_activities(spark):
     assert after == int(datetime.datetime(1900, 1, 1, 12, tzinfo=datetime.timezone.utc).timestamp()) * 1_000_000
 
 
-@pytest.mark.parametrize("min_rows", [None, 1])
-def test_places(spark, min_rows):
+@pytest.mark.parametrize("first_km", [0.5, 10.0, 9000.0])
+def test_places(spark, first_km):
     places = spark.createDataFrame(
         [(0.0, 179.99, "East", "e"), (0.0, -179.5, "West", "w"), (50.0, 7.0, None, "Hill"), (50.05, 7.0, "Dale", None)],
         "latitude double, longitude double, city string, county string",
@@ -131,7 +131,33 @@ def test_places(spark, min_rows):
         [(1, 0.0, -179.99), (2, 50.01, 7.0), (3, 50.04, 7.01), (4, -33.0, 20.0), (5, None, None), (6, 0.0, -179.99)],
         "id int, start_position_lat double, start_position_long double",
     )
-    got = {r["id"]: (r["city"], r["county"]) for r in nearest_place(starts, places, min_rows=min_rows).collect()}
+    got = {r["id"]: (r["city"], r["county"]) for r in nearest_place(starts, places, first_km=first_km).collect()}
+    assert got == {
+        1: ("East", "e"), 2: (None, "Hill"), 3: ("Dale", None), 4: (None, "Hill"), 5: (None, None), 6: ("East", "e"),
+    }
+    got = {r["id"]: (r["city"], r["county"]) for r in nearest_place(starts, places, first_km=first_km, max_km=3).collect()}
     assert got == {
         1: ("East", "e"), 2: (None, "Hill"), 3: ("Dale", None), 4: (None, None), 5: (None, None), 6: ("East", "e"),
     }
+
+
+def test_places_against_all(spark):
+    """The nearest of all places, near poles and the date line too."""
+    import math
+    import random
+
+    dice = random.Random(7)
+    spot = lambda: (math.degrees(math.asin(dice.uniform(-1, 1))), dice.uniform(-180, 180))
+    places = [(*spot(), f"p{i}") for i in range(60)] + [(89.9, 10.0, "pole"), (-89.9, 0.0, "south")]
+    starts = [(i, *spot()) for i in range(200)] + [(200, 90.0, 0.0), (201, 89.95, -170.0), (202, -90.0, 50.0), (203, 0.0, 180.0)]
+
+    def apart(a, b, c, d):
+        a, b, c, d = map(math.radians, (a, b, c, d))
+        return math.sin((c - a) / 2) ** 2 + math.cos(a) * math.cos(c) * math.sin((d - b) / 2) ** 2
+
+    df = spark.createDataFrame(starts, "id int, start_position_lat double, start_position_long double")
+    towns = spark.createDataFrame(places, "latitude double, longitude double, city string").withColumns(
+        {c: F.lit(None).cast("string") for c in ("town", "village", "county")}
+    )
+    got = {r["id"]: r["city"] for r in nearest_place(df, towns, first_km=100).collect()}
+    assert got == {i: min(places, key=lambda p: apart(lat, lon, p[0], p[1]))[2] for i, lat, lon in starts}
