@@ -83,18 +83,20 @@ def fastest_efforts(
         raise ValueError("distances must be positive")
     points = records if activity_id is None else records.where(F.col(key) == activity_id)
     us = F.col(time) if _is_numeric(points, time) else F.unix_micros(time)
-    whole = all(float(d).is_integer() for d in distances_m)
-    wanted = [int(d) if whole else float(d) for d in distances_m]
-    covered = F.col(distance) if whole else F.col(distance).cast("double")
+    # Whole numbers are compared as they are, others in whole millimetres: differences are exact.
+    fraction = records.schema[distance].dataType.typeName() in {"double", "float", "decimal"}
+    scale = 1000 if fraction or not all(float(d).is_integer() for d in distances_m) else 1
+    wanted = {float(d): round(d * scale) for d in distances_m}
+    covered = F.round(F.col(distance).cast("double") * scale).cast("long") if scale > 1 else F.col(distance)
     points = points.select(key, us.cast("long").alias("_us"), covered.alias("_d")).where(
         "_us IS NOT NULL AND _d IS NOT NULL"
     )
 
     limit = min_rows_for(points.sparkSession, min_rows)
     hot_keys = heavy_groups(points, [key], limit)
-    if hot_keys:
+    if hot_keys is not None:
         cold, hot = part_hot(points, [key], hot_keys)
-        best = _within_task(cold, key, wanted).unionByName(_across_tasks(hot, key, wanted, limit))
+        best = _within_task(cold, key, wanted).unionByName(_across_tasks(hot, key, wanted, limit, hot_keys.few))
     else:
         best = _within_task(points, key, wanted)
     return best.select(
@@ -136,8 +138,8 @@ def _roles(df: DataFrame) -> DataFrame:
     )
 
 
-def _within_task(points: DataFrame, key: str, distances: list[float]) -> DataFrame:
-    """One exchange by ``key``; every later window reuses that partitioning."""
+def _within_task(points: DataFrame, key: str, distances: dict[float, int]) -> DataFrame:
+    """``distances`` as asked for, with their steps of ``_d``. One exchange by ``key``; every later window reuses that partitioning."""
     group = Window.partitionBy(key)
     in_time = group.orderBy("_us")
     times = points.repartition(key).groupBy(key, "_us").agg(F.min("_d").alias("_low"), F.max("_d").alias("_high"))
@@ -149,9 +151,8 @@ def _within_task(points: DataFrame, key: str, distances: list[float]) -> DataFra
     )
     pieces = _roles(marked.withColumn("_level", F.explode(_pieces(F.col("_irregular"), F.col("_count")))))
 
-    def taken(d: float) -> Column:
-        """Time from a start to the first end at least ``d`` further on."""
-        step = f"{d}D" if isinstance(d, float) else f"{d}"
+    def taken(step: int) -> Column:
+        """Time from a start to the first end at least ``step`` further on."""
         first_end = F.expr(
             f"min(CASE WHEN _ends THEN _us END) OVER (PARTITION BY `{key}`, {', '.join(PIECE)} ORDER BY _pos DESC "
             f"RANGE BETWEEN UNBOUNDED PRECEDING AND {step} PRECEDING)"
@@ -159,7 +160,7 @@ def _within_task(points: DataFrame, key: str, distances: list[float]) -> DataFra
         return F.when(F.col("_starts"), first_end - F.col("_us"))
 
     at = range(len(distances))
-    found = pieces.withColumns({f"_dur{i}": taken(d) for i, d in enumerate(distances)})
+    found = pieces.withColumns({f"_dur{i}": taken(d) for i, d in enumerate(distances.values())})
     best = found.withColumns({f"_best{i}": F.min(f"_dur{i}").over(group) for i in at})
     hits = [
         F.when(
@@ -176,10 +177,10 @@ def _within_task(points: DataFrame, key: str, distances: list[float]) -> DataFra
     )
 
 
-def _across_tasks(points: DataFrame, key: str, distances: list[float], limit: float) -> DataFrame:
+def _across_tasks(points: DataFrame, key: str, distances: dict[float, int], limit: float, few: bool) -> DataFrame:
     """The same for activities too large for one task: every scan runs in slices.
 
-    Per-activity results are at most one row per hot activity, so they are broadcast.
+    Per-activity results are at most one row per hot activity; if those are ``few``, they are broadcast.
     """
     times = points.groupBy(key, "_us").agg(F.min("_d").alias("_low"), F.max("_d").alias("_high"))
     before = running(
@@ -192,7 +193,7 @@ def _across_tasks(points: DataFrame, key: str, distances: list[float], limit: fl
         F.max(_falls(F.col("_before"))).alias("_irregular"), F.count(F.lit(1)).alias("_count")
     )
     pieces = _roles(
-        attach(before, shape, [key]).withColumn(
+        attach(before, shape, [key], few).withColumn(
             "_level", F.explode(_pieces(F.col("_irregular"), F.col("_count")))
         )
     )
@@ -202,9 +203,9 @@ def _across_tasks(points: DataFrame, key: str, distances: list[float], limit: fl
     ends = pieces.where("_ends").groupBy(*cell, "_pos").agg(F.min("_us").alias("_end"))
     none = F.lit(None).cast("long")
 
-    def one(d: float) -> DataFrame:
+    def one(d: float, step: int) -> DataFrame:
         goals = starts.select(
-            *cell, (-(F.col("_pos") + F.lit(d))).alias("_at"), F.lit(1).alias("_kind"), "_start", none.alias("_end")
+            *cell, (-(F.col("_pos") + F.lit(step))).alias("_at"), F.lit(1).alias("_kind"), "_start", none.alias("_end")
         )
         reached = ends.select(
             *cell, (-F.col("_pos")).alias("_at"), F.lit(0).alias("_kind"), none.alias("_start"), "_end"
@@ -216,6 +217,6 @@ def _across_tasks(points: DataFrame, key: str, distances: list[float], limit: fl
             (F.col("_first") - F.col("_start")).alias("_dur"),
         )
         best = found.groupBy(key).agg(F.min("_dur").alias("_best"))
-        return attach(found, best, [key]).where("_dur = _best").select(key, "_us", "event_distance", "_dur")
+        return attach(found, best, [key], few).where("_dur = _best").select(key, "_us", "event_distance", "_dur")
 
-    return reduce(DataFrame.unionByName, [one(d) for d in distances])
+    return reduce(DataFrame.unionByName, [one(d, step) for d, step in distances.items()])

@@ -26,6 +26,11 @@ def first_row(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 def lap_bounds(laps: DataFrame, key: str = "activity_id", order: list[str] = ("number",), min_rows: float | None = None):
     """Distance at the end of each lap. Laps without a distance bound nothing and are left out."""
     known = laps.where(F.col("total_distance").isNotNull())
+    if known.schema["total_distance"].dataType.typeName() in {"double", "float"}:
+        # Whole micrometres add up to the same in any order.
+        exact = {"lap_end": ("sum", F.col("total_distance").cast("decimal(28,6)"))}
+        ends = running(known, [key], list(order), exact, min_rows=min_rows)
+        return ends.withColumn("lap_end", F.col("lap_end").cast("double"))
     return running(known, [key], list(order), {"lap_end": ("sum", "total_distance")}, min_rows=min_rows)
 
 
@@ -44,10 +49,10 @@ def assign_laps(
     one exchange and no lap list per activity.
     """
     limit = min_rows_for(points.sparkSession, min_rows)
-    # Laps are counted apart from points: an activity may be hot in one and not in the other.
     bounds = lap_bounds(laps, key, lap_order, limit).select(key, F.col("lap_end").alias("_pos"))
-    hot_keys = heavy_groups(points, [key], limit)
-    if not hot_keys:
+    # Points and lap ends are scanned together, so they count together.
+    hot_keys = heavy_groups(points.select(key).unionByName(laps.select(key)), [key], limit)
+    if hot_keys is None:
         return _count_ends(points, bounds, key, distance)
 
     cold, hot = part_hot(points, [key], hot_keys)
@@ -63,7 +68,7 @@ def assign_laps(
     counted = running(line, [key], ["_pos", "_kind"], {"_passed": ("count", ends)}, min_rows=limit)
     at_place = counted.where("_kind = 0").select(key, F.col("_pos").alias(distance), "_passed")
     total = hot_bounds.groupBy(key).agg(F.count(F.lit(1)).alias("_total"))
-    placed = attach(heavy_join(hot, at_place, [key, distance], "left", limit), total, [key])
+    placed = attach(heavy_join(hot, at_place, [key, distance], "left", limit), total, [key], hot_keys.few)
     hot_out = placed.select(
         *points.columns, (F.coalesce("_passed", "_total", F.lit(0)) + 1).cast("int").alias("lap")
     )

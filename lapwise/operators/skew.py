@@ -1,9 +1,8 @@
 """Groups too large for one task: finding them, joining on them, scanning through them.
 
-One rule bounds everything here. ``heavy_groups`` returns the largest groups above
-``min_rows``, at most ``HOT_GROUPS`` of them, so the list fits on the driver and in
-a broadcast. A group left out is no larger than one in ``HOT_GROUPS`` of all rows, or
-than ``min_rows``, and one task can take it.
+``heavy_groups`` returns every group above ``min_rows``, however many there are. Up to
+``FEW_GROUPS`` of them are rows of the plan and may be broadcast; more stay a distributed table,
+and joins with it are shuffled, where adaptive skew handling splits the hot side.
 """
 
 from __future__ import annotations
@@ -12,12 +11,14 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-HOT_GROUPS = 4096
+from lapwise.session import durable
+
+FEW_GROUPS = 4096
+FEW_SLICES = 100_000
 DEFAULT_MIN_ROWS = 2_000_000
 MIN_ROWS_SETTING = "spark.lapwise.hotGroupRows"
 # In place of a row limit: the caller has counted a frame that contains this one, found no
@@ -25,6 +26,14 @@ MIN_ROWS_SETTING = "spark.lapwise.hotGroupRows"
 MEASURED = float("inf")
 
 
+@dataclass
+class Groups:
+    """One row per hot group; ``few`` if they may be broadcast."""
+
+    frame: DataFrame
+    few: bool
+
+
 def min_rows_for(spark: SparkSession, given: float | None) -> float:
     """Rows one task may take without question: the argument, else the session's setting."""
     if given is not None:
@@ -32,22 +41,23 @@ def min_rows_for(spark: SparkSession, given: float | None) -> float:
     return int(spark.conf.get(MIN_ROWS_SETTING, str(DEFAULT_MIN_ROWS)))
 
 
-def heavy_groups(df: DataFrame, keys: list[str], min_rows: float, order: list[str] = ()) -> list[Row]:
-    """Keys, row count ``_n`` and the range of each ``order`` column, largest groups first.
+def heavy_groups(df: DataFrame, keys: list[str], min_rows: float, order: list[str] = ()) -> Groups | None:
+    """Keys, row count ``_n`` and the range of each ``order`` column of the groups above ``min_rows``.
 
     Reads the named columns only and counts before the shuffle.
     """
     if min_rows == MEASURED:
-        return []
+        return None
     ranges = [f(c).alias(f"_{n}{i}") for i, c in enumerate(order) for f, n in ((F.min, "lo"), (F.max, "hi"))]
-    return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"), *ranges)
-        .where(F.col("_n") > min_rows)
-        .orderBy(F.desc("_n"))
-        .limit(HOT_GROUPS)
-        .collect()
-    )
+    found = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *ranges).where(F.col("_n") > min_rows)
+    rows = found.limit(FEW_GROUPS + 1).collect()
+    if not rows:
+        return None
+    if len(rows) > FEW_GROUPS:
+        return Groups(durable(found), False)
+    # From Arrow, so that the plan holds the rows themselves and knows their size.
+    table = pa.Table.from_pylist([r.asDict() for r in rows], to_arrow_schema(found.schema))
+    return Groups(df.sparkSession.createDataFrame(table, found.schema), True)
 
 
 def measured(df: DataFrame, keys: list[str], min_rows: float | None = None) -> float:
@@ -59,37 +69,27 @@ def measured(df: DataFrame, keys: list[str], min_rows: float | None = None) -> f
     return limit if heavy_groups(df, keys, limit) else MEASURED
 
 
-def _group_frame(df: DataFrame, keys: list[str], rows: list[tuple], extra: list[T.StructField]) -> DataFrame:
-    """Bounded driver-side rows as a frame whose key columns are ``_g_<key>``."""
-    schema = T.StructType([T.StructField(f"_g_{k}", df.schema[k].dataType) for k in keys] + extra)
-    # From Arrow, so that the plan holds the rows themselves and knows their size.
-    table = pa.Table.from_pylist([dict(zip(schema.names, r)) for r in rows], to_arrow_schema(schema))
-    return df.sparkSession.createDataFrame(table, schema)
-
-
 def _same_group(keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_g_{k}")) for k in keys])
 
 
-def attach(df: DataFrame, groups: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
-    """Broadcast-join one row per hot group; ``groups`` has key columns ``keys``.
+def _side(df: DataFrame, few: bool) -> DataFrame:
+    return F.broadcast(df) if few else df
 
-    Only for frames bounded by ``HOT_GROUPS`` (or by the number of slices of hot groups).
-    """
+
+def attach(df: DataFrame, groups: DataFrame, keys: list[str], few: bool, how: str = "left") -> DataFrame:
+    """Join one row per group of ``keys``; ``few`` says that ``groups`` is bounded and may be broadcast."""
     named = groups.select(
         *[F.col(k).alias(f"_g_{k}") for k in keys], *[c for c in groups.columns if c not in keys]
     )
-    return df.join(F.broadcast(named), _same_group(keys), how).drop(*[f"_g_{k}" for k in keys])
+    return df.join(_side(named, few), _same_group(keys), how).drop(*[f"_g_{k}" for k in keys])
 
 
-def part_hot(df: DataFrame, keys: list[str], hot: list[Row]) -> tuple[DataFrame, DataFrame]:
+def part_hot(df: DataFrame, keys: list[str], hot: Groups) -> tuple[DataFrame, DataFrame]:
     """``df`` without the hot groups, and the hot groups alone."""
-    frame = _group_frame(df, keys, [tuple(r[k] for k in keys) for r in hot], [])
+    frame = _side(hot.frame.select(*[F.col(k).alias(f"_g_{k}") for k in keys]), hot.few)
     test = _same_group(keys)
-    return (
-        df.join(F.broadcast(frame), test, "left_anti"),
-        df.join(F.broadcast(frame), test, "left_semi"),
-    )
+    return df.join(frame, test, "left_anti"), df.join(frame, test, "left_semi")
 
 
 def heavy_join(
@@ -101,12 +101,12 @@ def heavy_join(
 ) -> DataFrame:
     """Equi join where keys repeat without bound on the left and are unique on the right.
 
-    Rows of heavy left keys meet the at most ``HOT_GROUPS`` right rows of those keys by
-    broadcast, where they stand; all others join by shuffle.
+    Rows of few heavy left keys meet the as few right rows of those keys by broadcast, where
+    they stand; all others join by shuffle.
     """
     limit = min_rows_for(left.sparkSession, min_rows)
     hot = heavy_groups(left, keys, limit)
-    if not hot:
+    if hot is None or not hot.few:
         return left.join(right, keys, how)
     cold_left, hot_left = part_hot(left, keys, hot)
     _, hot_right = part_hot(right, keys, hot)
@@ -118,11 +118,13 @@ class Slices:
     """Rows of ordinary groups, rows of hot groups, and the columns that slice the latter.
 
     ``(keys, cuts)`` names a slice; slices of a group follow each other in the order asked for.
+    ``few`` says that one row per slice may be broadcast.
     """
 
     cold: DataFrame
     hot: DataFrame | None = None
     cuts: list[str] = field(default_factory=list)
+    few: bool = True
 
 
 def slice_groups(df: DataFrame, keys: list[str], order: list[str], min_rows: float | None = None) -> Slices:
@@ -130,50 +132,48 @@ def slice_groups(df: DataFrame, keys: list[str], order: list[str], min_rows: flo
 
     A slice is an equal stretch of the first ``order`` column that varies in the group. A
     stretch that still holds too many rows is cut again, so clustered values end up in
-    small slices too. Slice borders are literals: a task run again puts each row in the
-    same slice. ``order`` columns are numeric; rows tied in all of them stay together.
+    small slices too. The hot rows are written once and cut from there; slice borders are
+    fixed when they are found: a task run again puts each row in the same slice. ``order``
+    columns are numeric; rows tied in all of them stay together.
     """
-    spark = df.sparkSession
-    limit = min_rows_for(spark, min_rows)
+    limit = min_rows_for(df.sparkSession, min_rows)
     hot = heavy_groups(df, keys, limit, order)
-    if not hot:
+    if hot is None:
         return Slices(df)
     cold, work = part_hot(df, keys, hot)
-    slice_rows = max(limit, sum(r["_n"] for r in hot) // HOT_GROUPS)
-
-    group, cuts = list(keys), []
-    while True:
-        rows = []
-        for r in hot:
-            by = next((i for i in range(len(order)) if r[f"_lo{i}"] != r[f"_hi{i}"]), None)
-            if by is not None:
-                bounds = [r[f"_{n}{i}"] if i == by else None for i in range(len(order)) for n in ("lo", "hi")]
-                rows.append((*[r[k] for k in group], by, -(-2 * r["_n"] // slice_rows), *bounds))
-        if not rows:
-            return Slices(cold, work, cuts)
-        extra = [T.StructField("_by", T.IntegerType()), T.StructField("_parts", T.LongType())]
-        extra += [
-            T.StructField(f"_{n}{i}", work.schema[c].dataType) for i, c in enumerate(order) for n in ("lo", "hi")
-        ]
+    work = durable(work)
+
+    group, cuts, few, slices = list(keys), [], hot.few, 0
+    bounds = [(F.col(f"_lo{i}"), F.col(f"_hi{i}")) for i in range(len(order))]
+    by = F.coalesce(*[F.when(~lo.eqNullSafe(hi), F.lit(i)) for i, (lo, hi) in enumerate(bounds)])
+    while hot is not None:
+        frame = hot.frame.select(
+            *[F.col(k).alias(f"_g_{k}") for k in group], by.alias("_by"),
+            F.ceil(2 * F.col("_n") / F.lit(limit)).alias("_parts"),
+            *[F.when(by == i, c).alias(f"_{n}{i}") for i, pair in enumerate(bounds) for n, c in zip(("lo", "hi"), pair)],
+        ).where("_by IS NOT NULL")
+        more = frame.agg(F.sum("_parts")).first()[0]
+        if more is None:
+            break
+        slices += more
         cut = f"_cut{len(cuts)}"
-        frame = _group_frame(work, group, rows, extra)
-        placed = work.join(F.broadcast(frame), _same_group(group), "left")
+        placed = work.join(_side(frame, hot.few), _same_group(group), "left")
         place = F.lit(None).cast("long")
         for i, c in enumerate(order):
-            lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
+            lo, hi = bounds[i]
             share = (F.col(c) - lo).cast("double") / (hi - lo).cast("double")
             stretch = F.least(F.floor(share * F.col("_parts")), F.col("_parts") - 1)
             # Nulls sort first, so they form a stretch of their own before all others.
             place = F.when(F.col("_by") == i, F.coalesce(stretch, F.lit(-1))).otherwise(place)
         work = placed.withColumn(cut, F.coalesce(place, F.lit(0))).select(
-            *[c for c in work.columns], cut, (F.col("_by").isNotNull()).alias("_again")
+            *work.columns, cut, (F.col("_by").isNotNull()).alias("_again")
         )
         cuts.append(cut)
         group = group + [cut]
-        hot = heavy_groups(work.where("_again"), group, slice_rows, order)
+        hot = heavy_groups(work.where("_again"), group, limit, order)
         work = work.drop("_again")
-        if not hot:
-            return Slices(cold, work, cuts)
+        few = few and (hot is None or hot.few)
+    return Slices(cold, work, cuts, few and slices <= FEW_SLICES)
 
 
 _FOLD = {
@@ -196,7 +196,7 @@ def running(
 
     ``outputs`` maps a new column to ``(aggregate, input)``. Ordinary groups take one
     window. Hot groups take a window per slice, plus what all earlier slices of the group
-    add up to: one small row per slice, joined back by broadcast.
+    add up to: one small row per slice, joined back.
     """
     inputs = {f"_in_{out}": (F.col(c) if isinstance(c, str) else c) for out, (_, c) in outputs.items()}
     keep = df.columns
@@ -224,7 +224,7 @@ def running(
             ],
         )
     )
-    joined = attach(windowed(parts.hot, group), carried, group)
+    joined = attach(windowed(parts.hot, group), carried, group, parts.few)
     hot = joined.select(
         *keep, *[_FOLD[agg][1](F.col(f"_carry_{out}"), F.col(out)).alias(out) for out, (agg, _) in outputs.items()]
     )
@@ -241,11 +241,11 @@ def totals(
         return frame.withColumns({out: v.over(Window.partitionBy(*keys)) for out, v in values.items()})
 
     hot_keys = heavy_groups(df, keys, min_rows_for(df.sparkSession, min_rows))
-    if not hot_keys:
+    if hot_keys is None:
         return windowed(df)
     cold, hot = part_hot(df, keys, hot_keys)
     per_group = hot.groupBy(*keys).agg(*[v.alias(out) for out, v in values.items()])
-    return windowed(cold).unionByName(attach(hot, per_group, keys))
+    return windowed(cold).unionByName(attach(hot, per_group, keys, hot_keys.few))
 
 
 def previous(
@@ -270,7 +270,7 @@ def previous(
         .select(*group, F.lag("_last").over(Window.partitionBy(*keys).orderBy(*parts.cuts)).alias("_before"))
     )
     first = F.row_number().over(Window.partitionBy(*group).orderBy(*order)) == 1
-    joined = attach(windowed(parts.hot, group).withColumn("_first", first), carried, group)
+    joined = attach(windowed(parts.hot, group).withColumn("_first", first), carried, group, parts.few)
     hot = joined.select(
         *keep,
         *[F.when(F.col("_first"), F.col(f"_before.{out}")).otherwise(F.col(out)).alias(out) for out in outputs],

@@ -47,6 +47,21 @@ def effort_uneven(spark, sf_dir):
     return _result(fastest_effort(points, 5000, **NAMES))
 
 
+def effort_fractional(spark, sf_dir):
+    """Distances in fractions of a metre, as devices give them."""
+    points, limit = tracks(spark, sf_dir)
+    points = points.withColumn("d", F.col("d") / 100)
+    return _result(fastest_effort(points, 200.07, min_rows=limit, **NAMES))
+
+
+def effort_one(spark, sf_dir):
+    """One activity, picked before anything is counted."""
+    points = read(spark, sf_dir, "events").where("user_id = 7").select(
+        "user_id", micros("ts").alias("us"), cents("value").alias("d")
+    )
+    return _result(fastest_effort(points, 5000, activity_id=7, **NAMES))
+
+
 def deltas(spark, sf_dir):
     points, limit = tracks(spark, sf_dir)
     out = point_deltas(points, tie=["event_id"], min_rows=limit, **NAMES)
@@ -91,6 +106,14 @@ QUERIES = {
         "WITH points AS (SELECT user_id, epoch_us(ts) AS us, CAST(round(value * 100) AS BIGINT) AS d FROM events), "
         f"pairs AS ({_PAIRS.format(distance=5000)}) {_BEST}",
     ),
+    "fastest_effort_fractional": (
+        effort_fractional, f"WITH points AS ({_TRACKS}), pairs AS ({_PAIRS.format(distance=20007)}) {_BEST}",
+    ),
+    "fastest_effort_one": (
+        effort_one,
+        "WITH points AS (SELECT user_id, epoch_us(ts) AS us, CAST(round(value * 100) AS BIGINT) AS d FROM events "
+        f"WHERE user_id = 7), pairs AS ({_PAIRS.format(distance=5000)}) {_BEST}",
+    ),
     "point_deltas": (
         deltas,
         f"""SELECT user_id, event_id, us, d, lag(us) OVER w AS start_us, lag(d) OVER w AS start_d

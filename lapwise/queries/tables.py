@@ -26,9 +26,3 @@ def cents(column: str) -> Column:
 
 def prop(name: str) -> Column:
     return F.get_json_object("props", f"$.{name}").cast("int")
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores, where a small table comes in fewer pieces and the work per row is heavy."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lapwise.queries.tables import prop, read, spread
+from lapwise.queries.tables import prop, read
 from lapwise.sources.tracks import gpx_points, parse_gpx, parse_tcx, tcx_laps, tcx_points
 
 
@@ -20,7 +20,7 @@ def _text(c: Column) -> Column:
 
 
 def _events(spark, sf_dir):
-    return spread(read(spark, sf_dir, "events")).select(
+    return read(spark, sf_dir, "events").repartition("event_id").select(
         "event_id", "value", prop("k").alias("k"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("time")
     )
 

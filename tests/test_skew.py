@@ -23,13 +23,22 @@ def rows(spread: str, seed: int):
     return out
 
 
+@pytest.fixture(params=[4096, 2])
+def few(request, monkeypatch):
+    """With hot groups that may be broadcast, and with more of them than that."""
+    from lapwise.operators import skew
+
+    monkeypatch.setattr(skew, "FEW_GROUPS", request.param)
+    monkeypatch.setattr(skew, "FEW_SLICES", 10 * request.param)
+
+
 def by_id(df):
     return sorted(map(tuple, df.collect()), key=lambda r: r[0])
 
 
 @pytest.mark.parametrize("spread", ["even", "clustered", "steep"])
 @pytest.mark.parametrize("inclusive", [True, False])
-def test_running_and_previous(spark, spread, inclusive):
+def test_running_and_previous(spark, spread, inclusive, few):
     df = spark.createDataFrame(rows(spread, 7), "g int, at long, i long, v int")
     order, keys = ["at", "i"], ["g"]
     w = Window.partitionBy("g").orderBy("at", "i").rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
@@ -58,11 +67,11 @@ def test_no_hot_group_means_one_exchange(spark):
 
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
-def test_heavy_join(spark, how):
+def test_heavy_join(spark, how, few):
     left = spark.createDataFrame([(k, i) for i in range(300) for k in [1, 1, 1, 2, i, None]], "k int, i int")
     right = spark.createDataFrame([(k, k * 10) for k in range(0, 50, 2)] + [(1, 7)], "k int, v int")
     want = left.join(right, ["k"], how)
     got = heavy_join(left, right, ["k"], how, min_rows=50)
     key = lambda r: tuple((x is None, x) for x in r)
     assert sorted(map(tuple, got.collect()), key=key) == sorted(map(tuple, want.collect()), key=key)
-    assert {r["k"] for r in heavy_groups(left, ["k"], 50)} == {1, 2, None}
+    assert {r["k"] for r in heavy_groups(left, ["k"], 50).frame.collect()} == {1, 2, None}
