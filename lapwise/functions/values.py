@@ -11,15 +11,6 @@ METRES_PER_MILE = 1609.335
 NO_ACTIVITY_YET = "1900-01-01T12:00:00Z"
 
 
-def is_nan(c: Column) -> Column:
-    return F.isnan(c)
-
-
-def nan_to_null(c: Column) -> Column:
-    """NaN stands for a missing number."""
-    return F.when(~F.isnan(c), c)
-
-
 def degrees(semicircles: Column) -> Column:
     return semicircles.cast("double") / F.lit(SEMICIRCLES_PER_DEGREE)
 
@@ -32,11 +23,6 @@ def seconds_to_duration(seconds: Column) -> Column:
     return F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
 
 
-def without_zone(ts: Column) -> Column:
-    """Wall-clock time in UTC, the zone dropped."""
-    return ts.cast("timestamp_ntz")
-
-
 def lenient_time(text: Column) -> Column:
     """UTC time, or null where the text is no time."""
     return F.try_to_timestamp(text)

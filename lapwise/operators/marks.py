@@ -28,9 +28,9 @@ def high_water(activities: DataFrame, now: datetime | None = None, time: str = "
 
 def high_water_date(activities: DataFrame, today: date | None = None, time: str = "timestamp") -> DataFrame:
     """One row, ``after``: the latest activity date up to ``today``; null without one."""
-    limit = F.current_date() if today is None else F.lit(today)
-    day = F.to_date(time)
-    return activities.where(day <= limit).agg(F.max(day).alias("after"))
+    # Compared with the next midnight, so the filter reaches the scan.
+    midnight = F.date_add(F.current_date() if today is None else F.lit(today), 1).cast(activities.schema[time].dataType)
+    return activities.where(F.col(time) < midnight).agg(F.to_date(F.max(time)).alias("after"))
 
 
 def newer_files(

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapwise.functions.values import miles
-from lapwise.operators.skew import heavy_join
 
 
 def classify_sport(sessions: DataFrame, key: str = "activity_id", sport: str = "sport") -> DataFrame:
@@ -46,19 +45,17 @@ def longest_multi_session(
     activities: DataFrame,
     sessions: DataFrame,
     key: str = "activity_id",
-    min_rows: float | None = None,
 ) -> DataFrame:
     """Activities of several sessions with each session distance, longest first.
 
     Sessions of equal distance in one activity are one row and weigh in together; that
     weight orders rows within an activity.
     """
-    several = activities.where(F.col("num_sessions") > 1)
-    # Joined before grouping: the join's partitioning by activity serves the grouping too.
-    joined = heavy_join(sessions.select(key, "total_distance"), several, [key], "inner", min_rows)
+    # Grouped before the join, by two columns: few rows per activity meet its long one.
+    weighed = sessions.groupBy(key, "total_distance").agg(F.sum("total_distance").alias("sum_distance"))
     return (
-        joined.groupBy(*activities.columns, "total_distance")
-        .agg(F.sum("total_distance").alias("sum_distance"))
+        activities.where(F.col("num_sessions") > 1).join(weighed, key)
+        .select(*activities.columns, "total_distance", "sum_distance")
         .orderBy(F.desc_nulls_first("adjusted_distance"), F.desc_nulls_first("sum_distance"), key)
     )
 

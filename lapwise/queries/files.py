@@ -47,9 +47,11 @@ def _summaries(spark, sf_dir):
         F.struct(
             F.col("value").alias("distance"), (F.col("k") * 10).alias("duration"),
             F.when(F.col("k") % 2 == 0, F.col("k")).alias("directWorkoutFeel"),
+            F.when(F.col("k") % 5 == 0, F.col("k") + 0.5).alias("directWorkoutRpe"),
         ).alias("summaryDTO"),
         F.when(F.col("k") % 3 != 0, F.struct(F.col("event_type").alias("typeKey"))).alias("eventTypeDTO"),
         F.concat(F.lit("activity "), F.col("event_id")).alias("activityName"),
+        F.when(F.col("k") % 4 == 1, F.concat(F.lit('said "'), F.col("event_type"), F.lit('"'))).alias("description"),
         F.array(F.struct(F.lit(1).alias("v")), F.struct(F.col("k").alias("v"))).alias("legs"),
     )
     return _events(spark, sf_dir).select("event_id", F.to_json(summary).alias("doc"))
@@ -80,9 +82,9 @@ QUERIES = {
     "json_paths": (
         json_paths,
         """SELECT event_id, value AS adjusted_distance, k * 10.0::DOUBLE AS adjusted_duration,
-                  CASE WHEN k % 2 = 0 THEN k::DOUBLE END AS workout_feel, CAST(NULL AS DOUBLE) AS effort,
+                  CASE WHEN k % 2 = 0 THEN k::DOUBLE END AS workout_feel, CASE WHEN k % 5 = 0 THEN k + 0.5::DOUBLE END AS effort,
                   CASE WHEN k % 3 <> 0 THEN event_type END AS category, 'activity ' || event_id AS activity_name,
-                  CAST(NULL AS VARCHAR) AS description, k::DOUBLE AS second_leg, CAST(NULL AS DOUBLE) AS third_leg
+                  CASE WHEN k % 4 = 1 THEN 'said "' || event_type || '"' END AS description, k::DOUBLE AS second_leg, CAST(NULL AS DOUBLE) AS third_leg
            FROM (SELECT *, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events)""",
     ),
 }

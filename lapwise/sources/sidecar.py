@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lapwise.functions.names import pair_key
 from lapwise.functions.values import nested
@@ -36,7 +39,30 @@ def read_sidecars(spark: SparkSession, path: str, glob: str = "*_summary.json")
     return docs.select("file", pair_key(F.col("file")).alias("pair"), *[F.col(p).alias(n) for p, n in PATHS.items()])
 
 
+def _type(tree: dict) -> T.DataType:
+    if not tree:
+        return T.StringType()
+    return T.StructType([T.StructField(step, _type(below)) for step, below in tree.items()])
+
+
 def flatten(docs: DataFrame, text: str, paths: dict[str, str]) -> DataFrame:
-    """``docs`` with one text column per dotted path of its JSON column."""
-    found: dict[str, Column] = {name: nested(F.col(text), path) for path, name in paths.items()}
-    return docs.withColumns(found)
+    """``docs`` with one text column per dotted path of its JSON column; null when absent.
+
+    All paths through objects share one parse. Digits index lists, whose elements may differ in kind:
+    such a path is read by itself, as is one that ends where another goes on.
+    """
+    tree: dict = {}
+    for path in paths:
+        if not any(step.isdigit() for step in path.split(".")):
+            reduce(lambda node, step: node.setdefault(step, {}), path.split("."), tree)
+    parsed = F.from_json(text, _type(tree)) if tree else None
+
+    def at(path: str) -> Column:
+        node, found = tree, parsed
+        for step in path.split("."):
+            if step not in node:
+                return nested(F.col(text), path)
+            node, found = node[step], found[step]
+        return nested(F.col(text), path) if node else found
+
+    return docs.withColumns({name: at(path) for path, name in paths.items()})
