@@ -37,6 +37,14 @@ def blocks_for(rows: int, rows_per_block: int = ROWS_PER_BLOCK) -> int:
     return max(1, -(-rows // rows_per_block))
 
 
+def compact(df: DataFrame, rows: int, rows_per_task: int = 100_000) -> DataFrame:
+    """``df`` of about ``rows`` narrow rows in as few partitions as suit them, without a shuffle.
+
+    Iterations over a small table would else write a file per partition and shuffle, again and again.
+    """
+    return df.coalesce(blocks_for(rows, rows_per_task))
+
+
 def running_total(
     df: DataFrame, groups: list[str], place: str, ties: Iterable[str], value: Column, out: str, blocks: int
 ) -> DataFrame:

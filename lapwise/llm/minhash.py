@@ -3,16 +3,16 @@
 1. Every text becomes its set of word shingles, kept as 64-bit hashes. Texts with the same set are one
    class; a class is looked at once, whatever its number of documents.
 2. A class has ``BANDS`` bands of minimum hashes, as many rows in each as keep the chance that
-   a pair at the threshold shares no band below ``BAND_MISS``. Classes that share bands, directly or
-   through others, form a region: no link leaves it. A band's classes are joined to the
-   smallest of them, never pair by pair.
-3. A task takes a region, or a part of a large one, and compares signatures batch by batch. After each
-   batch the posterior of the similarity (uniform prior) says how likely the pair reaches the
-   threshold; below ``MISS`` it is dropped. Survivors are verified on their whole sets. Pairs that
-   links have joined already are skipped, and only links that join something are returned.
-4. Regions above ``part`` classes are cut into parts. Every part meets the first one; classes that are
-   then outside the region's largest group meet all parts. So every pair of different groups is
-   compared, while a group of any size costs a few passes and never one task.
+   a pair at the threshold shares no band below ``BAND_MISS``. Classes with a band in common are
+   candidates. A task compares their signatures (one byte per hash) batch by batch. After each batch
+   the posterior of the similarity (uniform prior) says how likely the pair reaches the threshold;
+   below ``MISS`` it is dropped. Classes joined by pairs that stay form a region: no link leaves it.
+3. A task takes regions, compares their pairs in the same way, and verifies what stays on the whole sets.
+4. In both steps a pair of classes joined already is skipped, and only what joins two groups is
+   returned, so no step writes all pairs. A band or region above ``part`` classes is cut into parts. Every
+   part meets the first one; classes that are then outside the largest group meet all
+   parts. So every pair of different groups is compared, while a group of any size costs a few
+   passes and never one task.
 
 A text without words links with nothing; one with fewer words than a shingle has is one shingle. Letters
 A to Z count as lower case. Null and repeated keys and equal rows are allowed: rows are told
@@ -31,6 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lapwise.llm.common import blocks_for, compact
 from lapwise.llm.graph import components
 from lapwise.session import durable
 
@@ -38,7 +39,8 @@ BANDS = 30
 BAND_MISS = 1e-6
 MISS = 1e-6
 BATCH = 20
-PART = 500
+PART = 500  # classes whose texts a task takes
+BAND_PART = 10_000  # classes whose signatures a task takes
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _WORDS_KEPT = 300_000
 
@@ -104,19 +106,22 @@ def _bands(minimums: np.ndarray) -> np.ndarray:
 
 
 def profile(text: Column, width: int, percent: int) -> Column:
-    """``struct<n, high, low, bands>``: size of the set, its 128-bit hash in two parts, and its bands."""
+    """``struct<n, high, low, bands, brief>``: size of the set, its 128-bit hash in two parts, bands and signature."""
     hashes = BANDS * rows_per_band(percent)
 
-    @F.arrow_udf("struct<n:bigint,high:bigint,low:bigint,bands:array<bigint>>")
+    @F.arrow_udf("struct<n:bigint,high:bigint,low:bigint,bands:array<bigint>,brief:binary>")
     def profiled(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        kind = pa.struct([(c, pa.int64()) for c in ("n", "high", "low")] + [("bands", pa.list_(pa.int64()))])
+        kind = pa.struct([(c, pa.int64()) for c in ("n", "high", "low")] + [("bands", pa.list_(pa.int64())), ("brief", pa.binary())])
         for batch in batches:
             rows = []
             for value in batch:
                 found = shingles(value.as_buffer().to_pybytes() if value.is_valid else b"", width)
                 high, low = np.frombuffer(xxhash.xxh3_128_digest(found.tobytes()), np.int64).tolist()
-                bands = _bands(signature(found, hashes)) if len(found) else None
-                rows.append({"n": len(found), "high": high, "low": low, "bands": bands})
+                bands = brief = None
+                if len(found):
+                    minimums = signature(found, hashes)
+                    bands, brief = _bands(minimums), (_mixed(minimums) >> np.uint64(56)).astype(np.uint8).tobytes()
+                rows.append({"n": len(found), "high": high, "low": low, "bands": bands, "brief": brief})
             yield pa.array(rows, kind)
 
     return profiled(text)
@@ -140,17 +145,19 @@ def least_matches(percent: int, hashes: int, miss: float = MISS) -> tuple[tuple[
 
 
 def join_groups(
-    sets: list[np.ndarray], signatures: np.ndarray, labels: np.ndarray, mine: np.ndarray, percent: int
+    signatures: np.ndarray, labels: np.ndarray, mine: np.ndarray, percent: int, sets: list[np.ndarray] | None = None
 ) -> list[tuple[int, int]]:
-    """Links (places of two sets) that join sets of different ``labels``; pairs without a set of ``mine`` are left out."""
-    sizes = np.array([len(s) for s in sets])
+    """Places of pairs that join different ``labels``; pairs without one of ``mine`` are left out.
+
+    A pair joins if its signatures do not rule the threshold out and, where ``sets`` are given, they reach it.
+    """
     steps = least_matches(percent, signatures.shape[1])
+    sizes = np.array([len(s) for s in sets]) if sets else np.ones(len(labels), np.int64)
     links = []
-    for i in range(len(sets) - 1):
-        rest = np.arange(i + 1, len(sets))
-        fits = (labels[rest] != labels[i]) & (mine[rest] | mine[i])
-        fits &= 100 * np.minimum(sizes[rest], sizes[i]) >= percent * np.maximum(sizes[rest], sizes[i])
-        rest = rest[fits]
+    for i in range(len(labels) - 1):
+        fits = (labels[i + 1:] != labels[i]) & (mine[i + 1:] | mine[i])
+        fits &= 100 * np.minimum(sizes[i + 1:], sizes[i]) >= percent * np.maximum(sizes[i + 1:], sizes[i])
+        rest = np.flatnonzero(fits) + i + 1
         matches = np.zeros(len(rest), np.int64)
         for n, least in steps:
             if not len(rest):
@@ -160,73 +167,95 @@ def join_groups(
         for j in rest.tolist():
             if labels[i] == labels[j]:
                 continue
-            common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-            if 100 * common >= percent * (sizes[i] + sizes[j] - common):
-                links.append((i, j))
-                labels[labels == labels[j]] = labels[i]
+            if sets:
+                common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if 100 * common < percent * (sizes[i] + sizes[j] - common):
+                    continue
+            links.append((i, j))
+            labels[labels == labels[j]] = labels[i]
     return links
 
 
-def _verify(tasks: DataFrame, keys: list[str], width: int, percent: int) -> DataFrame:
-    """Links ``a, b`` of each task's classes; tasks hold ``node, label, mine, text``."""
+def _in_tasks(tasks: DataFrame, rows: int, part: int, width: int, percent: int, verify: bool) -> DataFrame:
+    """Links ``a, b`` that join classes of a task; several tasks share a group of about ``part`` rows.
+
+    ``tasks`` hold, in about ``rows`` rows, ``task`` (array), ``node, label, mine, data``: texts to verify, or signatures.
+    """
     hashes = BANDS * rows_per_band(percent)
 
     def linked(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
-        nodes = table["node"].to_numpy()
-        _, labels = np.unique(table["label"].to_numpy(), return_inverse=True)
+        task = np.unique(table["task"].to_numpy(), return_inverse=True)[1].reshape(-1)
+        order = np.argsort(task, kind="stable")
+        table = table.take(pa.array(order))
+        nodes, label = table["node"].to_numpy(), table["label"].to_numpy()
         mine = table["mine"].to_numpy(zero_copy_only=False)
-        sets = [shingles(v.as_buffer().to_pybytes(), width) for v in table["text"]]
-        signatures = np.stack([signature(s, hashes) for s in sets])
-        links = join_groups(sets, signatures, labels.reshape(-1), mine, percent)
-        a, b = ([int(nodes[pair[k]]) for pair in links] for k in (0, 1))
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-    columns = [*keys, "node", "label", "mine", "text"]
-    return tasks.select(*columns).groupBy(*keys).applyInArrow(linked, "a bigint, b bigint")
-
+        data = table["data"].to_pylist()
+        borders = np.flatnonzero(np.diff(task[order])) + 1
+        found = []
+        for begin, end in zip([0, *borders], [*borders, len(task)]):
+            if end - begin < 2:
+                continue
+            sets = [shingles(d, width) for d in data[begin:end]] if verify else None
+            signatures = np.stack(
+                [signature(s, hashes) for s in sets] if verify else [np.frombuffer(d, np.uint8) for d in data[begin:end]]
+            )
+            labels = np.unique(label[begin:end], return_inverse=True)[1].reshape(-1)
+            found += [(nodes[begin + i], nodes[begin + j]) for i, j in join_groups(signatures, labels, mine[begin:end], percent, sets)]
+        return pa.table({"a": pa.array([int(a) for a, _ in found], pa.int64()), "b": pa.array([int(b) for _, b in found], pa.int64())})
 
-def _text_key(key: Column) -> Column:
-    return F.coalesce(key.cast("string"), F.lit(""))
+    groups = blocks_for(rows, part)
+    return (
+        tasks.select(F.xxhash64("task").alias("task"), "node", "label", "mine", "data")
+        .groupBy(F.pmod("task", F.lit(groups)).alias("group")).applyInArrow(linked, "a bigint, b bigint").coalesce(groups)
+    )
 
 
-def _links(members: DataFrame, width: int, percent: int, part: int) -> DataFrame:
-    """All links that join classes; ``members`` hold ``region, node, text``."""
-    sizes = members.groupBy("region").agg(F.ceil(F.count(F.lit(1)) / part).cast("int").alias("parts"))
+def _links(members: DataFrame, part: int, width: int, percent: int, verify: bool) -> DataFrame:
+    """Pairs ``a, b`` that join the classes of each region as all pairs that fit would; ``members``: ``region, node, data``."""
+    sizes = durable(
+        members.groupBy("region").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+        .withColumn("parts", F.ceil(F.col("size") / part).cast("int"))
+    )
+    # The first part of a region is in every task: twice as many rows at most.
+    rows, most = sizes.agg(F.coalesce(F.sum(F.when(F.col("parts") > 1, 2 * F.col("size")).otherwise(F.col("size"))), F.lit(0)),
+                           F.coalesce(F.max("parts"), F.lit(1))).first()
     placed = (
-        members.join(sizes, "region")
+        members.join(sizes.drop("size"), "region")
         .withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
         .withColumn("label", F.col("node"))
     )
     # The first part of a region meets every part.
-    everywhere = F.when(F.col("own") == 0, F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array("own"))
-    first = placed.select("*", F.explode(everywhere).alias("task")).withColumn("mine", F.col("own") == F.col("task"))
-    links = durable(_verify(first, ["region", "task"], width, percent))
-    large = placed.where("parts > 1")
-    if large.isEmpty():
+    meets = F.when(F.col("own") == 0, F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array("own"))
+    first = placed.select("*", F.explode(meets).alias("other")).select(
+        F.array("region", "other").alias("task"), "node", "label", (F.col("own") == F.col("other")).alias("mine"), "data"
+    )
+    links = durable(_in_tasks(first, rows, part, width, percent, verify))
+    if most == 1:
         return links
+    large = placed.where("parts > 1")
     groups = components(links)
-    labelled = (
-        large.join(groups, "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root")
-    )
+    labelled = large.join(groups, "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root")
     counts = labelled.groupBy("region", "label").count()
     main = counts.groupBy("region").agg(F.max_by("label", F.struct("count", "label")).alias("main"))
-    outside = F.col("label") != F.col("main")
-    rest = labelled.join(main, "region").withColumn("outside", outside)
-    turns = rest.where("outside").groupBy("region").agg(F.ceil(F.count(F.lit(1)) / part).cast("int").alias("turns"))
+    rest = labelled.join(main, "region").withColumn("outside", F.col("label") != F.col("main"))
+    turns = durable(rest.where("outside").groupBy("region", "parts").agg(F.count(F.lit(1)).alias("left")))
+    turns = turns.withColumn("turns", F.ceil(F.col("left") / part).cast("int"))
+    # Each class outside meets every part, and every part each turn.
+    rows = turns.agg(F.coalesce(F.sum((F.col("left") + F.col("turns") * part) * F.col("parts")), F.lit(0))).first()[0]
+    turns = turns.select("region", "turns")
     rest = rest.join(turns, "region").withColumn("turn", F.pmod(F.xxhash64("node", F.lit(1)), F.col("turns")).cast("int"))
-    asking = rest.where("outside").select(
-        "region", "turn", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("task"), "node", "label", F.lit(True).alias("mine"), "text"
+    asking = rest.where("outside").select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")).select(
+        F.array("region", "turn", "other").alias("task"), "node", "label", F.lit(True).alias("mine"), "data"
     )
-    asked = rest.select(
-        "region", F.explode(F.sequence(F.lit(0), F.col("turns") - 1)).alias("turn"), F.col("own").alias("task"),
-        "node", "label", F.lit(False).alias("mine"), "text",
+    asked = rest.drop("turn").select("*", F.explode(F.sequence(F.lit(0), F.col("turns") - 1)).alias("turn")).select(
+        F.array("region", "turn", "own").alias("task"), "node", "label", F.lit(False).alias("mine"), "data"
     )
-    return links.unionByName(_verify(asking.unionByName(asked), ["region", "turn", "task"], width, percent))
+    return links.unionByName(durable(_in_tasks(asking.unionByName(asked), rows, part, width, percent, verify)))
 
 
 def near_duplicates(
-    docs: DataFrame, text: str, key: str, width: int = 5, percent: int = 80, part: int = PART
+    docs: DataFrame, text: str, key: str, width: int = 5, percent: int = 80, part: int = PART, band_part: int = BAND_PART
 ) -> DataFrame:
     """One row per document: ``key, text_hash, n_shingles, component_id, kept``.
 
@@ -241,29 +270,30 @@ def near_duplicates(
         .select("row", "key", "text_hash", "p.*")
     )
     filled = rows.where("n > 0")
-    classes = durable(filled.groupBy("high", "low").agg(F.min("row").alias("node"), F.min("key").alias("least")))
-    one = filled.select(F.col("row").alias("node"), "key", "high", "low", "bands").join(classes.select("node"), "node", "left_semi")
-    banded = one.select("node", F.explode("bands").alias("band"))
-    shared = banded.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub != last")
-    near = banded.join(shared.select("band", "hub"), "band").select(F.col("node").alias("a"), F.col("hub").alias("b"))
-    regions = components(near)
-    regions = regions.unionByName(regions.select(F.col("root").alias("node"), "root").distinct())
-
-    wanted = one.join(regions, "node").select(
-        F.col("root").alias("region"), "node", _text_key(F.col("key")).alias("name"), "high", "low"
-    )
-    source = docs.select(_text_key(F.col(key)).alias("name"), F.col(text).alias("text"))
-    # A key may be repeated with another text; the set's hash tells which row was meant.
-    found = source.join(wanted, "name").withColumn("p", set_hash(F.col("text"), width))
-    members = durable(
-        found.where("p.high = high and p.low = low").select("region", "node", "text").dropDuplicates(["node"])
+    classes = filled.groupBy("high", "low").agg(F.min("row").alias("node"), F.min("key").alias("least"))
+    classes = durable(compact(classes, rows.count()))
+    one = durable(filled.select(F.col("row").alias("node"), "key", "text_hash", "bands", "brief").join(
+        classes.select("node"), "node", "left_semi"
+    ))
+    banded = one.select("node", F.explode("bands").alias("region"))
+    shared = banded.groupBy("region").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("region")
+    candidates = banded.join(shared, "region").join(one.select("node", F.col("brief").alias("data")), "node")
+    regions = components(_links(durable(candidates), band_part, width, percent, False))
+    regions = durable(regions.unionByName(regions.select(F.col("root").alias("node"), "root").distinct()))
+
+    # A key may be repeated with another text; the hash of the text tells which was meant.
+    name = F.coalesce(F.col("key").cast("string"), F.lit("")).alias("name")
+    wanted = one.join(regions, "node").select(F.col("root").alias("region"), "node", name, "text_hash")
+    source = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).select(
+        name, F.xxhash64("text").alias("text_hash"), F.col("text").cast("binary").alias("data")
     )
-    groups = components(_links(members, width, percent, part))
+    members = durable(source.join(wanted, ["name", "text_hash"]).select("region", "node", "data").dropDuplicates(["node"]))
+    groups = components(_links(members, part, width, percent, True))
 
     class_root = classes.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = class_root.groupBy("root").agg(F.min("least").alias("component_id"))
     component = class_root.join(least, "root").select("high", "low", "root", "component_id")
-    joined = rows.drop("bands").join(component, ["high", "low"], "left")
+    joined = rows.drop("bands", "brief").join(component, ["high", "low"], "left")
     own = F.col("n") == 0
     result = durable(joined.select(
         "row", "key", "text_hash", F.col("n").alias("n_shingles"),
@@ -275,18 +305,3 @@ def near_duplicates(
         result.join(first.select("row", F.lit(True).alias("first")), "row", "left")
         .select(F.col("key").alias(key), "text_hash", "n_shingles", "component_id", F.coalesce("first", F.lit(False)).alias("kept"))
     )
-
-
-def set_hash(text: Column, width: int) -> Column:
-    """``struct<high, low>``: the hash of a text's shingle set, as in ``profile``."""
-
-    @F.arrow_udf("struct<high:bigint,low:bigint>")
-    def hashed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            digests = b"".join(
-                xxhash.xxh3_128_digest(shingles(v.as_buffer().to_pybytes() if v.is_valid else b"", width).tobytes()) for v in batch
-            )
-            pairs = np.frombuffer(digests, np.int64).reshape(-1, 2)
-            yield pa.StructArray.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["high", "low"])
-
-    return hashed(text)
