@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lapwise.functions.values import NO_ACTIVITY_YET
+from lapwise.schemas import DAY
 
 
 def _moment(now: datetime | None) -> Column:
@@ -36,8 +37,19 @@ def high_water_date(activities: DataFrame, today: date | None = None, time: str
 def newer_files(
     files: DataFrame, file_time: Column, after: datetime, now: datetime | None = None, until_now: bool = False
 ) -> DataFrame:
-    """Rows whose file time is past ``after`` and, on request, not past ``now``."""
+    """Rows whose file time is past ``after`` and, on request, not past ``now``.
+
+    Rows stored by ``day`` (that of the file time) are read from the mark's day on only.
+    """
     keep = file_time > _moment(after)
     if until_now:
         keep = keep & (file_time <= _moment(now))
+    if DAY in files.columns:
+        utc = after.astimezone(timezone.utc) if after.tzinfo else after
+        keep = keep & (F.col(DAY) >= F.lit(utc.date()))
     return files.where(keep)
+
+
+def untimed(files: DataFrame, file_time: Column) -> DataFrame:
+    """Rows whose file name holds no time; they are stored without a day."""
+    return files.where(file_time.isNull() & F.col(DAY).isNull() if DAY in files.columns else file_time.isNull())

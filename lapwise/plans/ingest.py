@@ -18,7 +18,7 @@ from lapwise.functions import names
 from lapwise.functions.values import default_name, lenient_time
 from lapwise.operators.intensity import align_intensity
 from lapwise.operators.laps import assign_laps, first_row, number_in_order, renumber_lengths
-from lapwise.operators.marks import high_water, newer_files
+from lapwise.operators.marks import high_water, newer_files, untimed
 from lapwise.operators.places import nearest_place
 from lapwise.operators.skew import heavy_join, measured
 from lapwise.operators.sports import activity_totals, fill_activity_time
@@ -51,8 +51,9 @@ def derive(messages: DataFrame, activity_id: Column, min_rows: float | None = No
     rows = {t: df.withColumn("activity_id", activity_id) for t, df in route(messages).items()}
 
     laps = number_in_order(rows["lap"], "file", ["seq"], "number", limit)
-    laps = laps.withColumn("number", F.col("number").cast("int"))
-    rows["lap"] = align_intensity(workout_fields(messages), laps, min_rows=limit)
+    # Few rows that the steps below read again and again: one scan each of the messages.
+    laps = durable(laps.withColumn("number", F.col("number").cast("int")))
+    rows["lap"] = align_intensity(durable(workout_fields(messages)), laps, min_rows=limit)
 
     points = rows["record"].withColumn("distance", F.col("distance").try_cast("double"))
     ends = laps.select("file", "number", F.col("total_distance").try_cast("double").alias("total_distance"))
@@ -86,7 +87,7 @@ def plan_connect(
     flat = sidecars.groupBy("pair").agg(F.min_by(F.struct(*PATHS.values()), "file").alias("_summary"))
     activities = _timed(fresh).withColumn("pair", names.pair_key(F.col("file")))
     activities = activities.join(flat, "pair", "left").drop("pair").select("*", "_summary.*").drop("_summary")
-    return _finish(fresh, activities, names.activity_id(F.col("file")), stored, messages.where(time.isNull()))
+    return _finish(fresh, activities, names.activity_id(F.col("file")), stored, untimed(messages, time))
 
 
 def plan_watch(
@@ -120,7 +121,7 @@ def plan_watch(
         .drop("sport", "city", "county")
     )
     return _finish(
-        fresh, activities, names.made_id(F.col("file")), stored, messages.where(time.isNull()), ids_are_made=True
+        fresh, activities, names.made_id(F.col("file")), stored, untimed(messages, time), ids_are_made=True
     )
 
 
@@ -133,12 +134,12 @@ def _timed(fresh: DataFrame) -> DataFrame:
 
 
 def _finish(
-    fresh: DataFrame, activities: DataFrame, activity_id: Column, stored: DataFrame, untimed: DataFrame,
+    fresh: DataFrame, activities: DataFrame, activity_id: Column, stored: DataFrame, without_time: DataFrame,
     ids_are_made: bool = False,
 ) -> Load:
     """Keep new activities that fit their table; of two files of one activity, the first by name.
 
-    Every other file is rejected with its reason: those of ``untimed`` messages, whose names hold no
+    Every other file is rejected with its reason: those of messages ``without_time``, whose names hold no
     time; those without an activity or with one that does not fit; and those that share a made
     id, which tells nothing about either.
     """
@@ -151,7 +152,7 @@ def _finish(
     absent = fresh.select("file").distinct().join(activities.select("file"), "file", "left_anti")
     rejected = because(tested.where(F.col("reasons") != ""), F.col("reasons")).unionByName(
         because(absent, F.lit("no activity message"))
-    ).unionByName(because(untimed.select("file").distinct(), F.lit("no time in the file name")))
+    ).unionByName(because(without_time.select("file").distinct(), F.lit("no time in the file name")))
     fit = tested.where(F.col("reasons") == "").drop("reasons")
     if ids_are_made:
         shared = reject_shared_ids(fit)

@@ -105,6 +105,7 @@ def struct(table: str) -> T.StructType:
     return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in columns(table)])
 
 
+DAY = "day"  # optional column of stored messages: the day of the file time
 MESSAGES = T.StructType(
     [
         T.StructField("file", T.StringType()),

@@ -1,8 +1,8 @@
 """Decoded device messages and the rows they hold.
 
 A message table has ``file, seq, name, fields``: one row per data message, ``seq`` its
-place in the file, ``fields`` the fields it carries as text. Store it partitioned by
-``name``: each table then reads its own messages only.
+place in the file, ``fields`` the fields it carries as text. ``write_messages`` stores it
+by day and ``name``: a load then reads the days since its mark only, each table its own messages.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapwise.functions.values import degrees
-from lapwise.schemas import DERIVED, LAYOUTS, MESSAGES, SEMICIRCLES, columns
+from lapwise.schemas import DAY, DERIVED, LAYOUTS, MESSAGES, SEMICIRCLES, columns
 
 # Fixed value: the stored name of a record's position fields.
 POSITION_FIELDS = {"latitude": "position_lat", "longitude": "position_long"}
@@ -21,6 +21,12 @@ def read_messages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataF
     return spark.read.schema(MESSAGES).format(fmt).load(path)
 
 
+def write_messages(messages: DataFrame, path: str, file_time: Column, mode: str = "append") -> None:
+    """Store messages by the day of their file's time, and by name."""
+    days = messages.withColumn(DAY, F.to_date(file_time))
+    days.write.mode(mode).partitionBy(DAY, "name").parquet(path)
+
+
 def field(name: str) -> Column:
     """A field as text; null when absent or not a number."""
     text = F.col("fields")[name]

@@ -189,7 +189,7 @@ def test_every_file_is_loaded_older_or_rejected(spark, sidecars, tmp_path):
     load_connect(store, frame(spark, files), sidecars, "a")
     assert {r[0] for r in store.read("activity").select("activity_id").collect()} == {101}
     assert {r["file"]: r["reason"] for r in store.rejected().collect()} == {
-        "notime_5.fit": "no time in the file name", "2024-03-05T10.00.00_x.fit": "activity_id", "2024-03-06T10.00.00.fit": "activity_id",
+        "notime_5.fit": "no time in the file name", "2024-03-05T10.00.00_x.fit": "activity_id", "2024-03-06T10.00.00.fit": "no time in the file name",
     }
 
 
@@ -291,3 +291,23 @@ def test_maintenance_and_reports(spark, loaded, tmp_path):
         "WHERE a.num_sessions > 1 ORDER BY s.total_distance DESC"
     )
     assert list(map(tuple, several.collect())) == [(102, 100.0), (102, 50.0)]
+
+
+def test_load_reads_new_days_only(spark, sidecars, tmp_path):
+    from lapwise.functions import names
+    from lapwise.sources.messages import read_messages, write_messages
+
+    files = {RUN: run, "2024-02-01T00.00.00_90.fit": run, "2024-04-01T00.00.00_110.fit": run, "odd_7.fit": run}
+    path = str(tmp_path / "messages")
+    write_messages(frame(spark, files), path, names.export_time(F.col("file")))
+    stored = read_messages(spark, path)
+    plan = plan_connect(stored, sidecars, Store(spark, str(tmp_path / "none")).read("activity"), datetime(2024, 3, 1, 7))
+    text = plan.messages._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in text and "2024-03-01" in text
+    read = {f.split("day=")[1][:10] for f in plan.messages.inputFiles()} if plan.messages.inputFiles() else set()
+    assert plan.messages.select("file").distinct().count() == 2 and read
+    store = Store(spark, str(tmp_path / "store"))
+    load_connect(store, stored, sidecars, "a")
+    assert {r[0] for r in store.read("activity").select("activity_id").collect()} == {101, 90, 110}
+    assert [r["file"] for r in store.rejected().collect()] == ["odd_7.fit"]
+    assert store.read("lap").count() == 6
