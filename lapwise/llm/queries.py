@@ -42,9 +42,9 @@ def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP3_SQL = """
 WITH v AS (
-    SELECT vec_id, list_transform(embedding, x -> floor(64 * x::DOUBLE)) AS c FROM embeddings
+    SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS c FROM embeddings
     WHERE embedding IS NOT NULL
-      AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = len(embedding)
+      AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
 ),
 s AS (
     SELECT q.vec_id AS query_id, w.vec_id AS vec_id, list_inner_product(q.c, w.c)::BIGINT AS score
@@ -61,6 +61,32 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
 
 
+_WORD = r"[^\x20\x09-\x0D]+"
+OP4_SQL = f"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') AS w
+    FROM documents
+),
+s AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
+    FROM w
+),
+g AS (SELECT doc_id, len(s) AS n, hash(unnest(s)) AS h FROM s),
+links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b FROM g a JOIN g b USING (h) WHERE a.doc_id <> b.doc_id
+    GROUP BY ALL HAVING 100 * count(*) >= 85 * (any_value(a.n) + any_value(b.n) - count(*))
+),
+reach AS (
+    SELECT doc_id AS a, doc_id AS b FROM documents
+    UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM s JOIN c USING (doc_id)
+"""
+
+
 def held_out(key: Column | str) -> Column:
     """Documents kept apart from learning, by their key."""
     key = F.col(key) if isinstance(key, str) else key
@@ -105,15 +131,55 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(read(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 50 == 0, 5)
 
 
+OP9_SQL = f"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{_WORD}'))::BIGINT AS size
+    FROM documents
+),
+n AS (
+    SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS n,
+           1.5::DOUBLE * sum(sum(size)) OVER () AS budget
+    FROM d GROUP BY source
+),
+w AS (SELECT *, [5, 2, 1][(n - 1) % 3 + 1]::DOUBLE AS weight, 2 * source_size AS most FROM n),
+l AS (
+    SELECT *, most / weight AS ratio,
+           (budget - coalesce(sum(most) OVER (ORDER BY most / weight, n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+           / sum(weight) OVER (ORDER BY most / weight, n ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+    FROM w
+),
+t AS (
+    SELECT source, source_size, budget, least(most::DOUBLE, coalesce(
+        (SELECT level FROM l WHERE level < ratio ORDER BY ratio, n LIMIT 1) * weight, most)) AS target
+    FROM l
+),
+copies AS (
+    SELECT d.*, target, budget, coalesce('=' || d.source, '') AS name,
+           (turn + ('0x' || md5(coalesce(doc_id::VARCHAR, 'null') || ':' || turn)[:13])::BIGINT / 4503599627370496.0::DOUBLE) / 2 AS place
+    FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source, range(2) AS turns(turn) WHERE size > 0 AND target > 0
+),
+served AS (
+    SELECT *, sum(size) OVER (PARTITION BY name ORDER BY place, doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING) / target AS finish
+    FROM copies
+),
+used AS (
+    SELECT *, sum(size) OVER (ORDER BY finish, name, place, doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING) AS used
+    FROM served
+),
+taken AS (SELECT r, sum(size)::BIGINT AS taken FROM used WHERE used <= budget GROUP BY r)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken
+FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source LEFT JOIN taken USING (r)
+"""
+
 QUERIES = {
     "op1_shard": (op1_shard, None),
     "op2_secret_scan": (op2_secret_scan, None),
     "op3_top_k": (op3_top_k, OP3_SQL),
-    "op4_near_duplicates": (op4_near_duplicates, None),
+    "op4_near_duplicates": (op4_near_duplicates, OP4_SQL),
     "op5_language_id": (op5_language_id, None),
     "op6_extract": (op6_extract, None),
     "op7_repeats": (op7_repeats, None),
     "op8_pack": (op8_pack, None),
-    "op9_mix": (op9_mix, None),
+    "op9_mix": (op9_mix, OP9_SQL),
     "op10_nearest": (op10_nearest, None),
 }
