@@ -42,7 +42,7 @@ BATCH = 20
 PART = 500  # classes whose texts a task takes
 BAND_PART = 10_000  # classes whose signatures a task takes
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-_WORDS_KEPT = 300_000
+_WORDS_KEPT = 100_000
 
 
 class _Words(dict):

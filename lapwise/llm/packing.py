@@ -17,12 +17,13 @@ like any others; extra columns stay.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from array import array
 from base64 import b64decode
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -32,7 +33,7 @@ from lapwise.llm.common import ROWS_PER_BLOCK, blocks_for, free_name, running_to
 from lapwise.session import durable
 
 CAPACITY = 2048
-_CACHE_LIMIT = 400_000
+_CACHE_LIMIT = 150_000
 _SPACES = re.compile(r"\s\s")
 
 
@@ -46,15 +47,22 @@ class Encoder:
 
     def __init__(self, vocabulary: str, ranks: str, pattern: str) -> None:
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.whole = Tokenizer.from_file(vocabulary)
-        self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        self.vocabulary = vocabulary
+        with open(vocabulary, encoding="utf-8") as described:
+            self.special = [token["content"] for token in json.load(described)["added_tokens"]]
         with open(ranks, "rb") as lines:
             table = {b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self.parts = tiktoken.Encoding("parts", pat_str=pattern, mergeable_ranks=table, special_tokens={})
         self.known: dict[str, bytes] = {}
 
+    @cached_property
+    def whole(self):
+        """The tokenizer itself, loaded by the first text that needs it: it takes much memory."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.vocabulary)
+
     def _learn(self, parts: list[str]) -> None:
         if len(self.known) + len(parts) > _CACHE_LIMIT:
             self.known = {}
