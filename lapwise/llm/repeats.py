@@ -97,14 +97,21 @@ def _triggers_of(data: bytes, begin: int, end: int) -> tuple[np.ndarray, np.ndar
 
 
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Trigger occurrences of ``key, mark, text`` rows; ``done`` if an earlier one in the batch has its context."""
+    """Trigger occurrences of ``key, mark, text`` rows; ``done`` if an earlier one in the batch has its context.
+
+    Of equal rows in a batch one is read; equal rows of several batches give equal occurrences.
+    """
     for batch in batches:
         keys = batch.column(0).to_numpy(zero_copy_only=False)
         marks = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
-        parts = []
+        parts, last = [], None
         for n in np.lexsort([marks, keys]):
             value = batch.column(2)[int(n)]
-            places, strings, contexts = triggers(value.as_buffer().to_pybytes() if value.is_valid else b"")
+            data = value.as_buffer().to_pybytes() if value.is_valid else b""
+            if last == (keys[n], data):
+                continue
+            last = keys[n], data
+            places, strings, contexts = triggers(data)
             parts.append((np.full(len(places), keys[n]), np.full(len(places), marks[n]), places, strings, contexts))
         if not parts:
             continue
@@ -251,9 +258,10 @@ def repeated_spans(
         _occurrences, "string bigint, context bigint, key bigint, at bigint, done boolean"
     ).repartition("string")
     of_string = Window.partitionBy("string")
+    # Occurrences at the same key and place are of equal rows, none before the other.
     first = Window.partitionBy("string", "context").orderBy("key", "at")
     ranked = (
-        found.withColumn("turn", F.row_number().over(first))
+        found.withColumn("turn", F.rank().over(first))
         .withColumn("mixed", F.min("context").over(of_string) != F.max("context").over(of_string))
         .withColumn("many", F.count(F.lit(1)).over(of_string))
     )
@@ -263,8 +271,8 @@ def repeated_spans(
         ranked.where(again | F.col("mixed"))
         .groupBy("key", F.shiftright("at", 32).alias("mark"))
         .agg(
-            F.collect_list(F.when(again, F.col("at").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int"))).alias("places"),
-            F.collect_list(F.when(~again, border)).alias("borders"),
+            F.collect_set(F.when(again, F.col("at").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int"))).alias("places"),
+            F.collect_set(F.when(~again, border)).alias("borders"),
         )
     )
     of_doc = (F.col("_key") == F.col("key")) & (F.col("_mark") == F.col("mark"))

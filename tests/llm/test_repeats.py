@@ -66,6 +66,21 @@ def test_awkward_rows(spark):
         assert [tuple(s) for s in r["repeats_"]] == want[r["doc_id"], r["text"]]
 
 
+@pytest.mark.parametrize("partitions", [1, 4])
+@pytest.mark.parametrize("settings", [{}, {"most_contexts": 2}])
+def test_equal_rows_keep_what_occurs_first_in_them(spark, partitions, settings):
+    dice = random.Random(9)
+    long, other = ("".join(dice.choice("abcdefgh") for _ in range(3000)) for _ in range(2))
+    rows = [(4, long), (2, long[500:900]), (4, long), (4, other), (4, long), (None, other), (None, other), (6, long[700:2000] + other), (6, long[700:2000] + other)]
+    want = brute(rows)
+    assert want[None, other] == [] and want[4, long] == [(500, 900)]
+    docs = documents(spark, rows).repartition(partitions)
+    found = repeated_spans(docs, "text", "doc_id", **settings).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        assert [tuple(s) for s in r["repeats"]] == want[r["doc_id"], r["text"]], r["doc_id"]
+
+
 def test_empty_table(spark):
     assert repeated_spans(documents(spark, []), "text", "doc_id").collect() == []
 
