@@ -18,7 +18,7 @@ order of tasks. Only the prototypes (languages times dimensions) reach the drive
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import lru_cache
 
 import numpy as np
@@ -34,6 +34,11 @@ SAMPLE = 20_000
 _SLOTS = 64  # blank, a to z, and 37 slots that other letters share
 _STRETCH = 1 << 20
 _UNIT_LENGTH = 10_000
+FLOOR_SHARE = 0.02
+FLOOR_SAMPLE = 2_000
+# The cosine of unlike vectors has a deviation of 1 / sqrt(dimensions); different 3-grams that tell nothing.
+_NOISE = 4.0
+_FEW = 16
 
 
 @lru_cache(maxsize=1)
@@ -113,6 +118,7 @@ def document_vector(text: str | None, dimensions: int = DIMENSIONS) -> np.ndarra
 class Profiles:
     languages: tuple[str, ...]
     prototypes: np.ndarray  # one row per language, each of length 1
+    floors: tuple[float, ...] = ()  # the score below which a text is unlike a language
 
     def predict(self, text: str | None) -> tuple[str, float]:
         vector = document_vector(text, self.prototypes.shape[1]) if self.languages else None
@@ -123,6 +129,22 @@ class Profiles:
         best = int(np.argmax(cosines))
         return self.languages[best], float(min(1.0, max(0.0, cosines[best])))
 
+    def own(self, text: str | None, name: str) -> float | None:
+        """The cosine with one language; ``None`` where 3-grams are too few to tell."""
+        known = name in self.languages and len(_grams(text or "")[0]) >= _FEW
+        vector = document_vector(text, self.prototypes.shape[1]) if known else None
+        length = 0.0 if vector is None else float(np.linalg.norm(vector))
+        return float(self.prototypes[self.languages.index(name)] @ vector.astype(np.float64)) / length if length else None
+
+    def judge(self, text: str | None) -> tuple[str, float, bool]:
+        """The prediction, and whether the text has letters and is not unlike every language."""
+        name, score = self.predict(text)
+        if name in self.languages and self.floors and score >= max(self.floors[self.languages.index(name)], 1e-9):
+            return name, score, True
+        different = len(_grams(text or "")[0])
+        # Without floors there is nothing to compare with; a few 3-grams do not tell.
+        return name, score, 0 < different and (not any(self.floors) or different < _FEW)
+
 
 def fit(labelled: DataFrame, text: str, lang: str, key: str, sample: int = SAMPLE, dimensions: int = DIMENSIONS) -> Profiles:
     """Prototypes of the languages in ``labelled``; rows without a language take no part."""
@@ -157,6 +179,22 @@ def fit(labelled: DataFrame, text: str, lang: str, key: str, sample: int = SAMPL
     return Profiles(tuple(n for n, _ in found), np.stack([v / np.linalg.norm(v) for _, v in found]))
 
 
+def judge_language(text: Column | str, profiles: Profiles) -> Column:
+    """``struct<lang, score, like>`` of a text column; ``like`` is false for texts unlike every language."""
+
+    @F.arrow_udf("struct<lang:string,score:double,like:boolean>")
+    def judged(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            found = [profiles.judge(value.as_py()) for value in batch]
+            yield pa.StructArray.from_arrays(
+                [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64()),
+                 pa.array([f[2] for f in found], pa.bool_())],
+                ["lang", "score", "like"],
+            )
+
+    return judged(text)
+
+
 def predict_language(text: Column | str, profiles: Profiles) -> Column:
     """``struct<lang, score>`` of a text column."""
 
@@ -170,3 +208,34 @@ def predict_language(text: Column | str, profiles: Profiles) -> Column:
             )
 
     return predicted(text)
+
+
+def with_floors(
+    profiles: Profiles, labelled: DataFrame, text: str, lang: str, key: str, share: float = FLOOR_SHARE, sample: int = FLOOR_SAMPLE
+) -> Profiles:
+    """``profiles`` with a floor for each language: the ``share`` quantile of its own documents' cosines, at most ``_NOISE``.
+
+    Noise has cosines of some 1 / sqrt(dimensions) in size, so four times that bounds it; documents of a language
+    that score less lower its floor; those too short to tell take no part. Learned from at most about ``sample`` documents of each language.
+    """
+    if not profiles.languages:
+        return profiles
+    labelled = labelled.where(F.col(lang).isNotNull()).select(
+        F.col(text).alias("text"), F.col(lang).alias("lang"), F.col(key).cast("string").alias("key")
+    )
+    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    part = F.create_map(*[F.lit(x) for n in profiles.languages for x in (n, sample / counts[n])])
+    labelled = labelled.where(unit(F.coalesce("key", F.lit("")), "language floors") < part[F.col("lang")])
+
+    @F.arrow_udf("double")
+    def own_score(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, names in batches:
+            yield pa.array([profiles.own(v.as_py(), n) for v, n in zip(texts, names.to_pylist())], pa.float64())
+
+    low = (
+        labelled.select("lang", own_score("text", "lang").alias("score")).where("score IS NOT NULL")
+        .groupBy("lang").agg(F.percentile_approx("score", share, 10_000).alias("low")).collect()
+    )
+    low = {r["lang"]: r["low"] for r in low}
+    noise = _NOISE / profiles.prototypes.shape[1] ** 0.5
+    return replace(profiles, floors=tuple(max(0.0, min(noise, low.get(n, 0.0))) for n in profiles.languages))
