@@ -1,15 +1,15 @@
 """Main text of web pages, by the ratio of text to tags.
 
 The standard library's parser sends events; block elements cut the page into lines, each with its text and
-the tags seen in it. Lines inside elements that never hold the article (menus, footers, forms,
-scripts, and elements whose class or id says so) are set aside. Each other line has the ratio of its
+the tags seen in it. Lines inside elements that never hold the article (menus, footers, scripts) are set
+aside, and so are forms and elements whose class or id says so. Each other line has the ratio of its
 characters to its tags; the ratios are smoothed by a Gaussian over neighbouring lines, so a short
 paragraph between long ones counts as text and a long line among links does not. Two-means clustering of
-the smoothed ratios gives the threshold.
+the smoothed ratios gives the threshold; lines above it are content, three or more links in a row are not.
 
-Lines above the threshold form regions; a gap of few lines joins two of them, and a heading right before
-belongs to its region. If the page marks its article (``article`` or ``main``), the marked element
-with the most text above the threshold is the region, with its short lines.
+The deepest container with nearly all content is the region; text marked ``article`` or ``main`` weighs four
+times. A marked region stays with its short lines; of others, what is between the first and last content
+line, and headings right before. Rows of links go.
 
 Within a line white space becomes one blank; lines are joined by an empty line. A null or empty page, and one
 without text, has an empty text. Pages are independent of each other, so equal pages have equal texts.
@@ -36,7 +36,7 @@ _BLOCKS = frozenset(
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _EMPTY = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _ASIDE = frozenset(
-    "aside button canvas datalist dialog embed footer form head iframe map menu nav noscript object script select style "
+    "aside button canvas datalist dialog embed footer head iframe map menu nav noscript object script select style "
     "svg template textarea title".split()
 )
 _MARKED = frozenset(("article", "main"))
@@ -47,20 +47,33 @@ _ASIDE_NAMES = frozenset(
     "footer header masthead menu modal nav navbar navigation newsletter notice popup promo promoted related replies "
     "reply respond share sharing sidebar signup social sponsor sponsored subscribe widget".split()
 )
+_CONTAINERS = frozenset("article body center div main section".split())
 _NAME = re.compile(r"[a-z]+")
 
 _GAUSS = np.exp(-0.5 * np.arange(-2, 3) ** 2)
-_GAP = 3
 _TEXT_RATIO = 12.0  # characters to a tag; menus have fewer
+_MARK_WEIGHT = 4
+_NEARLY_ALL = 0.9  # of the content, in its region
+_LINKED = 0.8  # of a line's characters, in a link list
+
+
+@dataclass
+class Element:
+    tag: str
+    parent: int
+    hint: bool = False  # a name or kind that seldom holds the article
+    aside: bool = False
+    marked: bool = False  # in an article or main element
 
 
 @dataclass
 class Line:
     parts: list[str] = field(default_factory=list)
     tags: int = 0
-    aside: bool = False
     heading: bool = False
-    marked: int = -1  # number of the outermost article or main element
+    element: int = 0
+    hinted: int = 0  # the innermost element around it that is aside or hinted
+    linked: int = 0  # characters in links
     text: str = ""
 
 
@@ -70,11 +83,11 @@ class _Lines(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.lines = [Line()]
-        self.open: list[tuple[str, bool, int]] = []  # name, set aside, marked element
-        self.marks = 0
+        self.elements = [Element("", -1)]  # a parent before its children
+        self.open: list[tuple[str, int, int, bool]] = []  # name, element, innermost aside or hinted one, in a link
 
-    def _state(self) -> tuple[bool, int]:
-        return (self.open[-1][1], self.open[-1][2]) if self.open else (False, -1)
+    def _state(self) -> tuple[int, int, bool]:
+        return self.open[-1][1:] if self.open else (0, 0, False)
 
     def _cut(self) -> None:
         if self.lines[-1].parts:
@@ -92,15 +105,17 @@ class _Lines(HTMLParser):
             self.lines[-1].parts.append("\n")
         if tag in _EMPTY:
             return
-        aside, marked = self._state()
         if tag == "body":
-            aside, marked, self.open = False, -1, []
-        if tag in _MARKED and marked < 0 and not aside:
-            marked, self.marks = self.marks, self.marks + 1
+            self.open = []
+        parent, hinted, linked = self._state()
+        above = self.elements[parent]
         names = {n for key, value in attrs if key in ("class", "id", "role") and value for n in _NAME.findall(value.lower())}
-        by_name = tag not in ("body", "html", "main") and not names.isdisjoint(_ASIDE_NAMES)
-        by_kind = tag in _ASIDE or tag == "header" and marked < 0
-        self.open.append((tag, aside or by_name or by_kind, marked))
+        found = names & _ASIDE_NAMES
+        hint = tag not in ("body", "html", "main") and bool(found) or tag == "form"
+        aside = tag in _ASIDE or tag == "header" and not above.marked
+        here = len(self.elements)
+        self.elements.append(Element(tag, parent, hint, aside, above.marked or tag in _MARKED))
+        self.open.append((tag, here, here if hint or aside else hinted, linked or tag == "a"))
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         if tag in _EMPTY:
@@ -120,27 +135,50 @@ class _Lines(HTMLParser):
         return self.rawdata.find(">", i) + 1 or -1
 
     def handle_data(self, data: str) -> None:
-        line = self.lines[-1]
+        line, (element, hinted, linked) = self.lines[-1], self._state()
         if not line.parts or not any(p.strip() for p in line.parts):
-            line.aside, line.marked = self._state()
-            line.heading = any(name in _HEADINGS for name, _, _ in self.open[-3:])
-        elif self._state()[0] != line.aside and data.strip():
+            line.element, line.hinted = element, hinted
+            line.heading = any(o[0] in _HEADINGS for o in self.open[-3:])
+        elif hinted != line.hinted and data.strip():
             # Inline elements that are set aside are lines of their own.
             tags, line.tags = line.tags, 1
-            self.lines.append(Line(tags=tags))
-            line = self.lines[-1]
-            line.aside, line.marked = self._state()
+            line = Line(tags=tags, element=element, hinted=hinted)
+            self.lines.append(line)
         line.parts.append(data)
+        line.linked += len(data.strip()) * linked
 
 
-def lines_of(html: str) -> list[Line]:
-    """Lines with text, in page order."""
+def lines_of(html: str) -> tuple[list[Line], list[Element]]:
+    """Lines with text, in page order, and the page's elements."""
     parser = _Lines()
     parser.feed(html)
     parser.close()
     for line in parser.lines:
         line.text = " ".join("".join(line.parts).split())
-    return [line for line in parser.lines if line.text]
+    return [line for line in parser.lines if line.text], parser.elements
+
+
+def _below(elements: list[Element], lines: list[Line], weights: list[float]) -> np.ndarray:
+    """The weight of the lines in each element and all below it."""
+    total = np.zeros(len(elements))
+    np.add.at(total, [line.element for line in lines], weights)
+    for e in range(len(elements) - 1, 0, -1):
+        total[elements[e].parent] += total[e]
+    return total
+
+
+def _inherited(elements: list[Element], own: list[bool]) -> list[bool]:
+    for e in range(1, len(elements)):
+        own[e] = own[e] or own[elements[e].parent]
+    return own
+
+
+def without_asides(lines: list[Line], elements: list[Element]) -> list[Line]:
+    """Lines that are not set aside."""
+    never = _inherited(elements, [e.aside for e in elements])
+    lines = [line for line in lines if not never[line.element]]
+    named = _inherited(elements, [e.hint for e in elements])
+    return [line for line in lines if not named[line.element]]
 
 
 def smoothed(ratios: np.ndarray) -> np.ndarray:
@@ -166,35 +204,60 @@ def threshold(values: np.ndarray) -> float:
     return (low + high) / 2
 
 
-def main_lines(lines: list[Line]) -> list[str]:
+def region(lines: list[Line], elements: list[Element], content: np.ndarray) -> int:
+    """The deepest container with nearly all of the content; text in article and main elements weighs more."""
+    weights = [
+        len(line.text) * c * (_MARK_WEIGHT if elements[line.element].marked else 1) for line, c in zip(lines, content)
+    ]
+    mass, number = _below(elements, lines, weights), _below(elements, lines, content.astype(float))
+    best = 0
+    for e in range(1, len(elements)):
+        if elements[e].tag in _CONTAINERS and mass[e] >= _NEARLY_ALL * mass[0] and (number[e] >= 3 or number[e] == number[0] or elements[e].marked):
+            best = e
+    return best
+
+
+def link_lists(lines: list[Line]) -> np.ndarray:
+    """Which lines are in a row of at least three that are links."""
+    linked = np.array([line.linked >= _LINKED * len(line.text) for line in lines])
+    edges = np.diff(np.pad(linked.astype(np.int8), 1))
+    out = np.zeros(len(lines), bool)
+    for begin, end in zip(np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)):
+        out[begin:end] = end - begin >= 3
+    return out
+
+
+def main_lines(lines: list[Line], elements: list[Element]) -> list[str]:
     """The texts of the content region."""
-    lines = [line for line in lines if not line.aside]
+    lines = without_asides(lines, elements)
     if not lines:
         return []
     ratios = np.array([len(line.text) / max(1, line.tags) for line in lines])
     smooth = smoothed(ratios)
     # Where nearly all is text, the clusters are long and short paragraphs; those all stay.
     content = smooth > min(threshold(smooth), _TEXT_RATIO)
-    marked = np.array([line.marked for line in lines])
-    if (marked >= 0).any():
-        sizes = np.array([len(line.text) for line in lines])
-        mass = np.bincount(marked[marked >= 0], (sizes * (1 + 9 * content))[marked >= 0])
-        return [line.text for line in lines if line.marked == int(mass.argmax())]
-    at = np.flatnonzero(content)
-    if not len(at):
-        return []
-    keep, last = np.zeros(len(lines), bool), None
-    for i in at:
-        begin = last if last is not None and i - last <= _GAP + 1 else i
-        keep[begin:i + 1] = True
-        last = i
-    for i in range(len(lines) - 2, -1, -1):
-        keep[i] |= keep[i + 1] and lines[i].heading
+    links = link_lists(lines)
+    if not links.all():
+        content &= ~links
+    if not content.any():
+        content = ~links if not links.all() else np.ones(len(lines), bool)
+    best = region(lines, elements, content)
+    inside = _inherited(elements, [e == best for e in range(len(elements))])
+    keep = np.array([inside[line.element] for line in lines])
+    if not elements[best].marked:
+        # From the first content line to the last.
+        at = np.flatnonzero(content)
+        first = at[0]
+        while first > 0 and lines[first - 1].heading:
+            first -= 1
+        keep[:first] = keep[at[-1] + 1:] = False
+    if not links.all():
+        keep &= ~links
     return [line.text for line, k in zip(lines, keep) if k]
 
 
 def main_text(html: str | None) -> str:
-    return "\n\n".join(main_lines(lines_of(html or "")))
+    return "\n\n".join(main_lines(*lines_of(html or "")))
 
 
 def extract(html: Column | str) -> Column:

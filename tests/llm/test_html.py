@@ -42,6 +42,22 @@ def test_small_pages(page, text):
     assert text is None or got == text
 
 
+LONG = "A paragraph with quite a few words in it, as the text of an article has, number %d."
+BODY = "".join(f"<p>{LONG % i}</p>" for i in range(5))
+WANT = "\n\n".join(LONG % i for i in range(5))
+MENU = "<nav><a href=a>One</a><a href=b>Two</a></nav>"
+
+
+@pytest.mark.parametrize("page, text", [
+    # Several articles; a teaser beside the body; links without a class in an article.
+    (f"<body>{MENU}<article><h2>One</h2>{BODY}</article><article><h2>Two</h2>{BODY}</article></body>", f"One\n\n{WANT}\n\nTwo\n\n{WANT}"),
+    (f"<body>{MENU}<article><p>Teaser.</p></article><div>{BODY}</div></body>", WANT),
+    (f"<body>{MENU}<article>{BODY}<ul><li><a href=a>Aa</a><li><a href=b>Bb</a><li><a href=c>Cc</a></ul></article></body>", WANT),
+])
+def test_marks_are_a_hint(page, text):
+    assert main_text(page) == text
+
+
 def test_long_page_is_read_whole():
     paragraphs = [f"Paragraph {i} has quite a few words in it, as text has." for i in range(20_000)]
     page = "<body><nav><a>x</a></nav><article>" + "".join(f"<p>{p}</p>" for p in paragraphs) + "</article></body>"
