@@ -2,7 +2,8 @@
 
 The standard library's parser sends events; block elements cut the page into lines, each with its text and
 the tags seen in it. Lines inside elements that never hold the article (menus, footers, scripts) are set
-aside, and so are forms and elements whose class or id says so. Each other line has the ratio of its
+aside, and so are forms and elements whose class or id says so, unless they hold most of the page's text or
+nearly nothing would be left. Each other line has the ratio of its
 characters to its tags; the ratios are smoothed by a Gaussian over neighbouring lines, so a short
 paragraph between long ones counts as text and a long line among links does not. Two-means clustering of
 the smoothed ratios gives the threshold; lines above it are content, three or more links in a row are not.
@@ -47,6 +48,7 @@ _ASIDE_NAMES = frozenset(
     "footer header masthead menu modal nav navbar navigation newsletter notice popup promo promoted related replies "
     "reply respond share sharing sidebar signup social sponsor sponsored subscribe widget".split()
 )
+_ARTICLE_NAMES = frozenset("article content entry post single story".split())
 _CONTAINERS = frozenset("article body center div main section".split())
 _NAME = re.compile(r"[a-z]+")
 
@@ -54,6 +56,8 @@ _GAUSS = np.exp(-0.5 * np.arange(-2, 3) ** 2)
 _TEXT_RATIO = 12.0  # characters to a tag; menus have fewer
 _MARK_WEIGHT = 4
 _NEARLY_ALL = 0.9  # of the content, in its region
+_WRAPS = 0.8  # of the page's text, in a wrapper
+_LITTLE = 0.1  # of the page's text; less is no article
 _LINKED = 0.8  # of a line's characters, in a link list
 
 
@@ -111,6 +115,8 @@ class _Lines(HTMLParser):
         above = self.elements[parent]
         names = {n for key, value in attrs if key in ("class", "id", "role") and value for n in _NAME.findall(value.lower())}
         found = names & _ASIDE_NAMES
+        if found == {"header"} and (above.marked or names & _ARTICLE_NAMES):
+            found = set()
         hint = tag not in ("body", "html", "main") and bool(found) or tag == "form"
         aside = tag in _ASIDE or tag == "header" and not above.marked
         here = len(self.elements)
@@ -177,8 +183,18 @@ def without_asides(lines: list[Line], elements: list[Element]) -> list[Line]:
     """Lines that are not set aside."""
     never = _inherited(elements, [e.aside for e in elements])
     lines = [line for line in lines if not never[line.element]]
-    named = _inherited(elements, [e.hint for e in elements])
-    return [line for line in lines if not named[line.element]]
+    text = _below(elements, lines, [len(line.text) for line in lines])
+    titles = _below(elements, lines, [float(line.heading) for line in lines])
+    boxes = np.zeros(len(elements))  # unhinted article and main elements
+    for e in range(len(elements) - 1, 0, -1):
+        one = elements[e]
+        boxes[e] += one.tag in _MARKED and not one.hint
+        boxes[one.parent] += boxes[e]
+    # A wrapper of the article has most of the text, whatever its name.
+    holds = (text > _WRAPS * text[0]) | (text > text[0] / 2) & ((titles > 0) | (boxes > 0) | np.array([e.tag in _MARKED for e in elements]))
+    named = _inherited(elements, [e.hint and not h for e, h in zip(elements, holds)])
+    left = [line for line in lines if not named[line.element]]
+    return left if sum(len(line.text) for line in left) >= _LITTLE * text[0] else lines
 
 
 def smoothed(ratios: np.ndarray) -> np.ndarray:

@@ -58,6 +58,14 @@ def test_marks_are_a_hint(page, text):
     assert main_text(page) == text
 
 
+@pytest.mark.parametrize("begin, end", [
+    ('<div class="with-sidebar">', "</div>"), ('<article class="post category-social">', "</article>"), ('<article class="tag-cookies">', "</article>"),
+    ('<div id="content-and-comments">', "</div>"), ("<form>", "</form>"), ('<div><div class="widget">', "</div></div>"),
+])
+def test_wrappers_keep_the_article(begin, end):
+    assert main_text(f'<body>{MENU}{begin}<div class="post-header"><h1>Title</h1></div>{BODY}<div class="share">Share this</div>{end}</body>') == f"Title\n\n{WANT}"
+
+
 def test_long_page_is_read_whole():
     paragraphs = [f"Paragraph {i} has quite a few words in it, as text has." for i in range(20_000)]
     page = "<body><nav><a>x</a></nav><article>" + "".join(f"<p>{p}</p>" for p in paragraphs) + "</article></body>"
