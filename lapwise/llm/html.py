@@ -9,7 +9,7 @@ paragraph between long ones counts as text and a long line among links does not.
 the smoothed ratios gives the threshold; lines above it are content, three or more links in a row are not.
 
 The deepest container with nearly all content is the region; text marked ``article`` or ``main`` weighs four
-times. A marked region stays with its short lines; of others, what is between the first and last content
+times. The region stays with its short lines; of a whole page, what is between its first and last content
 line, and headings right before. Rows of links go.
 
 Within a line white space becomes one blank; lines are joined by an empty line. A null or empty page, and one
@@ -260,8 +260,8 @@ def main_lines(lines: list[Line], elements: list[Element]) -> list[str]:
     best = region(lines, elements, content)
     inside = _inherited(elements, [e == best for e in range(len(elements))])
     keep = np.array([inside[line.element] for line in lines])
-    if not elements[best].marked:
-        # From the first content line to the last.
+    if elements[best].tag in ("", "html", "body"):
+        # The page itself: from the first content line to the last.
         at = np.flatnonzero(content)
         first = at[0]
         while first > 0 and lines[first - 1].heading:

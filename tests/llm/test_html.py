@@ -66,6 +66,21 @@ def test_wrappers_keep_the_article(begin, end):
     assert main_text(f'<body>{MENU}{begin}<div class="post-header"><h1>Title</h1></div>{BODY}<div class="share">Share this</div>{end}</body>') == f"Title\n\n{WANT}"
 
 
+@pytest.mark.parametrize("begin, end", [("<div>", "</div>"), ("<article>", "</article>"), ("<section>", "</section>")])
+def test_short_lines_stay(begin, end):
+    items = "".join(f"<li>it {i}</li>" for i in range(6))
+    closing = "".join(f"<p>end {i}</p>" for i in range(4))
+    want = [WANT, *(f"it {i}" for i in range(6)), WANT, *(f"end {i}" for i in range(4))]
+    assert main_text(f"<body>{MENU}{begin}{BODY}<ul>{items}</ul>{BODY}{closing}{end}<footer>(c)</footer></body>") == "\n\n".join(want)
+
+
+def test_pages_stripped_of_their_marks(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("html").collect()
+    same = [main_text(r["html"]) == main_text(re.sub("<(/?)article", r"<\1div", r["html"])) for r in rows]
+    print("stripped pages with the same text:", sum(same), "of", len(same))
+    assert sum(same) >= 0.95 * len(same)
+
+
 def test_long_page_is_read_whole():
     paragraphs = [f"Paragraph {i} has quite a few words in it, as text has." for i in range(20_000)]
     page = "<body><nav><a>x</a></nav><article>" + "".join(f"<p>{p}</p>" for p in paragraphs) + "</article></body>"
