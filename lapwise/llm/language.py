@@ -10,7 +10,7 @@ are read whole, in stretches, so memory does not grow with their length. A null
 without letters, is ``und`` with score 0. Equal texts get equal predictions, and of prototypes
 at the same cosine the first language by name wins.
 
-Prototypes come from at most about ``sample`` labelled documents, taken by a hash of their key;
+Prototypes come from at most about ``sample`` labelled documents, as many of each language, taken by a hash of key and text;
 vectors are rounded to whole numbers before they are added, so the sum does not depend on the
 order of tasks. Only the prototypes (languages times dimensions) reach the driver.
 """
@@ -151,9 +151,13 @@ def fit(labelled: DataFrame, text: str, lang: str, key: str, sample: int = SAMPL
     labelled = labelled.where(F.col(lang).isNotNull()).select(
         F.col(text).alias("text"), F.col(lang).alias("lang"), F.col(key).cast("string").alias("key")
     )
-    rows = labelled.count()
-    if rows > sample:
-        labelled = labelled.where(unit(F.coalesce("key", F.lit("")), "language sample") < sample / rows)
+    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    if sum(counts.values()) > sample:
+        # The same number of each language, all of a rare one.
+        each = sample / len(counts)
+        part = F.create_map(*[F.lit(x) for name, rows in counts.items() for x in (name, each / rows)])
+        chance = unit(F.coalesce("key", F.lit("")), F.coalesce("text", F.lit("")), F.lit("language sample"))
+        labelled = labelled.where(chance < part[F.col("lang")])
 
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}

@@ -51,3 +51,11 @@ def test_sample_is_bounded_and_repeatable(spark):
     first, second = (fit(docs, "text", "lang", "doc_id", sample=200) for _ in range(2))
     assert first.languages == second.languages
     assert (first.prototypes == second.prototypes).all()
+
+
+def test_rare_languages_are_learned(spark):
+    rows = [(n, f"the cat and the dog number {n}", "a", "en") for n in range(2000)]
+    rows += [(n, f"der Hund und die Katze {n}", "a", "de") for n in range(2000, 2003)]
+    for seed in range(3):
+        docs = documents(spark, [(k + 10_000 * seed, *rest) for k, *rest in rows])
+        assert fit(docs, "text", "lang", "doc_id", sample=20).languages == ("de", "en")
