@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapwise.llm import ann, html, language, minhash, mixing, packing, repeats, secrets, sharding, topk
+from lapwise.llm import (
+    ann, html, importance, language, minhash, mixing, negatives, packing, pstable, repeats, secrets, sharding, topk,
+)
 from lapwise.llm.common import read
 
 
@@ -171,6 +173,111 @@ SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken
 FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source LEFT JOIN taken USING (r)
 """
 
+def op11_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(read(spark, sf_dir, "documents"), "text", "doc_id", read(spark, sf_dir, "benchmark"), "text")
+
+
+_RUNS = r"""
+    SELECT {id}, unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS f FROM (
+        SELECT {id}, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+        FROM {table})
+"""
+# CRC-32 by its table of 256 entries, a byte at a time.
+OP11_SQL = f"""
+WITH steps AS (
+    SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda c, x: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS t
+),
+d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+runs AS MATERIALIZED ({_RUNS.format(id="r", table="d")}),
+goal AS MATERIALIZED ({_RUNS.format(id="item_id", table="benchmark")}),
+crc AS MATERIALIZED (
+    SELECT f, xor(list_reduce([4294967295] || list_transform(range(1, strlen(f) + 1),
+            lambda i: ('0x' || substr(hex(encode(f)), 2 * i - 1, 2))::BIGINT),
+        lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 10000 AS bucket
+    FROM (SELECT f FROM runs UNION SELECT f FROM goal), steps
+),
+s AS (SELECT bucket, count(*) AS n FROM runs JOIN crc USING (f) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM goal JOIN crc USING (f) GROUP BY bucket),
+gain AS (
+    SELECT b AS bucket, floor(1000 * ln(
+        ((coalesce(t.n, 0) + 1.0::DOUBLE) * ((SELECT count(*) FROM runs) + 10000.0::DOUBLE))
+        / ((coalesce(s.n, 0) + 1.0::DOUBLE) * ((SELECT count(*) FROM goal) + 10000.0::DOUBLE))))::BIGINT AS g
+    FROM range(10000) AS x(b) LEFT JOIN s ON s.bucket = b LEFT JOIN t ON t.bucket = b
+),
+w AS (
+    SELECT r, count(*) AS n, floor(sum(g) / count(*))::BIGINT AS weight
+    FROM runs JOIN crc USING (f) JOIN gain USING (bucket) GROUP BY r
+),
+scored AS (
+    SELECT doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + floor(-1000 * ln(-ln(
+        (('0x' || sha256('7:' || coalesce(doc_id::VARCHAR, ''))[:8])::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+    FROM d LEFT JOIN w USING (r)
+),
+ranked AS (
+    SELECT *, row_number() OVER (ORDER BY n_features < 39, score DESC, doc_id NULLS FIRST) AS place FROM scored
+)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN place <= 25 * (SELECT count(*) FROM scored WHERE n_features >= 39) // 100 THEN place END AS rank
+FROM ranked
+"""
+
+
+def op12_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pstable.near_vectors(read(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("label"))
+    return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+
+
+OP12_SQL = """
+WITH RECURSIVE v AS (
+    SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS c FROM embeddings
+    WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.c, b.c) >= 0.98
+),
+reach AS (
+    SELECT vec_id AS a, vec_id AS b FROM embeddings
+    UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+),
+c AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+n AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN c USING (vec_id) LEFT JOIN n USING (vec_id)
+"""
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label")
+    moved = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    rows = read(spark, sf_dir, "embeddings")
+    return negatives.hard_negatives(rows, "vec_id", "embedding", moved, vec_id % 100 == 0)
+
+
+OP13_SQL = """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS c
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+),
+s AS MATERIALIZED (
+    SELECT a.vec_id AS a, w.vec_id AS w, a.label = w.label AS same, list_inner_product(a.c, w.c)::BIGINT AS score
+    FROM v a JOIN v w ON a.vec_id % 100 = 0 AND a.vec_id <> w.vec_id
+),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, w) <= 5)
+SELECT p.a AS anchor_id, p.w AS positive_id,
+       (row_number() OVER (PARTITION BY p.a, p.w ORDER BY s.score DESC, s.w))::INTEGER AS rank, s.w AS negative_id,
+       p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON s.a = p.a AND NOT s.same AND 100 * s.score BETWEEN 30 * p.score AND 90 * p.score
+QUALIFY rank <= 10
+"""
+
 QUERIES = {
     "op1_shard": (op1_shard, None),
     "op2_secret_scan": (op2_secret_scan, None),
@@ -182,4 +289,7 @@ QUERIES = {
     "op8_pack": (op8_pack, None),
     "op9_mix": (op9_mix, OP9_SQL),
     "op10_nearest": (op10_nearest, None),
+    "op11_resample": (op11_resample, OP11_SQL),
+    "op12_near_vectors": (op12_near_vectors, OP12_SQL),
+    "op13_hard_negatives": (op13_hard_negatives, OP13_SQL),
 }
