@@ -7,17 +7,21 @@ beyond: one running minimum in order of distance. An activity whose distance fal
 somewhere (a reset, a correction) is first split by rank in time into halves, quarters
 and so on; any two points lie in the two halves of exactly one of those pieces, and there
 the earlier half holds the starts and the later half the ends, so the same minimum works.
-That costs log2(points) rows per point, for such activities only.
+That costs log2(points) rows per point, for such activities only; they count with all these rows where
+it is decided what one task may take.
 """
 
 from __future__ import annotations
 
 from functools import reduce
+from math import ceil, log2
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lapwise.operators.skew import attach, heavy_groups, min_rows_for, part_hot, previous, running
+from lapwise.operators.skew import (
+    MEASURED, Groups, as_groups, attach, heavy_groups, min_rows_for, part_hot, previous, running,
+)
 from lapwise.session import durable
 
 PIECE = ["_level", "_node"]
@@ -54,6 +58,7 @@ def fastest_effort(
     time: str = "timestamp",
     distance: str = "distance",
     min_rows: float | None = None,
+    clustered: bool = False,
 ) -> DataFrame:
     """Columns ``key, shortest_duration, duration_us, start_time``, for every activity or one.
 
@@ -62,7 +67,7 @@ def fastest_effort(
     """
     if distance_m <= 0:
         raise ValueError("distance must be positive")
-    best = fastest_efforts(records, [distance_m], activity_id, key, time, distance, min_rows)
+    best = fastest_efforts(records, [distance_m], activity_id, key, time, distance, min_rows, clustered)
     return best.drop("event_distance")
 
 
@@ -74,31 +79,76 @@ def fastest_efforts(
     time: str = "timestamp",
     distance: str = "distance",
     min_rows: float | None = None,
+    clustered: bool = False,
 ) -> DataFrame:
     """``fastest_effort`` for several distances at once, with ``event_distance`` as a column.
 
-    One exchange and one sort serve all distances.
+    One exchange and one sort serve all distances; none where ``records`` come ``clustered`` by ``key``, as a
+    bucketed store has them.
     """
     if not distances_m or min(distances_m) <= 0:
         raise ValueError("distances must be positive")
     points = records if activity_id is None else records.where(F.col(key) == activity_id)
-    us = F.col(time) if _is_numeric(points, time) else F.unix_micros(time)
-    # Whole numbers are compared as they are, others in whole millimetres: differences are exact.
-    fraction = records.schema[distance].dataType.typeName() in {"double", "float", "decimal"}
-    scale = 1000 if fraction or not all(float(d).is_integer() for d in distances_m) else 1
+    whole = all(float(d).is_integer() for d in distances_m) and not _has_fractions(records, distance)
+    scale = 1 if whole else 1000
     wanted = {float(d): round(d * scale) for d in distances_m}
-    covered = F.round(F.col(distance).cast("double") * scale).cast("long") if scale > 1 else F.col(distance)
-    points = points.select(key, us.cast("long").alias("_us"), covered.alias("_d")).where(
-        "_us IS NOT NULL AND _d IS NOT NULL"
-    )
+    points = _points(points, key, time, distance, scale)
 
     limit = min_rows_for(points.sparkSession, min_rows)
-    hot_keys = heavy_groups(points, [key], limit)
+    hot_keys = _too_wide(points, key, limit)
     if hot_keys is not None:
         cold, hot = part_hot(points, [key], hot_keys)
-        best = _within_task(cold, key, wanted).unionByName(_across_tasks(hot, key, wanted, limit, hot_keys.few))
+        best = _within_task(cold, key, wanted, clustered).unionByName(_across_tasks(hot, key, wanted, limit, hot_keys.few))
     else:
-        best = _within_task(points, key, wanted)
+        best = _within_task(points, key, wanted, clustered)
+    return _efforts(best, key)
+
+
+def fastest_efforts_by(
+    records: DataFrame,
+    goals: DataFrame,
+    key: str = "activity_id",
+    time: str = "timestamp",
+    distance: str = "distance",
+    min_rows: float | None = None,
+    clustered: bool = False,
+) -> DataFrame:
+    """``fastest_efforts`` for the distances that ``goals (key, event_distance)`` name for each activity.
+
+    A frame's reach must be a literal, so points and goals are put on one line instead: every start adds its goal
+    beyond it, and a running minimum from the far end says which end is the earliest at a goal or beyond. Goals that are
+    null, or not positive, have no effort; a goal named twice counts once.
+    """
+    scale = 1000 if _has_fractions(records, distance) or _has_fractions(goals, "event_distance") else 1
+    steps = F.round(F.col("event_distance").cast("double") * scale).cast("long")
+    asked = goals.select(key, F.col("event_distance").cast("double").alias("event_distance"), steps.alias("_step"))
+    asked = asked.where("_step > 0").distinct()
+    points = _points(records, key, time, distance, scale).join(asked.select(key).distinct(), key, "left_semi")
+
+    limit = min_rows_for(points.sparkSession, min_rows)
+    hot_keys = _too_wide(points, key, limit)
+    if hot_keys is None:
+        return _efforts(_goals_within_task(points, asked, key, clustered), key)
+    cold, hot = part_hot(points, [key], hot_keys)
+    best = _goals_within_task(cold, asked, key, clustered).unionByName(
+        _goals_across_tasks(hot, part_hot(asked, [key], hot_keys)[1], key, limit, hot_keys.few)
+    )
+    return _efforts(best, key)
+
+
+def _has_fractions(df: DataFrame, name: str) -> bool:
+    return df.schema[name].dataType.typeName() in {"double", "float", "decimal"}
+
+
+def _points(records: DataFrame, key: str, time: str, distance: str, scale: int) -> DataFrame:
+    """``key, _us, _d``: whole distances are compared as they are, others in whole millimetres, so differences are exact."""
+    us = F.col(time) if _is_numeric(records, time) else F.unix_micros(time)
+    covered = F.round(F.col(distance).cast("double") * scale).cast("long") if scale > 1 else F.col(distance).cast("long")
+    points = records.select(key, us.cast("long").alias("_us"), covered.alias("_d"))
+    return points.where("_us IS NOT NULL AND _d IS NOT NULL")
+
+
+def _efforts(best: DataFrame, key: str) -> DataFrame:
     return best.select(
         "event_distance",
         key,
@@ -108,10 +158,44 @@ def fastest_efforts(
     )
 
 
+def _too_wide(points: DataFrame, key: str, limit: float) -> Groups | None:
+    """Activities with more rows than one task may take, counted as the search widens them."""
+    if limit == MEASURED:
+        return None
+    large = heavy_groups(points, [key], limit / max(1, ceil(log2(max(limit, 2)))))
+    if large is None:
+        return None
+    # Few activities come this near to the limit; of them it is looked up whose distance falls.
+    middle = Groups(large.frame.where(F.col("_n") <= limit), large.few)
+    times = part_hot(points, [key], middle)[1].groupBy(key, "_us").agg(F.min("_d").alias("_low"), F.max("_d").alias("_high"))
+    in_time = Window.partitionBy(key).orderBy("_us").rowsBetween(Window.unboundedPreceding, -1)
+    falling = times.select(key, _falls(F.max("_high").over(in_time)).alias("_falls"))
+    falling = falling.where("_falls").select(key).distinct()
+    widened = middle.frame.join(falling, key, "left_semi").where(F.col("_n") * F.ceil(F.log2("_n")) > limit)
+    return as_groups(large.frame.where(F.col("_n") > limit).unionByName(widened))
+
+
 def _is_numeric(df: DataFrame, name: str) -> bool:
     return df.schema[name].dataType.typeName() in {"long", "integer", "short", "double", "float", "decimal"}
 
 
+def _marked(points: DataFrame, key: str, clustered: bool) -> DataFrame:
+    """Each time of an activity with its rank, the activity's number of times, and whether its distance falls anywhere.
+
+    One exchange by ``key``; every later window reuses that partitioning.
+    """
+    group = Window.partitionBy(key)
+    in_time = group.orderBy("_us")
+    spread = points if clustered else points.repartition(key)
+    times = spread.groupBy(key, "_us").agg(F.min("_d").alias("_low"), F.max("_d").alias("_high"))
+    return (
+        times.withColumn("_before", F.max("_high").over(in_time.rowsBetween(Window.unboundedPreceding, -1)))
+        .withColumn("_rank", F.row_number().over(in_time).cast("long") - 1)
+        .withColumn("_irregular", F.max(_falls(F.col("_before"))).over(group))
+        .withColumn("_count", F.count(F.lit(1)).over(group))
+    )
+
+
 def _falls(before: Column) -> Column:
     """True where a point lies below an earlier one, or points of one time disagree."""
     return F.coalesce(before > F.col("_low"), F.lit(False)) | (F.col("_low") < F.col("_high"))
@@ -138,17 +222,10 @@ def _roles(df: DataFrame) -> DataFrame:
     )
 
 
-def _within_task(points: DataFrame, key: str, distances: dict[float, int]) -> DataFrame:
-    """``distances`` as asked for, with their steps of ``_d``. One exchange by ``key``; every later window reuses that partitioning."""
+def _within_task(points: DataFrame, key: str, distances: dict[float, int], clustered: bool = False) -> DataFrame:
+    """``distances`` as asked for, with their steps of ``_d``."""
     group = Window.partitionBy(key)
-    in_time = group.orderBy("_us")
-    times = points.repartition(key).groupBy(key, "_us").agg(F.min("_d").alias("_low"), F.max("_d").alias("_high"))
-    marked = (
-        times.withColumn("_before", F.max("_high").over(in_time.rowsBetween(Window.unboundedPreceding, -1)))
-        .withColumn("_rank", F.row_number().over(in_time).cast("long") - 1)
-        .withColumn("_irregular", F.max(_falls(F.col("_before"))).over(group))
-        .withColumn("_count", F.count(F.lit(1)).over(group))
-    )
+    marked = _marked(points, key, clustered)
     pieces = _roles(marked.withColumn("_level", F.explode(_pieces(F.col("_irregular"), F.col("_count")))))
 
     def taken(step: int) -> Column:
@@ -177,8 +254,27 @@ def _within_task(points: DataFrame, key: str, distances: dict[float, int]) -> Da
     )
 
 
-def _across_tasks(points: DataFrame, key: str, distances: dict[float, int], limit: float, few: bool) -> DataFrame:
-    """The same for activities too large for one task: every scan runs in slices.
+def _goals_within_task(points: DataFrame, asked: DataFrame, key: str, clustered: bool) -> DataFrame:
+    """The search along a line of points and goals, for activities of one task each."""
+    marked = _marked(points, key, clustered)
+    pieces = _roles(marked.withColumn("_level", F.explode(_pieces(F.col("_irregular"), F.col("_count"))))).join(asked, key)
+    none = F.lit(None).cast("long")
+    end = F.struct((-F.col("_pos")).alias("at"), F.lit(0).alias("kind"), none.alias("start"), F.col("_us").alias("end"))
+    goal = F.struct(
+        (-(F.col("_pos") + F.col("_step"))).alias("at"), F.lit(1).alias("kind"), F.col("_us").alias("start"), none.alias("end")
+    )
+    line = pieces.select(
+        key, "event_distance", *PIECE, F.explode(F.array_compact(F.array(F.when(F.col("_ends"), end), F.when(F.col("_starts"), goal)))).alias("_p")
+    ).select(key, "event_distance", *PIECE, "_p.*")
+    far_first = Window.partitionBy(key, "event_distance", *PIECE).orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    found = line.withColumn("_first", F.min("end").over(far_first)).where("start IS NOT NULL AND _first IS NOT NULL")
+    found = found.select(key, "event_distance", F.col("start").alias("_us"), (F.col("_first") - F.col("start")).alias("_dur"))
+    best = F.min("_dur").over(Window.partitionBy(key, "event_distance"))
+    return found.withColumn("_best", best).where("_dur = _best").select(key, "_us", "event_distance", "_dur")
+
+
+def _ends_across_tasks(points: DataFrame, key: str, limit: float, few: bool) -> tuple[DataFrame, DataFrame]:
+    """Starts and ends by piece and distance, of activities too large for one task.
 
     Per-activity results are at most one row per hot activity; if those are ``few``, they are broadcast.
     """
@@ -201,6 +297,30 @@ def _across_tasks(points: DataFrame, key: str, distances: dict[float, int], limi
     # Of starts at one distance only the last can win, of ends only the first.
     starts = pieces.where("_starts").groupBy(*cell, "_pos").agg(F.max("_us").alias("_start"))
     ends = pieces.where("_ends").groupBy(*cell, "_pos").agg(F.min("_us").alias("_end"))
+    return starts, ends
+
+
+def _goals_across_tasks(points: DataFrame, asked: DataFrame, key: str, limit: float, few: bool) -> DataFrame:
+    """The search along a line, in slices."""
+    starts, ends = _ends_across_tasks(points, key, limit, few)
+    cell, none = [key, "event_distance", *PIECE], F.lit(None).cast("long")
+    goals = starts.join(asked, key).select(
+        *cell, (-(F.col("_pos") + F.col("_step"))).alias("_at"), F.lit(1).alias("_kind"), "_start", none.alias("_end")
+    )
+    reached = ends.join(asked, key).select(*cell, (-F.col("_pos")).alias("_at"), F.lit(0).alias("_kind"), none.alias("_start"), "_end")
+    line = durable(goals.unionByName(reached))
+    met = running(line, cell, ["_at", "_kind"], {"_first": ("min", "_end")}, min_rows=limit)
+    found = met.where("_start IS NOT NULL AND _first IS NOT NULL").select(
+        key, "event_distance", F.col("_start").alias("_us"), (F.col("_first") - F.col("_start")).alias("_dur")
+    )
+    best = found.groupBy(key, "event_distance").agg(F.min("_dur").alias("_best"))
+    return found.join(best, [key, "event_distance"]).where("_dur = _best").select(key, "_us", "event_distance", "_dur")
+
+
+def _across_tasks(points: DataFrame, key: str, distances: dict[float, int], limit: float, few: bool) -> DataFrame:
+    """The same for activities too large for one task: every scan runs in slices."""
+    starts, ends = _ends_across_tasks(points, key, limit, few)
+    cell = [key, *PIECE]
     none = F.lit(None).cast("long")
 
     def one(d: float, step: int) -> DataFrame:

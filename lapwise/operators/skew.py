@@ -49,7 +49,11 @@ def heavy_groups(df: DataFrame, keys: list[str], min_rows: float, order: list[st
     if min_rows == MEASURED:
         return None
     ranges = [f(c).alias(f"_{n}{i}") for i, c in enumerate(order) for f, n in ((F.min, "lo"), (F.max, "hi"))]
-    found = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *ranges).where(F.col("_n") > min_rows)
+    return as_groups(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *ranges).where(F.col("_n") > min_rows))
+
+
+def as_groups(found: DataFrame) -> Groups | None:
+    """One row per group as ``Groups``; nothing if there is none."""
     rows = found.limit(FEW_GROUPS + 1).collect()
     if not rows:
         return None
@@ -57,7 +61,7 @@ def heavy_groups(df: DataFrame, keys: list[str], min_rows: float, order: list[st
         return Groups(durable(found), False)
     # From Arrow, so that the plan holds the rows themselves and knows their size.
     table = pa.Table.from_pylist([r.asDict() for r in rows], to_arrow_schema(found.schema))
-    return Groups(df.sparkSession.createDataFrame(table, found.schema), True)
+    return Groups(found.sparkSession.createDataFrame(table, found.schema), True)
 
 
 def measured(df: DataFrame, keys: list[str], min_rows: float | None = None) -> float:

@@ -1,15 +1,16 @@
 """Loads: from decoded messages to the seven stored tables.
 
 One job takes all files. What the file name says is computed where it is needed, so ids
-reach child rows without a join. What is new is judged against all committed loads but the
-load's own, so a load may be run again, whole or broken off, under its id or another: each
-activity and its children are stored once.
+reach child rows without a join. What is new is judged against all other loads, by the mark
+that the load's first run noted in the ledger: a load may be run again at any time, whole or broken off, before or
+after newer ones, under its id or another, and each activity and its children are stored once.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import datetime, timezone
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,17 +19,17 @@ from lapwise.functions import names
 from lapwise.functions.values import default_name, lenient_time
 from lapwise.operators.intensity import align_intensity
 from lapwise.operators.laps import assign_laps, first_row, number_in_order, renumber_lengths
-from lapwise.operators.marks import high_water, newer_files, untimed
+from lapwise.operators.marks import newer_files, untimed
 from lapwise.operators.places import nearest_place
 from lapwise.operators.skew import heavy_join, measured
 from lapwise.operators.sports import activity_totals, fill_activity_time
-from lapwise.schemas import CHILD_TABLES
+from lapwise.schemas import CHILD_TABLES, LAYOUTS
 from lapwise.session import durable, use_utc
 from lapwise.sinks.contract import checked, with_raw
 from lapwise.sinks.load import insert_if_absent, reject_shared_ids, with_parent
 from lapwise.sources.messages import message_rows, route, workout_fields
 from lapwise.sources.sidecar import PATHS
-from lapwise.sources.tables import Store
+from lapwise.sources.tables import LOAD, Store, utc
 
 
 @dataclass
@@ -162,30 +163,67 @@ def _finish(
     return Load(insert_if_absent(fit, stored, ["file"]), fresh, activity_id, rejected)
 
 
-def run_load(store: Store, load: Load, load_id: str, min_rows: float | None = None) -> None:
-    """Store a load. Run again with the same ``load_id``, it replaces what it wrote.
+class LoadShrinks(ValueError):
+    """A load run again would store fewer of the activities it has stored."""
 
-    ``load`` must be planned against the store without ``load_id`` (``store.read(..., but=load_id)``).
+
+def run_load(
+    store: Store, load: Load, load_id: str, min_rows: float | None = None, source: str = "plan",
+    mark: datetime | None = None, may_shrink: bool = False, takes_over: DataFrame | None = None,
+) -> None:
+    """Store a load, and note it in the ledger with its ``source`` and the ``mark`` its files are newer than.
+
+    Run again with the same ``load_id``, it stands in for what that load stored, once it is whole. If activities
+    would go that way, because files are missing now, it raises ``LoadShrinks`` and stores nothing, unless
+    it ``may_shrink``. Activities that it ``takes_over`` (``activity_id, load_id`` as stored) leave their loads in the same
+    moment as this one shows them. ``load`` must be planned against the store without ``load_id`` (``store.read(..., but=load_id)``).
     """
     # Fixed before the first write: the store may not change what counts as new.
     new = durable(load.activities)
-    store.begin(load_id)
+    earlier = store.with_loads("activity", only=[load_id]).where("fits").select("activity_id")
+    gone = 0 if may_shrink else earlier.join(new, "activity_id", "left_anti").count()
+    if gone:
+        raise LoadShrinks(f"load {load_id} would drop {gone} of its activities; allow it with may_shrink")
+    run = store.begin(load_id, source, mark)
     limit = measured(load.messages, ["file"], min_rows)
     mine = with_parent(load.messages, new, key="file", min_rows=limit)
     for table, rows in derive(mine, load.activity_id, limit).items():
-        store.write(table, with_raw(rows, table), load_id)
-    store.write_rejected(load.rejected, load_id)
-    store.write("activity", new, load_id)
-    store.commit(load_id)
+        store.write(table, with_raw(rows, table), run)
+    store.write_rejected(load.rejected, run)
+    store.write_files(new, run)
+    store.write("activity", new, run)
+    run.newest = utc(new.agg(F.max("timestamp")).first()[0])
+    moved = []
+    if takes_over is not None:
+        takes_over = durable(takes_over.join(new, "activity_id", "left_semi").select("activity_id", LOAD))
+        moved = [r[0] for r in takes_over.select(LOAD).distinct().collect()]
+    if moved:
+        left = {
+            table: store.with_loads(table, moved).join(takes_over, ["activity_id", LOAD], "left_anti") for table in LAYOUTS
+        }
+        left["files"] = store.files().where(F.col(LOAD).isin(moved)).join(takes_over, ["activity_id", LOAD], "left_anti")
+        store.amend(left, moved, f"moved to {load_id}", [run])
+    else:
+        store.commit(run)
+
+
+Summaries = DataFrame | Callable[[datetime], DataFrame]
 
 
 def load_connect(
-    store: Store, messages: DataFrame, sidecars: DataFrame, load_id: str, min_rows: float | None = None
+    store: Store, messages: DataFrame, sidecars: Summaries, load_id: str, min_rows: float | None = None,
+    may_shrink: bool = False,
 ) -> None:
-    """Load all summaried files newer than the newest stored activity."""
+    """Load all summarised files newer than the newest stored activity.
+
+    ``sidecars`` are summaries, or a function that reads those not older than a time
+    (``sources.sidecar.summaries_since``): then only files that can belong to the load are opened.
+    """
     use_utc(store.spark)
-    stored = store.read("activity", but=load_id)
-    run_load(store, plan_connect(messages, sidecars, stored, _after(stored)), load_id, min_rows)
+    mark = mark_of(store, load_id)
+    known = sidecars(mark) if callable(sidecars) else sidecars
+    plan = plan_connect(messages, known, store.read("activity", but=load_id), mark)
+    run_load(store, plan, load_id, min_rows, "connect", mark, may_shrink)
 
 
 def load_watch(
@@ -195,16 +233,16 @@ def load_watch(
     load_id: str,
     now: datetime | None = None,
     min_rows: float | None = None,
+    may_shrink: bool = False,
 ) -> None:
     """Load all watch files newer than the newest stored activity and not in the future."""
     use_utc(store.spark)
-    stored = store.read("activity", but=load_id)
-    plan = plan_watch(messages, places, stored, _after(stored, now), now, min_rows)
-    run_load(store, plan, load_id, min_rows)
+    mark = mark_of(store, load_id, now)
+    plan = plan_watch(messages, places, store.read("activity", but=load_id), mark, now, min_rows)
+    run_load(store, plan, load_id, min_rows, "watch", mark, may_shrink)
 
 
-def _after(stored: DataFrame, now: datetime | None = None) -> datetime:
-    """The mark, one value, as a literal for the file filter."""
-    micros = high_water(stored, now).select(F.unix_micros("after")).first()[0]
-    seconds, rest = divmod(micros, 1_000_000)
-    return datetime.fromtimestamp(seconds, timezone.utc).replace(microsecond=rest)
+def mark_of(store: Store, load_id: str, now: datetime | None = None) -> datetime:
+    """The mark of the load's first run; for a new load, the newest activity time stored before ``now``."""
+    first = store.first_mark(load_id)
+    return store.high_water(now, but=load_id) if first is None else first

@@ -1,4 +1,7 @@
-"""Corrections to stored tables. The corrected table goes to a new store; nothing is changed in place."""
+"""Corrections to stored tables, in place: only the loads that hold a changed row get new files, for that table alone.
+
+The change shows all at once, when the ledger names the new files; broken off before, the store is as it was.
+"""
 
 from __future__ import annotations
 
@@ -10,43 +13,46 @@ from pyspark.sql import functions as F
 from lapwise.functions import names
 from lapwise.operators.laps import number_in_order
 from lapwise.sinks.contract import conform
-from lapwise.sinks.load import backfill_power, update_pool
+from lapwise.sinks.load import POWER, backfill_power, update_pool
 from lapwise.sources.messages import message_rows
-from lapwise.sources.tables import Store
+from lapwise.sources.tables import FITS, LOAD, Store
 
 
 def refresh_pool(
-    store: Store, messages: DataFrame, target: Store, load_id: str, id_of: Callable[[Column], Column] = names.activity_id
-) -> None:
-    """Write ``session`` with pool length and unit as the files of ``messages`` have them.
+    store: Store, messages: DataFrame, id_of: Callable[[Column], Column] = names.activity_id
+) -> list[str]:
+    """Give ``session`` the pool lengths and units that the files of ``messages`` have; the loads that changed.
 
     ``id_of`` says which activity a file is: ``names.made_id`` for stores of watch files.
     """
-    _other(store, target)
     decoded = message_rows(messages, "session").select(
         id_of(F.col("file")).alias("activity_id"),
         "file", "seq", "sub_sport", F.col("pool_length").try_cast("double").alias("pool_length"), "pool_length_unit",
     )
-    _replace(target, "session", update_pool(store.read("session"), decoded, ["file", "seq"]), load_id)
+    return _correct(
+        store, "session", ["pool_length", "pool_length_unit"], lambda rows: update_pool(rows, decoded, ["file", "seq"])
+    )
 
 
 def refresh_power(
-    store: Store, messages: DataFrame, target: Store, load_id: str, id_of: Callable[[Column], Column] = names.activity_id
-) -> None:
-    """Write ``lap`` with missing power values as the files of ``messages`` have them; ``id_of`` as for the pool."""
-    _other(store, target)
+    store: Store, messages: DataFrame, id_of: Callable[[Column], Column] = names.activity_id
+) -> list[str]:
+    """Fill missing power values of ``lap`` from the files of ``messages``; ``id_of`` as for the pool."""
     numbered = number_in_order(message_rows(messages, "lap"), "file", ["seq"])
     decoded = conform(
         numbered.withColumn("activity_id", id_of(F.col("file"))), "lap"
     )
-    _replace(target, "lap", backfill_power(store.read("lap"), decoded, ["start_time"]), load_id)
-
-
-def _other(store: Store, target: Store) -> None:
-    if store.base == target.base:
-        raise ValueError("a correction goes to another store; in its own it would stand beside the old rows")
-
-
-def _replace(target: Store, table: str, rows: DataFrame, load_id: str) -> None:
-    target.write(table, rows, load_id)
-    target.commit(load_id)
+    return _correct(store, "lap", POWER, lambda rows: backfill_power(rows, decoded, ["start_time"]))
+
+
+def _correct(
+    store: Store, table: str, values: list[str], correct: Callable[[DataFrame], DataFrame]
+) -> list[str]:
+    """Apply ``correct``, which changes ``values`` of rows and keeps all columns, to the loads where it changes any."""
+    before = F.struct(*values)
+    corrected = correct(store.with_loads(table).where(FITS).withColumn("_before", before))
+    loads = [r[0] for r in corrected.where(~F.col("_before").eqNullSafe(before)).select(LOAD).distinct().collect()]
+    if loads:
+        rows = store.with_loads(table, loads)
+        store.amend({table: correct(rows.where(FITS)).unionByName(rows.where(~F.col(FITS)))}, loads, f"{table} corrected")
+    return loads

@@ -15,11 +15,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def collect() -> tuple[dict[str, Query], dict[str, str]]:
     """All queries, and the SQL of those that have one."""
-    from lapwise.queries import activities, efforts, files, laps, loads, stores, tracks
+    from lapwise.queries import activities, efforts, files, laps, loads, stored, stores, tracks
 
     queries: dict[str, Query] = {}
     sql: dict[str, str] = {}
-    for module in (efforts, laps, activities, stores, files, tracks, loads):
+    for module in (efforts, laps, activities, stores, files, tracks, loads, stored):
         for name, (query, text) in module.QUERIES.items():
             queries[name] = query
             if text is not None:

@@ -119,9 +119,7 @@ def semicircles(spark, sf_dir):
 def names(spark, sf_dir):
     """Customers name their sport and home; some have several sessions, some no city."""
     nations = read(spark, sf_dir, "nation")
-    customers = read(spark, sf_dir, "customer").join(
-        F.broadcast(nations), F.col("c_nationkey") == F.col("n_nationkey"), "left"
-    )
+    customers = read(spark, sf_dir, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left")
     sport = F.when(F.col("c_custkey") % 5 != 0, F.concat(F.lower("c_mktsegment"), F.lit("_swimming")))
     city = F.when(F.col("c_custkey") % 3 == 0, F.lit("")).when(F.col("c_custkey") % 3 == 1, F.col("n_name"))
     county = F.when(F.col("c_custkey") % 7 != 0, F.concat(F.lit("county "), F.col("c_nationkey")))

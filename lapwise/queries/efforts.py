@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapwise.operators.efforts import fastest_effort, fastest_efforts, point_deltas
+from lapwise.operators.efforts import fastest_effort, fastest_efforts, fastest_efforts_by, point_deltas
 from lapwise.operators.skew import measured, running
+from lapwise.plans.functions import register_functions
 from lapwise.queries.tables import cents, micros, read
 
 NAMES = {"key": "user_id", "time": "us", "distance": "d"}
@@ -62,6 +63,50 @@ def effort_one(spark, sf_dir):
     return _result(fastest_effort(points, 5000, activity_id=7, **NAMES))
 
 
+def _goals(points: DataFrame) -> DataFrame:
+    """A distance per user: 40 to 200 metres."""
+    users = points.select("user_id").distinct()
+    return users.withColumn("event_distance", ((F.col("user_id") % 5 + 1) * 40).cast("double"))
+
+
+def effort_by_goal(spark, sf_dir, min_rows=None):
+    """Each user's own distance, on steady tracks and on uneven ones."""
+    steady, limit = tracks(spark, sf_dir, min_rows)
+    uneven = read(spark, sf_dir, "events").select("user_id", micros("ts").alias("us"), cents("value").alias("d"))
+    out = []
+    for kind, points in (("steady", steady), ("uneven", uneven)):
+        metres = points.withColumn("d", F.col("d") / 100)
+        best = fastest_efforts_by(metres, _goals(points), min_rows=limit, **NAMES)
+        out.append(_result(best, "event_distance").withColumn("kind", F.lit(kind)))
+    return out[0].unionByName(out[1])
+
+
+def effort_by_goal_sliced(spark, sf_dir):
+    return effort_by_goal(spark, sf_dir, 20)
+
+
+def effort_sql(spark, sf_dir):
+    """The same through the SQL function, once per user by a lateral join."""
+    steady, _ = tracks(spark, sf_dir)
+    uneven = read(spark, sf_dir, "events").select("user_id", micros("ts").alias("us"), cents("value").alias("d"))
+    out = []
+    for kind, points in (("steady", steady), ("uneven", uneven)):
+        named = points.select(
+            F.col("user_id").alias("activity_id"), F.timestamp_micros("us").alias("timestamp"), (F.col("d") / 100).alias("distance")
+        )
+        named.createOrReplaceTempView(f"{kind}_points")
+        _goals(points).createOrReplaceTempView("goals")
+        register_functions(spark, f"{kind}_points")
+        out.append(spark.sql(f"""
+            SELECT g.user_id, g.event_distance, s.start_time,
+                   CAST(extract(SECOND FROM s.shortest_duration) * 1000000
+                        + 60000000L * (extract(MINUTE FROM s.shortest_duration) + 60L * (extract(HOUR FROM s.shortest_duration)
+                        + 24L * extract(DAY FROM s.shortest_duration))) AS BIGINT) AS duration_us, '{kind}' AS kind
+            FROM goals g, LATERAL shortest_duration_for_distance(g.event_distance, g.user_id) s
+        """))
+    return _result(out[0].unionByName(out[1]), "event_distance", "kind")
+
+
 def deltas(spark, sf_dir):
     points, limit = tracks(spark, sf_dir)
     out = point_deltas(points, tie=["event_id"], min_rows=limit, **NAMES)
@@ -97,7 +142,25 @@ _LADDER = f"""
     ) WHERE duration_us = best
 """
 
+_BY_GOAL = f"""
+    WITH points AS (
+        SELECT 'steady' AS kind, user_id, us, d FROM ({_TRACKS})
+        UNION ALL SELECT 'uneven', user_id, epoch_us(ts), CAST(round(value * 100) AS BIGINT) FROM events
+    ),
+    pairs AS (
+        SELECT a.kind, a.user_id, a.us - b.us AS duration_us, b.us AS start_us
+        FROM points a JOIN points b ON a.kind = b.kind AND a.user_id = b.user_id AND a.us > b.us
+        WHERE a.d - b.d >= (a.user_id % 5 + 1) * 4000
+    )
+    SELECT DISTINCT kind, user_id, ((user_id % 5 + 1) * 40)::DOUBLE AS event_distance, duration_us, start_us FROM (
+        SELECT *, min(duration_us) OVER (PARTITION BY kind, user_id) AS best FROM pairs
+    ) WHERE duration_us = best
+"""
+
 QUERIES = {
+    "fastest_effort_by_goal": (effort_by_goal, _BY_GOAL),
+    "fastest_effort_by_goal_sliced": (effort_by_goal_sliced, _BY_GOAL),
+    "fastest_effort_sql": (effort_sql, _BY_GOAL),
     "fastest_effort": (effort, _EFFORT),
     "fastest_effort_sliced": (effort_sliced, _EFFORT),
     "fastest_effort_ladder": (effort_ladder, _LADDER),

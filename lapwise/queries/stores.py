@@ -9,7 +9,7 @@ from lapwise.plans.ingest import fill_created
 from lapwise.queries.tables import LINE_ORDER, cents, micros, prop, read
 from lapwise.sinks.contract import conform, with_raw
 from lapwise.sinks.load import backfill_power, insert_if_absent, update_pool, with_parent, without_parent
-from lapwise.sources.messages import message_rows, route
+from lapwise.sources.messages import filled_fields, message_rows
 
 
 def inserts(spark, sf_dir):
@@ -85,10 +85,14 @@ def messages(spark, sf_dir):
         F.lit("sport"), F.lit("running"),
         F.lit("timestamp"), text("us"),
         F.lit("length_type"), F.when(F.col("k") % 2 == 0, "active").otherwise("idle"),
+        F.lit("serial_number"), F.when(F.col("k") % 5 != 0, text("event_id")),
+        F.lit("event_type"), F.lit("start"),
     ]
     fields = F.when(F.col("k") % 10 != 3, F.create_map(*rest, *east)).otherwise(F.create_map(*rest))
     kinds = {"view": "record", "click": "lap", "signup": "session", "error": "length"}
     kind = F.lit("other")
+    for n, name in enumerate(["activity", "file_id", "event"]):
+        kind = F.when((F.col("event_type") == "purchase") & (F.col("k") % 3 == n), name).otherwise(kind)
     for event_type, name in kinds.items():
         kind = F.when(F.col("event_type") == event_type, name).otherwise(kind)
     return events.select(
@@ -98,16 +102,8 @@ def messages(spark, sf_dir):
 
 
 def routed(spark, sf_dir):
-    """Rows and filled fields per table."""
-    parts = None
-    for table, rows in route(messages(spark, sf_dir)).items():
-        filled = sum((F.when(F.col(c).isNotNull(), 1).otherwise(0) for c in rows.columns[2:]), F.lit(0))
-        count = rows.agg(
-            F.lit(table).alias("table_name"), F.count(F.lit(1)).alias("n"),
-            F.coalesce(F.sum(filled), F.lit(0)).cast("bigint").alias("filled"),
-        )
-        parts = count if parts is None else parts.unionByName(count)
-    return parts
+    """Rows and filled fields per table; purchases are spread over three kinds of message."""
+    return filled_fields(messages(spark, sf_dir))
 
 
 def records(spark, sf_dir):
@@ -242,11 +238,13 @@ QUERIES = {
     ),
     "message_router": (
         routed,
-        f"""SELECT 'activity' AS table_name, CAST(0 AS BIGINT) AS n, CAST(0 AS BIGINT) AS filled
-            UNION ALL SELECT 'file_id', 0, 0
-            UNION ALL SELECT 'event', 0, 0
+        f"""SELECT 'activity' AS table_name, count(*) AS n, 2 * count(*) AS filled
+                FROM ({_EVENTS}) WHERE event_type = 'purchase' AND k % 3 = 0
+            UNION ALL SELECT 'file_id', count(*), count(*) FILTER (k % 5 <> 0)
+                FROM ({_EVENTS}) WHERE event_type = 'purchase' AND k % 3 = 1
+            UNION ALL SELECT 'event', count(*), 2 * count(*) FROM ({_EVENTS}) WHERE event_type = 'purchase' AND k % 3 = 2
             UNION ALL SELECT 'lap', count(*), count(*) FROM events WHERE event_type = 'click'
-            UNION ALL SELECT 'session', count(*), 3 * count(*) FROM events WHERE event_type = 'signup'
+            UNION ALL SELECT 'session', count(*), 4 * count(*) FROM events WHERE event_type = 'signup'
             UNION ALL SELECT 'length', count(*), 2 * count(*) FROM events WHERE event_type = 'error'
             UNION ALL SELECT 'record', count(*), CAST(sum(CASE WHEN k = 5 THEN 3 ELSE 4 END
                                                          + CASE WHEN k % 4 <> 0 THEN 1 ELSE 0 END) AS BIGINT)

@@ -9,6 +9,9 @@ from lapwise.queries.tables import prop, read
 from lapwise.sources.tracks import gpx_points, parse_gpx, parse_tcx, tcx_laps, tcx_points
 
 
+DOCUMENTS_PER_TASK = 5_000
+
+
 def _tag(name: str, *body: Column | str, attributes: Column | None = None) -> Column:
     parts = [F.lit(b) if isinstance(b, str) else b for b in body]
     start = [F.lit(f"<{name}>")] if attributes is None else [F.lit(f"<{name} "), attributes, F.lit(">")]
@@ -20,7 +23,10 @@ def _text(c: Column) -> Column:
 
 
 def _events(spark, sf_dir):
-    return read(spark, sf_dir, "events").repartition("event_id").select(
+    # A document is much larger than its event: spread by their number before they are made.
+    events = read(spark, sf_dir, "events")
+    parts = -(-events.count() // DOCUMENTS_PER_TASK)
+    return events.repartition(max(parts, 1), "event_id").select(
         "event_id", "value", prop("k").alias("k"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("time")
     )
 
@@ -45,7 +51,11 @@ def tcx_documents(spark, sf_dir):
             _tag("AltitudeMeters", _text(i * 1.5)),
             _tag("HeartRateBpm", _tag("Value", _text(k + i))),
             F.when(i == 1, _tag("Cadence", _text(k))).otherwise(F.lit("")),
-            _tag("Extensions", _tag("ns3:TPX", _tag("ns3:Speed", _text(i * 0.125)))),
+            # Speed at three depths, or nowhere.
+            F.when(k % 4 == 0, _tag("Extensions", _tag("ns3:TPX", _tag("ns3:RunCadence", "80"), _tag("ns3:Speed", _text(i * 0.125)))))
+            .when(k % 4 == 1, _tag("Extensions", _tag("maker", _tag("ns3:TPX", _tag("data", _tag("ns3:Speed", _text(i * 0.125)))))))
+            .when(k % 4 == 2, _tag("ns3:Speed", _text(i * 0.125)))
+            .otherwise(_tag("Extensions", _tag("ns3:TPX", _tag("ns3:SpeedZone", "4")))),
         )
 
     def lap(n: Column) -> Column:
@@ -54,6 +64,7 @@ def tcx_documents(spark, sf_dir):
             _tag("TotalTimeSeconds", _text(F.col("value"))),
             _tag("DistanceMeters", _text(n * 1000.0)),
             F.when(n == 0, _tag("MaximumSpeed", "3.5")).otherwise(F.lit("")),
+            F.when(n != 1, _tag("MaximumHeartRateBpm", _tag("Value", _text(k + n)))).otherwise(F.lit("")),
             _tag("AverageHeartRateBpm", _tag("Value", _text(k))),
             F.when(n < 2, _tag("Track", _at_least_one(k % 4 + 1, lambda i: point(n, i)))).otherwise(F.lit("")),
             attributes=F.concat(F.lit('StartTime="'), F.col("time"), F.lit('"')),
@@ -127,14 +138,14 @@ QUERIES = {
         laps,
         f"""SELECT event_id, CAST(n + 1 AS INTEGER) AS number, us AS start_us, n * 1000.0::DOUBLE AS distance,
                    CAST(round(value * 1000000) AS BIGINT) AS total_us, CASE WHEN n = 0 THEN 3.5::DOUBLE END AS max_speed,
-                   CAST(NULL AS DOUBLE) AS max_hr, k::DOUBLE AS avg_hr
+                   CASE WHEN n <> 1 THEN (k + n)::DOUBLE END AS max_hr, k::DOUBLE AS avg_hr
             FROM ({_EVENTS}), generate_series(0, 2) AS g(n) WHERE n <= k % 3""",
     ),
     "tcx_points": (
         points,
         f"""SELECT event_id, n + i * 0.5::DOUBLE AS latitude, -i * 0.25::DOUBLE AS longitude,
                    i * 1.5::DOUBLE AS elevation, us AS time_us, CAST(k + i AS INTEGER) AS heart_rate,
-                   CASE WHEN i = 1 THEN k END AS cadence, i * 0.125::DOUBLE AS speed, CAST(n + 1 AS INTEGER) AS lap
+                   CASE WHEN i = 1 THEN k END AS cadence, CASE WHEN k % 4 < 3 THEN i * 0.125::DOUBLE END AS speed, CAST(n + 1 AS INTEGER) AS lap
             FROM ({_EVENTS}), generate_series(0, 1) AS g(n), generate_series(0, 3) AS h(i)
             WHERE n <= k % 3 AND i <= k % 4 AND NOT (k % 2 = 0 AND i = 0)""",
     ),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -32,15 +34,21 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Cut the lineage of ``df`` on shared storage, so it survives lost executors.
+def shared_folder(spark: SparkSession) -> str:
+    """Where tables that all executors must see are kept: the folder named in ``spark.checkpoint.dir``, else the warehouse."""
+    named = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    return named or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
 
-    The folder is the one named in ``spark.checkpoint.dir``; a session without one uses its
-    warehouse, which is shared as well.
-    """
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A folder of its own, not made yet, on shared storage."""
+    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Cut the lineage of ``df`` on shared storage, so it survives lost executors."""
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints")
+        context.setCheckpointDir(shared_folder(spark))
     return df.checkpoint()

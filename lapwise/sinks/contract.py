@@ -24,7 +24,8 @@ def to_type(c: Column, kind: str, source: str) -> Column:
     if kind == "timestamp" and source == "string":
         return F.try_to_timestamp(c)
     if kind == "timestamp_ntz" and source == "string":
-        return F.try_to_timestamp(c).cast("timestamp_ntz")
+        # What the clock showed; a zone is dropped.
+        return c.try_cast("timestamp_ntz")
     if kind == "string" and source == "string":
         return F.rtrim(c)
     return c.try_cast(kind)

@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapwise.operators.laps import first_row
+from lapwise.operators.numbering import dense_numbers
 from lapwise.operators.skew import heavy_join
 
+POWER = ["avg_power", "max_power", "normalized_power"]
+
 
 def insert_if_absent(new: DataFrame, existing: DataFrame, order: list[str], key: str = "activity_id") -> DataFrame:
     """Rows of ``new`` whose key is not stored yet; of several with one key, the first in ``order``."""
@@ -33,6 +36,18 @@ def reject_shared_ids(files: DataFrame, file: str = "file", key: str = "activity
     return files.groupBy(key).agg(F.min(file).alias("_a"), F.max(file).alias("_b")).where("_a <> _b").select(key)
 
 
+def serial_ids(
+    rows: DataFrame, stored: DataFrame, order: list[str], key: str = "activity_id"
+) -> DataFrame:
+    """``rows`` with ids that follow the largest stored one without a gap, in ``order``.
+
+    The same on every run against the same store if ``order`` tells rows apart. A load that may run again at any
+    time takes ``functions.names.made_id`` instead, which asks no store.
+    """
+    largest = stored.agg(F.coalesce(F.max(key), F.lit(0))).first()[0]
+    return dense_numbers(rows, order, key, after=largest)
+
+
 def update_pool(
     sessions: DataFrame,
     updates: DataFrame,
@@ -75,8 +90,7 @@ def backfill_power(
 
     The first in ``order`` counts where a lap was decoded more than once.
     """
-    power = ["avg_power", "max_power", "normalized_power"]
     keys = [key, "number"]
-    found = decoded.groupBy(*keys).agg(F.min_by(F.struct(*power), F.struct(*order)).alias("_new"))
+    found = decoded.groupBy(*keys).agg(F.min_by(F.struct(*POWER), F.struct(*order)).alias("_new"))
     joined = heavy_join(laps, found, keys, "left", min_rows)
-    return joined.withColumns({c: F.coalesce(F.col(c), F.col(f"_new.{c}")) for c in power}).select(*laps.columns)
+    return joined.withColumns({c: F.coalesce(F.col(c), F.col(f"_new.{c}")) for c in POWER}).select(*laps.columns)

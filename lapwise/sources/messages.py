@@ -38,22 +38,41 @@ def has_field(name: str) -> Column:
     return F.map_contains_key("fields", name)
 
 
-def message_rows(messages: DataFrame, table: str) -> DataFrame:
-    """``file, seq`` and the table's own fields as text, absent ones null.
-
-    Records without position fields are left out; positions without a value stay.
-    Coordinates come out in degrees.
-    """
+def held_fields(table: str) -> dict[str, Column]:
+    """What a message holds for each of the table's own columns, as text; absent ones null, coordinates in degrees."""
     skip = DERIVED.get(table, {"activity_id"})
     names = [n for n, _ in columns(table) if n not in skip]
-    rows = messages.where(F.col("name") == table)
     picked = {n: field(n) for n in names}
     if table == "record":
-        rows = rows.where(has_field("position_lat") & has_field("position_long"))
         picked = {n: field(f) for n, f in POSITION_FIELDS.items()} | picked
     for n in SEMICIRCLES.get(table, []):
         picked[n] = degrees(picked[n].try_cast("double")).cast("string")
-    return rows.select("file", "seq", *[c.alias(n) for n, c in picked.items()])
+    return picked
+
+
+def belongs(table: str) -> Column:
+    """Whether a message is a row of the table. Records without position fields are not; positions without a value are."""
+    named = F.col("name") == table
+    return named & has_field("position_lat") & has_field("position_long") if table == "record" else named
+
+
+def message_rows(messages: DataFrame, table: str) -> DataFrame:
+    """``file, seq`` and the table's own fields."""
+    picked = held_fields(table)
+    return messages.where(belongs(table)).select("file", "seq", *[c.alias(n) for n, c in picked.items()])
+
+
+def filled_fields(messages: DataFrame) -> DataFrame:
+    """``table_name, n, filled`` for all seven tables: rows, and fields that hold something, counted in one pass."""
+    def held(table: str) -> Column:
+        return sum((F.when(c.isNotNull(), 1).otherwise(0) for c in held_fields(table).values()), F.lit(0))
+
+    per_table = {t: F.when(belongs(t), held(t)) for t in LAYOUTS}
+    counted = messages.agg(*[
+        F.struct(F.lit(t).alias("table_name"), F.count(c).alias("n"), F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias("filled")).alias(t)
+        for t, c in per_table.items()
+    ])
+    return counted.select(F.inline(F.array(*per_table)))
 
 
 def route(messages: DataFrame) -> dict[str, DataFrame]:

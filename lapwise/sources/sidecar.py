@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import datetime, timedelta, timezone
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,17 +30,31 @@ SCHEMA = (
 )
 
 
-def read_sidecars(spark: SparkSession, path: str, glob: str = "*_summary.json") -> DataFrame:
-    """``file, pair`` and the flat columns; a file that is no JSON gives nulls."""
-    docs = (
-        spark.read.schema(SCHEMA)
-        .options(multiLine="true", mode="PERMISSIVE", pathGlobFilter=glob)
-        .json(path)
-        .select(F.col("_metadata.file_name").alias("file"), "*")
-    )
+def read_sidecars(
+    spark: SparkSession, path: str, glob: str = "*_summary.json", since: datetime | None = None
+) -> DataFrame:
+    """``file, pair`` and the flat columns; a file that is no JSON gives nulls.
+
+    Names begin with the activity's time. With ``since``, files of names before the day before it are
+    not opened: names are compared while files are listed. (A day, as names may be in any time zone.)
+    """
+    docs = spark.read.schema(SCHEMA).options(multiLine="true", mode="PERMISSIVE", pathGlobFilter=glob).json(path)
+    if since is not None:
+        docs = docs.where(F.col("_metadata.file_name") >= _day_before(since))
+    docs = docs.select(F.col("_metadata.file_name").alias("file"), "*")
     return docs.select("file", pair_key(F.col("file")).alias("pair"), *[F.col(p).alias(n) for p, n in PATHS.items()])
 
 
+def summaries_since(spark: SparkSession, path: str, glob: str = "*_summary.json") -> Callable[[datetime], DataFrame]:
+    """The summaries of a folder for a load, read from its mark on."""
+    return lambda since: read_sidecars(spark, path, glob, since)
+
+
+def _day_before(time: datetime) -> str:
+    time = time.astimezone(timezone.utc) if time.tzinfo else time
+    return f"{time - timedelta(days=1):%Y-%m-%d}" if time.year >= 1000 else ""
+
+
 def _type(tree: dict) -> T.DataType:
     if not tree:
         return T.StringType()

@@ -17,8 +17,10 @@ _VALUE = "struct<Value:double>"
 _POINT = (
     "struct<Time:timestamp,Position:struct<LatitudeDegrees:double,LongitudeDegrees:double>,"
     f"AltitudeMeters:double,DistanceMeters:double,HeartRateBpm:{_VALUE},Cadence:double,"
-    "Extensions:struct<TPX:struct<Speed:double>>>"
+    # What is not named here comes as text, whatever stands below it.
+    "Speed:string,xs_any:array<string>>"
 )
+_SPEED = r"<(?:[\w.-]+:)?Speed(?:\s[^>]*)?>\s*([^<\s]+)"
 _LAP = (
     "struct<_StartTime:timestamp,TotalTimeSeconds:double,DistanceMeters:double,MaximumSpeed:double,"
     f"MaximumHeartRateBpm:{_VALUE},AverageHeartRateBpm:{_VALUE},Track:array<struct<Trackpoint:array<{_POINT}>>>>"
@@ -60,7 +62,10 @@ def tcx_laps(activities: DataFrame) -> DataFrame:
 
 
 def tcx_points(activities: DataFrame) -> DataFrame:
-    """Points of the first track of each lap that have a position."""
+    """Points of the first track of each lap that have a position.
+
+    ``speed`` is the point's first Speed element, at any depth.
+    """
     names = _names(activities)
     track = F.get("lap.Track", F.lit(0))
     points = _laps(activities).select(*names, "number", F.explode_outer(track["Trackpoint"]).alias("p"))
@@ -72,7 +77,9 @@ def tcx_points(activities: DataFrame) -> DataFrame:
         F.col("p.Time").alias("time"),
         F.col("p.HeartRateBpm.Value").cast("int").alias("heart_rate"),
         F.col("p.Cadence").cast("int").alias("cadence"),
-        F.col("p.Extensions.TPX.Speed").alias("speed"),
+        F.coalesce(
+            F.col("p.Speed"), F.regexp_extract(F.array_join("p.xs_any", " "), _SPEED, 1)
+        ).try_cast("double").alias("speed"),
         F.col("number").alias("lap"),
     )
 

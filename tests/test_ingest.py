@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from lapwise.plans import maintenance, reports
 from lapwise.plans.ingest import load_connect, load_watch, plan_connect, run_load
 from lapwise.schemas import LAYOUTS, columns, struct
-from lapwise.sources.sidecar import read_sidecars
+from lapwise.sources.sidecar import read_sidecars, summaries_since
 from lapwise.sources.tables import Store
 from lapwise.streaming.incremental import follow, message_stream
 
@@ -116,15 +116,15 @@ class Broken(Store):
         super().__init__(spark, base)
         self.stop = stop
 
-    def write(self, table, rows, load_id):
+    def write(self, table, rows, run):
         if table == self.stop:
             raise RuntimeError("stopped")
-        super().write(table, rows, load_id)
+        super().write(table, rows, run)
 
-    def commit(self, load_id):
+    def commit(self, run):
         if self.stop == "commit":
             raise RuntimeError("stopped")
-        super().commit(load_id)
+        super().commit(run)
 
 
 def test_same_load_twice(spark, sidecars, tmp_path):
@@ -152,16 +152,16 @@ def test_stream_replay(spark, sidecars, tmp_path):
     connect_frame(spark).coalesce(1).write.parquet(str(source))
 
     class Lost(Store):
-        def commit(self, load_id):
-            super().commit(load_id)
+        def commit(self, run):
+            super().commit(run)
             raise RuntimeError("lost after the last write")
 
     base, progress = str(tmp_path / "store"), str(tmp_path / "progress")
     with pytest.raises(Exception, match="lost after the last write"):
-        follow(message_stream(spark, str(source)), Lost(spark, base), progress, lambda: sidecars).awaitTermination(120)
+        follow(message_stream(spark, str(source)), Lost(spark, base), progress, lambda since: sidecars).awaitTermination(120)
     store = Store(spark, base)
     assert counts(store) == WHOLE
-    follow(message_stream(spark, str(source)), store, progress, lambda: sidecars).awaitTermination(120)
+    follow(message_stream(spark, str(source)), store, progress, lambda since: sidecars).awaitTermination(120)
     assert counts(store) == WHOLE
 
 
@@ -174,7 +174,7 @@ def test_summary_that_arrives_later(spark, tmp_path):
 
     def step():
         stream = message_stream(spark, str(source / "*"))
-        follow(stream, store, str(tmp_path / "progress"), lambda: read_sidecars(spark, str(summaries))).awaitTermination(120)
+        follow(stream, store, str(tmp_path / "progress"), summaries_since(spark, str(summaries))).awaitTermination(120)
 
     step()
     (summaries / "2024-02-02T00.00.00_91_summary.json").write_text('{"summaryDTO": {"distance": 7.5}}')
@@ -205,13 +205,13 @@ def test_watch_files_of_one_name(spark, tmp_path):
 def test_maintenance_of_a_watch_store(spark, tmp_path):
     from lapwise.functions.names import made_id
 
-    store, target = Store(spark, str(tmp_path / "a")), Store(spark, str(tmp_path / "b"))
+    store = Store(spark, str(tmp_path / "a"))
     load_watch(store, watch_frame(spark), None, "a", datetime(2024, 6, 1, tzinfo=timezone.utc))
-    maintenance.refresh_pool(store, watch_frame(spark), target, "a", made_id)
-    assert {r["pool_length"] for r in target.read("session").where("sport = 'swimming'").collect()} == {22.0}
-    assert target.read("session").count() == store.read("session").count()
-    with pytest.raises(ValueError):
-        maintenance.refresh_pool(store, watch_frame(spark), Store(spark, store.base), "b", made_id)
+    before = counts(store)
+    assert maintenance.refresh_pool(store, watch_frame(spark), made_id) == ["a"]
+    assert {r["pool_length"] for r in store.read("session").where("sport = 'swimming'").collect()} == {22.0}
+    assert counts(store) == before
+    assert maintenance.refresh_pool(store, watch_frame(spark), made_id) == []
 
 
 def test_sliced_load_is_the_same(spark, sidecars, loaded, tmp_path):
@@ -256,28 +256,15 @@ def test_stream(spark, sidecars, tmp_path, loaded):
     source = tmp_path / "messages"
     connect_frame(spark).coalesce(1).write.parquet(str(source / "1"))
     stream = lambda: message_stream(spark, str(source / "*"))
-    follow(stream(), store, str(tmp_path / "progress"), lambda: sidecars).awaitTermination(120)
+    follow(stream(), store, str(tmp_path / "progress"), lambda since: sidecars).awaitTermination(120)
     assert counts(store)["record"] == 6
     frame(spark, {RUN: run, "2024-02-01T00.00.00_90.fit": run}).coalesce(1).write.parquet(str(source / "2"))
-    follow(stream(), store, str(tmp_path / "progress"), lambda: sidecars).awaitTermination(120)
+    follow(stream(), store, str(tmp_path / "progress"), lambda since: sidecars).awaitTermination(120)
     assert sorted(r[0] for r in store.read("activity").select("activity_id").collect()) == [90, 101, 102]
     assert counts(store)["lap"] == 4
 
 
-def test_maintenance_and_reports(spark, loaded, tmp_path):
-    target = Store(spark, str(tmp_path))
-    maintenance.refresh_pool(loaded, connect_frame(spark), target, "a")
-    pools = {r["sport"]: r["pool_length"] for r in target.read("session").where("activity_id = 102").collect()}
-    assert pools == {"swimming": 22.0, "running": None}
-
-    def powered():
-        for name, fields in run():
-            yield name, fields | ({"avg_power": "1", "max_power": "300"} if name == "lap" else {})
-
-    maintenance.refresh_power(loaded, frame(spark, {RUN: powered}), target, "a")
-    laps = target.read("lap").where("activity_id = 101").orderBy("number").collect()
-    assert [(r["avg_power"], r["max_power"]) for r in laps] == [(200, 300), (1, 300)]
-
+def test_reports(spark, loaded):
     effort = reports.shortest_duration_for_distance(loaded, 100, 101).collect()
     assert effort and effort[0]["shortest_duration"].total_seconds() > 0
     assert reports.longest_multi_session_activities(loaded).select("activity_id", "total_distance").collect() == [

@@ -1,4 +1,5 @@
 import datetime
+import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -131,8 +132,8 @@ def test_mark_without_activities(spark):
     assert after == int(datetime.datetime(1900, 1, 1, 12, tzinfo=datetime.timezone.utc).timestamp()) * 1_000_000
 
 
-@pytest.mark.parametrize("first_km", [0.5, 10.0, 9000.0])
-def test_places(spark, first_km):
+@pytest.mark.parametrize("per_leaf", [1, 16])
+def test_places(spark, per_leaf):
     places = spark.createDataFrame(
         [(0.0, 179.99, "East", "e"), (0.0, -179.5, "West", "w"), (50.0, 7.0, None, "Hill"), (50.05, 7.0, "Dale", None)],
         "latitude double, longitude double, city string, county string",
@@ -141,11 +142,11 @@ def test_places(spark, first_km):
         [(1, 0.0, -179.99), (2, 50.01, 7.0), (3, 50.04, 7.01), (4, -33.0, 20.0), (5, None, None), (6, 0.0, -179.99)],
         "id int, start_position_lat double, start_position_long double",
     )
-    got = {r["id"]: (r["city"], r["county"]) for r in nearest_place(starts, places, first_km=first_km).collect()}
+    got = {r["id"]: (r["city"], r["county"]) for r in nearest_place(starts, places, per_leaf=per_leaf).collect()}
     assert got == {
         1: ("East", "e"), 2: (None, "Hill"), 3: ("Dale", None), 4: (None, "Hill"), 5: (None, None), 6: ("East", "e"),
     }
-    got = {r["id"]: (r["city"], r["county"]) for r in nearest_place(starts, places, first_km=first_km, max_km=3).collect()}
+    got = {r["id"]: (r["city"], r["county"]) for r in nearest_place(starts, places, per_leaf=per_leaf, max_km=3).collect()}
     assert got == {
         1: ("East", "e"), 2: (None, "Hill"), 3: ("Dale", None), 4: (None, None), 5: (None, None), 6: ("East", "e"),
     }
@@ -169,5 +170,61 @@ def test_places_against_all(spark):
     towns = spark.createDataFrame(places, "latitude double, longitude double, city string").withColumns(
         {c: F.lit(None).cast("string") for c in ("town", "village", "county")}
     )
-    got = {r["id"]: r["city"] for r in nearest_place(df, towns, first_km=100).collect()}
+    got = {r["id"]: r["city"] for r in nearest_place(df, towns, per_leaf=1).collect()}
     assert got == {i: min(places, key=lambda p: apart(lat, lon, p[0], p[1]))[2] for i, lat, lon in starts}
+
+
+def test_places_far_away(spark):
+    """A dense spot and starts far from it: what is measured grows with the starts, not with the places."""
+    from lapwise.operators.places import measured_places
+
+    towns = spark.range(5000).select(
+        (47 + F.rand(1) / 50).alias("latitude"), (8 + F.rand(2) / 50).alias("longitude"), F.concat(F.lit("p"), "id").alias("city"),
+        F.lit(None).cast("string").alias("town"), F.lit(None).cast("string").alias("village"), F.lit(None).cast("string").alias("county"),
+    )
+    towns = spark.createDataFrame(towns.toArrow())
+    starts = spark.range(400).select("id", (F.rand(3) * 160 - 80).alias("lat"), (F.rand(4) * 360 - 180).alias("lon"))
+    starts = spark.createDataFrame(starts.toArrow())
+    few = starts.where("id < 100")
+    counts = [measured_places(df, towns, "lat", "lon").count() for df in (few, starts)]
+    assert counts[1] < 5 * counts[0] and counts[1] < 400 * 40
+    spots = {r["city"]: (r["latitude"], r["longitude"]) for r in towns.collect()}
+
+    def apart(a, b):
+        (a, b), (c, d) = ([math.radians(x) for x in p] for p in (a, b))
+        h = math.sin((c - a) / 2) ** 2 + math.cos(a) * math.cos(c) * math.sin((d - b) / 2) ** 2
+        return round(2 * 6371.0088 * math.asin(math.sqrt(h)), 6)
+
+    for r in nearest_place(few, towns, "lat", "lon").collect():
+        least = min((apart((r["lat"], r["lon"]), at), name) for name, at in spots.items())
+        assert apart((r["lat"], r["lon"]), spots[r["city"]]) == least[0]
+
+
+def test_places_take_few_jobs(spark):
+    """The tree is built from a bounded number of jobs, whatever the starts."""
+    towns = spark.createDataFrame(
+        [(i % 90 / 1.5, i / 7.0, f"p{i}", None, None, None) for i in range(1000)],
+        "latitude double, longitude double, city string, town string, village string, county string",
+    )
+    spark.sparkContext.setJobGroup("places", "")
+    nearest_place(spark.range(9).select("id", F.col("id").alias("lat"), F.col("id").alias("lon")), towns, "lat", "lon")
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("places")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert 0 < len(jobs) <= 8
+
+
+def test_places_of_odd_kinds(spark):
+    layout = "latitude double, longitude double, city string, town string, village string, county string"
+    nan = float("nan")
+    starts = spark.createDataFrame([(1, 10.0, 10.0), (2, None, 5.0), (3, nan, 5.0)], "id int, lat double, lon double")
+    got = lambda places, **more: {
+        r["id"]: r["city"] for r in nearest_place(starts, spark.createDataFrame(places, layout), "lat", "lon", **more).collect()
+    }
+    assert got([]) == {1: None, 2: None, 3: None}
+    one = (10.0, 10.5, "b", None, None, "x")
+    assert got([(None, 1.0, "n", None, None, None), (nan, 1.0, "n", None, None, None), one]) == {1: "b", 2: None, 3: None}
+    # Equal positions, equal distances, one meridian.
+    assert got([one, (10.0, 10.5, "a", None, None, "x"), (10.0, 9.5, "aa", None, None, None)])[1] == "a"
+    line = [(i / 100, 10.0, f"p{i:04}", None, None, None) for i in range(2000)]
+    assert got(line, per_leaf=2)[1] == "p1000"
+    assert got([one], max_km=10) == {1: None, 2: None, 3: None}
