@@ -2,15 +2,17 @@
 
 The standard library's parser sends events; block elements cut the page into lines, each with its text and
 the tags seen in it. Lines inside elements that never hold the article (menus, footers, scripts) are set
-aside, and so are forms and elements whose class or id says so, unless they hold most of the page's text or
-nearly nothing would be left. Each other line has the ratio of its
+aside, and so are boxes named as comments or sidebars, however much they hold. Forms and elements whose class or id
+names something else of that kind go unless they hold the article: an article or main element, or the main heading and
+most of the text, or nearly all of it; or unless nearly nothing would be left. Each other line has the ratio of its
 characters to its tags; the ratios are smoothed by a Gaussian over neighbouring lines, so a short
 paragraph between long ones counts as text and a long line among links does not. Two-means clustering of
 the smoothed ratios gives the threshold; lines above it are content, three or more links in a row are not.
 
 The deepest container with nearly all content is the region; text marked ``article`` or ``main`` weighs four
 times. The region stays with its short lines; of a whole page, what is between its first and last content
-line, and headings right before. Rows of links go.
+line, and headings right before. Rows of links go that stand before or after all content with no heading of their own;
+references and tables of contents stay.
 
 Within a line white space becomes one blank; lines are joined by an empty line. A null or empty page, and one
 without text, has an empty text. Pages are independent of each other, so equal pages have equal texts.
@@ -49,6 +51,10 @@ _ASIDE_NAMES = frozenset(
     "reply respond share sharing sidebar signup social sponsor sponsored subscribe widget".split()
 )
 _ARTICLE_NAMES = frozenset("article content entry post single story".split())
+# Boxes beside the article, when this is what a name ends in; words that may follow, and words that make it a wrapper's name.
+_TALK = frozenset("comment comments discussion disqus replies reply respond responses sidebar".split())
+_PARTS_OF_BOXES = frozenset("area block body box container content inner item list section thread wrap wrapper".split())
+_WRAPPERS = frozenset("and has no plus with without".split())
 _CONTAINERS = frozenset("article body center div main section".split())
 _NAME = re.compile(r"[a-z]+")
 
@@ -68,6 +74,7 @@ class Element:
     hint: bool = False  # a name or kind that seldom holds the article
     aside: bool = False
     marked: bool = False  # in an article or main element
+    talk: bool = False  # named as comments or a sidebar
 
 
 @dataclass
@@ -81,6 +88,12 @@ class Line:
     text: str = ""
 
 
+def _is_talk(words: list[str]) -> bool:
+    """Whether a name, as its words, is that of a box of comments or a sidebar, not of what has one."""
+    last = next((w for w in reversed(words) if w not in _PARTS_OF_BOXES), "")
+    return last in _TALK and not _WRAPPERS & set(words)
+
+
 class _Lines(HTMLParser):
     """Events to lines."""
 
@@ -113,14 +126,17 @@ class _Lines(HTMLParser):
             self.open = []
         parent, hinted, linked = self._state()
         above = self.elements[parent]
-        names = {n for key, value in attrs if key in ("class", "id", "role") and value for n in _NAME.findall(value.lower())}
+        given = [_NAME.findall(name) for key, value in attrs if key in ("class", "id", "role") and value for name in value.lower().split()]
+        names = {word for words in given for word in words}
         found = names & _ASIDE_NAMES
         if found == {"header"} and (above.marked or names & _ARTICLE_NAMES):
             found = set()
-        hint = tag not in ("body", "html", "main") and bool(found) or tag == "form"
+        may_be = tag not in ("body", "html", "main")
+        talk = may_be and any(_is_talk(words) for words in given)
+        hint = may_be and bool(found) or tag == "form" or talk
         aside = tag in _ASIDE or tag == "header" and not above.marked
         here = len(self.elements)
-        self.elements.append(Element(tag, parent, hint, aside, above.marked or tag in _MARKED))
+        self.elements.append(Element(tag, parent, hint, aside, above.marked or tag in _MARKED, talk))
         self.open.append((tag, here, here if hint or aside else hinted, linked or tag == "a"))
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
@@ -183,20 +199,30 @@ def without_asides(lines: list[Line], elements: list[Element]) -> list[Line]:
     """Lines that are not set aside."""
     never = _inherited(elements, [e.aside for e in elements])
     lines = [line for line in lines if not never[line.element]]
+    talk = _inherited(elements, [e.talk for e in elements])
+    lines = [line for line in lines if not talk[line.element]] or lines
     text = _below(elements, lines, [len(line.text) for line in lines])
-    titles = _below(elements, lines, [float(line.heading) for line in lines])
+    titles = _below(elements, lines, [float(_in_title(line, elements)) for line in lines])
     boxes = np.zeros(len(elements))  # unhinted article and main elements
     for e in range(len(elements) - 1, 0, -1):
         one = elements[e]
         boxes[e] += one.tag in _MARKED and not one.hint
         boxes[one.parent] += boxes[e]
-    # A wrapper of the article has most of the text, whatever its name.
-    holds = (text > _WRAPS * text[0]) | (text > text[0] / 2) & ((titles > 0) | (boxes > 0) | np.array([e.tag in _MARKED for e in elements]))
+    # A wrapper of the article, whatever its name.
+    marked = np.array([e.tag in _MARKED for e in elements])
+    holds = (text > _WRAPS * text[0]) | (text > text[0] / 2) & ((titles > 0) | marked) | (boxes > 0)
     named = _inherited(elements, [e.hint and not h for e, h in zip(elements, holds)])
     left = [line for line in lines if not named[line.element]]
     return left if sum(len(line.text) for line in left) >= _LITTLE * text[0] else lines
 
 
+def _in_title(line: Line, elements: list[Element]) -> bool:
+    at = line.element if line.heading else 0
+    while at > 0 and elements[at].tag not in _HEADINGS:
+        at = elements[at].parent
+    return elements[at].tag == "h1"
+
+
 def smoothed(ratios: np.ndarray) -> np.ndarray:
     """Gaussian mean over two neighbours to each side."""
     width = len(_GAUSS) // 2
@@ -235,11 +261,26 @@ def region(lines: list[Line], elements: list[Element], content: np.ndarray) -> i
 
 def link_lists(lines: list[Line]) -> np.ndarray:
     """Which lines are in a row of at least three that are links."""
+    out = np.zeros(len(lines), bool)
+    for begin, end in _link_rows(lines):
+        out[begin:end] = True
+    return out
+
+
+def _link_rows(lines: list[Line]) -> list[tuple[int, int]]:
     linked = np.array([line.linked >= _LINKED * len(line.text) for line in lines])
     edges = np.diff(np.pad(linked.astype(np.int8), 1))
-    out = np.zeros(len(lines), bool)
-    for begin, end in zip(np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)):
-        out[begin:end] = end - begin >= 3
+    rows = zip(np.flatnonzero(edges == 1).tolist(), np.flatnonzero(edges == -1).tolist())
+    return [(begin, end) for begin, end in rows if end - begin >= 3]
+
+
+def stray_links(lines: list[Line], content: np.ndarray) -> np.ndarray:
+    """Rows of links before or after all content, unless a heading introduces them."""
+    out, at = np.zeros(len(lines), bool), np.flatnonzero(content)
+    for begin, end in _link_rows(lines):
+        inside = len(at) and at[0] < begin and end <= at[-1]
+        titled = begin > 0 and lines[begin - 1].heading and not set(_NAME.findall(lines[begin - 1].text.lower())) & _ASIDE_NAMES
+        out[begin:end] = not inside and not titled
     return out
 
 
@@ -267,8 +308,9 @@ def main_lines(lines: list[Line], elements: list[Element]) -> list[str]:
         while first > 0 and lines[first - 1].heading:
             first -= 1
         keep[:first] = keep[at[-1] + 1:] = False
+    stray = stray_links(lines, content)
     if not links.all():
-        keep &= ~links
+        keep &= ~stray
     return [line.text for line, k in zip(lines, keep) if k]
 
 

@@ -66,6 +66,38 @@ def test_wrappers_keep_the_article(begin, end):
     assert main_text(f'<body>{MENU}{begin}<div class="post-header"><h1>Title</h1></div>{BODY}<div class="share">Share this</div>{end}</body>') == f"Title\n\n{WANT}"
 
 
+TALK = ["comments", "comments-area", "post-comments", "comment-list", "replies", "sidebar", "left sidebar"]
+
+
+@pytest.mark.parametrize("name", TALK)
+@pytest.mark.parametrize("title", ["", "<h2>What readers say</h2>", "<h1>Comments</h1>"])
+@pytest.mark.parametrize("paragraphs, comments", [(5, 2), (2, 4), (1, 12), (1, 60)])
+@pytest.mark.parametrize("shape", [
+    "<article>{post}{box}</article>", "<article>{post}</article>{box}", "<div class=post>{post}{box}</div>", "<div>{post}</div>{box}",
+    "{box}<article>{post}</article>", "<div class='with-sidebar'><div>{post}</div>{box}</div>", "<div id=content-and-comments>{post}{box}</div>",
+])
+def test_comments_and_sidebars_go(name, title, paragraphs, comments, shape):
+    """Whatever their share of the text, with a heading or without, in the article or beside it."""
+    post = "<h2>Title</h2>" + "".join(f"<p>{LONG % i}</p>" for i in range(paragraphs))
+    said = "".join(f"<div><b>Reader {i}</b><p>I read all of it and would like to add a few words of my own here, {i}.</p></div>" for i in range(comments))
+    page = f"<body>{MENU}{shape.format(post=post, box=f'<div class="{name}">{title}{said}</div>')}<footer>(c)</footer></body>"
+    assert main_text(page) == "\n\n".join(["Title", *(LONG % i for i in range(paragraphs))])
+
+
+LINKS = "".join(f"<li><a href=/{i}>Source number {i}</a></li>" for i in range(5))
+SOURCES = "\n\n".join(f"Source number {i}" for i in range(5))
+
+
+@pytest.mark.parametrize("begin, end", [("<article>", "</article>"), ("<div>", "</div>"), ("<div class=post>", "</div>")])
+@pytest.mark.parametrize("page, text", [
+    (f"{BODY}<h2>References</h2><ol>{LINKS}</ol>", f"{WANT}\n\nReferences\n\n{SOURCES}"),
+    (f"<h1>Title</h1><h2>Contents</h2><ul>{LINKS}</ul>{BODY}", f"Title\n\nContents\n\n{SOURCES}\n\n{WANT}"),
+    (f"{BODY}<ul>{LINKS}</ul>{BODY}", f"{WANT}\n\n{SOURCES}\n\n{WANT}"),
+])
+def test_links_of_the_article_stay(begin, end, page, text):
+    assert main_text(f"<body>{MENU}{begin}{page}{end}<ul><li><a href=a>Aa</a><li><a href=b>Bb</a><li><a href=c>Cc</a></ul></body>") == text
+
+
 @pytest.mark.parametrize("begin, end", [("<div>", "</div>"), ("<article>", "</article>"), ("<section>", "</section>")])
 def test_short_lines_stay(begin, end):
     items = "".join(f"<li>it {i}</li>" for i in range(6))
@@ -77,8 +109,11 @@ def test_short_lines_stay(begin, end):
 def test_pages_stripped_of_their_marks(spark):
     rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("html").collect()
     same = [main_text(r["html"]) == main_text(re.sub("<(/?)article", r"<\1div", r["html"])) for r in rows]
-    print("stripped pages with the same text:", sum(same), "of", len(same))
     assert sum(same) >= 0.95 * len(same)
+    # Without names as well, what they name can stay; the article must.
+    bare = lambda page: re.sub(r" (class|id|role)=(\"[^\"]*\"|'[^']*'|[^ >]+)", "", re.sub("<(/?)article", r"<\1div", page))
+    whole = [set(main_text(r["html"]).split("\n\n")) <= set(main_text(bare(r["html"])).split("\n\n")) for r in rows]
+    assert sum(whole) >= 0.95 * len(whole)
 
 
 def test_long_page_is_read_whole():
