@@ -21,9 +21,11 @@ rest of the corpus would say nothing more about repeats. Sorting takes tasks of
 ``contexts_per_task``. A trigger string with more than ``most_contexts`` contexts does not fit one: its
 strings are compared by 128-bit hashes as single rows instead, with the same result.
 
-First means: smaller key, nulls before all, then earlier start. Rows with the same key and text are
-one document and get the same result; of rows with the same key and other texts one is before the other.
-Null texts are empty, texts below 100 bytes keep all. Texts are read in stretches.
+First means: smaller key, nulls before all, then earlier start. Keys that are no whole numbers are ordered as text.
+Rows with the same key and text are one document and get the same result; of rows with the same key and other texts
+one is before the other. Texts of one key are told apart by 95 bits of hash: of n such texts two are taken
+for one with a chance below n * n / 2 ** 95. Contexts are compared by 64 bits among those of equal trigger strings, whose own
+hash has 64 more. Null texts are empty, texts below 100 bytes keep all. Texts are read in stretches.
 """
 
 from __future__ import annotations
@@ -32,6 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -45,7 +48,6 @@ BEFORE = LENGTH - TRIGGER  # most bytes of a string before its trigger
 CONTEXTS_PER_TASK = 50_000
 MOST_CONTEXTS = 100_000
 _STRETCH = 1 << 20
-_NO_KEY = -(1 << 63)
 _MULTIPLIERS = np.random.default_rng(20240402).integers(0, 1 << 62, 16, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -97,36 +99,55 @@ def _triggers_of(data: bytes, begin: int, end: int) -> tuple[np.ndarray, np.ndar
 
 
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Trigger occurrences of ``key, mark, text`` rows; ``done`` if an earlier one in the batch has its context.
+    """Trigger occurrences of ``key, mark, more, alone, text`` rows.
 
-    Of equal rows in a batch one is read; equal rows of several batches give equal occurrences.
+    Those whose context comes earlier in the batch are repeats already: a document's are one row of ``places``, under ``alone``,
+    a string of its own. Of equal rows in a batch one is read; equal rows of several batches give equal occurrences.
     """
     for batch in batches:
-        keys = batch.column(0).to_numpy(zero_copy_only=False)
-        marks = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
+        keys, order_of = batch.column(0), _ranks(batch.column(0))
+        marks, mores, alone = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (1, 2, 3))
         parts, last = [], None
-        for n in np.lexsort([marks, keys]):
-            value = batch.column(2)[int(n)]
+        for n in np.lexsort([mores, marks, order_of]).tolist():
+            value = batch.column(4)[n]
             data = value.as_buffer().to_pybytes() if value.is_valid else b""
-            if last == (keys[n], data):
+            if last == (order_of[n], data):
                 continue
-            last = keys[n], data
+            last = order_of[n], data
             places, strings, contexts = triggers(data)
-            parts.append((np.full(len(places), keys[n]), np.full(len(places), marks[n]), places, strings, contexts))
+            parts.append((np.full(len(places), n), places, strings, contexts))
         if not parts:
             continue
-        key, mark, place, string, context = (np.concatenate(p) for p in zip(*parts))
-        done = np.ones(len(place), bool)
-        done[np.unique(context, return_index=True)[1]] = False
-        # Rows that are done need no company; spread them.
-        string = np.where(done, string ^ _mixed(place.astype(np.uint64) + context, 12), string)
+        row, place, string, context = (np.concatenate(p) for p in zip(*parts))
+        # Stable, so the first of equals is the earliest.
+        order = np.lexsort([context, string])
+        s, c = string[order], context[order]
+        done = np.zeros(len(order), bool)
+        done[order[1:][(s[1:] == s[:-1]) & (c[1:] == c[:-1])]] = True
+        fresh = ~done
+        begins = np.flatnonzero(np.diff(row[done], prepend=-1))
+        owners, sizes = row[done][begins], np.diff(np.append(begins, done.sum()))
+        offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+        lists = pa.ListArray.from_arrays(offsets, pa.array(place[done].astype(np.int32)))
+        rows = np.concatenate([row[fresh], owners])
+        nothing = np.zeros(len(owners), np.int64)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(string.view(np.int64)), pa.array(context.view(np.int64)), pa.array(key),
-             pa.array(mark << 32 | place), pa.array(done)],
-            ["string", "context", "key", "at", "done"],
+            [
+                pa.array(np.concatenate([string[fresh].view(np.int64), alone[owners]])),
+                pa.array(np.concatenate([context[fresh].view(np.int64), nothing])),
+                keys.take(pa.array(rows)), pa.array(marks[rows]),
+                pa.array(mores[rows] << 32 | np.concatenate([place[fresh], nothing])),
+                pa.concat_arrays([pa.nulls(int(fresh.sum()), lists.type), lists]),
+            ],
+            ["string", "context", "key", "mark", "at", "places"],
         )
 
 
+def _ranks(keys: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """The order of keys of any kind, nulls first."""
+    return pc.rank(keys, "ascending", null_placement="at_start", tiebreaker="dense").to_numpy().astype(np.int64)
+
+
 def _borders(left: np.ndarray, string: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sort order of the rows of ``left`` within a string, and how many bytes each has in common with the one before."""
     width = -left.shape[1] % 8
@@ -164,10 +185,9 @@ def repeated_starts(string: np.ndarray, before: list[bytes], after: list[bytes])
 
 def _sorted_contexts(table: pa.Table) -> pa.Table:
     """Ranges of marked starts, from a task's contexts."""
-    key, at = table["key"].to_numpy(), table["at"].to_numpy()
-    order = np.lexsort([at, key])
+    order = np.lexsort([table["at"].to_numpy(), table["mark"].to_numpy(), _ranks(table["key"].combine_chunks())])
     table = table.take(pa.array(order))
-    key, at = key[order], at[order]
+    mark, at = table["mark"].to_numpy(), table["at"].to_numpy()
     repeated = repeated_starts(
         table["string"].to_numpy(), table["before"].to_pylist(), table["after"].to_pylist()
     )
@@ -176,7 +196,9 @@ def _sorted_contexts(table: pa.Table) -> pa.Table:
     row, first = np.nonzero(edges == 1)
     last = np.nonzero(edges == -1)[1] - 1
     place = at[row] & 0xFFFFFFFF
-    return pa.table({"key": key[row], "mark": at[row] >> 32, "low": place - last, "high": place - first})
+    return pa.table({
+        "key": table["key"].take(pa.array(row)), "mark": mark[row], "more": at[row] >> 32, "low": place - last, "high": place - first,
+    })
 
 
 def _contexts(text: Column, wanted: Column) -> Column:
@@ -249,58 +271,68 @@ def repeated_spans(
 ) -> DataFrame:
     """``docs`` with ``repeats``, ``array<struct<start, end>>``: bytes under 100-byte strings that started earlier."""
     out = free_name(docs, "repeats")
+    whole = docs.schema[key].dataType.typeName() in {"byte", "short", "integer", "long"}
+    kind = "bigint" if whole else "string"
     keyed = docs.select(
-        whole_row(docs).alias("doc"), F.coalesce(F.col(key).cast("bigint"), F.lit(_NO_KEY)).alias("_key"),
-        F.xxhash64(F.col(text)).bitwiseAND(F.lit(0x7FFFFFFF)).alias("_mark"),
+        whole_row(docs).alias("doc"), F.col(key).cast(kind).alias("_key"), F.xxhash64(F.col(text)).alias("_mark"),
+        F.xxhash64(F.lit(7), F.col(text)).bitwiseAND(F.lit(0x7FFFFFFF)).alias("_more"),
     )
-    own_text = F.col("doc")[text]
-    found = keyed.select("_key", "_mark", own_text.alias("text")).mapInArrow(
-        _occurrences, "string bigint, context bigint, key bigint, at bigint, done boolean"
+    own_text, same = F.col("doc")[text], ["key", "mark", "more"]
+
+    def of_doc(prefix: str = "") -> Column:
+        mine = F.col("_key").eqNullSafe(F.col(f"{prefix}key"))
+        return mine & (F.col("_mark") == F.col(f"{prefix}mark")) & (F.col("_more") == F.col(f"{prefix}more"))
+
+    found = keyed.select("_key", "_mark", "_more", F.xxhash64("_key", "_mark", "_more"), own_text.alias("text")).mapInArrow(
+        _occurrences, f"string bigint, context bigint, key {kind}, mark bigint, at bigint, places array<int>"
     ).repartition("string")
     of_string = Window.partitionBy("string")
-    # Occurrences at the same key and place are of equal rows, none before the other.
-    first = Window.partitionBy("string", "context").orderBy("key", "at")
+    # Occurrences of one key, mark and place are of equal rows, none before the other.
+    first = Window.partitionBy("string", "context").orderBy("key", "mark", "at")
     ranked = (
         found.withColumn("turn", F.rank().over(first))
         .withColumn("mixed", F.min("context").over(of_string) != F.max("context").over(of_string))
         .withColumn("many", F.count(F.lit(1)).over(of_string))
     )
-    again = F.col("done") | (F.col("turn") > 1)
+    done, again = F.col("places").isNotNull(), F.col("turn") > 1
     border = F.struct("string", "at", (F.col("many") > most_contexts).alias("hot"))
+    later = F.when(~done & again, F.array(F.col("at").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")))
     marks = durable(
-        ranked.where(again | F.col("mixed"))
-        .groupBy("key", F.shiftright("at", 32).alias("mark"))
+        ranked.where(done | again | F.col("mixed"))
+        .groupBy("key", "mark", F.shiftright("at", 32).alias("more"))
         .agg(
-            F.collect_set(F.when(again, F.col("at").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int"))).alias("places"),
-            F.collect_set(F.when(~again, border)).alias("borders"),
+            F.array_distinct(F.flatten(F.collect_list(F.coalesce("places", later)))).alias("places"),
+            F.collect_set(F.when(~done & ~again, border)).alias("borders"),
         )
     )
-    of_doc = (F.col("_key") == F.col("key")) & (F.col("_mark") == F.col("mark"))
     contexts = (
-        keyed.select("_key", "_mark", own_text.alias("text")).dropDuplicates(["_key", "_mark"])
-        .join(marks.where(F.size("borders") > 0), of_doc)
-        .select("key", F.explode(_contexts(F.col("text"), F.col("borders"))).alias("c")).select("key", "c.*")
+        keyed.select("_key", "_mark", "_more", own_text.alias("text")).dropDuplicates(["_key", "_mark", "_more"])
+        .join(marks.where(F.size("borders") > 0), of_doc())
+        .select("key", "mark", F.explode(_contexts(F.col("text"), F.col("borders"))).alias("c")).select("key", "mark", "c.*")
     )
     contexts = durable(contexts)
     total = contexts.count()
     task = F.pmod(F.xxhash64("string"), F.lit(max(1, -(-total // contexts_per_task))))
     ranges = (
-        contexts.where("not hot").select(task.alias("task"), "string", "key", "at", "before", "after")
-        .groupBy("task").applyInArrow(_sorted_contexts, "key bigint, mark bigint, low bigint, high bigint")
+        contexts.where("not hot").select(task.alias("task"), "string", "key", "mark", "at", "before", "after")
+        .groupBy("task").applyInArrow(_sorted_contexts, f"key {kind}, mark bigint, more bigint, low bigint, high bigint")
     )
     # A string is named by its start: its other triggers name the same string.
     begins = (F.col("at") - F.col("s.depth")).alias("begin")
-    hot = contexts.where("hot").select("key", "at", F.explode(_single_strings(F.col("before"), F.col("after"))).alias("s"))
-    hot = hot.select("key", begins, "s.high", "s.low")
-    earliest = hot.groupBy("high", "low").agg(F.min(F.struct("key", "begin")).alias("first"))
-    later = hot.join(earliest, ["high", "low"]).where(F.struct("key", "begin") != F.col("first"))
+    hot = contexts.where("hot").select("key", "mark", "at", F.explode(_single_strings(F.col("before"), F.col("after"))).alias("s"))
+    hot = hot.select("key", "mark", begins, "s.high", "s.low")
+    start = F.struct("key", "mark", "begin")
+    earliest = hot.groupBy("high", "low").agg(F.min(start).alias("first"))
+    later = hot.join(earliest, ["high", "low"]).where(~start.eqNullSafe(F.col("first")))
     place = F.col("begin").bitwiseAND(F.lit(0xFFFFFFFF))
-    single = later.select("key", F.shiftright("begin", 32).alias("mark"), place.alias("low"), place.alias("high"))
-    by_doc = ranges.unionByName(single).groupBy("key", "mark").agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
-    all_marks = marks.drop("borders").join(by_doc, ["key", "mark"], "left")
+    single = later.select("key", "mark", F.shiftright("begin", 32).alias("more"), place.alias("low"), place.alias("high"))
+    by_doc = ranges.unionByName(single).groupBy(*same).agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
+    by_doc = by_doc.toDF(*[f"_r_{c}" for c in by_doc.columns])
+    paired = F.col("key").eqNullSafe(F.col("_r_key")) & (F.col("mark") == F.col("_r_mark")) & (F.col("more") == F.col("_r_more"))
+    all_marks = marks.join(by_doc, paired, "left").select(*same, "places", F.col("_r_ranges").alias("ranges"))
     all_marks = all_marks.toDF(*[f"_m_{c}" for c in all_marks.columns])
     return (
-        keyed.join(all_marks, (F.col("_key") == F.col("_m_key")) & (F.col("_mark") == F.col("_m_mark")), "left")
+        keyed.join(all_marks, of_doc("_m_"), "left")
         .select("doc.*", _removed(own_text, F.col("_m_places"), F.col("_m_ranges")).alias(out))
     )
 

@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import clashing, documents
 from lapwise.llm.queries import op7_repeats
@@ -81,6 +82,39 @@ def test_equal_rows_keep_what_occurs_first_in_them(spark, partitions, settings):
         assert [tuple(s) for s in r["repeats"]] == want[r["doc_id"], r["text"]], r["doc_id"]
 
 
+def test_texts_of_one_id_that_share_a_short_hash(spark):
+    """Different texts of equal or null ids, among them some whose 64-bit hashes agree in 31 bits."""
+    dice = random.Random(1)
+    shared = "".join(dice.choice("abcdefgh") for _ in range(300)) + "."
+    words = spark.range(150_000).select(F.concat(F.lit(shared), F.sha2(F.col("id").cast("string"), 512)).alias("text"))
+    words = words.withColumn("short", F.xxhash64("text").bitwiseAND(F.lit(0x7FFFFFFF)))
+    clash = words.groupBy("short").agg(F.collect_list("text").alias("t")).where("size(t) > 1").limit(3).collect()
+    texts = [t for r in clash for t in r["t"]]
+    assert len(texts) >= 2
+    for key in (7, None):
+        found = repeated_spans(documents(spark, [(key, t) for t in texts]), "text", "doc_id").collect()
+        spans = sorted(tuple(map(tuple, r["repeats"])) for r in found)
+        # A letter or two after the shared part may agree as well.
+        assert spans[0] == () and all(len(s) == 1 and s[0][0] == 0 and 301 <= s[0][1] < 306 for s in spans[1:])
+
+
+def test_many_rows_without_an_id(spark):
+    texts = spark.range(20_000).select(F.concat(F.sha2(F.col("id").cast("string"), 512), F.sha2(F.concat(F.lit("b"), "id"), 256)).alias("text"))
+    docs = texts.unionByName(texts.where(F.col("text").startswith("00"))).select(F.lit(None).cast("bigint").alias("doc_id"), "text")
+    assert repeated_spans(docs, "text", "doc_id").where("size(repeats) > 0").count() == 0
+
+
+@pytest.mark.parametrize("kind", ["string", "int", "date"])
+def test_ids_of_any_kind(spark, kind):
+    rows = list(enumerate(texts(11, 40)))
+    want = brute(rows)
+    day = F.date_add(F.lit("2024-01-01").cast("date"), F.col("doc_id").cast("int"))
+    own = {"string": F.format_string("id%03d", "doc_id"), "int": F.col("doc_id").cast("int"), "date": day}[kind]
+    docs = documents(spark, rows).withColumn("n", F.col("doc_id")).withColumn("doc_id", own).repartition(3)
+    for r in repeated_spans(docs, "text", "doc_id").collect():
+        assert [tuple(s) for s in r["repeats"]] == want[r["n"], r["text"]]
+
+
 def test_empty_table(spark):
     assert repeated_spans(documents(spark, []), "text", "doc_id").collect() == []
 
