@@ -44,6 +44,13 @@ class Rule:
     least: int = 0
 
 
+def _as_far_as(word: str, then: str) -> str:
+    """Matches every beginning of ``word``, and after all of it ``then``: a run that closes by itself."""
+    for c in reversed(word):
+        then = f"(?:{c}{then})?"
+    return then
+
+
 # Forms of known credentials.
 _LEAD = r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
 BASE_RULES = (
@@ -54,7 +61,8 @@ BASE_RULES = (
 MORE_RULES = (
     Rule("github", r"gh[opsru]_[A-Za-z0-9]+", lead="gh[opsru]_", least=36),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]+", lead="xox[abprs]-", least=10),
-    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    # With the lines of the key, and as much of its last line as there is.
+    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\r\n]*" + _as_far_as("-----END", "[A-Z ]*-*")),
 )
 RULES = BASE_RULES + MORE_RULES
 
