@@ -15,6 +15,8 @@ RETURN WITH points AS (
     FROM {record}
     WHERE activity_id = shortest_duration_for_distance.activity AND timestamp IS NOT NULL AND distance IS NOT NULL
         AND shortest_duration_for_distance.event_distance > 0
+    -- No row, but a union makes Spark meet points with pairs of activity and distance, not with either.
+    UNION ALL SELECT 0, 0 FROM {record} WHERE false
 ),
 times AS (SELECT us, min(mm) AS low, max(mm) AS high FROM points GROUP BY us),
 ranked AS (

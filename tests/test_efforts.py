@@ -5,7 +5,11 @@ import random
 
 import pytest
 
-from lapwise.operators.efforts import fastest_effort, point_deltas
+from pyspark.sql import functions as F
+
+from lapwise.operators import efforts
+from lapwise.operators.efforts import fastest_effort, fastest_efforts_by, point_deltas
+from lapwise.plans.functions import register_functions
 
 
 def track(rnd, kind):
@@ -52,6 +56,56 @@ def test_matches_all_pairs(spark, tracks, min_rows, distance):
     assert len(got) == len(want)
 
 
+@pytest.mark.parametrize("min_rows", [None, 12])
+def test_a_distance_per_activity(spark, tracks, min_rows):
+    """Several goals of one activity, one named twice, none, null and impossible ones."""
+    rows = [(i, t * 1_000_000, d) for i, points in tracks.items() for t, d in points]
+    df = spark.createDataFrame(rows, "activity_id long, timestamp long, distance double")
+    goals = [(i, g) for i in tracks if i % 5 for g in ((50.0, 62.5) if i % 2 else (25.0 * (i % 7 + 1),))]
+    odd = [(1, 50.0), (2, None), (3, -1.0), (4, 0.0), (6, 1e6), (999, 50.0), (None, 50.0)]
+    asked = spark.createDataFrame(goals + odd, "activity_id long, event_distance double")
+    got = fastest_efforts_by(df, asked, min_rows=min_rows).select("activity_id", "event_distance", "duration_us", F.unix_micros("start_time"))
+    want = sorted({(i, g, dur * 1_000_000, start * 1_000_000) for i, g in goals for dur, start in by_pairs(tracks[i], g)})
+    assert sorted(map(tuple, got.collect())) == want and len(want) > 100
+
+
+def test_sql_function(spark, tracks):
+    rows = [(i, t, d) for i, points in tracks.items() for t, d in points]
+    points = spark.createDataFrame(rows, "activity_id long, t long, distance double").withColumn("timestamp", F.timestamp_seconds("t"))
+    points.createOrReplaceTempView("points_of_tracks")
+    goals = [(i, 50 + i % 3 * 20) for i in tracks]
+    spark.createDataFrame(goals, "activity long, metres int").createOrReplaceTempView("goals_of_tracks")
+    register_functions(spark, "points_of_tracks")
+    each = spark.sql(
+        "SELECT activity, unix_seconds(start_time), s.shortest_duration FROM goals_of_tracks, "
+        "LATERAL shortest_duration_for_distance(metres, activity) s"
+    )
+    plan = each._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and "Python" not in plan
+    got = sorted((a, int(took.total_seconds()), start) for a, start, took in each.collect())
+    assert got == sorted((i, dur, start) for i, g in goals for dur, start in by_pairs(tracks[i], g))
+    one = spark.sql("SELECT unix_seconds(start_time), shortest_duration FROM shortest_duration_for_distance(50, 1)").collect()
+    assert {(int(took.total_seconds()), start) for start, took in one} == by_pairs(tracks[1], 50)
+    assert spark.sql("SELECT * FROM shortest_duration_for_distance(0, 1)").isEmpty()
+
+
+def test_rows_count_as_the_search_widens_them(spark, monkeypatch):
+    """An activity whose distance falls has log2(points) rows per point, and counts with them."""
+    rows = [(a, t, float(d)) for a, fall in ((1, False), (2, True), (3, True)) for t in range(60 if a < 3 else 10) for d in [t * 10 - 15 * (fall and t % 20 == 7)]]
+    rows += [(4, t, float(t)) for t in range(150)]
+    df = spark.createDataFrame(rows, "activity_id long, timestamp long, distance double")
+    sliced = []
+    across = efforts._across_tasks
+    monkeypatch.setattr(
+        efforts, "_across_tasks",
+        lambda points, *a: (sliced.extend(r[0] for r in points.select("activity_id").distinct().collect()), across(points, *a))[1],
+    )
+    got = fastest_effort(df, 50, min_rows=100)
+    assert sorted(sliced) == [2, 4]
+    want = fastest_effort(df, 50)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
 def test_one_activity_and_bad_distance(spark, tracks):
     rows = [(i, t * 1_000_000, d) for i, points in tracks.items() for t, d in points]
     df = spark.createDataFrame(rows, "activity_id long, timestamp long, distance double")

@@ -5,7 +5,7 @@ import datetime
 import pytest
 
 from lapwise.sources.tables import list_files
-from lapwise.sources.tracks import gpx_points, read_gpx, read_tcx, tcx_laps, tcx_points
+from lapwise.sources.tracks import gpx_points, parse_tcx, read_gpx, read_tcx, tcx_laps, tcx_points
 
 TCX = """<?xml version="1.0" encoding="UTF-8"?>
 <TrainingCenterDatabase xmlns="urn:example:training" xmlns:ns3="urn:example:extension">
@@ -106,3 +106,20 @@ def test_gpx(spark, folder):
 
 def test_listing(spark, folder):
     assert sorted(r["file"] for r in list_files(spark, folder, "*.tcx").collect()) == ["one.tcx", "three.tcx"]
+
+
+@pytest.mark.parametrize("inside, speed", [
+    ("<Extensions><ns3:TPX><ns3:RunCadence>7</ns3:RunCadence><ns3:Speed>3.25</ns3:Speed></ns3:TPX></Extensions>", 3.25),
+    ("<Extensions><a><b c='1'><d><ns3:Speed unit='m'> 1.5 </ns3:Speed></d></b></a></Extensions>", 1.5),
+    ("<ns3:Speed>2</ns3:Speed>", 2.0), ("<Extensions><Speed>0.5</Speed></Extensions>", 0.5),
+    ("<Extensions><ns3:SpeedZone>4</ns3:SpeedZone></Extensions>", None), ("<Extensions/>", None), ("", None),
+    ("<Extensions><ns3:Speed>fast</ns3:Speed></Extensions>", None), ("<Other><ns3:Speed>6</ns3:Speed></Other>", 6.0),
+])
+def test_speed_at_any_depth(spark, tmp_path, inside, speed):
+    """From text and from files."""
+    text = TCX.replace("<Extensions><ns3:TPX><ns3:Speed>3.25</ns3:Speed><ns3:RunCadence>77</ns3:RunCadence></ns3:TPX></Extensions>", inside) % ""
+    (tmp_path / "one.tcx").write_text(text)
+    docs = spark.createDataFrame([("one.tcx", text)], "file string, doc string")
+    for activities in (read_tcx(spark, str(tmp_path)), parse_tcx(docs, "file", "doc")):
+        points = tcx_points(activities).collect()
+        assert [(r["speed"], r["heart_rate"], r["cadence"]) for r in points] == [(speed, 100, 80)]

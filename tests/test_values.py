@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 from lapwise.functions import names
 from lapwise.functions.values import default_name, first_filled, lenient_time, nested, title_words
 from lapwise.operators.marks import high_water, newer_files
+from lapwise.operators.numbering import dense_numbers
 from lapwise.operators.places import nearest_place
 from lapwise.operators.sports import activities_over, activity_totals, classify_sport, longest_multi_session
 from lapwise.sinks.contract import conform, split
 from lapwise.sources.sidecar import flatten
-from lapwise.sinks.load import insert_if_absent, reject_shared_ids, update_pool
+from lapwise.sinks.load import insert_if_absent, reject_shared_ids, update_pool, serial_ids
 
 
 def one(spark, *columns):
@@ -102,6 +103,31 @@ def test_loads(spark):
     ]
 
 
+def test_local_times_keep_their_clock(spark):
+    texts = ["2024-03-01 09:00:00", "2024-03-01T09:00:00+02:00", "2024-03-01 09:00:00Z", "noon", None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "activity_id long, local_timestamp string")
+    got = [r["local_timestamp"] for r in conform(rows, "activity").orderBy("activity_id").collect()]
+    assert got == [datetime.datetime(2024, 3, 1, 9)] * 3 + [None] * 2
+
+
+def test_dense_numbers(spark):
+    df = spark.createDataFrame([(i * 7919 % 1000 if i % 10 else None, i) for i in range(1000)], "v int, i int").repartition(7)
+    want = sorted(((r["v"] is not None, r["v"] or 0, r["i"]) for r in df.collect()))
+    for size in (1000, 90):
+        got = dense_numbers(df, ["v", "i"], "n", after=5, rows_per_range=size).orderBy("n").collect()
+        assert [r["n"] for r in got] == list(range(6, 1006))
+        assert [r["i"] for r in got] == [i for _, _, i in want]
+    assert dense_numbers(df.limit(0), ["i"], "n").collect() == []
+    plan = dense_numbers(df, ["i"], "n")._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "Window" not in plan
+
+
+def test_serial_ids(spark):
+    stored, new = spark.range(3, 8).toDF("activity_id"), spark.createDataFrame([("c",), ("a",), ("b",)], "file string")
+    assert {(r["file"], r["activity_id"]) for r in serial_ids(new, stored, ["file"]).collect()} == {("a", 8), ("b", 9), ("c", 10)}
+    assert {r["activity_id"] for r in serial_ids(new, stored.limit(0), ["file"]).collect()} == {1, 2, 3}
+
+
 def test_sports_and_order_of_reports(spark):
     sessions = spark.createDataFrame(
         [(1, "running", 5.0), (1, None, 5.0), (2, "running", 1.0), (2, "cycling", 9.0), (3, None, None), (4, "running", 2.0)],
