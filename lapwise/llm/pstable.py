@@ -37,8 +37,8 @@ WIDTH = 2.0
 STRANGERS = 0.1
 MISS = 1e-6
 CLASSES_PER_BLOCK = 1024
-ROWS_PER_TASK = 16_384
-_HASHES_AT_ONCE = 1 << 21
+ROWS_PER_TASK = 4_096
+_HASHES_AT_ONCE = 1 << 19
 _SEED = 12
 
 
