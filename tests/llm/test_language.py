@@ -1,3 +1,7 @@
+import zlib
+
+import numpy as np
+
 from helpers import clashing, documents
 from lapwise.llm.language import fit, predict_language
 from lapwise.llm.queries import op5_language_id
@@ -59,3 +63,48 @@ def test_rare_languages_are_learned(spark):
     for seed in range(3):
         docs = documents(spark, [(k + 10_000 * seed, *rest) for k, *rest in rows])
         assert fit(docs, "text", "lang", "doc_id", sample=20).languages == ("de", "en")
+
+
+def plain_vector(text, signs):
+    """A document's vector by the definition: letter by letter, 3-gram by 3-gram."""
+    words, word = [], []
+    for letter in (text or "").lower() + " ":
+        if letter.isalpha():
+            word.append(ord(letter) - 96 if "a" <= letter <= "z" else 27 + ord(letter) % 37)
+        elif word:
+            words.append(word)
+            word = []
+    counts = {}
+    for word in words:
+        padded = [0, *word, 0]
+        for gram in zip(padded, padded[1:], padded[2:]):
+            counts[gram] = counts.get(gram, 0) + 1
+    total = np.zeros(signs.shape[1])
+    for (a, b, c), n in counts.items():
+        total += n * np.roll(signs[a], 2) * np.roll(signs[b], 1) * signs[c]
+    return total
+
+
+def test_query_is_the_same_as_by_definition(spark):
+    """Prototypes of all labelled documents that are not held out, and cosines with them."""
+    sf = "/root/testdata/sf0.001"
+    signs = np.random.default_rng(20240229).integers(0, 2, (64, 512), np.int8) * 2.0 - 1
+    rows = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang").collect()
+    vectors = {r["doc_id"]: plain_vector(r["text"], signs) for r in rows}
+    held = {r["doc_id"]: zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2 for r in rows}
+    prototypes = {}
+    for r in rows:
+        length = np.linalg.norm(vectors[r["doc_id"]])
+        if not held[r["doc_id"]] and r["lang"] is not None and length:
+            prototypes[r["lang"]] = prototypes.get(r["lang"], 0) + vectors[r["doc_id"]] / length
+    found = {r["doc_id"]: r for r in op5_language_id(spark, sf).collect()}
+    assert len(found) == len(rows) == 200
+    for key, vector in vectors.items():
+        assert found[key]["held_out"] == held[key]
+        if not vector.any():
+            assert (found[key]["lang_pred"], found[key]["score"]) == ("und", 0.0)
+            continue
+        cosines = {n: p @ vector / np.linalg.norm(p) / np.linalg.norm(vector) for n, p in prototypes.items()}
+        best = max(cosines, key=cosines.get)
+        assert abs(found[key]["score"] - max(0, cosines[best])) < 1e-3
+        assert found[key]["lang_pred"] == best or cosines[best] - cosines[found[key]["lang_pred"]] < 1e-3
