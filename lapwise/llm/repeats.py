@@ -48,6 +48,7 @@ BEFORE = LENGTH - TRIGGER  # most bytes of a string before its trigger
 CONTEXTS_PER_TASK = 50_000
 MOST_CONTEXTS = 100_000
 _STRETCH = 1 << 20
+_NO_KEY = -(1 << 63)
 _MULTIPLIERS = np.random.default_rng(20240402).integers(0, 1 << 62, 16, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -115,20 +116,25 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             last = order_of[n], data
             places, strings, contexts = triggers(data)
-            parts.append((np.full(len(places), n), places, strings, contexts))
+            parts.append((np.full(len(places), n, np.int32), places.astype(np.int32), strings, contexts))
         if not parts:
             continue
         row, place, string, context = (np.concatenate(p) for p in zip(*parts))
+        del parts
         # Stable, so the first of equals is the earliest.
         order = np.lexsort([context, string])
-        s, c = string[order], context[order]
+        same = np.ones(max(len(order) - 1, 0), bool)
+        for part in (string, context):
+            sorted_ = part[order]
+            same &= sorted_[1:] == sorted_[:-1]
         done = np.zeros(len(order), bool)
-        done[order[1:][(s[1:] == s[:-1]) & (c[1:] == c[:-1])]] = True
+        done[order[1:][same]] = True
+        del order, same, sorted_
         fresh = ~done
         begins = np.flatnonzero(np.diff(row[done], prepend=-1))
         owners, sizes = row[done][begins], np.diff(np.append(begins, done.sum()))
         offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
-        lists = pa.ListArray.from_arrays(offsets, pa.array(place[done].astype(np.int32)))
+        lists = pa.ListArray.from_arrays(offsets, pa.array(place[done]))
         rows = np.concatenate([row[fresh], owners])
         nothing = np.zeros(len(owners), np.int64)
         yield pa.RecordBatch.from_arrays(
@@ -273,14 +279,16 @@ def repeated_spans(
     out = free_name(docs, "repeats")
     whole = docs.schema[key].dataType.typeName() in {"byte", "short", "integer", "long"}
     kind = "bigint" if whole else "string"
+    # Without nulls, so that joins stay plain; nulls are before all.
+    named = F.coalesce(F.col(key).cast(kind), F.lit(_NO_KEY)) if whole else F.coalesce(F.concat(F.lit("="), F.col(key).cast(kind)), F.lit(""))
     keyed = docs.select(
-        whole_row(docs).alias("doc"), F.col(key).cast(kind).alias("_key"), F.xxhash64(F.col(text)).alias("_mark"),
+        whole_row(docs).alias("doc"), named.alias("_key"), F.xxhash64(F.col(text)).alias("_mark"),
         F.xxhash64(F.lit(7), F.col(text)).bitwiseAND(F.lit(0x7FFFFFFF)).alias("_more"),
     )
     own_text, same = F.col("doc")[text], ["key", "mark", "more"]
 
     def of_doc(prefix: str = "") -> Column:
-        mine = F.col("_key").eqNullSafe(F.col(f"{prefix}key"))
+        mine = F.col("_key") == F.col(f"{prefix}key")
         return mine & (F.col("_mark") == F.col(f"{prefix}mark")) & (F.col("_more") == F.col(f"{prefix}more"))
 
     found = keyed.select("_key", "_mark", "_more", F.xxhash64("_key", "_mark", "_more"), own_text.alias("text")).mapInArrow(
@@ -327,9 +335,7 @@ def repeated_spans(
     place = F.col("begin").bitwiseAND(F.lit(0xFFFFFFFF))
     single = later.select("key", "mark", F.shiftright("begin", 32).alias("more"), place.alias("low"), place.alias("high"))
     by_doc = ranges.unionByName(single).groupBy(*same).agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
-    by_doc = by_doc.toDF(*[f"_r_{c}" for c in by_doc.columns])
-    paired = F.col("key").eqNullSafe(F.col("_r_key")) & (F.col("mark") == F.col("_r_mark")) & (F.col("more") == F.col("_r_more"))
-    all_marks = marks.join(by_doc, paired, "left").select(*same, "places", F.col("_r_ranges").alias("ranges"))
+    all_marks = marks.drop("borders").join(by_doc, same, "left")
     all_marks = all_marks.toDF(*[f"_m_{c}" for c in all_marks.columns])
     return (
         keyed.join(all_marks, of_doc("_m_"), "left")
