@@ -25,7 +25,7 @@ def brute(data):
         for m in re.finditer(rule.pattern.encode(), data):
             lead = re.match(rule.lead.encode(), m[0]).end()
             if len(m[0]) - lead >= rule.least:
-                found.append((m.start(), r, m.end()))
+                found.append((m.start(), r, re.compile(rule.tail.encode()).match(data, m.end()).end()))
     return sorted(found)
 
 
