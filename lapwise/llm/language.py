@@ -10,9 +10,9 @@ are read whole, in stretches, so memory does not grow with their length. A null
 without letters, is ``und`` with score 0. Equal texts get equal predictions, and of prototypes
 at the same cosine the first language by name wins.
 
-Prototypes come from at most about ``sample`` labelled documents, as many of each language, taken by a hash of key and text;
-vectors are rounded to whole numbers before they are added, so the sum does not depend on the
-order of tasks. Only the prototypes (languages times dimensions) reach the driver.
+Prototypes come from every labelled document, unless a caller asks for a ``sample``: then from at most about that many, as
+many of each language, taken by a hash of key and text. Vectors are rounded to whole numbers before they are added, so the
+sum does not depend on the order of tasks. Only the prototypes (languages times dimensions) reach the driver.
 """
 
 from __future__ import annotations
@@ -30,12 +30,10 @@ from lapwise.llm.common import unit
 
 UNKNOWN = "und"
 DIMENSIONS = 512
-SAMPLE = 20_000
 _SLOTS = 64  # blank, a to z, and 37 slots that other letters share
 _STRETCH = 1 << 20
 _UNIT_LENGTH = 10_000
 FLOOR_SHARE = 0.02
-FLOOR_SAMPLE = 2_000
 # The cosine of unlike vectors has a deviation of 1 / sqrt(dimensions); different 3-grams that tell nothing.
 _NOISE = 4.0
 _FEW = 16
@@ -146,13 +144,13 @@ class Profiles:
         return name, score, 0 < different and (not any(self.floors) or different < _FEW)
 
 
-def fit(labelled: DataFrame, text: str, lang: str, key: str, sample: int = SAMPLE, dimensions: int = DIMENSIONS) -> Profiles:
+def fit(labelled: DataFrame, text: str, lang: str, key: str, sample: int | None = None, dimensions: int = DIMENSIONS) -> Profiles:
     """Prototypes of the languages in ``labelled``; rows without a language take no part."""
     labelled = labelled.where(F.col(lang).isNotNull()).select(
         F.col(text).alias("text"), F.col(lang).alias("lang"), F.col(key).cast("string").alias("key")
     )
-    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
-    if sum(counts.values()) > sample:
+    counts = {} if sample is None else {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    if sample is not None and sum(counts.values()) > sample:
         # The same number of each language, all of a rare one.
         each = sample / len(counts)
         part = F.create_map(*[F.lit(x) for name, rows in counts.items() for x in (name, each / rows)])
@@ -214,22 +212,15 @@ def predict_language(text: Column | str, profiles: Profiles) -> Column:
     return predicted(text)
 
 
-def with_floors(
-    profiles: Profiles, labelled: DataFrame, text: str, lang: str, key: str, share: float = FLOOR_SHARE, sample: int = FLOOR_SAMPLE
-) -> Profiles:
+def with_floors(profiles: Profiles, labelled: DataFrame, text: str, lang: str, share: float = FLOOR_SHARE) -> Profiles:
     """``profiles`` with a floor for each language: the ``share`` quantile of its own documents' cosines, at most ``_NOISE``.
 
     Noise has cosines of some 1 / sqrt(dimensions) in size, so four times that bounds it; documents of a language
-    that score less lower its floor; those too short to tell take no part. Learned from at most about ``sample`` documents of each language.
+    that score less lower its floor; those too short to tell take no part. Learned from every labelled document.
     """
     if not profiles.languages:
         return profiles
-    labelled = labelled.where(F.col(lang).isNotNull()).select(
-        F.col(text).alias("text"), F.col(lang).alias("lang"), F.col(key).cast("string").alias("key")
-    )
-    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
-    part = F.create_map(*[F.lit(x) for n in profiles.languages for x in (n, sample / counts[n])])
-    labelled = labelled.where(unit(F.coalesce("key", F.lit("")), "language floors") < part[F.col("lang")])
+    labelled = labelled.where(F.col(lang).isNotNull()).select(F.col(text).alias("text"), F.col(lang).alias("lang"))
 
     @F.arrow_udf("double")
     def own_score(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:

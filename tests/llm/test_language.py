@@ -1,9 +1,11 @@
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from helpers import clashing, documents
-from lapwise.llm.language import fit, predict_language
+from lapwise.llm.common import unit
+from lapwise.llm.language import fit, predict_language, with_floors
 from lapwise.llm.queries import op5_language_id
 
 
@@ -108,3 +110,25 @@ def test_query_is_the_same_as_by_definition(spark):
         best = max(cosines, key=cosines.get)
         assert abs(found[key]["score"] - max(0, cosines[best])) < 1e-3
         assert found[key]["lang_pred"] == best or cosines[best] - cosines[found[key]["lang_pred"]] < 1e-3
+
+
+def test_every_labelled_document_is_learned_from(spark):
+    docs = spark.range(24_000).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("word "), F.sha2(F.col("id").cast("string"), 256)).alias("text"), F.lit("en").alias("lang")
+    )
+    assert (fit(docs, "text", "lang", "doc_id").prototypes == fit(docs, "text", "lang", "doc_id", sample=10**9).prototypes).all()
+
+
+def test_floors_count_every_labelled_document(spark):
+    """Documents unlike their language, one in twenty, that a sample of 2,000 by their keys would leave out."""
+    place = unit(F.col("id").cast("string"), "language floors")
+    rows = spark.range(4_000).select("id", place.alias("place")).collect()
+    odd = {r["id"] for r in sorted(rows, key=lambda r: -r["place"])[:200]}
+    assert all(r["place"] >= 0.5 for r in rows if r["id"] in odd)
+    plain = "the cat and the dog went down to the old house by the river number "
+    docs = [(k, f"{plain}{k}", "a", "en") for k in range(4_000) if k not in odd]
+    profiles = fit(documents(spark, docs), "text", "lang", "doc_id")
+    unlike = "zxqj vkqz jxwq qvzk xjkq wqzv kzjx qxvj zkwq vjqx"
+    docs = documents(spark, [*docs, *((k, unlike, "a", "en") for k in odd)])
+    assert profiles.own(unlike, "en") < 0.1
+    assert with_floors(profiles, docs, "text", "lang").floors == (max(0.0, profiles.own(unlike, "en")),)
