@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from lapwise.operators.skew import (
     MEASURED, Groups, as_groups, attach, heavy_groups, min_rows_for, part_hot, previous, running,
+    tasks_for, widened_rows,
 )
 from lapwise.session import durable
 
@@ -92,15 +93,16 @@ def fastest_efforts(
     whole = all(float(d).is_integer() for d in distances_m) and not _has_fractions(records, distance)
     scale = 1 if whole else 1000
     wanted = {float(d): round(d * scale) for d in distances_m}
+    tasks = None if clustered else tasks_for(records.sparkSession, widened_rows(points, key))
     points = _points(points, key, time, distance, scale)
 
     limit = min_rows_for(points.sparkSession, min_rows)
     hot_keys = _too_wide(points, key, limit)
     if hot_keys is not None:
         cold, hot = part_hot(points, [key], hot_keys)
-        best = _within_task(cold, key, wanted, clustered).unionByName(_across_tasks(hot, key, wanted, limit, hot_keys.few))
+        best = _within_task(cold, key, wanted, clustered, tasks).unionByName(_across_tasks(hot, key, wanted, limit, hot_keys.few))
     else:
-        best = _within_task(points, key, wanted, clustered)
+        best = _within_task(points, key, wanted, clustered, tasks)
     return _efforts(best, key)
 
 
@@ -123,14 +125,15 @@ def fastest_efforts_by(
     steps = F.round(F.col("event_distance").cast("double") * scale).cast("long")
     asked = goals.select(key, F.col("event_distance").cast("double").alias("event_distance"), steps.alias("_step"))
     asked = asked.where("_step > 0").distinct()
+    tasks = None if clustered else tasks_for(records.sparkSession, widened_rows(records, key))
     points = _points(records, key, time, distance, scale).join(asked.select(key).distinct(), key, "left_semi")
 
     limit = min_rows_for(points.sparkSession, min_rows)
     hot_keys = _too_wide(points, key, limit)
     if hot_keys is None:
-        return _efforts(_goals_within_task(points, asked, key, clustered), key)
+        return _efforts(_goals_within_task(points, asked, key, clustered, tasks), key)
     cold, hot = part_hot(points, [key], hot_keys)
-    best = _goals_within_task(cold, asked, key, clustered).unionByName(
+    best = _goals_within_task(cold, asked, key, clustered, tasks).unionByName(
         _goals_across_tasks(hot, part_hot(asked, [key], hot_keys)[1], key, limit, hot_keys.few)
     )
     return _efforts(best, key)
@@ -179,14 +182,14 @@ def _is_numeric(df: DataFrame, name: str) -> bool:
     return df.schema[name].dataType.typeName() in {"long", "integer", "short", "double", "float", "decimal"}
 
 
-def _marked(points: DataFrame, key: str, clustered: bool) -> DataFrame:
+def _marked(points: DataFrame, key: str, clustered: bool, tasks: int | None) -> DataFrame:
     """Each time of an activity with its rank, the activity's number of times, and whether its distance falls anywhere.
 
-    One exchange by ``key``; every later window reuses that partitioning.
+    One exchange by ``key``, into ``tasks`` if given; every later window reuses that partitioning.
     """
     group = Window.partitionBy(key)
     in_time = group.orderBy("_us")
-    spread = points if clustered else points.repartition(key)
+    spread = points if clustered else points.repartition(*([tasks] if tasks else []), key)
     times = spread.groupBy(key, "_us").agg(F.min("_d").alias("_low"), F.max("_d").alias("_high"))
     return (
         times.withColumn("_before", F.max("_high").over(in_time.rowsBetween(Window.unboundedPreceding, -1)))
@@ -222,10 +225,10 @@ def _roles(df: DataFrame) -> DataFrame:
     )
 
 
-def _within_task(points: DataFrame, key: str, distances: dict[float, int], clustered: bool = False) -> DataFrame:
+def _within_task(points: DataFrame, key: str, distances: dict[float, int], clustered: bool, tasks: int | None) -> DataFrame:
     """``distances`` as asked for, with their steps of ``_d``."""
     group = Window.partitionBy(key)
-    marked = _marked(points, key, clustered)
+    marked = _marked(points, key, clustered, tasks)
     pieces = _roles(marked.withColumn("_level", F.explode(_pieces(F.col("_irregular"), F.col("_count")))))
 
     def taken(step: int) -> Column:
@@ -254,9 +257,9 @@ def _within_task(points: DataFrame, key: str, distances: dict[float, int], clust
     )
 
 
-def _goals_within_task(points: DataFrame, asked: DataFrame, key: str, clustered: bool) -> DataFrame:
+def _goals_within_task(points: DataFrame, asked: DataFrame, key: str, clustered: bool, tasks: int | None) -> DataFrame:
     """The search along a line of points and goals, for activities of one task each."""
-    marked = _marked(points, key, clustered)
+    marked = _marked(points, key, clustered, tasks)
     pieces = _roles(marked.withColumn("_level", F.explode(_pieces(F.col("_irregular"), F.col("_count"))))).join(asked, key)
     none = F.lit(None).cast("long")
     end = F.struct((-F.col("_pos")).alias("at"), F.lit(0).alias("kind"), none.alias("start"), F.col("_us").alias("end"))

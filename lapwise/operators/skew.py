@@ -20,6 +20,7 @@ from lapwise.session import durable
 FEW_GROUPS = 4096
 FEW_SLICES = 100_000
 DEFAULT_MIN_ROWS = 2_000_000
+ROWS_PER_TASK = 1_000_000
 MIN_ROWS_SETTING = "spark.lapwise.hotGroupRows"
 # In place of a row limit: the caller has counted a frame that contains this one, found no
 # hot group, and there is nothing left to count.
@@ -73,6 +74,23 @@ def measured(df: DataFrame, keys: list[str], min_rows: float | None = None) -> f
     return limit if heavy_groups(df, keys, limit) else MEASURED
 
 
+def widened_rows(df: DataFrame, key: str) -> int:
+    """Rows of ``df`` times log2 of the rows in their group: what a search that halves every group again and again makes of them.
+
+    Reads the key column only and counts before the shuffle.
+    """
+    wide = F.col("count") * F.greatest(F.ceil(F.log2("count")), F.lit(1))
+    return int(df.select(key).groupBy(key).count().agg(F.coalesce(F.sum(wide), F.lit(0))).first()[0])
+
+
+def tasks_for(spark: SparkSession, rows: int) -> int | None:
+    """Tasks to deal ``rows`` to, so that what one task holds does not grow with the table; none if one may take them all.
+
+    Given as a number, since adaptive execution puts small shuffles together by their bytes, before rows multiply.
+    """
+    return None if rows <= ROWS_PER_TASK else max(-(-rows // ROWS_PER_TASK), spark.sparkContext.defaultParallelism)
+
+
 def _same_group(keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_g_{k}")) for k in keys])
 

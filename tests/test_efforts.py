@@ -2,12 +2,14 @@
 
 import datetime
 import random
+import re
+from math import ceil, log2
 
 import pytest
 
 from pyspark.sql import functions as F
 
-from lapwise.operators import efforts
+from lapwise.operators import efforts, skew
 from lapwise.operators.efforts import fastest_effort, fastest_efforts_by, point_deltas
 from lapwise.plans.functions import register_functions
 
@@ -131,3 +133,20 @@ def test_time_column_and_deltas(spark):
     assert best["shortest_duration"] == datetime.timedelta(seconds=5)
     rows = point_deltas(df).orderBy("timestamp").collect()
     assert [r["start_distance"] for r in rows] == [None, 0.0, 50.0, 100.0]
+
+
+def test_tasks_follow_the_rows_the_search_makes(spark, tracks, monkeypatch):
+    """Exchanges have a number of tasks that adaptive execution leaves alone, by points times their halvings."""
+    df = spark.createDataFrame([(i, t * 1_000_000, d) for i, points in tracks.items() for t, d in points], "activity_id long, timestamp long, distance double")
+    want = fastest_effort(df, 50)
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", 400)
+    halved = sum(len(p) * max(1, ceil(log2(len(p)))) for p in tracks.values())
+    assert skew.widened_rows(df, "activity_id") == halved
+    got = fastest_effort(df, 50)
+    spread = f"hashpartitioning(activity_id#\\d+L, {ceil(halved / 400)}\\), REPARTITION_BY_NUM".replace("(act", "\\(act")
+    assert re.search(spread, got._jdf.queryExecution().executedPlan().toString())
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    goals = spark.createDataFrame([(i, 50.0) for i in tracks], "activity_id long, event_distance double")
+    by_goal = fastest_efforts_by(df, goals).drop("event_distance")
+    assert re.search(spread, by_goal._jdf.queryExecution().executedPlan().toString())
+    assert by_goal.exceptAll(want).isEmpty() and want.exceptAll(by_goal).isEmpty()
