@@ -12,7 +12,7 @@ RETURNS TABLE (shortest_duration INTERVAL DAY TO SECOND, start_time TIMESTAMP)
 COMMENT 'Shortest time in which an activity covers a distance in metres, with each start that reaches it'
 RETURN WITH points AS (
     SELECT unix_micros(timestamp) AS us, CAST(round(CAST(distance AS DOUBLE) * 1000) AS BIGINT) AS mm
-    FROM {record}
+    FROM (SELECT {spread}activity_id, timestamp, distance FROM {record})
     WHERE activity_id = shortest_duration_for_distance.activity AND timestamp IS NOT NULL AND distance IS NOT NULL
         AND shortest_duration_for_distance.event_distance > 0
     -- No row, but a union makes Spark meet points with pairs of activity and distance, not with either.
@@ -55,10 +55,12 @@ SELECT make_dt_interval(0, 0, 0, CAST(took / 1000000 AS DECIMAL(18, 6))), timest
 """
 
 
-def register_functions(spark: SparkSession, record: str = "record") -> None:
+def register_functions(spark: SparkSession, record: str = "record", tasks: int | None = None) -> None:
     """Make ``shortest_duration_for_distance(event_distance, activity)`` known to the session.
 
     ``record`` is a table or view of points: ``Store.register_views`` makes one. The longest activity must fit one
     task; ``operators.efforts.fastest_efforts_by`` slices larger ones.
+    For a lateral join over many activities, ``tasks`` (``operators.skew.tasks_for``) deals them out.
     """
-    spark.sql(_SHORTEST_DURATION.format(record=record))
+    spread = f"/*+ REPARTITION({tasks}, activity_id) */ " if tasks else ""
+    spark.sql(_SHORTEST_DURATION.format(record=record, spread=spread))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapwise.operators.efforts import fastest_effort, fastest_efforts, fastest_efforts_by, point_deltas
-from lapwise.operators.skew import measured, running
+from lapwise.operators.skew import measured, running, tasks_for, widened_rows
 from lapwise.plans.functions import register_functions
 from lapwise.queries.tables import cents, micros, read
 
@@ -88,6 +88,7 @@ def effort_by_goal_sliced(spark, sf_dir):
 def effort_sql(spark, sf_dir):
     """The same through the SQL function, once per user by a lateral join."""
     steady, _ = tracks(spark, sf_dir)
+    tasks = tasks_for(spark, widened_rows(read(spark, sf_dir, "events"), "user_id"))
     uneven = read(spark, sf_dir, "events").select("user_id", micros("ts").alias("us"), cents("value").alias("d"))
     out = []
     for kind, points in (("steady", steady), ("uneven", uneven)):
@@ -96,7 +97,7 @@ def effort_sql(spark, sf_dir):
         )
         named.createOrReplaceTempView(f"{kind}_points")
         _goals(points).createOrReplaceTempView("goals")
-        register_functions(spark, f"{kind}_points")
+        register_functions(spark, f"{kind}_points", tasks)
         out.append(spark.sql(f"""
             SELECT g.user_id, g.event_distance, s.start_time,
                    CAST(extract(SECOND FROM s.shortest_duration) * 1000000

@@ -150,3 +150,17 @@ def test_tasks_follow_the_rows_the_search_makes(spark, tracks, monkeypatch):
     by_goal = fastest_efforts_by(df, goals).drop("event_distance")
     assert re.search(spread, by_goal._jdf.queryExecution().executedPlan().toString())
     assert by_goal.exceptAll(want).isEmpty() and want.exceptAll(by_goal).isEmpty()
+
+
+def test_sql_function_deals_activities_to_tasks(spark, tracks):
+    rows = [(i, t, d) for i, points in tracks.items() for t, d in points]
+    points = spark.createDataFrame(rows, "activity_id long, t long, distance double").withColumn("timestamp", F.timestamp_seconds("t"))
+    points.createOrReplaceTempView("points_dealt")
+    spark.createDataFrame([(i, 50) for i in tracks], "activity long, metres int").createOrReplaceTempView("goals_dealt")
+    query = "SELECT activity, unix_seconds(start_time) FROM goals_dealt, LATERAL shortest_duration_for_distance(metres, activity) s"
+    register_functions(spark, "points_dealt")
+    want = sorted(spark.sql(query).collect())
+    register_functions(spark, "points_dealt", tasks=7)
+    each = spark.sql(query)
+    assert re.search(r"hashpartitioning\(activity_id#\d+L, 7\), REPARTITION_BY_NUM", each._jdf.queryExecution().executedPlan().toString())
+    assert sorted(each.collect()) == want
