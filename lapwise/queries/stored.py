@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lapwise.functions import names
 from lapwise.operators.efforts import fastest_effort
 from lapwise.operators.numbering import number_as_sorted
+from lapwise.operators.skew import tasks_for
 from lapwise.operators.sports import activities_over, longest_multi_session
 from lapwise.plans.ingest import derive, load_connect
 from lapwise.plans.reports import by_start
@@ -170,7 +171,9 @@ def listed_folders(spark, sf_dir):
         F.date_format(F.date_trunc("month", "ts"), "yyyy-MM-dd").alias("file"), F.col("event_id").alias("seq"),
         F.col("event_type").alias("name"), F.create_map(F.lit("k"), F.col("props")).alias("fields"),
     )
-    write_messages(files.select(*MESSAGES.names).repartition(2, "file"), path, F.to_date("file"))
+    tasks = tasks_for(spark, files.count()) or 2
+    # All rows of a month may be the whole table: dealt by row, so that no task sorts more than its share.
+    write_messages(files.select(*MESSAGES.names).repartition(tasks, "file", "seq"), path, F.to_date("file"))
     found = list_files(spark, path, "*.parquet")
     part = lambda key: F.regexp_extract("file_path", f"{key}=([^/]+)/", 1)
     return found.select(part("day").alias("day"), part("name").alias("name")).distinct()

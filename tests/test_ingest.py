@@ -6,9 +6,11 @@ from datetime import datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
+from lapwise.operators import skew
 from lapwise.plans import maintenance, reports
 from lapwise.plans.ingest import load_connect, load_watch, plan_connect, run_load
 from lapwise.schemas import LAYOUTS, columns, struct
+from lapwise.queries import stored
 from lapwise.sources.sidecar import read_sidecars, summaries_since
 from lapwise.sources.tables import Store
 from lapwise.streaming.incremental import follow, message_stream
@@ -298,3 +300,15 @@ def test_load_reads_new_days_only(spark, sidecars, tmp_path):
     assert {r[0] for r in store.read("activity").select("activity_id").collect()} == {101, 90, 110}
     assert [r["file"] for r in store.rejected().collect()] == ["odd_7.fit"]
     assert store.read("lap").count() == 6
+
+
+def test_folders_of_one_month_are_written_by_several_tasks(spark, monkeypatch):
+    seen = []
+    write = stored.write_messages
+    monkeypatch.setattr(
+        stored, "write_messages",
+        lambda df, *a: (seen.extend(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()), write(df, *a)),
+    )
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", 200)
+    assert stored.listed_folders(spark, "/root/testdata/sf0.001").count() == 5
+    assert sum(seen) == 1000 and max(seen) < 400
