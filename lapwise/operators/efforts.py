@@ -13,14 +13,13 @@ it is decided what one task may take.
 
 from __future__ import annotations
 
-from functools import reduce
 from math import ceil, log2
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lapwise.operators.skew import (
-    MEASURED, Groups, as_groups, attach, heavy_groups, min_rows_for, part_hot, previous, running,
+    FEW_GROUPS, MEASURED, Groups, as_groups, attach, heavy_groups, min_rows_for, part_hot, previous, running,
     tasks_for, widened_rows,
 )
 from lapwise.session import durable
@@ -100,7 +99,7 @@ def fastest_efforts(
     hot_keys = _too_wide(points, key, limit)
     if hot_keys is not None:
         cold, hot = part_hot(points, [key], hot_keys)
-        best = _within_task(cold, key, wanted, clustered, tasks).unionByName(_across_tasks(hot, key, wanted, limit, hot_keys.few))
+        best = _within_task(cold, key, wanted, clustered, tasks).unionByName(_across_tasks(hot, key, wanted, limit, hot_keys))
     else:
         best = _within_task(points, key, wanted, clustered, tasks)
     return _efforts(best, key)
@@ -126,19 +125,25 @@ def fastest_efforts_by(
     asked = goals.select(key, F.col("event_distance").cast("double").alias("event_distance"), steps.alias("_step"))
     asked = asked.where("_step > 0").distinct()
     tasks = None if clustered else tasks_for(records.sparkSession, widened_rows(records, key))
-    points = _points(records, key, time, distance, scale).join(asked.select(key).distinct(), key, "left_semi")
+    points = _points(records, key, time, distance, scale)
 
     limit = min_rows_for(points.sparkSession, min_rows)
     hot_keys = _too_wide(points, key, limit)
     if hot_keys is None:
-        return _efforts(_goals_within_task(points, asked, key, clustered, tasks), key)
+        return _efforts(_goals_within_task(_with_goals(points, asked, key), asked, key, clustered, tasks), key)
     cold, hot = part_hot(points, [key], hot_keys)
-    best = _goals_within_task(cold, asked, key, clustered, tasks).unionByName(
-        _goals_across_tasks(hot, part_hot(asked, [key], hot_keys)[1], key, limit, hot_keys.few)
+    hot_asked = part_hot(asked, [key], hot_keys)[1]
+    best = _goals_within_task(_with_goals(cold, asked, key), asked, key, clustered, tasks).unionByName(
+        # Without a broadcast this would move all points once more; the search itself leaves out what has no goal.
+        _goals_across_tasks(_with_goals(hot, hot_asked, key) if hot_keys.few else hot, hot_asked, key, limit, hot_keys)
     )
     return _efforts(best, key)
 
 
+def _with_goals(points: DataFrame, asked: DataFrame, key: str) -> DataFrame:
+    return points.join(asked.select(key).distinct(), key, "left_semi")
+
+
 def _has_fractions(df: DataFrame, name: str) -> bool:
     return df.schema[name].dataType.typeName() in {"double", "float", "decimal"}
 
@@ -169,13 +174,15 @@ def _too_wide(points: DataFrame, key: str, limit: float) -> Groups | None:
     if large is None:
         return None
     # Few activities come this near to the limit; of them it is looked up whose distance falls.
-    middle = Groups(large.frame.where(F.col("_n") <= limit), large.few)
+    middle, wide = as_groups(large.frame.where(F.col("_n") <= limit), large.rows), large.frame.where(F.col("_n") > limit)
+    if middle is None:
+        return as_groups(wide, large.rows)
     times = part_hot(points, [key], middle)[1].groupBy(key, "_us").agg(F.min("_d").alias("_low"), F.max("_d").alias("_high"))
     in_time = Window.partitionBy(key).orderBy("_us").rowsBetween(Window.unboundedPreceding, -1)
     falling = times.select(key, _falls(F.max("_high").over(in_time)).alias("_falls"))
     falling = falling.where("_falls").select(key).distinct()
     widened = middle.frame.join(falling, key, "left_semi").where(F.col("_n") * F.ceil(F.log2("_n")) > limit)
-    return as_groups(large.frame.where(F.col("_n") > limit).unionByName(widened))
+    return as_groups(durable(wide.unionByName(widened)), large.rows)
 
 
 def _is_numeric(df: DataFrame, name: str) -> bool:
@@ -261,85 +268,88 @@ def _goals_within_task(points: DataFrame, asked: DataFrame, key: str, clustered:
     """The search along a line of points and goals, for activities of one task each."""
     marked = _marked(points, key, clustered, tasks)
     pieces = _roles(marked.withColumn("_level", F.explode(_pieces(F.col("_irregular"), F.col("_count"))))).join(asked, key)
+    found = _reached(_first_ends(_line(pieces, key), key), key)
+    best = F.min("_dur").over(Window.partitionBy(key, "event_distance"))
+    return found.withColumn("_best", best).where("_dur = _best").select(key, "_us", "event_distance", "_dur")
+
+
+def _line(pieces: DataFrame, key: str, *keep: str) -> DataFrame:
+    """Ends, and the goals of starts, from the far end on: ``_at``, at one place ends (``_kind`` 0) first."""
     none = F.lit(None).cast("long")
-    end = F.struct((-F.col("_pos")).alias("at"), F.lit(0).alias("kind"), none.alias("start"), F.col("_us").alias("end"))
+    end = F.struct((-F.col("_pos")).alias("_at"), F.lit(0).alias("_kind"), none.alias("_start"), F.col("_us").alias("_end"))
     goal = F.struct(
-        (-(F.col("_pos") + F.col("_step"))).alias("at"), F.lit(1).alias("kind"), F.col("_us").alias("start"), none.alias("end")
+        (-(F.col("_pos") + F.col("_step"))).alias("_at"), F.lit(1).alias("_kind"), F.col("_us").alias("_start"), none.alias("_end")
     )
-    line = pieces.select(
-        key, "event_distance", *PIECE, F.explode(F.array_compact(F.array(F.when(F.col("_ends"), end), F.when(F.col("_starts"), goal)))).alias("_p")
-    ).select(key, "event_distance", *PIECE, "_p.*")
-    far_first = Window.partitionBy(key, "event_distance", *PIECE).orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0)
-    found = line.withColumn("_first", F.min("end").over(far_first)).where("start IS NOT NULL AND _first IS NOT NULL")
-    found = found.select(key, "event_distance", F.col("start").alias("_us"), (F.col("_first") - F.col("start")).alias("_dur"))
-    best = F.min("_dur").over(Window.partitionBy(key, "event_distance"))
-    return found.withColumn("_best", best).where("_dur = _best").select(key, "_us", "event_distance", "_dur")
+    met = F.explode(F.array_compact(F.array(F.when(F.col("_ends"), end), F.when(F.col("_starts"), goal))))
+    return pieces.select(key, "event_distance", *PIECE, *keep, met.alias("_p")).select(key, "event_distance", *PIECE, *keep, "_p.*")
 
 
-def _ends_across_tasks(points: DataFrame, key: str, limit: float, few: bool) -> tuple[DataFrame, DataFrame]:
-    """Starts and ends by piece and distance, of activities too large for one task.
+def _first_ends(line: DataFrame, key: str) -> DataFrame:
+    far_first = Window.partitionBy(key, "event_distance", *PIECE).orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    return line.withColumn("_first", F.min("_end").over(far_first))
 
-    Per-activity results are at most one row per hot activity; if those are ``few``, they are broadcast.
-    """
+
+def _reached(met: DataFrame, key: str) -> DataFrame:
+    return met.where("_start IS NOT NULL AND _first IS NOT NULL").select(
+        key, "event_distance", F.col("_start").alias("_us"), (F.col("_first") - F.col("_start")).alias("_dur")
+    )
+
+
+def _ranked_across_tasks(points: DataFrame, key: str, limit: float, hot: Groups) -> tuple[DataFrame, DataFrame]:
+    """What ``_marked`` gives, of activities too large for one task: their times, and one row per activity."""
     times = points.groupBy(key, "_us").agg(F.min("_d").alias("_low"), F.max("_d").alias("_high"))
     before = running(
         times, [key], ["_us"], {"_before": ("max", "_high"), "_rank": ("count", F.lit(1))}, inclusive=False,
-        min_rows=limit,
+        min_rows=limit, hot_rows=hot.rows,
     )
     # Read several times below; written once so that the slicing above runs once.
     before = durable(before)
     shape = before.groupBy(key).agg(
         F.max(_falls(F.col("_before"))).alias("_irregular"), F.count(F.lit(1)).alias("_count")
     )
-    pieces = _roles(
-        attach(before, shape, [key], few).withColumn(
-            "_level", F.explode(_pieces(F.col("_irregular"), F.col("_count")))
-        )
-    )
-    cell = [key, *PIECE]
-    # Of starts at one distance only the last can win, of ends only the first.
-    starts = pieces.where("_starts").groupBy(*cell, "_pos").agg(F.max("_us").alias("_start"))
-    ends = pieces.where("_ends").groupBy(*cell, "_pos").agg(F.min("_us").alias("_end"))
-    return starts, ends
-
-
-def _goals_across_tasks(points: DataFrame, asked: DataFrame, key: str, limit: float, few: bool) -> DataFrame:
-    """The search along a line, in slices."""
-    starts, ends = _ends_across_tasks(points, key, limit, few)
-    cell, none = [key, "event_distance", *PIECE], F.lit(None).cast("long")
-    goals = starts.join(asked, key).select(
-        *cell, (-(F.col("_pos") + F.col("_step"))).alias("_at"), F.lit(1).alias("_kind"), "_start", none.alias("_end")
-    )
-    reached = ends.join(asked, key).select(*cell, (-F.col("_pos")).alias("_at"), F.lit(0).alias("_kind"), none.alias("_start"), "_end")
-    line = durable(goals.unionByName(reached))
-    met = running(line, cell, ["_at", "_kind"], {"_first": ("min", "_end")}, min_rows=limit)
-    found = met.where("_start IS NOT NULL AND _first IS NOT NULL").select(
-        key, "event_distance", F.col("_start").alias("_us"), (F.col("_first") - F.col("_start")).alias("_dur")
+    return before, shape
+
+
+def _search_across_tasks(before: DataFrame, about: DataFrame, key: str, limit: float) -> DataFrame:
+    """The search along a line, pieces too large for one task in slices; ``about`` has the activities' shape and goals.
+
+    Per-activity results are at most one row per hot activity and goal; if those are few, they are broadcast.
+    """
+    levels = F.greatest(F.size(_pieces(F.col("_irregular"), F.col("_count"))), F.lit(2))
+    rows = F.sum(F.when(2 * F.col("_count") > limit, F.col("_count") * levels))
+    goals, hot_rows = about.agg(F.count(F.lit(1)), rows).first()
+    few = goals <= FEW_GROUPS
+    joined = attach(before.drop("_before"), about, [key], few, "inner")
+    pieces = _roles(joined.withColumn("_level", F.explode(_pieces(F.col("_irregular"), F.col("_count")))))
+    # How many rows a piece has follows from its level, so none need be counted.
+    size = F.when(F.col("_level") < 0, 2 * F.col("_count")).otherwise(
+        F.least(F.col("_count"), F.expr("shiftleft(1L, greatest(_level, 0) + 1)"))
     )
+    line = _line(pieces.withColumn("_wide", size > limit), key, "_wide")
+    met = _first_ends(line.where("NOT _wide").drop("_wide"), key)
+    if hot_rows:
+        # Times tell rows of one place apart, so a long stop can be cut too; which ends come first does not depend on them.
+        wide = line.where("_wide").drop("_wide").withColumn("_t", F.coalesce("_start", "_end"))
+        cell = [key, "event_distance", *PIECE]
+        sliced = running(
+            wide, cell, ["_at", "_kind", "_t"], {"_first": ("min", "_end")}, min_rows=limit, hot_rows=hot_rows
+        )
+        met = met.unionByName(sliced.drop("_t"))
+    found = _reached(met, key)
     best = found.groupBy(key, "event_distance").agg(F.min("_dur").alias("_best"))
-    return found.join(best, [key, "event_distance"]).where("_dur = _best").select(key, "_us", "event_distance", "_dur")
+    return attach(found, best, [key, "event_distance"], few).where("_dur = _best").select(key, "_us", "event_distance", "_dur")
 
 
-def _across_tasks(points: DataFrame, key: str, distances: dict[float, int], limit: float, few: bool) -> DataFrame:
-    """The same for activities too large for one task: every scan runs in slices."""
-    starts, ends = _ends_across_tasks(points, key, limit, few)
-    cell = [key, *PIECE]
-    none = F.lit(None).cast("long")
+def _goals_across_tasks(points: DataFrame, asked: DataFrame, key: str, limit: float, hot: Groups) -> DataFrame:
+    before, shape = _ranked_across_tasks(points, key, limit, hot)
+    return _search_across_tasks(before, shape.join(asked, key), key, limit)
 
-    def one(d: float, step: int) -> DataFrame:
-        goals = starts.select(
-            *cell, (-(F.col("_pos") + F.lit(step))).alias("_at"), F.lit(1).alias("_kind"), "_start", none.alias("_end")
-        )
-        reached = ends.select(
-            *cell, (-F.col("_pos")).alias("_at"), F.lit(0).alias("_kind"), none.alias("_start"), "_end"
-        )
-        line = durable(goals.unionByName(reached))
-        met = running(line, cell, ["_at", "_kind"], {"_first": ("min", "_end")}, min_rows=limit)
-        found = met.where("_start IS NOT NULL AND _first IS NOT NULL").select(
-            key, F.lit(float(d)).alias("event_distance"), F.col("_start").alias("_us"),
-            (F.col("_first") - F.col("_start")).alias("_dur"),
-        )
-        best = found.groupBy(key).agg(F.min("_dur").alias("_best"))
-        return attach(found, best, [key], few).where("_dur = _best").select(key, "_us", "event_distance", "_dur")
 
-    return reduce(DataFrame.unionByName, [one(d, step) for d, step in distances.items()])
+def _across_tasks(points: DataFrame, key: str, distances: dict[float, int], limit: float, hot: Groups) -> DataFrame:
+    """The same for activities too large for one task: every scan runs in slices."""
+    before, shape = _ranked_across_tasks(points, key, limit, hot)
+    goals = F.array(*[
+        F.struct(F.lit(float(d)).alias("event_distance"), F.lit(step).cast("long").alias("_step")) for d, step in distances.items()
+    ])
+    about = shape.select("*", F.explode(goals).alias("_goal")).select(*shape.columns, "_goal.*")
+    return _search_across_tasks(before, about, key, limit)

@@ -2,13 +2,14 @@
 
 ``heavy_groups`` returns every group above ``min_rows``, however many there are. Up to
 ``FEW_GROUPS`` of them are rows of the plan and may be broadcast; more stay a distributed table,
-and joins with it are shuffled, where adaptive skew handling splits the hot side.
+and then scans slice all groups alike, while joins are shuffled, where adaptive skew handling splits the hot side.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 from functools import reduce
+from math import ceil
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -19,6 +20,9 @@ from lapwise.session import durable
 
 FEW_GROUPS = 4096
 FEW_SLICES = 100_000
+# Ranges that hot rows are cut into where the row limit asks for more; beyond that, only as many as
+# leave ROWS_PER_TASK rows in each.
+MOST_RANGES = 256
 DEFAULT_MIN_ROWS = 2_000_000
 ROWS_PER_TASK = 1_000_000
 MIN_ROWS_SETTING = "spark.lapwise.hotGroupRows"
@@ -29,10 +33,11 @@ MEASURED = float("inf")
 
 @dataclass
 class Groups:
-    """One row per hot group; ``few`` if they may be broadcast."""
+    """One row per hot group; ``few`` if they may be broadcast. ``rows`` is what ``part_hot`` gives as hot, in rows."""
 
     frame: DataFrame
     few: bool
+    rows: int
 
 
 def min_rows_for(spark: SparkSession, given: float | None) -> float:
@@ -42,27 +47,31 @@ def min_rows_for(spark: SparkSession, given: float | None) -> float:
     return int(spark.conf.get(MIN_ROWS_SETTING, str(DEFAULT_MIN_ROWS)))
 
 
-def heavy_groups(df: DataFrame, keys: list[str], min_rows: float, order: list[str] = ()) -> Groups | None:
-    """Keys, row count ``_n`` and the range of each ``order`` column of the groups above ``min_rows``.
+def heavy_groups(df: DataFrame, keys: list[str], min_rows: float) -> Groups | None:
+    """Keys and row count ``_n`` of the groups above ``min_rows``.
 
-    Reads the named columns only and counts before the shuffle.
+    Reads the key columns only and counts before the shuffle.
     """
     if min_rows == MEASURED:
         return None
-    ranges = [f(c).alias(f"_{n}{i}") for i, c in enumerate(order) for f, n in ((F.min, "lo"), (F.max, "hi"))]
-    return as_groups(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *ranges).where(F.col("_n") > min_rows))
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    found = as_groups(counts.where(F.col("_n") > min_rows))
+    if found is None or found.few:
+        return found
+    counts = durable(counts)
+    return Groups(counts.where(F.col("_n") > min_rows), False, counts.agg(F.sum("_n")).first()[0])
 
 
-def as_groups(found: DataFrame) -> Groups | None:
-    """One row per group as ``Groups``; nothing if there is none."""
+def as_groups(found: DataFrame, all_rows: int = 0) -> Groups | None:
+    """One row per group with its ``_n`` as ``Groups``; nothing if there is none. ``all_rows`` are the rows of all groups."""
     rows = found.limit(FEW_GROUPS + 1).collect()
     if not rows:
         return None
     if len(rows) > FEW_GROUPS:
-        return Groups(durable(found), False)
+        return Groups(found, False, all_rows)
     # From Arrow, so that the plan holds the rows themselves and knows their size.
     table = pa.Table.from_pylist([r.asDict() for r in rows], to_arrow_schema(found.schema))
-    return Groups(found.sparkSession.createDataFrame(table, found.schema), True)
+    return Groups(found.sparkSession.createDataFrame(table, found.schema), True, sum(r["_n"] for r in rows))
 
 
 def measured(df: DataFrame, keys: list[str], min_rows: float | None = None) -> float:
@@ -108,8 +117,14 @@ def attach(df: DataFrame, groups: DataFrame, keys: list[str], few: bool, how: st
 
 
 def part_hot(df: DataFrame, keys: list[str], hot: Groups) -> tuple[DataFrame, DataFrame]:
-    """``df`` without the hot groups, and the hot groups alone."""
-    frame = _side(hot.frame.select(*[F.col(k).alias(f"_g_{k}") for k in keys]), hot.few)
+    """``df`` without the hot groups, and the hot groups alone.
+
+    Where hot groups are too many to broadcast, all groups go with them: two joins of all rows would cost more than
+    slicing the ordinary groups too, which gives them the same results.
+    """
+    if not hot.few:
+        return df.where(F.lit(False)), df
+    frame = F.broadcast(hot.frame.select(*[F.col(k).alias(f"_g_{k}") for k in keys]))
     test = _same_group(keys)
     return df.join(frame, test, "left_anti"), df.join(frame, test, "left_semi")
 
@@ -140,7 +155,7 @@ class Slices:
     """Rows of ordinary groups, rows of hot groups, and the columns that slice the latter.
 
     ``(keys, cuts)`` names a slice; slices of a group follow each other in the order asked for.
-    ``few`` says that one row per slice may be broadcast.
+    ``few`` says that one row per range may be broadcast.
     """
 
     cold: DataFrame
@@ -149,53 +164,27 @@ class Slices:
     few: bool = True
 
 
-def slice_groups(df: DataFrame, keys: list[str], order: list[str], min_rows: float | None = None) -> Slices:
-    """Cut every hot group into consecutive slices of about ``min_rows`` rows each.
+def slice_groups(
+    df: DataFrame, keys: list[str], order: list[str], min_rows: float | None = None, hot_rows: int | None = None
+) -> Slices:
+    """Cut every hot group into consecutive slices of about ``min_rows`` rows each, or fewer slices if those were very many.
 
-    A slice is an equal stretch of the first ``order`` column that varies in the group. A
-    stretch that still holds too many rows is cut again, so clustered values end up in
-    small slices too. The hot rows are written once and cut from there; slice borders are
-    fixed when they are found: a task run again puts each row in the same slice. ``order``
-    columns are numeric; rows tied in all of them stay together.
+    The hot rows are sorted across tasks by group and ``order``, in ranges of about equally many rows, and written
+    once, each with its range: a task run again finds each row in the same slice. A slice is what one range
+    holds of a group, so of each range only the first group can have begun before. Rows tied in ``order`` stay
+    together. With ``hot_rows``, the caller knows that all groups may count as hot and how many rows they have at most.
     """
     limit = min_rows_for(df.sparkSession, min_rows)
-    hot = heavy_groups(df, keys, limit, order)
-    if hot is None:
-        return Slices(df)
-    cold, work = part_hot(df, keys, hot)
-    work = durable(work)
-
-    group, cuts, few, slices = list(keys), [], hot.few, 0
-    bounds = [(F.col(f"_lo{i}"), F.col(f"_hi{i}")) for i in range(len(order))]
-    by = F.coalesce(*[F.when(~lo.eqNullSafe(hi), F.lit(i)) for i, (lo, hi) in enumerate(bounds)])
-    while hot is not None:
-        frame = hot.frame.select(
-            *[F.col(k).alias(f"_g_{k}") for k in group], by.alias("_by"),
-            F.ceil(2 * F.col("_n") / F.lit(limit)).alias("_parts"),
-            *[F.when(by == i, c).alias(f"_{n}{i}") for i, pair in enumerate(bounds) for n, c in zip(("lo", "hi"), pair)],
-        ).where("_by IS NOT NULL")
-        more = frame.agg(F.sum("_parts")).first()[0]
-        if more is None:
-            break
-        slices += more
-        cut = f"_cut{len(cuts)}"
-        placed = work.join(_side(frame, hot.few), _same_group(group), "left")
-        place = F.lit(None).cast("long")
-        for i, c in enumerate(order):
-            lo, hi = bounds[i]
-            share = (F.col(c) - lo).cast("double") / (hi - lo).cast("double")
-            stretch = F.least(F.floor(share * F.col("_parts")), F.col("_parts") - 1)
-            # Nulls sort first, so they form a stretch of their own before all others.
-            place = F.when(F.col("_by") == i, F.coalesce(stretch, F.lit(-1))).otherwise(place)
-        work = placed.withColumn(cut, F.coalesce(place, F.lit(0))).select(
-            *work.columns, cut, (F.col("_by").isNotNull()).alias("_again")
-        )
-        cuts.append(cut)
-        group = group + [cut]
-        hot = heavy_groups(work.where("_again"), group, limit, order)
-        work = work.drop("_again")
-        few = few and (hot is None or hot.few)
-    return Slices(cold, work, cuts, few and slices <= FEW_SLICES)
+    cold, work = df.where(F.lit(False)), df
+    if hot_rows is None:
+        hot = heavy_groups(df, keys, limit)
+        if hot is None:
+            return Slices(df)
+        hot_rows = hot.rows
+        cold, work = part_hot(df, keys, hot)
+    ranges = max(1, min(ceil(2 * hot_rows / limit), max(MOST_RANGES, ceil(hot_rows / ROWS_PER_TASK))))
+    ranged = work.repartitionByRange(ranges, *keys, *order).withColumn("_cut", F.spark_partition_id())
+    return Slices(cold, durable(ranged), ["_cut"], ranges <= FEW_SLICES)
 
 
 _FOLD = {
@@ -213,17 +202,18 @@ def running(
     outputs: dict[str, tuple[str, str | Column]],
     inclusive: bool = True,
     min_rows: float | None = None,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Running ``sum``/``count``/``min``/``max`` per group in ``order``.
 
     ``outputs`` maps a new column to ``(aggregate, input)``. Ordinary groups take one
     window. Hot groups take a window per slice, plus what all earlier slices of the group
-    add up to: one small row per slice, joined back.
+    add up to: one small row per slice that has any, joined back. ``hot_rows`` as for ``slice_groups``.
     """
     inputs = {f"_in_{out}": (F.col(c) if isinstance(c, str) else c) for out, (_, c) in outputs.items()}
     keep = df.columns
     df = df.withColumns(inputs)
-    parts = slice_groups(df, keys, order, min_rows)
+    parts = slice_groups(df, keys, order, min_rows, hot_rows)
     end = Window.currentRow if inclusive else -1
 
     def windowed(frame: DataFrame, group: list[str]) -> DataFrame:
@@ -244,15 +234,25 @@ def running(
                 (F.sum if agg == "count" else _FOLD[agg][0])(f"_sum_{out}").over(before).alias(f"_carry_{out}")
                 for out, (agg, _) in outputs.items()
             ],
+            _later(keys, parts.cuts),
         )
     )
-    joined = attach(windowed(parts.hot, group), carried, group, parts.few)
+    joined = attach(windowed(parts.hot, group), _continued(carried), group, parts.few)
     hot = joined.select(
         *keep, *[_FOLD[agg][1](F.col(f"_carry_{out}"), F.col(out)).alias(out) for out, (agg, _) in outputs.items()]
     )
     return cold.unionByName(hot)
 
 
+def _later(keys: list[str], cuts: list[str]) -> Column:
+    return (F.row_number().over(Window.partitionBy(*keys).orderBy(*cuts)) > 1).alias("_later")
+
+
+def _continued(slices: DataFrame) -> DataFrame:
+    """Slices that are not the first of their group: one a range at most."""
+    return slices.where("_later").drop("_later")
+
+
 def totals(
     df: DataFrame, keys: list[str], outputs: dict[str, tuple[str, str | Column]], min_rows: float | None = None
 ) -> DataFrame:
@@ -289,10 +289,12 @@ def previous(
     carried = (
         parts.hot.groupBy(*group)
         .agg(last.alias("_last"))
-        .select(*group, F.lag("_last").over(Window.partitionBy(*keys).orderBy(*parts.cuts)).alias("_before"))
+        .select(
+            *group, F.lag("_last").over(Window.partitionBy(*keys).orderBy(*parts.cuts)).alias("_before"), _later(keys, parts.cuts)
+        )
     )
     first = F.row_number().over(Window.partitionBy(*group).orderBy(*order)) == 1
-    joined = attach(windowed(parts.hot, group).withColumn("_first", first), carried, group, parts.few)
+    joined = attach(windowed(parts.hot, group).withColumn("_first", first), _continued(carried), group, parts.few)
     hot = joined.select(
         *keep,
         *[F.when(F.col("_first"), F.col(f"_before.{out}")).otherwise(F.col(out)).alias(out) for out in outputs],

@@ -75,3 +75,16 @@ def test_heavy_join(spark, how, few):
     key = lambda r: tuple((x is None, x) for x in r)
     assert sorted(map(tuple, got.collect()), key=key) == sorted(map(tuple, want.collect()), key=key)
     assert {r["k"] for r in heavy_groups(left, ["k"], 50).frame.collect()} == {1, 2, None}
+
+
+def test_many_hot_groups_are_sliced_without_joining_their_rows(spark, monkeypatch):
+    from lapwise.operators import skew
+
+    monkeypatch.setattr(skew, "FEW_GROUPS", 2)
+    df = spark.createDataFrame(rows("even", 3), "g int, at long, i long, v int")
+    for scan in (
+        running(df, ["g"], ["at", "i"], {"s": ("sum", "v")}, min_rows=25),
+        previous(df, ["g"], ["at", "i"], {"p": "v"}, min_rows=25),
+    ):
+        plan = scan._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Join ") == plan.count("rightHint=(strategy=broadcast)") == 1
