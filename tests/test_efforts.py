@@ -164,3 +164,20 @@ def test_sql_function_deals_activities_to_tasks(spark, tracks):
     each = spark.sql(query)
     assert re.search(r"hashpartitioning\(activity_id#\d+L, 7\), REPARTITION_BY_NUM", each._jdf.queryExecution().executedPlan().toString())
     assert sorted(each.collect()) == want
+
+
+def test_goals_of_many_hot_activities_move_few_rows(spark, monkeypatch):
+    """Points meet their activity's shape and goals in one join, and the winners in another."""
+    from lapwise.operators import efforts, skew
+
+    monkeypatch.setattr(skew, "FEW_GROUPS", 2)
+    monkeypatch.setattr(efforts, "FEW_GROUPS", 2, raising=False)
+    points = spark.createDataFrame([(a, i, float(i * 7 % 40)) for a in range(6) for i in range(60)], "activity_id long, timestamp long, distance double")
+    goals = spark.createDataFrame([(a, 20.0) for a in range(6)], "activity_id long, event_distance double")
+    best = efforts.fastest_efforts_by(points, goals, min_rows=20)
+    plan = best._jdf.queryExecution().optimizedPlan().toString()
+    # Once for each of the two kinds of pieces, in the search and in the minimum it is compared with; and the broadcasts of slices.
+    assert plan.count("Join ") - plan.count("rightHint=(strategy=broadcast)") <= 9
+    sliced = sorted(map(tuple, best.collect()))
+    monkeypatch.undo()
+    assert sliced == sorted(map(tuple, efforts.fastest_efforts_by(points, goals).collect())) != []
