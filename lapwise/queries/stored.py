@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lapwise.functions import names
 from lapwise.operators.efforts import fastest_effort
 from lapwise.operators.numbering import number_as_sorted
-from lapwise.operators.skew import tasks_for
+from lapwise.operators.skew import measured, tasks_for
 from lapwise.operators.sports import activities_over, longest_multi_session
 from lapwise.plans.ingest import derive, load_connect
 from lapwise.plans.reports import by_start
@@ -101,7 +101,10 @@ def stream_activities(spark, sf_dir):
 def _children(spark, sf_dir, table):
     messages = order_messages(spark, sf_dir)
     stored = messages.where("name = 'activity'").select("file")
-    rows = derive(with_parent(messages, stored, key="file"), names.activity_id(F.col("file")))[table]
+    # Counted once: files have no more messages left where those without an activity are gone.
+    limit = measured(messages, ["file"])
+    mine = with_parent(messages, stored, key="file", min_rows=limit)
+    rows = derive(mine, names.activity_id(F.col("file")), limit)[table]
     return conform(rows, table)
 
 

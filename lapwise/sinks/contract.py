@@ -39,12 +39,14 @@ def checked(df: DataFrame, table: str, keep: list[str] = ()) -> DataFrame:
     have = dict(df.dtypes)
     layout = columns(table)
     limits = TEXT_LIMITS[table]
-    typed, faults = [], []
+    typed, names, faults = {}, [], []
     for name, kind in layout:
         if name not in have:
-            typed.append(F.lit(None).cast(kind).alias(name))
+            names.append(F.lit(None).cast(kind).alias(name))
             continue
-        value = to_type(F.col(name), kind, have[name])
+        # Typed in a step of its own, so that the checks below do not type it anew.
+        typed[f"_t_{name}"] = to_type(F.col(name), kind, have[name])
+        value = F.col(f"_t_{name}")
         given = F.col(name).isNotNull()
         if have[name] in {"double", "float"}:
             given = given & ~F.isnan(name)
@@ -53,12 +55,12 @@ def checked(df: DataFrame, table: str, keep: list[str] = ()) -> DataFrame:
         bad = given & value.isNull()
         if name in limits:
             bad = bad | (F.length(value) > limits[name])
-        typed.append(value.alias(name))
+        names.append(value.alias(name))
         faults.append(F.when(bad, F.lit(name)))
     if "activity_id" not in have:
         raise ValueError(f"rows for {table} need an activity_id")
     faults.append(F.when(F.col("activity_id").isNull(), F.lit("activity_id")))
-    return df.select(*keep, *typed, F.concat_ws(",", *faults).alias(REASONS))
+    return df.withColumns(typed).select(*keep, *names, F.concat_ws(",", *faults).alias(REASONS))
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:
@@ -67,8 +69,14 @@ def conform(df: DataFrame, table: str) -> DataFrame:
 
 
 def with_raw(df: DataFrame, table: str) -> DataFrame:
-    """``checked`` rows that also keep the row as it came, as JSON in ``raw``."""
-    return checked(df.withColumn(RAW, F.to_json(F.struct(*df.columns))), table, keep=[RAW])
+    """``checked`` rows; those with ``reasons`` also keep the row as it came, as JSON in ``raw``.
+
+    Writing JSON costs more than all the checks, so it is left to rows that need it.
+    """
+    tested = checked(df.withColumn("_came", F.struct(*df.columns)), table, keep=["_came"])
+    return tested.select(
+        F.when(F.col(REASONS) != "", F.to_json("_came")).alias(RAW), *[c for c in tested.columns if c != "_came"]
+    )
 
 
 def split(df: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:

@@ -40,14 +40,19 @@ def has_field(name: str) -> Column:
 
 def held_fields(table: str) -> dict[str, Column]:
     """What a message holds for each of the table's own columns, as text; absent ones null, coordinates in degrees."""
+    return _in_degrees({n: field(f) for n, f in _own_fields(table).items()}, table)
+
+
+def _own_fields(table: str) -> dict[str, str]:
+    """The field that each of the table's own columns is read from."""
     skip = DERIVED.get(table, {"activity_id"})
-    names = [n for n, _ in columns(table) if n not in skip]
-    picked = {n: field(n) for n in names}
-    if table == "record":
-        picked = {n: field(f) for n, f in POSITION_FIELDS.items()} | picked
-    for n in SEMICIRCLES.get(table, []):
-        picked[n] = degrees(picked[n].try_cast("double")).cast("string")
-    return picked
+    own = {n: n for n, _ in columns(table) if n not in skip}
+    return POSITION_FIELDS | own if table == "record" else own
+
+
+def _in_degrees(picked: dict[str, Column], table: str) -> dict[str, Column]:
+    turned = {n: degrees(picked[n].try_cast("double")).cast("string") for n in SEMICIRCLES.get(table, [])}
+    return picked | turned
 
 
 def belongs(table: str) -> Column:
@@ -57,9 +62,17 @@ def belongs(table: str) -> Column:
 
 
 def message_rows(messages: DataFrame, table: str) -> DataFrame:
-    """``file, seq`` and the table's own fields."""
-    picked = held_fields(table)
-    return messages.where(belongs(table)).select("file", "seq", *[c.alias(n) for n, c in picked.items()])
+    """``file, seq`` and the table's own fields.
+
+    All fields are looked up in one pass over their names: an expression per column would make generated code too long
+    to be compiled for tables with many columns.
+    """
+    own = _own_fields(table)
+    texts = F.transform(F.array(*[F.lit(f) for f in own.values()]), lambda name: F.col("fields")[name])
+    held = F.transform(texts, lambda text: F.when(F.lower(text) != "nan", text))
+    picked = _in_degrees({n: F.col("_held")[i] for i, n in enumerate(own)}, table)
+    rows = messages.where(belongs(table)).select("file", "seq", held.alias("_held"))
+    return rows.select("file", "seq", *[c.alias(n) for n, c in picked.items()])
 
 
 def filled_fields(messages: DataFrame) -> DataFrame:
