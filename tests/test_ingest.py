@@ -312,3 +312,12 @@ def test_folders_of_one_month_are_written_by_several_tasks(spark, monkeypatch):
     monkeypatch.setattr(skew, "ROWS_PER_TASK", 200)
     assert stored.listed_folders(spark, "/root/testdata/sf0.001").count() == 5
     assert sum(seen) == 1000 and max(seen) < 400
+
+
+def test_rows_that_fit_are_not_written_as_json(spark):
+    from lapwise.sinks.contract import with_raw
+
+    df = spark.createDataFrame([(1, "5"), (2, "five")], "activity_id long, message_index string")
+    got = {r["activity_id"]: r for r in with_raw(df, "length").collect()}
+    assert got[1]["raw"] is None and got[1]["message_index"] == 5
+    assert json.loads(got[2]["raw"]) == {"activity_id": 2, "message_index": "five"} and got[2]["reasons"] == "message_index"

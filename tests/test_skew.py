@@ -88,3 +88,12 @@ def test_many_hot_groups_are_sliced_without_joining_their_rows(spark, monkeypatc
     ):
         plan = scan._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("Join ") == plan.count("rightHint=(strategy=broadcast)") == 1
+
+
+def test_null_order_across_cuts(spark):
+    """Rows without a place in the order come first, in slices too."""
+    data = [(i % 3, None if i % 13 == 0 else 1_706_000_000_000_000 + i * 977 % 5000, i, i % 5) for i in range(400)]
+    df = spark.createDataFrame(data, "g int, at long, i long, v int")
+    w = Window.partitionBy("g").orderBy("at", "i").rowsBetween(Window.unboundedPreceding, 0)
+    got = running(df, ["g"], ["at", "i"], {"s": ("sum", "v")}, min_rows=20)
+    assert by_id(got.select("i", "s")) == by_id(df.select("i", F.sum("v").over(w).alias("s")))
