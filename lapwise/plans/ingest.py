@@ -130,7 +130,7 @@ def _timed(fresh: DataFrame) -> DataFrame:
     """First activity row of each file, its time filled from the sessions."""
     activities = first_row(message_rows(fresh, "activity"), ["file"], ["seq"])
     activities = activities.withColumn("timestamp", lenient_time(F.col("timestamp")))
-    starts = message_rows(fresh, "session").select("file", lenient_time(F.col("start_time")).alias("start_time"))
+    starts = message_rows(fresh, "session", ["start_time"]).select("file", lenient_time(F.col("start_time")).alias("start_time"))
     return fill_activity_time(activities, starts, key="file")
 
 
@@ -149,7 +149,8 @@ def _finish(
     def because(files: DataFrame, reason: Column) -> DataFrame:
         return files.select("file", F.lit("activity").alias("stage"), reason.alias("reason"))
 
-    tested = checked(activities, "activity", keep=["file"])
+    # Written once: the activities and the files left out are both picked from it.
+    tested = durable(checked(activities, "activity", keep=["file"]))
     absent = fresh.select("file").distinct().join(activities.select("file"), "file", "left_anti")
     rejected = because(tested.where(F.col("reasons") != ""), F.col("reasons")).unionByName(
         because(absent, F.lit("no activity message"))

@@ -15,6 +15,8 @@ from lapwise.schemas import DAY, DERIVED, LAYOUTS, MESSAGES, SEMICIRCLES, column
 
 # Fixed value: the stored name of a record's position fields.
 POSITION_FIELDS = {"latitude": "position_lat", "longitude": "position_long"}
+# Up to so many fields, a table's rows are looked up by an expression per column.
+FEW_FIELDS = 16
 
 
 def read_messages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -27,6 +29,16 @@ def write_messages(messages: DataFrame, path: str, file_time: Column, mode: str
     days.write.mode(mode).partitionBy(DAY, "name").parquet(path)
 
 
+def kept_by_name(messages: DataFrame, path: str) -> DataFrame:
+    """``messages`` written to ``path``, in place of what is there, and read from it: made once however often they are read.
+
+    Stored by name, each table reads its own messages and fields only, which a micro-batch of a stream does not offer.
+    """
+    writer = messages.select(*MESSAGES.names).write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy("name").parquet(path)
+    return read_messages(messages.sparkSession, path).select(*MESSAGES.names)
+
+
 def field(name: str) -> Column:
     """A field as text; null when absent or not a number."""
     text = F.col("fields")[name]
@@ -61,13 +73,16 @@ def belongs(table: str) -> Column:
     return named & has_field("position_lat") & has_field("position_long") if table == "record" else named
 
 
-def message_rows(messages: DataFrame, table: str) -> DataFrame:
-    """``file, seq`` and the table's own fields.
+def message_rows(messages: DataFrame, table: str, only: list[str] | None = None) -> DataFrame:
+    """``file, seq`` and the table's own fields, or ``only`` those columns.
 
-    All fields are looked up in one pass over their names: an expression per column would make generated code too long
-    to be compiled for tables with many columns.
+    Of tables with many columns, all fields are looked up in one pass over their names: an expression per column would
+    make generated code too long to be compiled. Of others, columns that nobody asks for are not looked up.
     """
-    own = _own_fields(table)
+    own = {n: f for n, f in _own_fields(table).items() if only is None or n in only}
+    if len(own) <= FEW_FIELDS:
+        held = held_fields(table)
+        return messages.where(belongs(table)).select("file", "seq", *[held[n].alias(n) for n in own])
     texts = F.transform(F.array(*[F.lit(f) for f in own.values()]), lambda name: F.col("fields")[name])
     held = F.transform(texts, lambda text: F.when(F.lower(text) != "nan", text))
     picked = _in_degrees({n: F.col("_held")[i] for i, n in enumerate(own)}, table)

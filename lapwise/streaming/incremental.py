@@ -23,6 +23,7 @@ from lapwise.functions.values import NO_ACTIVITY_YET
 from lapwise.plans.ingest import Load, plan_connect, plan_watch, run_load
 from lapwise.schemas import MESSAGES
 from lapwise.session import durable, use_utc
+from lapwise.sources.messages import kept_by_name
 from lapwise.sources.tables import LOAD, Store, utc
 
 ARRIVED = "arrived"
@@ -57,7 +58,9 @@ def follow(
     def load(batch: DataFrame, batch_id: int) -> None:
         use_utc(batch.sparkSession)
         load_id = _load_id(batch.sparkSession, checkpoint, batch_id)
-        plan = _plan(batch.select(*MESSAGES.names), store.read("activity", but=load_id), sidecars, places)
+        # Every step of a load would read the whole batch anew. The next batch's messages take their place.
+        kept = kept_by_name(batch, f"{checkpoint.rstrip('/')}/lapwise-messages")
+        plan = _plan(kept, store.read("activity", but=load_id), sidecars, places)
         run_load(store, plan, load_id, source="connect stream" if sidecars else "watch stream")
 
     return _start(messages, load, checkpoint, every)

@@ -13,6 +13,8 @@ from lapwise.schemas import LAYOUTS, columns, struct
 from lapwise.queries import stored
 from lapwise.sources.sidecar import read_sidecars, summaries_since
 from lapwise.sources.tables import Store
+from lapwise.sources.messages import message_rows
+from lapwise.streaming import incremental
 from lapwise.streaming.incremental import follow, message_stream
 
 from messages import RUN, connect_frame, frame, run, watch_frame
@@ -321,3 +323,26 @@ def test_rows_that_fit_are_not_written_as_json(spark):
     got = {r["activity_id"]: r for r in with_raw(df, "length").collect()}
     assert got[1]["raw"] is None and got[1]["message_index"] == 5
     assert json.loads(got[2]["raw"]) == {"activity_id": 2, "message_index": "five"} and got[2]["reasons"] == "message_index"
+
+
+def test_a_stream_reads_its_batch_by_name(spark, sidecars, tmp_path, monkeypatch):
+    """A load reads stored messages, each table its own, and not the whole micro-batch at every step."""
+    source = str(tmp_path / "in")
+    connect_frame(spark).write.parquet(source)
+    seen = []
+    monkeypatch.setattr(incremental, "run_load", lambda store, load, *args, **more: seen.append(
+        (load.messages.where("name = 'lap'").inputFiles(), load.messages.where("name = 'lap'").count())
+    ))
+    store = Store(spark, str(tmp_path / "store"))
+    follow(message_stream(spark, source), store, str(tmp_path / "progress"), lambda since: sidecars).awaitTermination(120)
+    assert [n for _, n in seen] == [connect_frame(spark).where("name = 'lap'").count()]
+    assert seen[0][0] and all("name=" in f for f in seen[0][0])
+
+
+def test_few_columns_are_looked_up_alone(spark):
+    """A load asks some steps for a column or two of a wide table."""
+    times = message_rows(connect_frame(spark), "session", ["start_time"])
+    assert times.columns == ["file", "seq", "start_time"]
+    assert sorted(times.collect()) == sorted(message_rows(connect_frame(spark), "session").select(*times.columns).collect())
+    laps = message_rows(connect_frame(spark), "lap").select("file", "total_distance")
+    assert "avg_power" not in laps._jdf.queryExecution().optimizedPlan().toString()
