@@ -21,7 +21,7 @@ from lapwise.operators.intensity import align_intensity
 from lapwise.operators.laps import assign_laps, first_row, number_in_order, renumber_lengths
 from lapwise.operators.marks import newer_files, untimed
 from lapwise.operators.places import nearest_place
-from lapwise.operators.skew import heavy_join, measured
+from lapwise.operators.skew import MEASURED, heavy_join, measured
 from lapwise.operators.sports import activity_totals, fill_activity_time
 from lapwise.schemas import CHILD_TABLES, LAYOUTS
 from lapwise.session import durable, use_utc
@@ -51,10 +51,13 @@ def derive(messages: DataFrame, activity_id: Column, min_rows: float | None = No
     limit = measured(messages, ["file"], min_rows)
     rows = {t: df.withColumn("activity_id", activity_id) for t, df in route(messages).items()}
 
-    laps = number_in_order(rows["lap"], "file", ["seq"], "number", limit)
-    # Few rows that the steps below read again and again: one scan each of the messages.
-    laps = durable(laps.withColumn("number", F.col("number").cast("int")))
-    rows["lap"] = align_intensity(durable(workout_fields(messages)), laps, min_rows=limit)
+    # By distance where places repeat, so that laps are numbered the same each time they are read.
+    laps = number_in_order(rows["lap"], "file", ["seq", "total_distance"], "number", limit)
+    laps, workout = laps.withColumn("number", F.col("number").cast("int")), workout_fields(messages)
+    if limit != MEASURED:
+        # With hot files, the steps below read both again and again; without, once for each table.
+        laps, workout = durable(laps), durable(workout)
+    rows["lap"] = align_intensity(workout, laps, min_rows=limit)
 
     points = rows["record"].withColumn("distance", F.col("distance").try_cast("double"))
     ends = laps.select("file", "number", F.col("total_distance").try_cast("double").alias("total_distance"))
@@ -151,7 +154,7 @@ def _finish(
 
     # Written once: the activities and the files left out are both picked from it.
     tested = durable(checked(activities, "activity", keep=["file"]))
-    absent = fresh.select("file").distinct().join(activities.select("file"), "file", "left_anti")
+    absent = fresh.select("file").distinct().join(tested.select("file"), "file", "left_anti")
     rejected = because(tested.where(F.col("reasons") != ""), F.col("reasons")).unionByName(
         because(absent, F.lit("no activity message"))
     ).unionByName(because(without_time.select("file").distinct(), F.lit("no time in the file name")))

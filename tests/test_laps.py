@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from lapwise.operators.intensity import align_intensity
+from lapwise.operators.skew import MEASURED
 from lapwise.operators.laps import assign_laps, first_row, number_in_order, renumber_lengths
 
 
@@ -91,3 +92,25 @@ def test_intensities(spark, min_rows):
     for f, (words, steps) in enumerate(cases):
         want = expected_intensity(words, steps, len(steps)) if words else [None] * len(steps)
         assert [r["intensity"] for r in got if r["file"] == f] == want, cases[f]
+
+
+def test_intensities_take_one_exchange_of_the_messages(spark):
+    """Without hot files all steps stay within files; only laps and what they take meet by number."""
+    m = spark.createDataFrame([], "file string, seq long, has_intensity boolean, intensity string, has_step boolean, step long")
+    l = spark.createDataFrame([], "file string, number int, seq long")  # noqa: E741
+    plan = align_intensity(m.repartition(3), l.repartition(3), min_rows=MEASURED)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(file") <= 4, plan
+
+
+@pytest.mark.parametrize("min_rows", [None, 2])
+def test_intensities_of_messages_with_both_fields(spark, min_rows):
+    """A message may carry an intensity and a step; files may be null."""
+    m = spark.createDataFrame(
+        [("a", 1, True, "warmup", True, 5), ("a", 2, True, "rest", True, None), ("a", 3, False, "odd", True, 5),
+         (None, 1, True, "warmup", True, 5), ("b", 1, True, None, True, 5)],
+        "file string, seq long, has_intensity boolean, intensity string, has_step boolean, step long",
+    )
+    l = spark.createDataFrame([("a", 1), ("a", 2), ("a", 3), (None, 1), ("b", 1)], "file string, number int")  # noqa: E741
+    got = {(r["file"], r["number"]): r["intensity"] for r in align_intensity(m, l, min_rows=min_rows).collect()}
+    # Words are as many as steps, so the missing step takes no part, and two places are not three laps.
+    assert got == {("a", 1): None, ("a", 2): None, ("a", 3): None, (None, 1): None, ("b", 1): None}
