@@ -18,7 +18,7 @@ from lapwise.schemas import MESSAGES
 from lapwise.session import scratch
 from lapwise.sinks.contract import conform
 from lapwise.sinks.load import serial_ids, with_parent
-from lapwise.sources.messages import write_messages
+from lapwise.sources.messages import kept_by_name, write_messages
 from lapwise.sources.sidecar import PATHS
 from lapwise.sources.tables import LOAD, Store, list_files
 from lapwise.streaming.incremental import follow, message_stream
@@ -57,12 +57,14 @@ def order_messages(spark, sf_dir, lines: bool = True) -> DataFrame:
         lap = _map(total_distance=F.col("l_quantity"), max_power=F.col("nth"))
         stepped = F.map_concat(lap, _map(wkt_step_index=(F.col("nth") - 1) % 2))
         point = _map(distance=F.col("l_partkey") % 200, position_lat=none, position_long=F.col("nth"), heart_rate=F.col("nth"))
+        # Both messages of a line in one pass over the lines.
+        both = F.array(
+            F.struct((F.col("nth") + 10).alias("seq"), F.lit("lap").alias("name"), F.when(F.col("k") % 2 == 0, stepped).otherwise(lap).alias("fields")),
+            F.struct((F.col("nth") + 1_000_000).alias("seq"), F.lit("record").alias("name"), point.alias("fields")),
+        )
         out += [
             rows(orders, n, "workout_step", _map(intensity=F.lit(what))) for n, what in enumerate(("warmup", "active"))
-        ] + [
-            rows(each, F.col("nth") + 10, "lap", F.when(F.col("k") % 2 == 0, stepped).otherwise(lap)),
-            rows(each, F.col("nth") + 1_000_000, "record", point),
-        ]
+        ] + [each.select("file", F.inline(both))]
     all_ = out[0]
     for df in out[1:]:
         all_ = all_.unionByName(df)
@@ -99,7 +101,8 @@ def stream_activities(spark, sf_dir):
 
 
 def _children(spark, sf_dir, table):
-    messages = order_messages(spark, sf_dir)
+    # Made once: every step below reads them again.
+    messages = kept_by_name(order_messages(spark, sf_dir), scratch(spark, "messages"))
     stored = messages.where("name = 'activity'").select("file")
     # Counted once: files have no more messages left where those without an activity are gone.
     limit = measured(messages, ["file"])

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lapwise.operators import skew
-from lapwise.plans import maintenance, reports
+from lapwise.plans import ingest, maintenance, reports
 from lapwise.plans.ingest import load_connect, load_watch, plan_connect, run_load
 from lapwise.schemas import LAYOUTS, columns, struct
 from lapwise.queries import stored
@@ -346,3 +346,17 @@ def test_few_columns_are_looked_up_alone(spark):
     assert sorted(times.collect()) == sorted(message_rows(connect_frame(spark), "session").select(*times.columns).collect())
     laps = message_rows(connect_frame(spark), "lap").select("file", "total_distance")
     assert "avg_power" not in laps._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_laps_and_points_are_derived_without_a_stored_copy(spark, monkeypatch):
+    def stored_copy(df):
+        raise AssertionError("no file is hot")
+
+    monkeypatch.setattr(ingest, "durable", stored_copy)
+    rows = ingest.derive(connect_frame(spark), F.lit(1), skew.MEASURED)
+    assert rows["lap"].count() == connect_frame(spark).where("name = 'lap'").count()
+
+
+def test_lines_of_an_order_are_numbered_once(spark):
+    plan = stored.order_messages(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("row_number()") == 1
