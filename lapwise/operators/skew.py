@@ -7,6 +7,7 @@ and then scans slice all groups alike, while joins are shuffled, where adaptive
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
 from math import ceil
@@ -26,6 +27,8 @@ MOST_RANGES = 256
 DEFAULT_MIN_ROWS = 2_000_000
 ROWS_PER_TASK = 1_000_000
 MIN_ROWS_SETTING = "spark.lapwise.hotGroupRows"
+# Groups are counted by buckets of their hash first, so that the counts do not grow with the number of groups.
+BUCKETS = 65_536
 # In place of a row limit: the caller has counted a frame that contains this one, found no
 # hot group, and there is nothing left to count.
 MEASURED = float("inf")
@@ -52,14 +55,25 @@ def heavy_groups(df: DataFrame, keys: list[str], min_rows: float) -> Groups | No
 
     Reads the key columns only and counts before the shuffle.
     """
-    if min_rows == MEASURED:
-        return None
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return None if min_rows == MEASURED else counted(df, keys, min_rows)[1]
+
+
+def counted(df: DataFrame, keys: list[str], min_rows: float) -> tuple[int, Groups | None]:
+    """Rows of ``df``, and its groups above ``min_rows`` as ``heavy_groups`` gives them.
+
+    A group is not above the limit if its bucket is not, so only the groups of buckets above it are counted one by one.
+    """
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
+    sizes = df.groupBy(bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
+    above = F.collect_list(F.when(F.col("_n") > min_rows, F.col("_b")))
+    rows, full = sizes.agg(F.coalesce(F.sum("_n"), F.lit(0)), above).first()
+    if not full:
+        return rows, None
+    counts = (df.where(bucket.isin(full)) if len(full) <= FEW_GROUPS else df).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     found = as_groups(counts.where(F.col("_n") > min_rows))
     if found is None or found.few:
-        return found
-    counts = durable(counts)
-    return Groups(counts.where(F.col("_n") > min_rows), False, counts.agg(F.sum("_n")).first()[0])
+        return rows, found
+    return rows, Groups(durable(counts).where(F.col("_n") > min_rows), False, rows)
 
 
 def as_groups(found: DataFrame, all_rows: int = 0) -> Groups | None:
@@ -100,6 +114,23 @@ def tasks_for(spark: SparkSession, rows: int) -> int | None:
     return None if rows <= ROWS_PER_TASK else max(-(-rows // ROWS_PER_TASK), spark.sparkContext.defaultParallelism)
 
 
+def dealing(
+    df: DataFrame, keys: list[str], min_rows: float | None = None, sides: int = 1
+) -> tuple[float, int | None]:
+    """The row limit as ``measured`` gives it, and the tasks to deal the rows of ``df`` to by ``keys``: none if a group is hot.
+
+    ``sides`` is how many frames, none with more rows than ``df``, meet in a task.
+    """
+    limit = min_rows_for(df.sparkSession, min_rows)
+    rows, hot = counted(df, keys, limit)
+    return (limit, None) if hot else (MEASURED, tasks_for(df.sparkSession, sides * rows))
+
+
+def deal(df: DataFrame, keys: list[str], tasks: int | None) -> DataFrame:
+    """Rows by ``keys`` in ``tasks`` parts; without a number, as they are."""
+    return df.repartition(tasks, *keys) if tasks else df
+
+
 def _same_group(keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_g_{k}")) for k in keys])
 
@@ -135,19 +166,33 @@ def heavy_join(
     keys: list[str],
     how: str = "left",
     min_rows: float | None = None,
+    once: Callable[[DataFrame], DataFrame] | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
-    """Equi join where keys repeat without bound on the left and are unique on the right.
+    """Equi join where keys repeat without bound on the left and are unique on the right, or made so by ``once``.
 
     Rows of few heavy left keys meet the as few right rows of those keys by broadcast, where
-    they stand; all others join by shuffle.
+    they stand; all others join by shuffle. With ``once``, large sides are counted and dealt to tasks by their rows, before
+    ``once``; a caller who has counted both gives the number of ``tasks``. A right side with a heavy key is not dealt, as
+    ``once`` combines its rows before the shuffle, nor one that a single task may take, which may be broadcast.
     """
-    limit = min_rows_for(left.sparkSession, min_rows)
-    hot = heavy_groups(left, keys, limit)
-    if hot is None or not hot.few:
-        return left.join(right, keys, how)
+    spark, unique = left.sparkSession, once or (lambda rows: rows)
+    limit = min_rows_for(spark, min_rows)
+    if limit == MEASURED:
+        return deal(left, keys, tasks).join(unique(deal(right, keys, tasks)), keys, how)
+    rows, hot = counted(left, keys, limit)
+    if hot is not None and not hot.few:
+        return left.join(unique(right), keys, how)
+    if once is not None and tasks is None:
+        right_rows, repeated = counted(right, keys, limit)
+        if repeated is None and right_rows > ROWS_PER_TASK:
+            tasks = tasks_for(spark, rows + right_rows)
+    if hot is None:
+        return deal(left, keys, tasks).join(unique(deal(right, keys, tasks)), keys, how)
     cold_left, hot_left = part_hot(left, keys, hot)
     _, hot_right = part_hot(right, keys, hot)
-    return cold_left.join(right, keys, how).unionByName(hot_left.join(F.broadcast(hot_right), keys, how))
+    cold = deal(cold_left, keys, tasks).join(unique(deal(right, keys, tasks)), keys, how)
+    return cold.unionByName(hot_left.join(F.broadcast(unique(hot_right)), keys, how))
 
 
 @dataclass

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lapwise.functions.names import made_id
+from lapwise.operators.skew import deal, dealing
 from lapwise.plans.ingest import fill_created
 from lapwise.queries.tables import LINE_ORDER, cents, micros, prop, read
 from lapwise.sinks.contract import conform, with_raw
@@ -55,18 +56,21 @@ def pool(spark, sf_dir):
 
 
 def power(spark, sf_dir):
-    lines = read(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("activity_id"), F.col("l_linenumber").alias("number"))
-    laps = lines.agg(
+    lines, keys = read(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"]
+    # Laps and decoded laps are both of these lines, which are counted once for them.
+    limit, tasks = dealing(lines, keys, sides=2)
+    numbered = deal(lines, keys, tasks).groupBy(F.col("l_orderkey").alias("activity_id"), F.col("l_linenumber").alias("number"))
+    laps = numbered.agg(
         F.max(F.when(F.col("l_returnflag") == "A", F.col("l_suppkey"))).alias("avg_power"),
         F.max("l_suppkey").alias("max_power"),
         F.lit(None).cast("bigint").alias("normalized_power"),
     )
-    decoded = read(spark, sf_dir, "lineitem").where("l_linestatus = 'F'").select(
+    decoded = lines.where("l_linestatus = 'F'").select(
         F.col("l_orderkey").alias("activity_id"), F.col("l_linenumber").alias("number"), "l_partkey", "l_suppkey",
         "l_extendedprice", F.col("l_partkey").alias("avg_power"), F.lit(7).cast("bigint").alias("max_power"),
         F.col("l_suppkey").alias("normalized_power"),
     )
-    return backfill_power(laps, decoded, ["l_partkey", "l_suppkey", "l_extendedprice"])
+    return backfill_power(laps, decoded, ["l_partkey", "l_suppkey", "l_extendedprice"], min_rows=limit, tasks=tasks)
 
 
 def messages(spark, sf_dir):

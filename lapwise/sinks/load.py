@@ -21,14 +21,14 @@ def with_parent(
     children: DataFrame, parents: DataFrame, key: str = "activity_id", min_rows: float | None = None
 ) -> DataFrame:
     """Child rows whose activity is in ``parents``."""
-    return heavy_join(children, parents.select(key).distinct(), [key], "left_semi", min_rows)
+    return heavy_join(children, parents.select(key), [key], "left_semi", min_rows, DataFrame.distinct)
 
 
 def without_parent(
     children: DataFrame, parents: DataFrame, key: str = "activity_id", min_rows: float | None = None
 ) -> DataFrame:
     """Child rows whose activity is missing, or that name none."""
-    return heavy_join(children, parents.select(key).distinct(), [key], "left_anti", min_rows)
+    return heavy_join(children, parents.select(key), [key], "left_anti", min_rows, DataFrame.distinct)
 
 
 def reject_shared_ids(files: DataFrame, file: str = "file", key: str = "activity_id") -> DataFrame:
@@ -61,12 +61,9 @@ def update_pool(
     becomes 0 and a fraction is cut off; a missing unit leaves the stored one.
     """
     keys = [key, "sub_sport"]
-    last = (
-        updates.where(F.col("sub_sport") == "lap_swimming")
-        .groupBy(*keys)
-        .agg(F.max_by(F.struct("pool_length", "pool_length_unit"), F.struct(*order)).alias("_new"))
-    )
-    joined = heavy_join(sessions, last, keys, "left", min_rows)
+    swims = updates.where(F.col("sub_sport") == "lap_swimming")
+    last = F.max_by(F.struct("pool_length", "pool_length_unit"), F.struct(*order)).alias("_new")
+    joined = heavy_join(sessions, swims, keys, "left", min_rows, lambda rows: rows.groupBy(*keys).agg(last))
     length = F.coalesce(F.col("_new.pool_length"), F.lit(0)).cast("bigint")
     hit = F.col("_new").isNotNull()
     return joined.withColumns(
@@ -85,12 +82,13 @@ def backfill_power(
     order: list[str],
     key: str = "activity_id",
     min_rows: float | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
     """``laps`` with missing power values taken from ``decoded`` laps of the same number.
 
-    The first in ``order`` counts where a lap was decoded more than once.
+    The first in ``order`` counts where a lap was decoded more than once. ``min_rows`` and ``tasks`` as for ``heavy_join``.
     """
     keys = [key, "number"]
-    found = decoded.groupBy(*keys).agg(F.min_by(F.struct(*POWER), F.struct(*order)).alias("_new"))
-    joined = heavy_join(laps, found, keys, "left", min_rows)
+    first = F.min_by(F.struct(*POWER), F.struct(*order)).alias("_new")
+    joined = heavy_join(laps, decoded, keys, "left", min_rows, lambda rows: rows.groupBy(*keys).agg(first), tasks)
     return joined.withColumns({c: F.coalesce(F.col(c), F.col(f"_new.{c}")) for c in POWER}).select(*laps.columns)
